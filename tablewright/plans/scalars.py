@@ -173,7 +173,7 @@ _TITLE_SPLIT = "[\\s" + "".join("\\" + d for d in s.TITLE_DELIMITERS) + "]"
 _NO_SPLIT = "[^\\s" + _TITLE_SPLIT[3:]
 _TITLE_SQL = (
     f"MD5(ARRAY_TO_STRING(LIST_TRANSFORM(REGEXP_EXTRACT_ALL(LOWER(text), '{_NO_SPLIT}*{_TITLE_SPLIT}|{_NO_SPLIT}+'), "
-    "LAMBDA w: UPPER(w[1]) || w[2:]), ''))"
+    "LAMBDA w: UPPER(REPLACE(w[1], 'ß', 'SS')) || w[2:]), ''))"
 )
 _scalar("str_to_title", "documents", result=(lambda: _digest(s.str_to_title("text")), _TITLE_SQL))
 _scalar("str_c", "customer", result=(lambda: s.str_c("c_mktsegment", F.lit("/"), "c_name"), "c_mktsegment || '/' || c_name"))
@@ -265,10 +265,10 @@ _scalar(
     "math_basic",
     "lineitem",
     total=(
-        lambda: F.round(c("l_extendedprice") * (1 - c("l_discount")) + c("l_tax"), 4),
-        "ROUND(l_extendedprice * (1 - l_discount) + l_tax, 4)",
+        lambda: c("l_extendedprice") * (1 - c("l_discount")) + c("l_tax"),
+        "l_extendedprice * (1 - l_discount) + l_tax",
     ),
-    ratio=(lambda: F.round(c("l_extendedprice") / c("l_quantity"), 6), "ROUND(l_extendedprice / l_quantity, 6)"),
+    ratio=(lambda: c("l_extendedprice") / c("l_quantity"), "l_extendedprice / l_quantity"),
     absolute=(lambda: F.abs(c("l_quantity") - 25), "ABS(l_quantity - 25)"),
     signum=(lambda: F.signum(c("l_quantity") - 25).cast("int"), "CAST(SIGN(l_quantity - 25) AS INTEGER)"),
     root=(lambda: F.round(F.sqrt("l_quantity"), 8), "ROUND(SQRT(l_quantity), 8)"),

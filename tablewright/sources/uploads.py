@@ -12,13 +12,13 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads, union_schema
 from tablewright.operators.sinks import write_verified
+from tablewright.session import path_exists
 
 UPLOAD_COLUMN = "_upload"
 STRATEGIES = ("append", "replace")
@@ -39,12 +39,9 @@ class UploadTable:
     # --- log: metadata, one small record per upload
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG).json(f"{self.path}/log")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.path}/log"):
             return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
 
     def uploads(self) -> list:
         """Live uploads, oldest first."""

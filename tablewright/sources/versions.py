@@ -7,11 +7,11 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads
+from tablewright.session import path_exists
 from tablewright.sources.reader import sample_rows
 from tablewright.sources.uploads import UploadTable
 
@@ -58,12 +58,9 @@ class Dataset:
     path: str
 
     def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG).json(f"{self.path}/log")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.path}/log"):
             return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
 
     def _append(self, tag: str, event: str, folder: str, notes: str = "") -> None:
         row = self.spark.createDataFrame([(tag, event, folder, notes, time.time_ns())], _LOG)
@@ -142,12 +139,8 @@ class Dataset:
         return merge_uploads(parts)
 
     def _table(self, folder: str, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/{folder}/{table}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        path = f"{self.path}/{folder}/{table}"
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def read(
         self,
