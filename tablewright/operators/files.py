@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import materialize
+
 MODES = ("all", "files", "directories")
 # Fixed value: shape of the older file ids, two words of 4 and 9 characters and a suffix.
 LEGACY_ID = r"^[^.\-]{4}-[^.\-]{9}\.[^.]+$"
@@ -199,17 +201,20 @@ def resolve_paths(requests: DataFrame, manifest: DataFrame, path: str = "path")
             ).alias("_dir_only"),
         )
     )
-    nodes = dir_tree(manifest)
-    per_path = nodes.groupBy("path").agg(
-        F.bool_or("is_dir").alias("_has_dir"), F.max("file_id").alias("_file_id")
+    # used twice, and with its true size known small trees are broadcast
+    tree = materialize(
+        dir_tree(manifest)
+        .groupBy("path")
+        .agg(F.bool_or("is_dir").alias("_has_dir"), F.max("file_id").alias("_file_id")),
+        "tree",
     )
-    found = asked.join(per_path, asked["_target"] == per_path["path"], "left").drop("path")
+    found = asked.join(tree, asked["_target"] == tree["path"], "left").drop("path")
 
     # walks with dots: every directory they pass has to exist
     passed = (
         asked.where(F.size("_must") > 0)
         .select("_asked", F.explode(F.array_distinct("_must")).alias("path"))
-        .join(nodes.where("is_dir").select("path", F.lit(1).alias("_is_dir")), "path", "left")
+        .join(tree.where("_has_dir").select("path", F.lit(1).alias("_is_dir")), "path", "left")
         .groupBy("_asked")
         .agg((F.count("_is_dir") < F.count(F.lit(1))).alias("_lost"))
     )

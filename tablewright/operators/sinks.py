@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import materialize
+from tablewright.session import materialize, path_exists
 from tablewright.types import GEOGRAPHY_CRS
 
 FORMATS = ("csv", "parquet", "json", "orc")
@@ -32,9 +32,8 @@ def write_verified(df: DataFrame, path: str, mode: str = "errorifexists", **opti
     seen = Observation()
     rows = F.count(F.lit(1)).alias("rows")
     writer = df.observe(seen, rows).write.mode(mode).options(**options)
-    before = 0
-    if mode == "append":
-        before = _rows_at(df, path)
+    appending = mode == "append" and path_exists(df.sparkSession, path)
+    before = _rows_at(df, path) if appending else 0
     writer.parquet(path)
     expected = before + seen.get["rows"]
     found = _rows_at(df, path)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions import aggregate as agg
 from tablewright.operators import batch, schema, sinks
+from tablewright.operators.aggregates import summarise
 from tablewright.plans.registry import register, table
 from tablewright.session import shared_dir
 from tablewright.sources import delimited, files, reader
@@ -54,19 +55,19 @@ _STATUSES = ("F", "O", "P")
 )
 def pricing_summary(spark, sf_dir):
     rows = reader.read_table(spark, f"{sf_dir}/lineitem.parquet", LINEITEM.names, declared=LINEITEM)
-    return (
-        rows.where(F.col("l_shipdate") < F.lit("2001-01-01").cast("date"))
-        .groupBy("l_returnflag", "l_linestatus")
-        .agg(
-            agg.n().alias("n"),
-            F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
-            F.round(F.avg("l_extendedprice"), 4).alias("avg_price"),
-            F.round(agg.sd("l_discount"), 8).alias("sd_discount"),
-            agg.n_distinct("l_orderkey").alias("n_orders"),
-            agg.median("l_extendedprice", 1_000_000).alias("median_price"),
-        )
-        .orderBy("l_returnflag", "l_linestatus")
-    )
+    rows = rows.where(F.col("l_shipdate") < F.lit("2001-01-01").cast("date"))
+    return summarise(
+        rows,
+        ["l_returnflag", "l_linestatus"],
+        {
+            "n": agg.n(),
+            "sum_qty": F.round(F.sum("l_quantity"), 2),
+            "avg_price": F.round(F.avg("l_extendedprice"), 4),
+            "sd_discount": F.round(agg.sd("l_discount"), 8),
+            "median_price": agg.median("l_extendedprice", 1_000_000),
+        },
+        distinct={"n_orders": "l_orderkey"},
+    ).orderBy("l_returnflag", "l_linestatus")
 
 
 # --- table reads

@@ -38,15 +38,15 @@ class UploadTable:
 
     # --- log: metadata, one small record per upload
 
-    def log(self) -> DataFrame:
-        if not path_exists(self.spark, f"{self.path}/log"):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
-
     def uploads(self) -> list:
-        """Live uploads, oldest first."""
-        newest = self.log().groupBy("name").agg(F.max_by(F.struct("*"), "seq").alias("r"))
-        return newest.select("r.*").where("live").orderBy("seq").collect()
+        """Live uploads, oldest first; of one name the newest record counts."""
+        if not path_exists(self.spark, f"{self.path}/log"):
+            return []
+        newest: dict[str, object] = {}
+        for record in sorted(self.spark.read.schema(_LOG).json(f"{self.path}/log").collect(), key=lambda r: r["seq"]):
+            newest.pop(record["name"], None)
+            newest[record["name"]] = record
+        return [r for r in newest.values() if r["live"]]
 
     def _append(self, **record) -> None:
         row = self.spark.createDataFrame([{**record, "seq": time.time_ns()}], _LOG)

@@ -57,10 +57,11 @@ class Dataset:
     spark: SparkSession
     path: str
 
-    def _log(self) -> DataFrame:
+    def _log(self) -> list:
+        """Release events, a handful of small records."""
         if not path_exists(self.spark, f"{self.path}/log"):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
+            return []
+        return self.spark.read.schema(_LOG).json(f"{self.path}/log").collect()
 
     def _append(self, tag: str, event: str, folder: str, notes: str = "") -> None:
         row = self.spark.createDataFrame([(tag, event, folder, notes, time.time_ns())], _LOG)
@@ -71,7 +72,7 @@ class Dataset:
         released: dict[str, str] = {}
         staged: dict[str, str] = {}
         open_folder = None
-        for r in self._log().orderBy("seq").collect():
+        for r in sorted(self._log(), key=lambda r: r["seq"]):
             if r["event"] == "open":
                 open_folder = r["folder"]
             elif r["event"] == "release":
