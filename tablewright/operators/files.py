@@ -197,7 +197,7 @@ def resolve_paths(requests: DataFrame, manifest: DataFrame, path: str = "path")
             F.col("_w.must").alias("_must"),
             F.col("_w.above").alias("_above"),
             (
-                F.col("_asked").endswith("/") | F.coalesce(F.element_at("_parts", -1).isin(".", ".."), F.lit(False))
+                F.col("_asked").endswith("/") | F.coalesce(F.try_element_at("_parts", F.lit(-1)).isin(".", ".."), F.lit(False))
             ).alias("_dir_only"),
         )
     )

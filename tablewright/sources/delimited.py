@@ -45,6 +45,9 @@ def read_delimited(
         "columnNameOfCorruptRecord": CORRUPT,
         "enforceSchema": "true",
         "columnPruning": "false",
+        # nothing between delimiters is null, quoted nothing is empty text
+        "nullValue": "\x00",
+        "emptyValue": "",
     }
     if schema is None:
         schema = spark.read.options(**{**options, "inferSchema": "false"}).csv(path).schema

@@ -17,11 +17,11 @@ def scan_files(spark: SparkSession, directory: str, glob: str | None = None) ->
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    # the listing gives full URIs; cut everything up to the directory's own path
+    # the listing gives full paths; cut everything up to the directory's own
     base = directory.split("://", 1)[-1].rstrip("/") + "/"
     tail = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
     return reader.load(directory).select(
-        F.url_decode(F.regexp_replace(tail, r"\\+", "%2B")).alias("name"),
+        tail.alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
         "content",
