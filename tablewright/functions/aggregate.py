@@ -55,11 +55,3 @@ def first_by(x, order) -> Column:
 def last_by(x, order) -> Column:
     return F.max_by(x, order)
 
-
-def flatten(x, sep: str = ", ") -> Column:
-    """The group's non-null texts in order, as one text.
-
-    The result is one cell, so a group has to fit in one; use it on keys whose groups
-    are small by nature.
-    """
-    return F.array_join(F.sort_array(F.collect_list(x)), sep)

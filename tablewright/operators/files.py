@@ -189,13 +189,14 @@ def resolve_paths(requests: DataFrame, manifest: DataFrame, path: str = "path")
         requests.select(F.col(path).alias("_asked"))
         .distinct()
         .select("_asked", F.col("_asked").rlike(LEGACY_ID).alias("_by_id"), path_parts("_asked").alias("_parts"))
-        .withColumn("_w", _walk(F.col("_parts")))
+        # few paths have dots to follow
+        .withColumn("_w", F.when(F.exists("_parts", lambda p: p.isin(".", "..")), _walk(F.col("_parts"))))
         .select(
             "_asked",
             "_by_id",
-            F.array_join("_w.at", "/").alias("_target"),
+            F.array_join(F.coalesce("_w.at", "_parts"), "/").alias("_target"),
             F.col("_w.must").alias("_must"),
-            F.col("_w.above").alias("_above"),
+            F.coalesce("_w.above", F.lit(False)).alias("_above"),
             (
                 F.col("_asked").endswith("/") | F.coalesce(F.try_element_at("_parts", F.lit(-1)).isin(".", ".."), F.lit(False))
             ).alias("_dir_only"),

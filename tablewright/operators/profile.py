@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.windows import top_k
+from tablewright.session import materialize
 from tablewright.types import logical_type
 
 
@@ -89,7 +90,8 @@ def decode_values(df: DataFrame, column: str, out: str, labels: DataFrame | None
     Uses the column's own value labels (a literal map), or a label table ``(value, label)``.
     """
     if labels is not None:
-        known = labels.select(F.col("value").alias("_value"), F.col("label").alias(out))
+        # written, so that the planner knows its size and broadcasts it if small
+        known = materialize(labels.select(F.col("value").alias("_value"), F.col("label").alias(out)), "labels")
         return df.join(known, df[column] == known["_value"], "left").drop("_value")
     pairs = (df.schema[column].metadata or {}).get("value_labels")
     if not pairs:

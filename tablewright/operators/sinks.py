@@ -65,19 +65,13 @@ def export(
     path: str,
     format: str = "csv",
     overwrite: bool = False,
-    single_file: bool = False,
     delimiter: str = ",",
 ) -> str:
-    """Write a copy of a table; an existing target is an error unless ``overwrite``.
-
-    ``single_file`` suits results known to be small: it puts all rows through one task.
-    """
+    """Write a copy of a table; an existing target is an error unless ``overwrite``."""
     if format not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}")
     if format == "csv":
         df = _textual(df)
-    if single_file:
-        df = df.coalesce(1)
     writer = df.write.format(format).mode("overwrite" if overwrite else "errorifexists")
     if format == "csv":
         writer = writer.options(

@@ -111,7 +111,7 @@ def running(
     """Measures from the first row of the group to the current one.
 
     ``measures``: new column -> (``count|sum|min|max|last``, expression); ``last`` is the
-    last non-null value. ``order`` is ascending and should be unique inside a group.
+    last non-null value. ``order`` is ascending; rows equal in it come in any order.
     ``hot_rows=0`` takes the split path without looking at the group sizes.
     """
     keys, order = _names(keys), _names(order)
@@ -121,9 +121,12 @@ def running(
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*running_frame)
         return df.withColumns({k: _over(kind, x, w) for k, (kind, x) in exprs.items()})
 
-    # Written once: the blocks must not move between the two uses below.
+    # Written once: the blocks must not move between the two uses below. The tie breaker
+    # lets a long run of equal rows span blocks too.
+    order = [*order, "_tie"]
     blocks = materialize(
         df.withColumns({f"_x_{k}": x for k, (_, x) in exprs.items()})
+        .withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*keys, *order)
         .withColumn("_block", F.spark_partition_id()),
         "blocks",
@@ -149,7 +152,7 @@ def running(
     joined = join_back(local, F.broadcast(before.drop("_nth")), [*keys, "_block"])
     return joined.withColumns(
         {k: _COMBINE[kind](F.col(f"_b_{k}"), F.col(k)) for k, (kind, _) in exprs.items()}
-    ).drop("_block", *[f"_x_{k}" for k in exprs], *[f"_b_{k}" for k in exprs])
+    ).drop("_block", "_tie", *[f"_x_{k}" for k in exprs], *[f"_b_{k}" for k in exprs])
 
 
 def cumulative(df, keys, order, x: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -190,11 +193,12 @@ def ranked(
             }
         )
     # Peers collapse first: a run of equal rows is one row here, however long.
-    peers = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_peers"))
+    peers = materialize(df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_peers")), "peers")
+    sizes = materialize(peers.groupBy(*keys).agg(F.sum("_peers").alias("_rows")), "groups")
     peers = running(
         peers, keys, order, {"_upto": ("sum", "_peers"), "dense_rank": ("count", F.lit(1))}, hot_rows=0
     )
-    peers = recycled(peers, keys, _rows=F.sum("_peers"))
+    peers = join_back(peers, sizes, keys)
     out = join_back(
         running(df, keys, order, {"row_number": ("count", F.lit(1))}, hot_rows=0),
         materialize(peers, "peers"),
@@ -281,28 +285,40 @@ def range_framed(
     order: str,
     before: float,
     after: float,
-    values: Mapping[str, Column],
+    values: Mapping[str, tuple[str, Column | str]],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Aggregates over rows whose ``order`` value is within ``before`` below and ``after`` above.
 
-    A large group is cut into cells as wide as the frame; each row also goes to the
-    neighbouring cells whose frames reach it.
+    ``values``: new column -> (``count|sum|min|max|mean``, expression). In a large group
+    rows of one value collapse first, the values are cut into cells as wide as the frame,
+    and each value also goes to the neighbouring cells whose frames reach it.
     """
     keys = _names(keys)
+    exprs = {k: (kind, F.col(x) if isinstance(x, str) else x) for k, (kind, x) in values.items()}
+    if not has_hot_group(df, keys, hot_rows):
+        w = Window.partitionBy(*keys).orderBy(order).rangeBetween(-before, after)
+        return df.withColumns(
+            {k: (F.avg(x).over(w) if kind == "mean" else _over(kind, x, w)) for k, (kind, x) in exprs.items()}
+        )
 
-    def over(w: WindowSpec) -> dict[str, Column]:
-        frame = w.orderBy(order).rangeBetween(-before, after)
-        return {k: v.over(frame) for k, v in values.items()}
-
-    width = before + after
-    if width <= 0 or not has_hot_group(df, keys, hot_rows):
-        return df.withColumns(over(Window.partitionBy(*keys)))
-    v = F.col(order)
+    parts = {}
+    for k, (kind, x) in exprs.items():
+        parts |= {f"_s_{k}": F.sum(x), f"_n_{k}": F.count(x)} if kind == "mean" else {f"_{k}": _total(kind, x, [])}
+    peers = df.groupBy(*keys, order).agg(*[v.alias(k) for k, v in parts.items()])
+    v, width = F.col(order), max(before + after, 1e-9)
     home, first, last = F.floor(v / width), F.floor((v - after) / width), F.floor((v + before) / width)
-    copies = df.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
-    out = copies.withColumns(over(Window.partitionBy(*keys, "_at")))
-    return out.where(F.col("_home").eqNullSafe(F.col("_at"))).drop("_home", "_at")
+    cells = peers.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
+    w = Window.partitionBy(*keys, "_at").orderBy(order).rangeBetween(-before, after)
+
+    def combined(k: str, kind: str) -> Column:
+        if kind == "mean":
+            return F.sum(f"_s_{k}").over(w) / F.nullif(F.sum(f"_n_{k}").over(w), F.lit(0))
+        return _over("sum" if kind == "count" else kind, F.col(f"_{k}"), w)
+
+    framed_peers = cells.withColumns({k: combined(k, kind) for k, (kind, _) in exprs.items()})
+    framed_peers = framed_peers.where(F.col("_home").eqNullSafe(F.col("_at")))
+    return join_back(df, framed_peers.select(*keys, order, *exprs), [*keys, order])
 
 
 def nth_values(
@@ -340,8 +356,9 @@ def quantiles(
     """
     keys = _names(keys)
     counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running(counts, keys, x, {"_upto": ("sum", "_n")}, hot_rows)
-    upto = recycled(upto, keys, _rows=F.sum("_n"))
+    counts = materialize(counts, "counts")
+    sizes = materialize(counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), "groups")
+    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}, hot_rows), sizes, keys)
 
     value = F.col(x).cast("double")
     picks = []
@@ -362,6 +379,35 @@ def quantiles(
     )
 
 
+def flattened(
+    df: DataFrame, keys: str | Keys, x: str, name: str, sep: str = ", ", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The group's non-null texts in order, as one text per group.
+
+    Equal texts collapse first. The texts of a large group are joined in blocks and then
+    the blocks, so no task lists a group's rows; only the resulting text has to fit a cell.
+    """
+    keys = _names(keys)
+    text = F.col(x)
+    pieces = (
+        df.where(text.isNotNull())
+        .groupBy(*keys, x)
+        .agg(F.count(F.lit(1)).cast("int").alias("_n"))
+        .withColumn("_piece", F.concat(F.repeat(F.concat(text, F.lit(sep)), F.col("_n") - 1), text))
+    )
+
+    def joined(column: str, at: str) -> Column:
+        listed = F.sort_array(F.collect_list(F.struct(at, column)))
+        return F.array_join(F.transform(listed, lambda s: s[column]), sep)
+
+    if has_hot_group(df, keys, hot_rows):
+        numbered = running(pieces, keys, x, {"_rn": ("count", F.lit(1))}, hot_rows=0)
+        block = F.floor(F.col("_rn") / max(hot_rows, 1)).alias("_at")
+        pieces = numbered.groupBy(*keys, block).agg(joined("_piece", x).alias("_piece"))
+        return pieces.groupBy(*keys).agg(joined("_piece", "_at").alias(name))
+    return pieces.groupBy(*keys).agg(joined("_piece", x).alias(name))
+
+
 def top_k(df: DataFrame, keys: str | Keys, order: Sequence[Column], k: int, ties: bool = True) -> DataFrame:
     """The k first rows per group; ties with the k-th are kept unless told otherwise.
 

@@ -376,7 +376,7 @@ def agg_quantile(spark, sf_dir):
 )
 def agg_flatten(spark, sf_dir):
     flags = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("f"))
-    return flags.groupBy("l_orderkey").agg(agg.flatten("f", ",").alias("flags"))
+    return windows.flattened(flags, "l_orderkey", "f", "flags", ",")
 
 
 @register(
@@ -566,7 +566,7 @@ def win_frame(spark, sf_dir):
 def win_range_frame(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("day", F.unix_date(c("o_orderdate").cast("date")))
     out = windows.range_framed(
-        orders, "o_custkey", "day", 60, 0, {"n": agg.n(), "total": F.sum("o_totalprice")}
+        orders, "o_custkey", "day", 60, 0, {"n": ("count", F.lit(1)), "total": ("sum", "o_totalprice")}
     )
     return out.select("o_orderkey", "n", F.round("total", 2).alias("total"))
 

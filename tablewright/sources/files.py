@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,9 @@ from pyspark.sql import types as T
 def scan_files(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
     """All files below a directory: ``name`` (relative), ``size``, ``modified_at``, ``content``.
 
-    The content is read only if it is used.
+    The content is read only if it is used. Names beginning with a dot are not listed.
+    Spark's file sources also pass over empty files; those are looked up and added if the
+    number of files says that some are missing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -20,12 +23,43 @@ def scan_files(spark: SparkSession, directory: str, glob: str | None = None) ->
     # the listing gives full paths; cut everything up to the directory's own
     base = directory.split("://", 1)[-1].rstrip("/") + "/"
     tail = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
-    return reader.load(directory).select(
+    found = reader.load(directory).select(
         tail.alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
         "content",
     )
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getContentSummary(root).getFileCount() == found.count():
+        return found
+    empty = _empty_files(fs, root, base, glob)
+    return found.unionByName(
+        spark.createDataFrame(empty, "name string, modified_ms bigint").select(
+            "name",
+            F.lit(0).cast("bigint").alias("size"),
+            F.timestamp_millis("modified_ms").cast("timestamp_ntz").alias("modified_at"),
+            F.lit(b"").alias("content"),
+        )
+    )
+
+
+def _empty_files(fs, root, base: str, glob: str | None) -> list[tuple]:
+    """Name and time of the empty files, from the file system's own listing."""
+    out = []
+    listing = fs.listFiles(root, True)
+    while listing.hasNext():
+        status = listing.next()
+        path = status.getPath().toUri().getPath()
+        file_name = path.rsplit("/", 1)[-1]
+        if file_name.startswith(".") or (glob and not fnmatch.fnmatchcase(file_name, glob)):
+            continue
+        name = path[path.index(base) + len(base) :]
+        if status.getLen() == 0:
+            out.append((name, status.getModificationTime()))
+        elif file_name.startswith("_") and "=" not in file_name:
+            raise ValueError(f"{name}: Spark does not read files whose name begins with _")
+    return out
 
 
 def file_specs(spark: SparkSession, specs: Iterable[Mapping]) -> DataFrame:

@@ -8,12 +8,12 @@ repeated task leaves nothing visible, and no released file is ever overwritten.
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads, union_schema
@@ -76,7 +76,7 @@ class UploadTable:
             if not rename_on_conflict:
                 raise ValueError(f"an upload with the name {name} already exists")
             name = next(n for i in range(1, len(taken) + 2) if (n := f"{name}_{i}") not in taken)
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        folder = f"{self.path}/data/{UPLOAD_COLUMN}={_escaped(name)}/{uuid.uuid4().hex}"
         try:
             rows = write_verified(df, folder)
         except Exception:
@@ -119,13 +119,14 @@ class UploadTable:
             return self.spark.createDataFrame([], declared)
         parts = []
         for text, group in by_schema.items():
-            part = self.spark.read.schema(schemas[text]).parquet(*[u["folder"] for u in group])
-            if tagged:
-                folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-                names = self.spark.createDataFrame(
-                    [(u["folder"].rsplit("/", 1)[-1], u["name"]) for u in group],
-                    f"_folder string, {UPLOAD_COLUMN} string",
-                )
-                part = part.withColumn("_folder", folder).join(names, "_folder").drop("_folder")
-            parts.append(part)
+            schema, reader = schemas[text], self.spark.read
+            if tagged:  # the upload's name is in its folder, as a partition value
+                schema = T.StructType([*schema.fields, T.StructField(UPLOAD_COLUMN, T.StringType())])
+                reader = reader.option("basePath", f"{self.path}/data")
+            parts.append(reader.schema(schema).parquet(*[u["folder"] for u in group]))
         return merge_uploads(parts, declared, lenient)
+
+
+def _escaped(name: str) -> str:
+    """A name as a partition value: other ASCII characters than letters, digits, . - as %XX."""
+    return re.sub(r"[\x00-\x7f]", lambda m: m[0] if m[0].isalnum() or m[0] in "._-" else f"%{ord(m[0]):02X}", name)

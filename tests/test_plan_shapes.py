@@ -27,7 +27,8 @@ def test_limits_are_not_sorted_whole(spark):
 
 
 def test_top_k_cuts_before_the_shuffle(spark):
-    assert plan(spark, "top_k").count("WindowGroupLimit") == 2
+    p = plan(spark, "top_k")
+    assert "rank(l_extendedprice" in p and ", 10, Partial" in p and ", 10, Final" in p
 
 
 @pytest.mark.parametrize("name", ["read_streams", "read_sample", "batch_preprocess", "file_chunks", "win_n", "coerce_types"])

@@ -37,6 +37,9 @@ def test_upload_conflicts(spark):
     assert rows(t.read()) == [(1, "x")]
     assert t.upload(frame(spark, (2, "y")), "one", rename_on_conflict=True) == "one_1"
     t.upload(frame(spark, (3, "z")), "one", replace_on_conflict=True)
+    t.upload(frame(spark, (4, "w")), "añ 07%/=.csv")
+    assert (4, "w", "añ 07%/=.csv") in rows(t.read(tagged=True))
+    t.remove("añ 07%/=.csv")
     assert rows(t.read(tagged=True)) == [(2, "y", "one_1"), (3, "z", "one")]
     t.remove("one_1")
     assert rows(t.read()) == [(3, "z")]
@@ -119,12 +122,12 @@ def test_verified_writes(spark):
 
 
 def test_exports(spark):
-    df = frame(spark, (1, ' a "q",\nb '), (2, None), (3, ""))
+    df = frame(spark, (1, ' a "q",\nb '), (2, None), (3, "")).coalesce(1)
     path = shared_dir(spark, "e")
-    sinks.export(df, path, single_file=True)
+    sinks.export(df, path)
     with pytest.raises(Exception):
         sinks.export(df, path)
-    sinks.export(df, path, overwrite=True, single_file=True)
+    sinks.export(df, path, overwrite=True)
     manifest = sinks.export_manifest(spark, path, "My Table!", "csv").collect()
     assert [m["target"] for m in manifest] == ["my_table_.csv"]
     back = read_delimited(spark, path, AB, has_quoted_newlines=True)

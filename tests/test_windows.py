@@ -83,11 +83,28 @@ def test_framed(many_partitions, skewed):
 
 
 def test_range_framed(many_partitions, skewed):
-    values = {"s": F.sum("x"), "n": F.count(F.lit(1))}
+    values = {"s": ("sum", "x"), "n": ("count", F.lit(1)), "m": ("mean", "x"), "lo": ("min", "x")}
     some = skewed.withColumn("t", F.when(F.col("id") % 11 != 0, F.col("t")))
     split = windows.range_framed(some, "k", "t", 3, 2, values, hot_rows=HOT)
     plain = windows.range_framed(some, "k", "t", 3, 2, values, hot_rows=10**9)
-    assert rows(split) == rows(plain)
+    assert rows(split.select(*plain.columns)) == rows(plain)
+
+
+def test_flattened(many_partitions, skewed):
+    texts = skewed.select("k", F.col("x").cast("int").cast("string").alias("s"))
+    split = windows.flattened(texts, "k", "s", "f", "|", hot_rows=7)
+    plain = texts.where("s is not null").groupBy("k").agg(F.array_join(F.sort_array(F.collect_list("s")), "|").alias("f"))
+    assert rows(split) == rows(plain) == rows(windows.flattened(texts, "k", "s", "f", "|"))
+
+
+def test_long_runs_of_equal_rows_span_blocks(many_partitions, spark):
+    same = spark.range(3000).select(F.lit("k").alias("k"), F.lit(1).alias("t"), F.lit(1.0).alias("x"))
+    out = windows.running(same, "k", "t", {"n": ("count", F.lit(1)), "s": ("sum", "x")}, hot_rows=HOT)
+    got = out.agg(F.count_distinct("n").alias("d"), F.max("s").alias("s")).first()
+    assert (got["d"], got["s"]) == (3000, 3000.0)
+    ranks = windows.ranked(same, "k", "t", hot_rows=HOT)
+    r = ranks.agg(F.max("rank").alias("r"), F.count_distinct("row_number").alias("d"), F.min("cume_dist").alias("c")).first()
+    assert (r["r"], r["d"], r["c"]) == (1, 3000, 1.0)
 
 
 def test_nth_values(many_partitions, skewed):
