@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tablewright.functions import aggregate as agg
 from tablewright.operators import batch, schema, sinks
 from tablewright.operators.aggregates import summarise
+from tablewright.plans import sql
 from tablewright.plans.registry import register, table
 from tablewright.session import shared_dir
 from tablewright.sources import delimited, files, reader
@@ -467,6 +468,26 @@ def read_version(spark, sf_dir):
     )
 
 
+@register(
+    "mapped_version",
+    f"""
+    SELECT o_orderkey, o_orderstatus FROM orders
+    WHERE o_orderstatus <> 'P' AND {_BUCKET_SQL.format(n=10000)} < 2000
+    """,
+)
+def mapped_version(spark, sf_dir):
+    """A query on a table mapped to another name, at an older version, in its sample."""
+    source = sql.datasource(
+        _released(spark, sf_dir),
+        {"orders": "purchases"},
+        names=["orders"],
+        version="1.1",
+        sample_keys={"orders": ["o_orderkey"]},
+        sample_percent=20,
+    )
+    return sql.query(spark, "SELECT o_orderkey, o_orderstatus FROM purchases", source)
+
+
 @register("release_version", _MERGED_SQL)
 def release_version(spark, sf_dir):
     """The last release is taken back, so its rows are read from the next version again."""

@@ -57,7 +57,7 @@ def scoped_query(spark, sf_dir):
 )
 def mapped_tables(spark, sf_dir):
     """A query written for other table names."""
-    source = sql.remap(tables(spark, sf_dir, "lineitem", "orders"), [("lineitem", "items")])
+    source = sql.datasource(tables(spark, sf_dir, "lineitem", "orders"), [("lineitem", "items")])
     text = (
         "SELECT l_suppkey, COUNT(*) AS n, ROUND(SUM(l_quantity), 2) AS quantity FROM items "
         "JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY l_suppkey"
@@ -261,27 +261,46 @@ def _rich(spark, sf_dir):
 
 def _joined(how: str):
     def run(spark, sf_dir):
-        orders = table(spark, sf_dir, "orders").where("o_totalprice > 100000").select("o_orderkey", "o_custkey")
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         rich = _rich(spark, sf_dir)
         return joins.join(orders, rich, orders["o_custkey"] == rich["c_custkey"], how)
 
     return run
 
 
-for _how in ("left", "right", "full"):
-    register(
-        f"join_{_how}",
-        f"SELECT o_orderkey, o_custkey, c_custkey, c_name FROM (SELECT * FROM orders WHERE o_totalprice > 100000) "
-        f"{_how.upper()} JOIN {_RICH} ON o_custkey = c_custkey",
-    )(_joined(_how))
+register("join_left", f"SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders LEFT JOIN {_RICH} ON o_custkey = c_custkey")(
+    _joined("left")
+)
 for _how, _word in (("semi", ""), ("anti", "NOT")):
     register(
         f"join_{_how}",
-        f"SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 100000 "
-        f"AND {_word} o_custkey IN (SELECT c_custkey FROM {_RICH})",
+        f"SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey {_word} IN (SELECT c_custkey FROM {_RICH})",
     )(_joined(f"left_{_how}"))
 
 
+@register(
+    "join_right",
+    "SELECT l.doc_id AS labelled, quality, d.doc_id, lang FROM labels l RIGHT JOIN documents d ON l.doc_id = d.doc_id",
+)
+def join_right(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select(c("doc_id").alias("labelled"), "quality")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return joins.join(labels, docs, c("labelled") == c("doc_id"), "right")
+
+
+@register(
+    "join_full",
+    "SELECT c_custkey, p_partkey, c_name, p_name FROM customer FULL JOIN part "
+    "ON c_custkey = p_partkey AND c_mktsegment <> 'BUILDING'",
+)
+def join_full(spark, sf_dir):
+    """Unmatched rows on both sides."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    on = (c("c_custkey") == c("p_partkey")) & (c("c_mktsegment") != "BUILDING")
+    return joins.join(customer, part, on, "full").drop("c_mktsegment")
+
+
 @register(
     "join_range",
     """

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.sinks import output_table
+from tablewright.sources.versions import Dataset
 
 Tables = Mapping[str, DataFrame]
 
@@ -62,23 +63,36 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def remap(
-    tables: Tables,
-    mapped: Mapping[str, str] | list[tuple[str, str]],
-    is_workflow: bool = False,
+def datasource(
+    source: Dataset | Tables,
+    mapped: Mapping[str, str] | list[tuple[str, str]] = (),
+    names: Iterable[str] = (),
     version: str | None = None,
-    sample: bool | None = None,
+    sample_keys: Mapping[str, list[str]] | None = None,
+    sample_percent: float = 1.0,
 ) -> dict[str, DataFrame]:
-    """Source tables under the names they are mapped to; unmapped ones keep theirs."""
-    if is_workflow and sample:
-        raise ValueError("sampling is not applicable to a source that is a workflow")
-    if is_workflow and version is not None:
-        raise ValueError("versions are not applicable to a source that is a workflow")
-    names = dict(mapped)
-    unknown = [n for n in names if n not in tables]
+    """The tables a query gets, under the names they are mapped to; others keep theirs.
+
+    A dataset is read at a version, and as a sample of the tables that ``sample_keys``
+    names keys for. The tables of a workflow have neither.
+    """
+    if isinstance(source, Dataset):
+        keys = sample_keys or {}
+        tables = {
+            n: source.read(n, version or "current", sample_keys=keys.get(n), sample_percent=sample_percent)
+            for n in names
+        }
+    else:
+        if sample_keys:
+            raise ValueError("sampling is not applicable to a source that is a workflow")
+        if version is not None:
+            raise ValueError("versions are not applicable to a source that is a workflow")
+        tables = dict(source)
+    renamed = dict(mapped)
+    unknown = [n for n in renamed if n not in tables]
     if unknown:
         raise LookupError(f"no tables {', '.join(unknown)} to map")
-    return {names.get(n, n): df for n, df in tables.items()}
+    return {renamed.get(n, n): df for n, df in tables.items()}
 
 
 def in_values(df: DataFrame, column: str, values: DataFrame) -> DataFrame:

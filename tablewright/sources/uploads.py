@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads, union_schema
 from tablewright.operators.sinks import write_verified
-from tablewright.session import path_exists
+from tablewright.session import path_exists, remove_path
 
 UPLOAD_COLUMN = "_upload"
 STRATEGIES = ("append", "replace")
@@ -62,10 +62,12 @@ class UploadTable:
         replace_on_conflict: bool = False,
         if_not_exists: bool = False,
         raise_on_fail: bool = True,
+        remove_on_fail: bool = False,
     ) -> str | None:
         """Ingest a frame as one upload and give the name it got (None if it failed).
 
-        A failed write leaves no trace in the table; ``raise_on_fail=False`` swallows it.
+        A failed write never shows in the table; ``raise_on_fail=False`` swallows the error
+        and ``remove_on_fail`` also removes the files it left.
         """
         taken = {u["name"] for u in self.uploads()}
         if name in taken and if_not_exists:
@@ -80,6 +82,8 @@ class UploadTable:
         try:
             rows = write_verified(df, folder)
         except Exception:
+            if remove_on_fail:
+                remove_path(self.spark, folder)
             if raise_on_fail:
                 raise
             return None
@@ -102,29 +106,43 @@ class UploadTable:
     def read(self, lenient: bool = False, tagged: bool = False) -> DataFrame:
         """The merged table: all uploads, or the latest one under ``replace``.
 
-        Uploads with one schema are one scan, so the plan grows with the number of
-        schemas and not with the number of uploads.
+        ``tagged`` adds the name of the upload each row came from.
         """
         uploads = self.uploads()
         if self.merge_strategy == "replace":
             uploads = uploads[-1:]
-        by_schema: dict[str, list] = {}
-        for u in uploads:
-            by_schema.setdefault(u["schema"], []).append(u)
-        schemas = {s: T.StructType.fromJson(json.loads(s)) for s in by_schema}
-        declared = self.declared or union_schema(schemas.values())
-        if tagged:
-            declared = T.StructType([*declared.fields, T.StructField(UPLOAD_COLUMN, T.StringType())])
-        if not uploads:
-            return self.spark.createDataFrame([], declared)
-        parts = []
-        for text, group in by_schema.items():
-            schema, reader = schemas[text], self.spark.read
-            if tagged:  # the upload's name is in its folder, as a partition value
-                schema = T.StructType([*schema.fields, T.StructField(UPLOAD_COLUMN, T.StringType())])
-                reader = reader.option("basePath", f"{self.path}/data")
-            parts.append(reader.schema(schema).parquet(*[u["folder"] for u in group]))
-        return merge_uploads(parts, declared, lenient)
+        return read_merged(self.spark, uploads, self.declared, lenient, f"{self.path}/data" if tagged else None)
+
+
+def read_merged(
+    spark: SparkSession,
+    uploads: list,
+    declared: T.StructType | None = None,
+    lenient: bool = False,
+    tag_below: str | None = None,
+) -> DataFrame:
+    """Uploads, given by their folders and schemas, as one table.
+
+    Uploads with one schema are one scan, so the plan grows with the number of schemas
+    and not with the number of uploads. With ``tag_below`` the partition value in the
+    folders below that path, the upload's name, becomes a column.
+    """
+    by_schema: dict[str, list] = {}
+    for u in uploads:
+        by_schema.setdefault(u["schema"], []).append(u["folder"])
+    schemas = {s: T.StructType.fromJson(json.loads(s)) for s in by_schema}
+    declared = declared or union_schema(schemas.values())
+    tag = [T.StructField(UPLOAD_COLUMN, T.StringType())] if tag_below else []
+    declared = T.StructType([*declared.fields, *tag])
+    if not uploads:
+        return spark.createDataFrame([], declared)
+    parts = []
+    for text, folders in by_schema.items():
+        reader = spark.read.schema(T.StructType([*schemas[text].fields, *tag]))
+        if tag_below:
+            reader = reader.option("basePath", tag_below)
+        parts.append(reader.parquet(*folders))
+    return merge_uploads(parts, declared, lenient)
 
 
 def _escaped(name: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
@@ -10,14 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.operators.schema import merge_uploads
 from tablewright.session import path_exists
 from tablewright.sources.reader import sample_rows
-from tablewright.sources.uploads import UploadTable
+from tablewright.sources.uploads import UploadTable, read_merged
 
 _REFERENCE = re.compile(r"^(?P<name>[^:]+)(?P<rest>(?::[^:]+)*)$")
 _TAG = re.compile(r"^(v\d+[._]\d+|current|next)$", re.IGNORECASE)
-_LOG = "tag string, event string, folder string, notes string, seq bigint"
+_LOG = "tag string, event string, folder string, content string, notes string, seq bigint"
 
 
 def normalize_tag(tag: str) -> str:
@@ -49,34 +49,35 @@ def _canonical(tag: str) -> str:
 
 @dataclass(frozen=True)
 class Dataset:
-    """Versions below one folder: ``<path>/<tag>/<table>``, uploads for the next one below ``next``.
+    """Versions of a group of tables below one folder.
 
-    A log of release events says which version is current.
+    A version is a list of upload folders per table, fixed when it is released. Releasing
+    and taking back change a log of small records and never copy or touch rows, whatever
+    the size of the dataset.
     """
 
     spark: SparkSession
     path: str
 
-    def _log(self) -> list:
-        """Release events, a handful of small records."""
-        if not path_exists(self.spark, f"{self.path}/log"):
-            return []
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log").collect()
+    # --- log
 
-    def _append(self, tag: str, event: str, folder: str, notes: str = "") -> None:
-        row = self.spark.createDataFrame([(tag, event, folder, notes, time.time_ns())], _LOG)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/log")
+    def _append(self, tag: str, event: str, folder: str = "", content: dict | None = None, notes: str = "") -> None:
+        record = (tag, event, folder, json.dumps(content or {}), notes, time.time_ns())
+        self.spark.createDataFrame([record], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
 
-    def _state(self) -> tuple[dict[str, str], str | None]:
-        """Released versions (tag to folder) in order, and the folder of the open next one."""
-        released: dict[str, str] = {}
+    def _state(self) -> tuple[dict[str, dict], str | None]:
+        """Released versions (tag to the uploads of each table) in order, and the folder of
+        the open next one."""
+        released: dict[str, dict] = {}
         staged: dict[str, str] = {}
         open_folder = None
-        for r in sorted(self._log(), key=lambda r: r["seq"]):
+        log = f"{self.path}/log"
+        records = self.spark.read.schema(_LOG).json(log).collect() if path_exists(self.spark, log) else []
+        for r in sorted(records, key=lambda r: r["seq"]):
             if r["event"] == "open":
                 open_folder = r["folder"]
             elif r["event"] == "release":
-                released[r["tag"]], staged[r["tag"]] = r["folder"], open_folder
+                released[r["tag"]], staged[r["tag"]] = json.loads(r["content"]), r["folder"]
                 open_folder = None
             elif r["event"] == "unrelease":
                 released.pop(r["tag"])
@@ -87,6 +88,8 @@ class Dataset:
         """Released tags, oldest first."""
         return list(self._state()[0])
 
+    # --- next version
+
     def create_next_version(self, if_not_exists: bool = False) -> None:
         """Open the next version; only one may be open."""
         if self._state()[1] is not None:
@@ -100,12 +103,22 @@ class Dataset:
         open_folder = self._state()[1]
         if open_folder is None:
             raise LookupError("no next version is open")
+        return self._staged(open_folder, table, declared)
+
+    def _staged(self, open_folder: str, table: str, declared: T.StructType | None = None) -> UploadTable:
         return UploadTable(self.spark, f"{self.path}/{open_folder}/{table}", declared)
 
+    def _next(self, table: str, released: dict, open_folder: str, replace: bool) -> list[dict]:
+        """The uploads of a table in the next version: the current ones and the staged ones."""
+        current = [] if replace or not released else list(released.values())[-1].get(table, [])
+        staged = self._staged(open_folder, table).uploads()
+        return current + [{"folder": u["folder"], "schema": u["schema"]} for u in staged]
+
     def release(self, tag: str, tables: list[str], notes: str = "", replace: bool = False) -> str:
-        """Write the next version: per table the current rows and the staged uploads.
+        """Make the next version the current one.
 
-        The files are written to a new folder; the log record then publishes them.
+        ``tables`` get their staged uploads, after the current rows or (``replace``) in
+        place of them; other tables stay as they are.
         """
         released, open_folder = self._state()
         if open_folder is None:
@@ -113,11 +126,9 @@ class Dataset:
         tag = _canonical(tag)
         if tag in released or tag in ("current", "next"):
             raise ValueError(f"version {tag} is already released")
-        folder = f"{tag}-{uuid.uuid4().hex}"
-        for table in tables:
-            merged = self._next_rows(table, released, open_folder, replace)
-            merged.write.parquet(f"{self.path}/{folder}/{table}")
-        self._append(tag, "release", folder, notes)
+        content = dict(list(released.values())[-1]) if released else {}
+        content |= {t: self._next(t, released, open_folder, replace) for t in tables}
+        self._append(tag, "release", open_folder, content, notes)
         return tag
 
     def unrelease(self) -> str:
@@ -128,25 +139,16 @@ class Dataset:
         if open_folder is not None:
             raise ValueError("close the next version first")
         tag = list(released)[-1]
-        self._append(tag, "unrelease", released[tag])
+        self._append(tag, "unrelease")
         return tag
 
-    def _next_rows(self, table, released, open_folder, replace) -> DataFrame:
-        current = None
-        if released and not replace:
-            current = self._table(list(released.values())[-1], table)
-        staged = UploadTable(self.spark, f"{self.path}/{open_folder}/{table}")
-        parts = [p for p in (current, staged.read() if staged.uploads() else None) if p is not None]
-        return merge_uploads(parts)
-
-    def _table(self, folder: str, table: str) -> DataFrame | None:
-        path = f"{self.path}/{folder}/{table}"
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
+    # --- reads
 
     def read(
         self,
         table: str,
         version: str = "current",
+        declared: T.StructType | None = None,
         sample_keys: list[str] | None = None,
         sample_percent: float = 1.0,
     ) -> DataFrame:
@@ -156,11 +158,12 @@ class Dataset:
         if tag == "next":
             if open_folder is None:
                 raise LookupError("no next version is open")
-            df = self._next_rows(table, released, open_folder, replace=False)
+            uploads = self._next(table, released, open_folder, replace=False)
         else:
             if tag == "current" and released:
                 tag = list(released)[-1]
-            df = self._table(released[tag], table) if tag in released else None
-            if df is None:
-                raise LookupError(f"no table {table} at version {version}")
+            uploads = released.get(tag, {}).get(table)
+        if not uploads:
+            raise LookupError(f"no table {table} at version {version}")
+        df = read_merged(self.spark, uploads, declared)
         return sample_rows(df, sample_keys, sample_percent) if sample_keys else df

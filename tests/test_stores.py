@@ -52,7 +52,7 @@ def test_failed_upload_is_invisible(spark):
     broken = frame(spark, (1, "x")).withColumn("a", F.raise_error("no").cast("bigint"))
     with pytest.raises(Exception):
         t.upload(broken, "bad")
-    assert t.upload(broken, "bad", raise_on_fail=False) is None
+    assert t.upload(broken, "bad", raise_on_fail=False, remove_on_fail=True) is None
     assert t.uploads() == []
     t.upload(frame(spark, (1, "x")), "bad")
     assert rows(t.read()) == [(1, "x")]
@@ -98,7 +98,12 @@ def test_versions(spark):
     ds.create_next_version()
     with pytest.raises(ValueError):
         ds.release("1.1", ["t"])
-    assert ds.read("t", sample_keys=["a"], sample_percent=100).count() == 2
+    with pytest.raises(ValueError):
+        ds.unrelease()
+    ds.stage("t").upload(frame(spark, (9, "n")), "u")
+    ds.release("2.0", ["t"], replace=True)
+    assert rows(ds.read("t")) == [(9, "n")] and ds.read("t", "1.1").count() == 2
+    assert ds.read("t", "1.1", sample_keys=["a"], sample_percent=100).count() == 2
 
 
 def test_references():
@@ -217,15 +222,15 @@ def test_parameters_and_fetch(spark):
     assert len(rows(sql.fetch(all_rows))) == 3
 
 
-def test_remap(spark):
+def test_datasource(spark):
     t = {"a": spark.range(1), "b": spark.range(2)}
-    assert set(sql.remap(t, {"a": "x"})) == {"x", "b"}
+    assert set(sql.datasource(t, {"a": "x"})) == {"x", "b"}
     with pytest.raises(LookupError):
-        sql.remap(t, {"q": "x"})
+        sql.datasource(t, {"q": "x"})
     with pytest.raises(ValueError):
-        sql.remap(t, {}, is_workflow=True, version="v1.0")
+        sql.datasource(t, version="v1.0")
     with pytest.raises(ValueError):
-        sql.remap(t, {}, is_workflow=True, sample=True)
+        sql.datasource(t, sample_keys={"a": ["id"]})
 
 
 # --- profiles and labels
