@@ -73,6 +73,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def append_record(spark: SparkSession, path: str, record: dict) -> None:
+    """Append one small record to a JSON log folder."""
+    columns = ", ".join(f":{k} AS {k}" for k in record)
+    spark.sql(f"SELECT {columns}", args=record).write.mode("append").json(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

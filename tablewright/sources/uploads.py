@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads, union_schema
 from tablewright.operators.sinks import write_verified
-from tablewright.session import path_exists, remove_path
+from tablewright.session import append_record, path_exists, remove_path
 
 UPLOAD_COLUMN = "_upload"
 STRATEGIES = ("append", "replace")
@@ -49,8 +49,7 @@ class UploadTable:
         return [r for r in newest.values() if r["live"]]
 
     def _append(self, **record) -> None:
-        row = self.spark.createDataFrame([{**record, "seq": time.time_ns()}], _LOG)
-        row.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        append_record(self.spark, f"{self.path}/log", {**record, "seq": time.time_ns()})
 
     # --- ingest
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.session import path_exists
+from tablewright.session import append_record, path_exists
 from tablewright.sources.reader import sample_rows
 from tablewright.sources.uploads import UploadTable, read_merged
 
@@ -62,8 +62,8 @@ class Dataset:
     # --- log
 
     def _append(self, tag: str, event: str, folder: str = "", content: dict | None = None, notes: str = "") -> None:
-        record = (tag, event, folder, json.dumps(content or {}), notes, time.time_ns())
-        self.spark.createDataFrame([record], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+        record = {"tag": tag, "event": event, "folder": folder, "content": json.dumps(content or {}), "notes": notes}
+        append_record(self.spark, f"{self.path}/log", {**record, "seq": time.time_ns()})
 
     def _state(self) -> tuple[dict[str, dict], str | None]:
         """Released versions (tag to the uploads of each table) in order, and the folder of
