@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.schema import conform
 from tablewright.session import materialize, path_exists
 from tablewright.types import GEOGRAPHY_CRS
 
@@ -168,16 +169,24 @@ def write_layout(df: DataFrame, path: str, groups_per_file: int = 4) -> int:
 
 def parse_rows(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """JSON text rows as typed rows; text that is no record of the schema raises."""
-    parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
-    return df.select(parsed.alias("_r")).select("_r.*")
+    parsed = F.from_json(F.col(column), _json_schema(schema), {"mode": "FAILFAST"})
+    return conform(df.select(parsed.alias("_r")).select("_r.*"), schema)
+
+
+def _json_schema(schema: T.StructType) -> T.StructType:
+    """What JSON text is parsed as: times are text there."""
+    text = T.StringType()
+    return T.StructType(
+        [T.StructField(f.name, text if isinstance(f.dataType, T.TimeType) else f.dataType) for f in schema]
+    )
 
 
 def insert_rows(rows, path: str, schema: T.StructType, spark=None) -> int:
     """Append rows to a table: a DataFrame of rows, of JSON text, or a JSON string."""
     if isinstance(rows, str):
         text = spark.createDataFrame([(rows,)], "value string")
-        items = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
-        rows = text.select(F.inline(items))
+        items = F.from_json("value", T.ArrayType(_json_schema(schema)), {"mode": "FAILFAST"})
+        rows = conform(text.select(F.inline(items)), schema)
     elif isinstance(rows, DataFrame):
         if rows.columns == ["value"]:
             rows = parse_rows(rows, schema)

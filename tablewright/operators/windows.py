@@ -351,14 +351,17 @@ def quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per group.
 
-    Works on the counts of distinct values and their running sum, so no task holds a
-    group's values.
+    With a large group it works on the counts of distinct values and their running sum, so
+    that no task holds a group's values.
     """
     keys = _names(keys)
-    counts = df.where(F.col(x).isNotNull()).groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_n"))
+    df = df.where(F.col(x).isNotNull())
+    if not has_hot_group(df, keys, hot_rows):
+        return df.groupBy(*keys).agg(*[F.percentile(x, float(p)).alias(k) for k, p in probabilities.items()])
+    counts = df.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_n"))
     counts = materialize(counts, "counts")
     sizes = materialize(counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), "groups")
-    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}, hot_rows), sizes, keys)
+    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}, hot_rows=0), sizes, keys)
 
     value = F.col(x).cast("double")
     picks = []

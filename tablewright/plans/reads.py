@@ -308,24 +308,23 @@ def upload_staged(spark, sf_dir):
 # --- batch functions
 
 
-def _revenue(rows: pa.RecordBatch) -> pa.RecordBatch | None:
-    rows = rows.filter(pc.equal(rows["l_returnflag"], "R"))
-    if rows.num_rows == 0:
-        return None
-    revenue = pc.multiply(rows["l_extendedprice"], pc.subtract(1.0, rows["l_discount"]))
-    return pa.RecordBatch.from_arrays([rows["l_orderkey"], revenue], names=["l_orderkey", "revenue"])
-
-
 @register(
     "batch_preprocess",
     "SELECT l_orderkey, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem WHERE l_returnflag = 'R'",
 )
 def batch_preprocess(spark, sf_dir):
+    def revenue(rows: pa.RecordBatch) -> pa.RecordBatch | None:
+        rows = rows.filter(pc.equal(rows["l_returnflag"], "R"))
+        if rows.num_rows == 0:
+            return None
+        amount = pc.multiply(rows["l_extendedprice"], pc.subtract(1.0, rows["l_discount"]))
+        return pa.RecordBatch.from_arrays([rows["l_orderkey"], amount], names=["l_orderkey", "revenue"])
+
     return reader.read_table(
         spark,
         f"{sf_dir}/lineitem.parquet",
         ["l_orderkey", "l_extendedprice", "l_discount", "l_returnflag"],
-        batch_preprocessor=_revenue,
+        batch_preprocessor=revenue,
         batch_schema="l_orderkey bigint, revenue double",
     )
 

@@ -180,6 +180,11 @@ def test_insert_rows(spark):
     assert sinks.insert_rows('[{"a": 1, "b": "x"}, {"a": 2}]', path, AB, spark) == 2
     assert sinks.insert_rows(frame(spark, (3, "z")), path, AB) == 1
     assert rows(spark.read.parquet(path)) == [(1, "x"), (2, None), (3, "z")]
+    timed = declare({"t": "time", "d": "dateTime"})
+    later = shared_dir(spark, "i")
+    sinks.insert_rows('[{"t": "10:30:04.123", "d": "2020-01-01T00:00:00.123456"}]', later, timed, spark)
+    kept = spark.read.parquet(later).select(F.col("t").cast("string"), F.col("d").cast("string"))
+    assert rows(kept) == [("10:30:04.123", "2020-01-01 00:00:00.123456")]
     bad = spark.createDataFrame([('{"a": "word"}',)], "value string")
     with pytest.raises(Exception):
         sinks.insert_rows(bad, path, AB)

@@ -114,7 +114,7 @@ def test_nth_values(many_partitions, skewed):
 
 
 def test_quantiles(many_partitions, skewed):
-    got = windows.quantiles(skewed, "k", "x", {"q10": 0.1, "q50": 0.5, "q100": 1.0}, hot_rows=5)
+    got = windows.quantiles(skewed, "k", "x", {"q10": 0.1, "q50": 0.5, "q100": 1.0}, hot_rows=HOT)
     want = skewed.where("x is not null").groupBy("k").agg(
         *[F.percentile("x", p).alias(n) for n, p in (("q10", 0.1), ("q50", 0.5), ("q100", 1.0))]
     )
