@@ -357,7 +357,9 @@ def quantiles(
     keys = _names(keys)
     df = df.where(F.col(x).isNotNull())
     if not has_hot_group(df, keys, hot_rows):
-        return df.groupBy(*keys).agg(*[F.percentile(x, float(p)).alias(k) for k, p in probabilities.items()])
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
+        at_once = df.groupBy(*keys).agg(F.percentile(x, wanted).alias("_q"))
+        return at_once.select(*keys, *[F.col("_q")[i].alias(k) for i, k in enumerate(probabilities)])
     counts = df.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_n"))
     counts = materialize(counts, "counts")
     sizes = materialize(counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), "groups")

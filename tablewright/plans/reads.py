@@ -500,7 +500,7 @@ def release_version(spark, sf_dir):
 
 @register(
     "scan_files",
-    "SELECT source, lang, SUM(STRLEN(text) + 1) AS bytes FROM documents GROUP BY source, lang",
+    "SELECT source, lang, CAST(SUM(STRLEN(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source, lang",
 )
 def scan_files(spark, sf_dir):
     path = shared_dir(spark, "files")
