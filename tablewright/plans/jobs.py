@@ -11,7 +11,8 @@ from tablewright.plans.reads import ORDERS
 from tablewright.plans.registry import register, table
 from tablewright.session import shared_dir
 from tablewright.sources import delimited
-from tablewright.streaming.inserts import insert_rows_stream
+from tablewright.sources.uploads import UploadTable
+from tablewright.streaming.inserts import insert_rows_stream, insert_uploads_stream
 from tablewright.types import logical_type
 from tablewright.types import schema as declare
 
@@ -136,6 +137,16 @@ def insert_rows_stream_(spark, sf_dir):
     return spark.read.schema(EVENTS).parquet(target)
 
 
+@register("insert_uploads_stream", "SELECT * FROM events")
+def insert_uploads_stream_(spark, sf_dir):
+    """The same rows into a table of uploads, one per batch."""
+    source, state = shared_dir(spark, "rows"), shared_dir(spark, "state")
+    _json_rows(spark, sf_dir).repartition(4).write.text(source)
+    inserted = UploadTable(spark, shared_dir(spark, "uploads"), EVENTS)
+    insert_uploads_stream(source, inserted, "rows", state, EVENTS, max_files_per_trigger=2).awaitTermination()
+    return inserted.read()
+
+
 # --- column statistics and labels
 
 _NUMBERS = {"o_orderkey": "integer", "o_custkey": "integer", "o_totalprice": "float"}

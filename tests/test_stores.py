@@ -11,7 +11,7 @@ from tablewright.session import path_exists, shared_dir
 from tablewright.sources.delimited import read_delimited
 from tablewright.sources.uploads import UploadTable
 from tablewright.sources.versions import Dataset, normalize_tag, parse_reference
-from tablewright.streaming.inserts import insert_rows_stream
+from tablewright.streaming.inserts import insert_rows_stream, insert_uploads_stream
 from tablewright.types import schema as declare
 from tests.conftest import rows
 
@@ -200,6 +200,20 @@ def test_stream_takes_each_file_once(spark):
     assert rows(spark.read.parquet(target)) == [(0, "x"), (1, "x")]
 
 
+def test_stream_into_uploads_repeats_nothing(spark):
+    source, state = shared_dir(spark, "s"), shared_dir(spark, "c")
+    table = UploadTable(spark, shared_dir(spark, "t"), AB)
+    frame_text = spark.createDataFrame([('{"a": 1, "b": "x"}',)], "value string")
+    frame_text.write.text(source)
+    insert_uploads_stream(source, table, "in", state, AB).awaitTermination()
+    # another checkpoint starts the batches again, as a restart before the commit would
+    insert_uploads_stream(source, table, "in", shared_dir(spark, "c"), AB).awaitTermination()
+    assert rows(table.read()) == [(1, "x")]
+    frame_text.write.mode("append").text(source)
+    insert_uploads_stream(source, table, "in", state, AB).awaitTermination()
+    assert rows(table.read(tagged=True)) == [(1, "x", "in_0"), (1, "x", "in_1")]
+
+
 # --- SQL
 
 
