@@ -286,7 +286,9 @@ def sync_plan(source: DataFrame, target: DataFrame, overwrite: bool = False) ->
         .when(F.coalesce(same, F.lit(False)), "skip")
         .otherwise("overwrite" if overwrite else "error")
     )
-    return want.join(have, want["path"] == have["_path"], "left").select("path", "file_id", "size", action.alias("action"))
+    return want.join(have, want["path"] == have["_path"], "left").select(
+        "path", "file_id", "size", "md5_hash", action.alias("action")
+    )
 
 
 def files_to_copy(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import aggregate as agg
-from tablewright.operators import batch, schema, sinks
+from tablewright.operators import batch, copies, schema, sinks
 from tablewright.operators.aggregates import summarise
 from tablewright.plans import sql
 from tablewright.plans.registry import register, table
@@ -516,6 +516,31 @@ def scan_files(spark, sf_dir):
     )
 
 
+@register(
+    "copy_files",
+    "SELECT source, lang, CAST(SUM(STRLEN(text) + 1) AS BIGINT) AS bytes, 'copy' AS first_time, 'skip' AS second_time "
+    "FROM documents GROUP BY source, lang",
+)
+def copy_files(spark, sf_dir):
+    """Files copied once and found there the second time; sizes are those at the target."""
+    origin, target = shared_dir(spark, "files"), shared_dir(spark, "copied")
+    table(spark, sf_dir, "documents").select("text", "source", "lang").write.partitionBy("source", "lang").text(origin)
+    manifest = copies.manifest_of(spark, origin, "*.txt")
+    first = copies.copy_files(manifest, origin, target).select("path", F.col("action").alias("first_time"))
+    second = copies.copy_files(manifest, origin, target).select("path", F.col("action").alias("second_time"))
+    there = files.scan_files(spark, target).select(F.col("name").alias("path"), "size")
+    parts = F.split("path", "/")
+    return (
+        there.join(first, "path")
+        .join(second, "path")
+        .groupBy(
+            F.regexp_replace(parts[0], "^source=", "").alias("source"),
+            F.regexp_replace(parts[1], "^lang=", "").alias("lang"),
+        )
+        .agg(F.sum("size").alias("bytes"), F.max("first_time").alias("first_time"), F.min("second_time").alias("second_time"))
+    )
+
+
 @register(
     "file_specs",
     "SELECT source || '/' || doc_id || '.txt' AS name, STRLEN(text) AS size, MD5(text) AS digest FROM documents",

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.operators import copies
 from tablewright.operators import files as fo
 from tablewright.sources import files as raw
 from tests.conftest import rows
@@ -143,6 +144,30 @@ def test_scan_hash_and_ranges(spark, tmp_path):
     assert text == "héllo"
 
 
+def test_copy_files(spark, tmp_path):
+    source, target = tmp_path / "from", tmp_path / "to"
+    for name, content in {"a/b/c.bin": b"\x00\x01" * 5000, "é.txt": b"hi", "empty": b""}.items():
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_bytes(content)
+    m = copies.manifest_of(spark, str(source))
+
+    def run(**kw):
+        return {r["path"]: r["action"] for r in copies.copy_files(m, str(source), str(target), **kw).collect()}
+
+    assert set(run().values()) == {"copy"}
+    assert {str(p.relative_to(target)) for p in target.rglob("*") if p.is_file()} == {"a/b/c.bin", "é.txt", "empty"}
+    assert (target / "a/b/c.bin").read_bytes() == b"\x00\x01" * 5000
+    assert set(run().values()) == {"skip"}
+    (target / "é.txt").write_bytes(b"ho")
+    with pytest.raises(FileExistsError):
+        run()
+    assert run(overwrite=True)["é.txt"] == "overwrite" and (target / "é.txt").read_bytes() == b"hi"
+    wrong = m.withColumn("md5_hash", F.lit("AAAA"))
+    with pytest.raises(Exception, match="hash"):
+        copies.copy_files(wrong, str(source), str(target), overwrite=True)
+    assert (target / "é.txt").read_bytes() == b"hi"
+
+
 def test_file_specs(spark, tmp_path):
     specs = raw.file_specs(spark, [{"name": "a", "data": "é"}, {"name": "b", "data": b"\x00\x01\x02"}])
     assert rows(specs.select("name", "size")) == [("a", 2), ("b", 3)]
