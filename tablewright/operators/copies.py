@@ -8,13 +8,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.operators.files import file_hashes, sync_plan
 from tablewright.session import materialize, path_exists
-from tablewright.sources.files import scan_files
+from tablewright.sources.files import open_filesystem, scan_files
 
 TASK_BYTES = 1 << 30
 
@@ -51,8 +50,9 @@ def copy_files(manifest: DataFrame, source: str, target: str, overwrite: bool =
     volume = plan.where("action <> 'skip'").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES))
 
+    (from_fs, from_root), (to_fs, to_root) = open_filesystem(source), open_filesystem(target)
+
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (from_fs, from_root), (to_fs, to_root) = (fs.FileSystem.from_uri(u) for u in (source, target))
         for batch in batches:
             for row in batch.to_pylist():
                 path = f"{to_root}/{row['path']}"

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import fnmatch
-from collections.abc import Iterable, Mapping
+import re
+from collections.abc import Iterable, Iterator, Mapping
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", uri))
+    return fs.FileSystem.from_uri(uri)
+
+
 def scan_files(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
     """All files below a directory: ``name`` (relative), ``size``, ``modified_at``, ``content``.
 
-    The content is read only if it is used. Names beginning with a dot are not listed.
-    Spark's file sources also pass over empty files; those are looked up and added if the
-    number of files says that some are missing.
+    The content is read only if it is used. Spark's file sources pass over empty files, so
+    those come from a listing of their own. Names beginning with a dot are not listed.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -29,37 +37,40 @@ def scan_files(spark: SparkSession, directory: str, glob: str | None = None) ->
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
         "content",
     )
-    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.getContentSummary(root).getFileCount() == found.count():
-        return found
-    empty = _empty_files(fs, root, base, glob)
-    return found.unionByName(
-        spark.createDataFrame(empty, "name string, modified_ms bigint").select(
-            "name",
-            F.lit(0).cast("bigint").alias("size"),
-            F.timestamp_millis("modified_ms").cast("timestamp_ntz").alias("modified_at"),
-            F.lit(b"").alias("content"),
-        )
-    )
+    return found.unionByName(_empty_files(spark, directory, glob))
 
 
-def _empty_files(fs, root, base: str, glob: str | None) -> list[tuple]:
-    """Name and time of the empty files, from the file system's own listing."""
-    out = []
-    listing = fs.listFiles(root, True)
-    while listing.hasNext():
-        status = listing.next()
-        path = status.getPath().toUri().getPath()
-        file_name = path.rsplit("/", 1)[-1]
-        if file_name.startswith(".") or (glob and not fnmatch.fnmatchcase(file_name, glob)):
-            continue
-        name = path[path.index(base) + len(base) :]
-        if status.getLen() == 0:
-            out.append((name, status.getModificationTime()))
-        elif file_name.startswith("_") and "=" not in file_name:
-            raise ValueError(f"{name}: Spark does not read files whose name begins with _")
-    return out
+def _empty_files(spark: SparkSession, directory: str, glob: str | None) -> DataFrame:
+    """The empty files; tasks list the subdirectories."""
+    system, root = open_filesystem(directory)
+    # the directory alone, and all that is below its subdirectories
+    top = system.get_file_info(fs.FileSelector(root))
+    work = [(root, False)] + [(i.path, True) for i in top if i.type == fs.FileType.Directory]
+    work = spark.createDataFrame(work, "dir string, deep boolean")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names, times = [], []
+                for info in system.get_file_info(fs.FileSelector(row["dir"], recursive=row["deep"])):
+                    name = info.path[len(root.rstrip("/")) + 1 :]
+                    if not info.is_file or re.search(r"(^|/)[.]", name):
+                        continue
+                    if glob and not fnmatch.fnmatchcase(info.base_name, glob):
+                        continue
+                    if info.size == 0:
+                        names.append(name)
+                        times.append((info.mtime_ns or 0) // 1_000_000)
+                    elif re.search(r"(^|/)_[^/=]*(/|$)", name):
+                        raise ValueError(f"{name}: Spark does not read files below names that begin with _")
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(times, pa.int64())], ["name", "ms"])
+
+    return work.mapInArrow(listed, "name string, ms bigint").select(
+        "name",
+        F.lit(0).cast("bigint").alias("size"),
+        F.timestamp_millis("ms").cast("timestamp_ntz").alias("modified_at"),
+        F.lit(b"").alias("content"),
+    )
 
 
 def file_specs(spark: SparkSession, specs: Iterable[Mapping]) -> DataFrame:

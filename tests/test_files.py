@@ -144,6 +144,17 @@ def test_scan_hash_and_ranges(spark, tmp_path):
     assert text == "héllo"
 
 
+def test_scan_names_spark_ignores(spark, tmp_path):
+    for name in ("_a=1/x", ".hidden/y", "_done", "z"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "_done" else b"1")
+    assert rows(raw.scan_files(spark, f"file:{tmp_path}").select("name")) == [("_a=1/x",), ("_done",), ("z",)]
+    (tmp_path / "_b").mkdir()
+    (tmp_path / "_b" / "w").write_bytes(b"1")
+    with pytest.raises(Exception, match="begin with _"):
+        raw.scan_files(spark, str(tmp_path)).collect()
+
+
 def test_copy_files(spark, tmp_path):
     source, target = tmp_path / "from", tmp_path / "to"
     for name, content in {"a/b/c.bin": b"\x00\x01" * 5000, "é.txt": b"hi", "empty": b""}.items():
