@@ -79,9 +79,9 @@ def add_files(spark, sf_dir):
     "file_read_range",
     """
     SELECT doc_id, UNHEX(SUBSTR(HEX(ENCODE(text)), 1, 200)) AS head,
-           MD5(UNHEX(SUBSTR(HEX(ENCODE(text)), 41))) AS rest, UPPER(SUBSTR(text, 1)) AS whole
-    FROM (SELECT doc_id, text FROM documents)
-    """.replace("UPPER(SUBSTR(text, 1))", "MD5(text)"),
+           MD5(UNHEX(SUBSTR(HEX(ENCODE(text)), 41))) AS rest, MD5(text) AS whole
+    FROM documents
+    """,
 )
 def file_read_range(spark, sf_dir):
     """Bytes 0 to 99, bytes from 20 on, and the whole as text."""
