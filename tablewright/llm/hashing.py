@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 
@@ -21,9 +23,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """Hashes of words, each distinct word hashed once while it is remembered."""
 
-    def __init__(self, normal=None):
-        make = xxhash.xxh3_64_intdigest
-        self.memo = Memo(make if normal is None else lambda word: make(normal(word)))
+    def __init__(self, make: Callable[[bytes], int] = xxhash.xxh3_64_intdigest):
+        self.memo = Memo(make)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.memo.__getitem__, words), dtype=np.uint64, count=len(words))
