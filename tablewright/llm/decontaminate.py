@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
-from tablewright.llm.hashing import WordHashes, mixed, runs
+from tablewright.llm.hashing import Bits, WordHashes, runs
 from tablewright.session import materialize
 
 SEED = 3  # words of an n-gram
@@ -48,37 +48,6 @@ class Words:
         return found[found != 0]
 
 
-def _bit_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    other = mixed(hashes)
-    low = np.uint64((1 << BITS) - 1)
-    return (hashes & low).astype(np.int64), (other & low).astype(np.int64)
-
-
-def bit_table(seeds: DataFrame) -> np.ndarray:
-    """A Bloom filter of the column ``seed``, made in the tasks; the driver gets its
-    words only, of which there are 2 ** BITS / 64 at most."""
-
-    def make():
-        def step(values):
-            first, second = _bit_places(np.array(values, dtype=np.int64).view(np.uint64))
-            at = np.concatenate([first, second])
-            return [at >> 6, (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)]
-
-        return step
-
-    words = map_rows(seeds.select("seed"), make, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    for r in words.collect():
-        out[r["word"]] = np.int64(r["bits"]).view(np.uint64)
-    return out
-
-
-def _among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    first, second = _bit_places(hashes)
-    test = lambda at: (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-    return (test(first) & test(second)).astype(bool)
-
-
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item_id, n, words, seeds): each item's words and n-grams."""
 
@@ -96,7 +65,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(rows, make, "item_id long, n long, words binary, seeds array<long>")
 
 
-def _frequencies(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+def _frequencies(docs: DataFrame, bits: Bits) -> DataFrame:
     """(seed, df): in how many documents each n-gram that the table lets pass occurs."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -105,7 +74,7 @@ def _frequencies(docs: DataFrame, bits: np.ndarray) -> DataFrame:
 
         def step(values):
             grams = [runs(words.of(v), SEED) for v in values]
-            found = [np.unique(g[_among(wanted, g)]) for g in grams]
+            found = [np.unique(g[wanted.has(g)]) for g in grams]
             seeds, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
             return [seeds.view(np.int64), counts]
 
@@ -114,7 +83,7 @@ def _frequencies(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return map_rows(docs.select("text"), make, "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df"))
 
 
-def _passages(docs: DataFrame, bits: np.ndarray, margin: int) -> DataFrame:
+def _passages(docs: DataFrame, bits: Bits, margin: int) -> DataFrame:
     """(doc_id, text_hash, start, words, seeds): the passages with seeds, each reaching
     ``margin`` words beyond them on both sides; passages that touch are one."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -127,7 +96,7 @@ def _passages(docs: DataFrame, bits: np.ndarray, margin: int) -> DataFrame:
             for doc_id, key, value in zip(ids, keys, values, strict=True):
                 found = words.of(value)
                 grams = runs(found, SEED)
-                hits = np.flatnonzero(_among(wanted, grams))
+                hits = np.flatnonzero(wanted.has(grams))
                 if not len(hits):
                     continue
                 cuts = np.flatnonzero(np.diff(hits) > 2 * margin) + 1
@@ -209,14 +178,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, id
     grams = items.select("item_id", F.explode("seeds").alias("seed"))
     longest = items.agg(F.max("n")).first()[0] or 0
 
-    counted = _frequencies(source, bit_table(grams))
+    counted = _frequencies(source, Bits.of(grams, "seed", BITS))
     known = grams.join(counted, "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     known = materialize(known, "seeds")
     usual = known.groupBy(F.col("item_id").alias("_item")).agg(F.percentile("df", F.lit(0.5)).alias("_usual"))
     rare = known.join(usual, F.col("item_id").eqNullSafe(F.col("_item"))).filter((F.col("df") > 0) & (F.col("df") <= F.greatest("_usual", F.lit(1)) * RARE))
     rare = materialize(rare.select("item_id", "seed"), "rare")
 
-    found = materialize(_passages(source, bit_table(rare), longest + longest // 4), "passages")
+    found = materialize(_passages(source, Bits.of(rare, "seed", BITS), longest + longest // 4), "passages")
     met = found.select("doc_id", "text_hash", "start", F.explode("seeds").alias("seed")).join(rare, "seed").select("doc_id", "text_hash", "start", "item_id").distinct()
     same = F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("p.text_hash") == F.col("m.text_hash")) & (F.col("p.start") == F.col("m.start"))
     passages = found.dropDuplicates(["doc_id", "text_hash", "start"]).drop("seeds")
