@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from tablewright.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, suffixes, tokens  # noqa: F401
+from tablewright.llm import chat, decontaminate, neardup, packing, quality, secrets, sentences, sharding, suffixes, tokens  # noqa: F401
 from tablewright.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
