@@ -1,6 +1,9 @@
 """All queries of this subpackage."""
 
+import corpus_pipeline
 from tablewright.llm import chat, decontaminate, neardup, packing, quality, secrets, sentences, sharding, suffixes, tokens  # noqa: F401
-from tablewright.llm.common import ORACLE, QUERIES
+from tablewright.llm.common import ORACLE, QUERIES, register
 
 __all__ = ["ORACLE", "QUERIES"]
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

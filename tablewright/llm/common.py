@@ -47,6 +47,17 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Map Arrow batches. ``make`` is called in each task and returns a function from
     the batch's columns (Python lists) to the columns of the result (in schema order,

@@ -80,6 +80,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = lambda c: F.concat(F.when(F.col(c).isNull(), "-").otherwise("+"), F.coalesce(F.col(c).cast("string"), F.lit("")))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"),
         F.col(text_col).alias("text"),
         key(lang_col).alias("lang_key"),
         F.concat(key(lang_col), F.lit("\0"), key(source_col)).alias("source_key"),
@@ -87,13 +88,13 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counted = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_punct long, n_upper long, n_lines long"
 
     def make():
-        def step(ids, values, langs, sources):
-            found = [statistics(v or "") for v in values]
-            return [ids, langs, sources, *(list(c) for c in zip(*found, strict=True))]
+        def step(ids, hashes, values, langs, sources):
+            found = np.array([statistics(v or "") for v in values], dtype=np.int64).reshape(len(values), 8)
+            return [ids, hashes, langs, sources, *found.T]
 
         return step
 
-    made = map_rows(rows, make, f"doc_id long, lang_key string, source_key string, {counted}")
+    made = map_rows(rows, make, f"doc_id long, text_hash long, lang_key string, source_key string, {counted}")
     share = lambda a, b: F.sqrt(F.least(F.lit(1.0), F.col(a) / F.greatest(F.col(b), F.lit(1))))
     values = (
         F.log(F.greatest(F.col("word_chars"), F.lit(1)) / F.greatest(F.col("n_words"), F.lit(1))),
@@ -217,7 +218,7 @@ def mcd(vectors: DataFrame) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, tail: float = TAIL, prior: float = PRIOR, **columns: str) -> DataFrame:
-    """(doc_id, the statistics, base_failed, distance, kept) for each document.
+    """(doc_id, the statistics, base_failed, kept, distance, text_hash) for each document.
 
     The estimate of a (language, source) is averaged with its language's, by their numbers
     of documents and ``prior``; a language's likewise with that of all documents. Documents
@@ -258,6 +259,7 @@ def verdicts(docs: DataFrame, tail: float = TAIL, prior: float = PRIOR, **column
         F.col("_failed").alias("base_failed"),
         (~F.col("_failed") & F.coalesce(distance <= math.sqrt(chi2_tail_quantile(tail, P)), F.lit(False))).alias("kept"),
         F.round(distance, 4).alias("distance"),
+        "text_hash",
     )
 
 

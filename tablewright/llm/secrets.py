@@ -15,7 +15,7 @@ from re import _constants, _parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import register, table
+from tablewright.llm.common import fresh, register, table
 from tablewright.session import materialize
 
 STRINGS = 64  # of a set of literal strings that is followed exactly
@@ -175,10 +175,10 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
-def scanned(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a further column ``_secrets``: the spans (start, rank of the rule,
-    kind, end) of all matches by start and rank, in code points, ends exclusive. Spans of
-    different rules may overlap.
+def scanned(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text", column: str = "secrets") -> DataFrame:
+    """``docs`` with a further ``column``: the spans (start, rank of the rule, kind, end) of
+    all matches by start and rank, in code points, ends exclusive. Spans of different rules
+    may overlap.
 
     Null text counts as empty. Null ids, repeated rows and further columns are kept. An
     empty table gives no rows.
@@ -186,24 +186,24 @@ def scanned(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q}
     trigrams = sorted({t for q in indexed.values() for choices in q for need in choices for t in need})
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumn("_secret_key", key).withColumn("_secret_text", F.coalesce(F.col(text_col), F.lit("")))
+    own_key, own_text, its_id, its_key, kinds = fresh(docs, "_key", "_text", "_its_id", "_its_key", "_kinds")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.withColumn(own_key, F.xxhash64(text)).withColumn(own_text, text)
     if indexed:
         index = materialize(postings(_keyed(docs, id_col, text_col), trigrams), "postings")
-        found = candidates(index, indexed).select(F.col("doc_id").alias("_secret_id"), F.col("text_hash").alias("_secret_hash"), F.col("kinds").alias("_secret_kinds"))
-        same = F.col(id_col).cast("long").eqNullSafe(F.col("_secret_id")) & (F.col("_secret_key") == F.col("_secret_hash"))
+        found = candidates(index, indexed).toDF(its_id, its_key, kinds)
+        same = F.col(id_col).cast("long").eqNullSafe(F.col(its_id)) & (F.col(own_key) == F.col(its_key))
         rows = rows.join(found, same, "left")
     else:
-        rows = rows.withColumn("_secret_kinds", F.lit(None).cast("array<string>"))
+        rows = rows.withColumn(kinds, F.lit(None).cast("array<string>"))
     none = F.array().cast(SPANS)
     each = []
     for rank, rule in enumerate(rules):
-        spans = _spans(F.col("_secret_text"), rule, rank)
+        spans = _spans(F.col(own_text), rule, rank)
         if rule.kind in indexed:
-            spans = F.when(F.array_contains("_secret_kinds", rule.kind), spans).otherwise(none)
+            spans = F.when(F.array_contains(kinds, rule.kind), spans).otherwise(none)
         each.append(spans)
-    spans = F.array_sort(F.concat(*each))
-    return rows.withColumn("_secrets", spans).select(*docs.columns, "_secrets")
+    return rows.withColumn(column, F.array_sort(F.concat(*each))).select(*docs.columns, column)
 
 
 def _joined(spans: Column) -> Column:
@@ -214,20 +214,22 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for each row of ``docs``;
     as :func:`scanned`, null text is empty."""
     rows = scanned(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    count = lambda kind: F.size(F.filter("_secrets", lambda x: x["kind"] == kind)).cast("long")
-    base = F.filter("_secrets", lambda x: x["rank"] < len(BASE))
+    count = lambda kind: F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("secrets", lambda x: x["rank"] < len(BASE))
     return rows.select(
         "doc_id",
         *(count(r.kind).alias(f"n_{r.kind}") for r in BASE),
         F.sha2(_joined(base), 256).alias("base_sha256"),
-        _joined(F.col("_secrets")).alias("spans"),
+        _joined(F.col("secrets")).alias("spans"),
     )
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each span replaced by ``mark``, overlapping spans by one. Texts without
-    a span, null ones among them, stay as they are."""
-    rows = scanned(docs, id_col=id_col, text_col=text_col)
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with each span replaced by ``mark``, overlapping spans by one, and the
+    column ``length_col`` set to the new length. Rows without a span, those with a null
+    text among them, stay as they are."""
+    (column,) = fresh(docs, "secrets")
+    rows = scanned(docs, id_col=id_col, text_col=text_col, column=column)
     text = F.col(text_col)
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -239,8 +241,13 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
             F.when(apart, F.concat(done["out"], before, F.lit(mark))).otherwise(done["out"]).alias("out"),
         )
 
-    changed = F.aggregate("_secrets", first, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.size("_secrets") > 0, changed).otherwise(text)).select(*docs.columns)
+    found = F.size(column) > 0
+    changed = F.aggregate(column, first, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    out = rows.withColumn(text_col, F.when(found, changed).otherwise(text))
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(found, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return out.select(*docs.columns)
 
 
 def _rule_sql(rule: Rule, rank: int) -> str:
