@@ -1,14 +1,20 @@
 """Window functions that hold when one group has a third of all rows.
 
 ``recycled`` aggregates (partial before the shuffle) and joins the group values back.
-The ordered functions use a plain window while every group is small. If one is not,
-``running`` range-partitions the rows by group *and* order, so that a large group spans
-many blocks, works inside the blocks, and adds what came before each block.
+The ordered functions range-partition the rows by group *and* order, so that a large group
+spans many blocks, work inside the blocks, and add what came before each block. There is
+one path and one result schema for tables of any size. A caller who knows that each group
+fits a task may say so with ``groups_fit=True`` and gets plain windows with the same result.
+
+``order`` takes column names, ascending with nulls first, or :class:`By` for another
+direction or place of nulls. ``keys`` may be empty: then all rows are one group.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,23 +24,46 @@ from pyspark.sql.window import Window, WindowSpec
 from tablewright.functions import aggregate as agg
 from tablewright.session import materialize
 
-HOT_ROWS = 1_000_000
+BLOCK_ROWS = 1_000_000  # rows of a block where rows are numbered first
 Keys = Sequence[str]
 
 
+@dataclass(frozen=True)
+class By:
+    """A column to order by; nulls come first ascending and last descending by default."""
+
+    column: str
+    desc: bool = False
+    nulls_last: bool | None = None
+
+    def sort(self) -> Column:
+        last = self.desc if self.nulls_last is None else self.nulls_last
+        name = {(False, False): "asc_nulls_first", (False, True): "asc_nulls_last", (True, False): "desc_nulls_first", (True, True): "desc_nulls_last"}
+        return getattr(F.col(self.column), name[self.desc, last])()
+
+
+Order = str | By | Sequence[str | By]
+
+
 def _names(x: str | Keys) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def has_hot_group(df: DataFrame, keys: str | Keys, rows: int = HOT_ROWS) -> bool:
-    """Whether any group exceeds ``rows``: one pre-aggregated pass over the key columns."""
-    counts = df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias("_n"))
-    return not counts.where(F.col("_n") > rows).isEmpty()
+def _orders(order: Order) -> list[By]:
+    items = [order] if isinstance(order, (str, By)) else list(order)
+    return [By(o) if isinstance(o, str) else o for o in items]
+
+
+def _sorts(order: Order) -> list[Column]:
+    return [o.sort() for o in _orders(order)]
 
 
 def join_back(df: DataFrame, values: DataFrame, keys: str | Keys) -> DataFrame:
     """Left join on keys where null equals null; the key columns stay those of ``df``."""
     keys = _names(keys)
+    if not keys:
+        one = F.lit(0).alias("_one")  # a single row of group values
+        return df.withColumn("_one", F.lit(0)).join(values.select("*", one), "_one", "left").drop("_one")
     right = values.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         *[c for c in values.columns if c not in keys],
@@ -95,163 +124,142 @@ def _over(kind: str, x: Column, w: WindowSpec) -> Column:
     return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[kind](x).over(w)
 
 
-def _total(kind: str, x: Column, order: list[str]) -> Column:
-    if kind == "last":
-        return F.max_by(x, F.when(x.isNotNull(), F.struct(*order)))
+def _total(kind: str, x: Column) -> Column:
     return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[kind](x)
 
 
 def running(
     df: DataFrame,
     keys: str | Keys,
-    order: str | Keys,
+    order: Order,
     measures: Mapping[str, tuple[str, Column | str]],
-    hot_rows: int = HOT_ROWS,
+    groups_fit: bool = False,
 ) -> DataFrame:
     """Measures from the first row of the group to the current one.
 
     ``measures``: new column -> (``count|sum|min|max|last``, expression); ``last`` is the
-    last non-null value. ``order`` is ascending; rows equal in it come in any order.
-    ``hot_rows=0`` takes the split path without looking at the group sizes.
+    last non-null value. Rows equal in ``order`` come in any order.
     """
-    keys, order = _names(keys), _names(order)
+    keys = _names(keys)
     exprs = {k: (kind, F.col(x) if isinstance(x, str) else x) for k, (kind, x) in measures.items()}
-    running_frame = (Window.unboundedPreceding, Window.currentRow)
-    if hot_rows and not has_hot_group(df, keys, hot_rows):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*running_frame)
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    if groups_fit:
+        w = Window.partitionBy(*keys).orderBy(*_sorts(order)).rowsBetween(*frame)
         return df.withColumns({k: _over(kind, x, w) for k, (kind, x) in exprs.items()})
 
-    # Written once: the blocks must not move between the two uses below. The tie breaker
-    # lets a long run of equal rows span blocks too.
-    order = [*order, "_tie"]
-    blocks = materialize(
-        df.withColumns({f"_x_{k}": x for k, (_, x) in exprs.items()})
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys, *order)
-        .withColumn("_block", F.spark_partition_id()),
-        "blocks",
-    )
-    w = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(*running_frame)
-    local = blocks.withColumns({k: _over(kind, F.col(f"_x_{k}"), w) for k, (kind, _) in exprs.items()})
+    # The tie breaker lets a long run of equal rows span blocks too. What a block holds
+    # is written once with its running values, so that it is the same for all later uses.
+    sorts = [*_sorts(order), F.col("_tie")]
+    blocks = df.withColumns({f"_x_{k}": x for k, (_, x) in exprs.items()}).withColumn("_tie", F.monotonically_increasing_id())
+    ranged = blocks.repartitionByRange(*[F.col(k) for k in keys], *sorts).withColumn("_block", F.spark_partition_id())
+    w = Window.partitionBy(*keys, "_block").orderBy(*sorts)
+    local = ranged.withColumns({k: _over(kind, F.col(f"_x_{k}"), w.rowsBetween(*frame)) for k, (kind, _) in exprs.items()})
+    local = materialize(local.withColumn("_nth", F.row_number().over(w)).drop("_tie"), "blocks")
 
-    totals = blocks.groupBy(*keys, "_block").agg(
-        *[_total(kind, F.col(f"_x_{k}"), order).alias(f"_t_{k}") for k, (kind, _) in exprs.items()]
+    totals = local.groupBy(*keys, "_block").agg(
+        *[
+            (F.max_by(k, "_nth") if kind == "last" else _total(kind, F.col(f"_x_{k}"))).alias(f"_t_{k}")
+            for k, (kind, _) in exprs.items()
+        ]
     )
     # Per group at most one row per block, so this window is small for any group.
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    by = Window.partitionBy(*keys).orderBy("_block")
+    earlier = by.rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(
         *keys,
         "_block",
-        F.row_number().over(Window.partitionBy(*keys).orderBy("_block")).alias("_nth"),
+        F.row_number().over(by).alias("_from"),
         *[
             _over("sum" if kind == "count" else kind, F.col(f"_t_{k}"), earlier).alias(f"_b_{k}")
             for k, (kind, _) in exprs.items()
         ],
-    ).where("_nth > 1")
-    # A block can continue one group only (its first), so at most one row per block is left.
-    joined = join_back(local, F.broadcast(before.drop("_nth")), [*keys, "_block"])
+    ).where("_from > 1")
+    # A block can continue one group only (its first), so at most one row per block is
+    # left; it is written, so that the planner knows how small it is.
+    joined = join_back(local, materialize(before.drop("_from"), "carried"), [*keys, "_block"])
     return joined.withColumns(
         {k: _COMBINE[kind](F.col(f"_b_{k}"), F.col(k)) for k, (kind, _) in exprs.items()}
-    ).drop("_block", "_tie", *[f"_x_{k}" for k in exprs], *[f"_b_{k}" for k in exprs])
+    ).drop("_block", "_nth", *[f"_x_{k}" for k in exprs], *[f"_b_{k}" for k in exprs])
 
 
-def cumulative(df, keys, order, x: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``cum_sum``, ``cum_mean``, ``cum_min``, ``cum_max`` of a column."""
-    out = running(
-        df,
-        keys,
-        order,
-        {
-            "cum_sum": ("sum", x),
-            "cum_min": ("min", x),
-            "cum_max": ("max", x),
-            "_cum_n": ("count", x),
-        },
-        hot_rows,
-    )
+def cumulative(df, keys, order, x: str, groups_fit: bool = False) -> DataFrame:
+    """``cum_sum``, ``cum_min``, ``cum_max``, ``cum_mean`` of a column."""
+    measures = {"cum_sum": ("sum", x), "cum_min": ("min", x), "cum_max": ("max", x), "_cum_n": ("count", x)}
+    out = running(df, keys, order, measures, groups_fit)
     return out.withColumn("cum_mean", F.col("cum_sum") / F.nullif("_cum_n", F.lit(0))).drop("_cum_n")
 
 
-def ranked(
-    df: DataFrame, keys: str | Keys, order: str | Keys, buckets: int = 4, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """``row_number, rank, dense_rank, percent_rank, cume_dist, ntile`` on every row.
+RANKS = ("row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile")
 
-    ``row_number`` and ``ntile`` break ties arbitrarily, as everywhere.
+
+def ranked(df: DataFrame, keys: str | Keys, order: Order, buckets: int = 4, groups_fit: bool = False) -> DataFrame:
+    """``row_number, rank, dense_rank, percent_rank, cume_dist, ntile`` on every row, in
+    this order; whole numbers are bigint. ``row_number`` and ``ntile`` break ties
+    arbitrarily, as everywhere.
     """
-    keys, order = _names(keys), _names(order)
-    if not has_hot_group(df, keys, hot_rows):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(
-            {
-                "row_number": F.row_number().over(w),
-                "rank": F.rank().over(w),
-                "dense_rank": F.dense_rank().over(w),
-                "percent_rank": F.percent_rank().over(w),
-                "cume_dist": F.cume_dist().over(w),
-                "ntile": F.ntile(buckets).over(w),
-            }
-        )
+    keys, by = _names(keys), _orders(order)
+    names = list(dict.fromkeys([*keys, *(o.column for o in by)]))
+    if groups_fit:
+        w = Window.partitionBy(*keys).orderBy(*_sorts(by))
+        values = (F.row_number(), F.rank(), F.dense_rank(), F.percent_rank(), F.cume_dist(), F.ntile(buckets))
+        kinds = ("bigint", "bigint", "bigint", "double", "double", "bigint")
+        return df.withColumns({n: v.over(w).cast(t) for n, v, t in zip(RANKS, values, kinds, strict=True)})
     # Peers collapse first: a run of equal rows is one row here, however long.
-    peers = materialize(df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("_peers")), "peers")
+    peers = materialize(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_peers")), "peers")
     sizes = materialize(peers.groupBy(*keys).agg(F.sum("_peers").alias("_rows")), "groups")
-    peers = running(
-        peers, keys, order, {"_upto": ("sum", "_peers"), "dense_rank": ("count", F.lit(1))}, hot_rows=0
-    )
-    peers = join_back(peers, sizes, keys)
-    out = join_back(
-        running(df, keys, order, {"row_number": ("count", F.lit(1))}, hot_rows=0),
-        materialize(peers, "peers"),
-        [*keys, *order],
-    )
+    peers = running(peers, keys, by, {"_upto": ("sum", "_peers"), "_dense": ("count", F.lit(1))})
+    peers = materialize(join_back(peers, sizes, keys), "peers")
+    out = join_back(running(df, keys, by, {"_rn": ("count", F.lit(1))}), peers, names)
     low, high, rows = F.col("_upto") - F.col("_peers"), F.col("_upto"), F.col("_rows")
     size = F.floor(rows / buckets).cast("bigint")
     larger = rows % buckets
-    at = F.col("row_number") - 1
+    at = F.col("_rn") - 1
+    bucket = F.when(at < larger * (size + 1), F.floor(at / (size + 1)) + 1).otherwise(
+        F.floor((at - larger * (size + 1)) / F.nullif(size, F.lit(0))) + larger + 1
+    )
     return out.withColumns(
         {
-            "row_number": F.col("row_number").cast("int"),
-            "rank": (low + 1).cast("int"),
-            "dense_rank": F.col("dense_rank").cast("int"),
+            "row_number": F.col("_rn"),
+            "rank": low + 1,
+            "dense_rank": F.col("_dense"),
             "percent_rank": F.when(rows > 1, low / F.nullif(rows - 1, F.lit(0))).otherwise(F.lit(0.0)),
             "cume_dist": high / rows,
-            "ntile": F.when(at < larger * (size + 1), F.floor(at / (size + 1)) + 1)
-            .otherwise(F.floor((at - larger * (size + 1)) / F.nullif(size, F.lit(0))) + larger + 1)
-            .cast("int"),
+            "ntile": bucket.cast("bigint"),
         }
-    ).drop("_upto", "_peers", "_rows")
+    ).drop("_upto", "_peers", "_rows", "_dense", "_rn")
 
 
 def framed(
     df: DataFrame,
     keys: str | Keys,
-    order: str | Keys,
+    order: Order,
     before: int,
     after: int,
     values: Mapping[str, Column],
-    hot_rows: int = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    groups_fit: bool = False,
 ) -> DataFrame:
     """Aggregates over ``before`` rows before to ``after`` rows after the current one.
 
-    In a large group the rows are numbered, cut into blocks, and each block also gets the
-    few rows its frames reach into.
+    Rows are numbered and cut into blocks of ``block_rows``; each block also gets the few
+    rows its frames reach into.
     """
-    keys, order = _names(keys), _names(order)
 
     def over(w: WindowSpec) -> dict[str, Column]:
         frame = w.rowsBetween(-before, after)
         return {k: v.over(frame) for k, v in values.items()}
 
-    return _blocked(df, keys, order, before, after, over, hot_rows)
+    return _blocked(df, _names(keys), order, before, after, over, block_rows, groups_fit)
 
 
 def shifted(
     df: DataFrame,
     keys: str | Keys,
-    order: str | Keys,
+    order: Order,
     lags: Mapping[str, tuple[str, int]] | None = None,
     leads: Mapping[str, tuple[str, int]] | None = None,
-    hot_rows: int = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    groups_fit: bool = False,
 ) -> DataFrame:
     """``lag`` and ``lead`` columns: new column -> (column, rows away)."""
     lags, leads = lags or {}, leads or {}
@@ -264,14 +272,14 @@ def shifted(
 
     back = max([n for _, n in lags.values()], default=0)
     ahead = max([n for _, n in leads.values()], default=0)
-    return _blocked(df, _names(keys), _names(order), back, ahead, over, hot_rows)
+    return _blocked(df, _names(keys), order, back, ahead, over, block_rows, groups_fit)
 
 
-def _blocked(df, keys, order, before, after, over, hot_rows) -> DataFrame:
-    if not has_hot_group(df, keys, hot_rows):
-        return df.withColumns(over(Window.partitionBy(*keys).orderBy(*order)))
-    size = max(hot_rows, before, after, 1)
-    numbered = running(df, keys, order, {"_rn": ("count", F.lit(1))}, hot_rows=0)
+def _blocked(df, keys, order, before, after, over, block_rows, groups_fit) -> DataFrame:
+    if groups_fit:
+        return df.withColumns(over(Window.partitionBy(*keys).orderBy(*_sorts(order))))
+    size = max(block_rows, before, after, 1)
+    numbered = running(df, keys, order, {"_rn": ("count", F.lit(1))})
     home = F.floor((F.col("_rn") - 1) / size)
     first, last = F.floor((F.col("_rn") - 1 - after) / size), F.floor((F.col("_rn") - 1 + before) / size)
     copies = numbered.withColumn("_home", home).withColumn("_at", F.explode(F.sequence(first, last)))
@@ -279,37 +287,44 @@ def _blocked(df, keys, order, before, after, over, hot_rows) -> DataFrame:
     return out.where(F.col("_home") == F.col("_at")).drop("_rn", "_home", "_at")
 
 
+def measured(df: DataFrame, column: str, *lengths) -> tuple[Column, list]:
+    """A column as a number, and lengths in its unit: days for dates (whole numbers or
+    timedelta), microseconds for moments (seconds or timedelta), itself for numbers."""
+    kind = df.schema[column].dataType.typeName()
+    span = lambda x, unit: x / dt.timedelta(**unit) if isinstance(x, dt.timedelta) else x
+    if kind == "date":
+        return F.unix_date(column).cast("bigint"), [int(span(x, {"days": 1})) for x in lengths]
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(column).cast("timestamp")), [round(span(x, {"seconds": 1}) * 1_000_000) for x in lengths]
+    return F.col(column), list(lengths)
+
+
 def range_framed(
     df: DataFrame,
     keys: str | Keys,
     order: str,
-    before: float,
-    after: float,
+    before: float | dt.timedelta,
+    after: float | dt.timedelta,
     values: Mapping[str, tuple[str, Column | str]],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Aggregates over rows whose ``order`` value is within ``before`` below and ``after`` above.
 
-    ``values``: new column -> (``count|sum|min|max|mean``, expression). In a large group
-    rows of one value collapse first, the values are cut into cells as wide as the frame,
+    ``order`` is a number, a date (distances in days) or a moment (in seconds); distances
+    may be timedelta. ``values``: new column -> (``count|sum|min|max|mean``, expression).
+    Rows of one value collapse first, the values are cut into cells as wide as the frame,
     and each value also goes to the neighbouring cells whose frames reach it.
     """
     keys = _names(keys)
     exprs = {k: (kind, F.col(x) if isinstance(x, str) else x) for k, (kind, x) in values.items()}
-    if not has_hot_group(df, keys, hot_rows):
-        w = Window.partitionBy(*keys).orderBy(order).rangeBetween(-before, after)
-        return df.withColumns(
-            {k: (F.avg(x).over(w) if kind == "mean" else _over(kind, x, w)) for k, (kind, x) in exprs.items()}
-        )
-
     parts = {}
     for k, (kind, x) in exprs.items():
-        parts |= {f"_s_{k}": F.sum(x), f"_n_{k}": F.count(x)} if kind == "mean" else {f"_{k}": _total(kind, x, [])}
-    peers = df.groupBy(*keys, order).agg(*[v.alias(k) for k, v in parts.items()])
-    v, width = F.col(order), max(before + after, 1e-9)
+        parts |= {f"_s_{k}": F.sum(x), f"_n_{k}": F.count(x)} if kind == "mean" else {f"_{k}": _total(kind, x)}
+    number, (before, after) = measured(df, order, before, after)
+    peers = df.groupBy(*keys, order).agg(*[v.alias(k) for k, v in parts.items()]).withColumn("_v", number)
+    v, width = F.col("_v"), max(before + after, 1e-9)
     home, first, last = F.floor(v / width), F.floor((v - after) / width), F.floor((v + before) / width)
     cells = peers.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
-    w = Window.partitionBy(*keys, "_at").orderBy(order).rangeBetween(-before, after)
+    w = Window.partitionBy(*keys, "_at").orderBy("_v").rangeBetween(-before, after)
 
     def combined(k: str, kind: str) -> Column:
         if kind == "mean":
@@ -321,22 +336,15 @@ def range_framed(
     return join_back(df, framed_peers.select(*keys, order, *exprs), [*keys, order])
 
 
-def nth_values(
-    df: DataFrame, keys: str | Keys, order: str | Keys, x: str, n: int = 2, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def nth_values(df: DataFrame, keys: str | Keys, order: Order, x: str, n: int = 2, groups_fit: bool = False) -> DataFrame:
     """``first_value``, ``last_value`` and ``nth_value`` of the whole group on every row."""
-    keys, order = _names(keys), _names(order)
-    if not has_hot_group(df, keys, hot_rows):
-        w = Window.partitionBy(*keys).orderBy(*order)
+    keys = _names(keys)
+    if groups_fit:
+        w = Window.partitionBy(*keys).orderBy(*_sorts(order))
         w = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return df.withColumns(
-            {
-                "first_value": F.first(x).over(w),
-                "last_value": F.last(x).over(w),
-                "nth_value": F.nth_value(x, n).over(w),
-            }
-        )
-    numbered = running(df, keys, order, {"_rn": ("count", F.lit(1))}, hot_rows=0)
+        found = {"first_value": F.first(x), "last_value": F.last(x), "nth_value": F.nth_value(x, n)}
+        return df.withColumns({k: v.over(w) for k, v in found.items()})
+    numbered = running(df, keys, order, {"_rn": ("count", F.lit(1))})
     return recycled(
         numbered,
         keys,
@@ -346,24 +354,16 @@ def nth_values(
     ).drop("_rn")
 
 
-def quantiles(
-    df: DataFrame, keys: str | Keys, x: str, probabilities: Mapping[str, float], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Exact interpolated quantiles per group.
+def quantiles(df: DataFrame, keys: str | Keys, x: str, probabilities: Mapping[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group; a group of only nulls has null quantiles.
 
-    With a large group it works on the counts of distinct values and their running sum, so
-    that no task holds a group's values.
+    It works on the counts of distinct values and their running sum, so that no task
+    holds a group's values.
     """
     keys = _names(keys)
-    df = df.where(F.col(x).isNotNull())
-    if not has_hot_group(df, keys, hot_rows):
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities.values()])
-        at_once = df.groupBy(*keys).agg(F.percentile(x, wanted).alias("_q"))
-        return at_once.select(*keys, *[F.col("_q")[i].alias(k) for i, k in enumerate(probabilities)])
-    counts = df.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("_n"))
-    counts = materialize(counts, "counts")
+    counts = materialize(df.groupBy(*keys, x).agg(F.count(x).alias("_n")), "counts")
     sizes = materialize(counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), "groups")
-    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}, hot_rows=0), sizes, keys)
+    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}), sizes, keys)
 
     value = F.col(x).cast("double")
     picks = []
@@ -385,32 +385,29 @@ def quantiles(
 
 
 def flattened(
-    df: DataFrame, keys: str | Keys, x: str, name: str, sep: str = ", ", hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: str | Keys, x: str, name: str, sep: str = ", ", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """The group's non-null texts in order, as one text per group.
+    """The group's non-null texts in order, as one text per group; null if it has none.
 
-    Equal texts collapse first. The texts of a large group are joined in blocks and then
-    the blocks, so no task lists a group's rows; only the resulting text has to fit a cell.
+    Equal texts collapse first. Texts are joined in blocks and then the blocks, so no task
+    lists a group's rows; only the resulting text has to fit a cell.
     """
     keys = _names(keys)
     text = F.col(x)
     pieces = (
-        df.where(text.isNotNull())
-        .groupBy(*keys, x)
+        df.groupBy(*keys, x)
         .agg(F.count(F.lit(1)).cast("int").alias("_n"))
         .withColumn("_piece", F.concat(F.repeat(F.concat(text, F.lit(sep)), F.col("_n") - 1), text))
     )
 
     def joined(column: str, at: str) -> Column:
-        listed = F.sort_array(F.collect_list(F.struct(at, column)))
-        return F.array_join(F.transform(listed, lambda s: s[column]), sep)
-
-    if has_hot_group(df, keys, hot_rows):
-        numbered = running(pieces, keys, x, {"_rn": ("count", F.lit(1))}, hot_rows=0)
-        block = F.floor(F.col("_rn") / max(hot_rows, 1)).alias("_at")
-        pieces = numbered.groupBy(*keys, block).agg(joined("_piece", x).alias("_piece"))
-        return pieces.groupBy(*keys).agg(joined("_piece", "_at").alias(name))
-    return pieces.groupBy(*keys).agg(joined("_piece", x).alias(name))
+        listed = F.sort_array(F.collect_list(F.when(F.col(column).isNotNull(), F.struct(at, column))))
+        return F.when(F.size(listed) > 0, F.array_join(F.transform(listed, lambda s: s[column]), sep))
+
+    numbered = running(pieces, keys, x, {"_rn": ("count", F.lit(1))})
+    block = F.floor(F.col("_rn") / max(block_rows, 1)).alias("_at")
+    pieces = numbered.groupBy(*keys, block).agg(joined("_piece", x).alias("_piece"))
+    return pieces.groupBy(*keys).agg(joined("_piece", "_at").alias(name))
 
 
 def top_k(df: DataFrame, keys: str | Keys, order: Sequence[Column], k: int, ties: bool = True) -> DataFrame:
