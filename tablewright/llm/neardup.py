@@ -5,12 +5,13 @@ A document's set is hashed once; its hashes are dealt to bins by their leading b
 each bin keeps its least. An empty bin borrows from another one, picked by a hash of its
 own number and the attempt, so that equal sets borrow alike. Rows of bins are banded, and
 documents that agree in a band share a bucket. Each bucket has one centre, the least by a
-hash that differs from band to band, and gives an edge from it to every other member: as
-many edges as members, however large the bucket.
+hash, and gives an edge from it to every other member: as many edges as members, however
+large the bucket. The hash is the same for all bands, so that the buckets of one group of
+copies mostly share their centre, and its edges count once.
 
 Documents of one and the same set are one node from the start. Buckets whose members are
-not all in one component after confirmation get further stars, round by round with other
-centres, against members of other components, until a round finds no new link.
+not all in one component after confirmation get further stars between members of different
+components, picked anew for each bucket and round, until a round finds no new link.
 """
 
 from __future__ import annotations
@@ -94,8 +95,9 @@ def sketches(docs: DataFrame, width: int = WIDTH, bins: int = BINS, rows: int =
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, hashes) for the ``wanted`` (doc_id, text_hash, node) documents."""
-    source = docs.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_hash"))).select("node", "_text")
+    """(node, hashes) for the ``wanted`` (node, doc_id, text_hash) documents."""
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_hash"))
+    source = docs.join(wanted, same).select("node", "_text")
 
     def make():
         hashes = WordHashes()
@@ -105,7 +107,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
         return step
 
-    return map_rows(source, make, "node binary, hashes binary")
+    # a document may be repeated
+    return map_rows(source, make, "node binary, hashes binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -128,13 +131,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_rows(rows, make, "a binary, b binary, good boolean").filter("good").select("a", "b")
 
 
-def _stars(members: DataFrame, salt: int) -> DataFrame:
-    """(a, b, band) from each bucket's centre to its other members; ``members`` has (band, node)."""
-    centre = F.min(F.struct(F.xxhash64("node", "band", F.lit(salt)).alias("h"), "node", "n_shingles", "root"))
-    centres = members.groupBy("band").agg(centre.alias("c"), F.count("*").alias("_n")).filter("_n > 1")
+def _stars(members: DataFrame) -> DataFrame:
+    """The ``members`` (band, member) of buckets with several sets, each with its bucket's
+    ``centre``."""
+    key = F.struct(F.xxhash64("member.node").alias("_h"), "member")
+    centres = members.groupBy("band").agg(F.min(key)["member"].alias("centre"), F.count("*").alias("_n")).filter("_n > 1")
     return members.join(centres.drop("_n"), "band")
 
 
+def _more_stars(rooted: DataFrame, salt: int) -> DataFrame:
+    """As :func:`_stars`, in buckets with several components: one member of each, picked
+    anew for each bucket and round, and one of them the centre."""
+    least = lambda n, *more: F.min(F.struct(F.xxhash64("member.node", "band", F.lit(2 * salt + n)).alias("_h"), "member", *more))
+    picked = rooted.groupBy("band", "root").agg(least(0)["member"].alias("member"))
+    centres = picked.groupBy("band").agg(least(1, "root").alias("_c"), F.count("*").alias("_n")).filter("_n > 1")
+    stars = picked.join(centres.drop("_n"), "band").filter(F.col("root") != F.col("_c.root"))
+    return stars.select("band", "member", F.col("_c.member").alias("centre"))
+
+
+def _pairs(stars: DataFrame, percent: int) -> DataFrame:
+    """(x, y), as members, whose sizes let them be linked; each pair once."""
+    sizes = F.col("member.n_shingles"), F.col("centre.n_shingles")
+    fits = F.least(*sizes) * 100 >= F.greatest(*sizes) * percent
+    other = stars.filter((F.col("member.node") != F.col("centre.node")) & fits)
+    return other.select(F.greatest("member", "centre").alias("x"), F.least("member", "centre").alias("y")).distinct()
+
+
 def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) for each document.
 
@@ -150,45 +172,39 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     """
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     keyed = docs.withColumn("_key", F.xxhash64("_text"))
-    made = sketches(docs, width, bins, rows, "_id", "_text")
-    made = materialize(made, "sketches")
-    nodes = made.filter("node is not null").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"), F.min("n_shingles").alias("n_shingles"), F.min(F.struct("node", "bands"))["bands"].alias("bands")
-    )
-    nodes = materialize(nodes.select("node", "first.doc_id", "first.text_hash", "n_shingles", "bands"), "nodes")
-    members = nodes.select(F.explode("bands").alias("band"), "node")
-    # only buckets with several sets are kept
-    shared = members.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1")
-    members = materialize(members.join(shared.select("band"), "band").join(nodes.select("node", "n_shingles"), "node"), "members")
-
-    spark = docs.sparkSession
-    sets = tried = edges = None
-    roots = members.select("node", F.col("node").alias("root")).distinct()
+    made = materialize(sketches(docs, width, bins, rows, "_id", "_text"), "sketches")
+    own = F.struct("node", F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles")
+    nodes = made.filter("node is not null").groupBy("node").agg(F.min(own).alias("member"), F.min(F.struct("node", "bands"))["bands"].alias("bands"))
+    nodes = materialize(nodes.select("member", "bands"), "nodes")
+    members = nodes.select(F.explode("bands").alias("band"), "member")
+    stars = materialize(_stars(members), "stars")
+    members = stars.select("band", "member")
+
+    tried = sets = edges = None
     salt = 0
     while True:
-        now = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        size = (F.least("n_shingles", "c.n_shingles") * 100) >= (F.greatest("n_shingles", "c.n_shingles") * percent)
-        pairs = _stars(now, salt).filter(size & (F.col("root") != F.col("c.root")))
-        pairs = pairs.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
+        pairs = _pairs(stars, percent)
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = pairs.select("x.*").union(pairs.select("y.*")).select("node", "doc_id", "text_hash").distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        more = _sets(keyed, nodes.join(wanted, "node").select("doc_id", "text_hash", "node"), width).dropDuplicates(["node"])
-        more = materialize(more, "sets")
+        more = materialize(_sets(keyed, wanted, width), "sets")
         sets = more if sets is None else sets.union(more)
-        links = materialize(_confirmed(pairs, sets, percent), "links")
+        links = materialize(_confirmed(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
-        edges = links if edges is None else edges.union(links)
-        if links.isEmpty():
+        if salt and links.isEmpty():
             break
-        roots = materialize(components(edges), "roots")
+        edges = components(links if edges is None else edges.union(links))
+        # buckets that still have members of several components
+        root = F.coalesce("b", F.col("member.node")).alias("root")
+        rooted = members.join(edges, F.col("member.node") == F.col("a"), "left").select("band", "member", root)
         salt += 1
+        stars = _more_stars(rooted, salt)
 
-    root = F.coalesce("root", "node")
-    full = nodes.join(roots, "node", "left").select("node", "doc_id", root.alias("root"))
+    root = F.coalesce("b", "member.node")
+    full = nodes.join(edges, F.col("member.node") == F.col("a"), "left").select("member.node", "member.doc_id", root.alias("root"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = full.join(least, "root").select("node", "component_id")
     out = made.select("doc_id", "text_hash", "n_shingles", "node").distinct().join(by_node, "node", "left")
