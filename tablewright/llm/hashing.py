@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -37,6 +38,12 @@ class WordHashes:
         return runs(self.of(words), width)
 
 
+@cache
+def word_hashes() -> WordHashes:
+    """One for a worker, so that its tasks share what they have hashed."""
+    return WordHashes()
+
+
 def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n < 1:

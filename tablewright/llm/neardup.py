@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
 from tablewright.llm.components import components
-from tablewright.llm.hashing import MIX, WordHashes, mixed
+from tablewright.llm.hashing import MIX, WordHashes, mixed, word_hashes
 from tablewright.session import materialize
 
 BINS, ROWS = 128, 4
@@ -68,7 +68,7 @@ def sketches(docs: DataFrame, width: int = WIDTH, bins: int = BINS, rows: int =
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
 
     def make():
-        hashes, borrow = WordHashes(), _borrowing(bins)
+        hashes, borrow = word_hashes(), _borrowing(bins)
         tag = np.arange(bins // rows, dtype=np.uint64)
 
         def step(ids, keys, values):
@@ -100,7 +100,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     source = docs.join(wanted, same).select("node", "_text")
 
     def make():
-        hashes = WordHashes()
+        hashes = word_hashes()
 
         def step(nodes, values):
             return [nodes, [shingles(hashes, v or "", width).tobytes() for v in values]]
