@@ -101,6 +101,20 @@ def output_table_append(spark, sf_dir):
     return spark.table(name)
 
 
+@register(
+    "output_table_append_path",
+    "SELECT r_regionkey AS k, r_name AS name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation",
+)
+def output_table_append_path(spark, sf_dir):
+    """Rows added at a path under a name that the catalog does not know."""
+    path = shared_dir(spark, "output")
+    name = _table_name(path)
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
+    sinks.output_table(region, name, path)
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))
+    return sinks.output_table(nation, f"{name}_more", path, append=True)
+
+
 @register("parquet_layout", "SELECT * FROM lineitem")
 def parquet_layout(spark, sf_dir):
     path = shared_dir(spark, "layout")

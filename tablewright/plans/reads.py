@@ -41,7 +41,6 @@ LINEITEM = declare(
         "l_shipdate": "date",
     }
 )
-_STATUSES = ("F", "O", "P")
 
 
 @register(
@@ -68,6 +67,7 @@ def pricing_summary(spark, sf_dir):
             "median_price": agg.median("l_extendedprice", 1_000_000),
         },
         distinct={"n_orders": "l_orderkey"},
+        sketches=True,
     ).orderBy("l_returnflag", "l_linestatus")
 
 
@@ -211,11 +211,12 @@ def reorder_columns(spark, sf_dir):
 
 def _order_uploads(df: DataFrame) -> dict[str, DataFrame]:
     """All orders in three pieces: whole, without a column, and reordered with a text key."""
-    by = {s: df.where(F.col("o_orderstatus") == s) for s in _STATUSES}
+    status = F.col("o_orderstatus")
+    others = df.where(~status.isin("F", "O") | status.isNull())
     return {
-        "filled": by["F"],
-        "open": by["O"].drop("o_orderpriority"),
-        "partial": by["P"].select(
+        "filled": df.where(status == "F"),
+        "open": df.where(status == "O").drop("o_orderpriority"),
+        "partial": others.select(
             F.col("o_custkey").cast("string").alias("O_CUSTKEY"), *[c for c in df.columns if c != "o_custkey"]
         ),
     }
@@ -419,7 +420,7 @@ def ingest_parquet(spark, sf_dir):
     """
     SELECT CASE o_orderstatus WHEN 'F' THEN 'filled' WHEN 'O' THEN 'open' END AS label,
            COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total
-    FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1
+    FROM orders GROUP BY 1
     """,
 )
 def ingest_frame(spark, sf_dir):
@@ -428,7 +429,7 @@ def ingest_frame(spark, sf_dir):
     labels = delimited.from_frame(spark, frame)
     return (
         table(spark, sf_dir, "orders")
-        .join(labels, "o_orderstatus")
+        .join(labels, "o_orderstatus", "left")
         .groupBy("label")
         .agg(agg.n().alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
@@ -495,6 +496,16 @@ def release_version(spark, sf_dir):
     return dataset.read("orders", "next")
 
 
+@register("release_replace_undone", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')")
+def release_replace_undone(spark, sf_dir):
+    """A release in place of all rows, taken back: the next version has its rows alone."""
+    dataset = _released(spark, sf_dir)
+    dataset.unrelease()
+    dataset.release("3.0", ["orders"], replace=True)
+    dataset.unrelease()
+    return dataset.read("orders", "next").select("o_orderkey", "o_orderstatus")
+
+
 # --- raw files
 
 

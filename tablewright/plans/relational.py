@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tablewright.functions import aggregate as agg
 from tablewright.operators import joins, windows
-from tablewright.operators.aggregates import summarise
+from tablewright.operators.aggregates import pivot_wider_found, summarise
 from tablewright.plans import sql
 from tablewright.plans.registry import register, table, tables
 from tablewright.session import shared_dir
@@ -200,8 +202,8 @@ def select_except(spark, sf_dir):
     "ROUND(SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 2) AS O FROM lineitem GROUP BY l_returnflag",
 )
 def pivot_wider(spark, sf_dir):
-    wide = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").pivot("l_linestatus", ["F", "O"])
-    return wide.agg(F.round(F.sum("l_quantity"), 2))
+    lines = table(spark, sf_dir, "lineitem")
+    return pivot_wider_found(lines, "l_returnflag", "l_linestatus", F.round(F.sum("l_quantity"), 2))
 
 
 @register(
@@ -301,22 +303,47 @@ def join_full(spark, sf_dir):
     return joins.join(customer, part, on, "full").drop("c_mktsegment")
 
 
+_PROMOTED = "8035 + (c_custkey * 37) % 2400"
+
+
 @register(
     "join_range",
-    """
-    SELECT a.o_orderkey AS start_key, COUNT(*) AS n, ROUND(SUM(b.o_totalprice), 2) AS total
-    FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey
-     AND b.o_orderdate >= a.o_orderdate AND b.o_orderdate < a.o_orderdate + INTERVAL 90 DAY
-    GROUP BY a.o_orderkey
+    f"""
+    SELECT c_custkey AS start_key, COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total
+    FROM (SELECT *, DATE_DIFF('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS day FROM orders)
+    JOIN (SELECT c_custkey, {_PROMOTED} AS low, {_PROMOTED} + 30 * (1 + c_nationkey) AS high FROM customer)
+      ON o_custkey = c_custkey AND day >= low AND day < high
+    GROUP BY c_custkey
     """,
 )
 def join_range(spark, sf_dir):
-    """Orders of the same customer within 90 days."""
-    orders = table(spark, sf_dir, "orders").withColumn("day", F.unix_date(c("o_orderdate").cast("date")))
-    spans = orders.select("o_custkey", c("o_orderkey").alias("start_key"), c("day").alias("low"), (c("day") + 90).alias("high"))
-    points = orders.select("o_custkey", "day", "o_totalprice")
-    near = joins.range_join(points, spans, "day", "low", "high", on=["o_custkey"])
-    return near.groupBy("start_key").agg(agg.n().alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    """Each customer's orders within an interval of their own, of 30 to 750 days."""
+    points = table(spark, sf_dir, "orders").select(
+        c("o_custkey").alias("key"), F.unix_date(c("o_orderdate").cast("date")).alias("day"), "o_totalprice"
+    )
+    low = F.expr(_PROMOTED)
+    spans = table(spark, sf_dir, "customer").select(
+        c("c_custkey").alias("key"), low.alias("low"), (low + 30 * (1 + c("c_nationkey"))).alias("high")
+    )
+    near = joins.range_join(points, spans, "day", "low", "high", on=["key"])
+    return near.groupBy(c("key").alias("start_key")).agg(agg.n().alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@register(
+    "join_range_time",
+    """
+    SELECT event_id, user_id FROM events
+    JOIN (SELECT user_id, MIN(ts) AS low, MIN(ts) + INTERVAL 1 DAY AS high FROM events GROUP BY user_id) USING (user_id)
+    WHERE ts >= low AND (ts < high OR user_id % 7 = 0)
+    """,
+)
+def join_range_time(spark, sf_dir):
+    """Events of each user's first day; for some users the interval has no end."""
+    events = table(spark, sf_dir, "events")
+    first = events.groupBy("user_id").agg(F.min("ts").alias("low"))
+    end = F.when(c("user_id") % 7 != 0, c("low") + F.expr("INTERVAL 1 DAY"))
+    out = joins.range_join(events.select("event_id", "user_id", "ts"), first.withColumn("high", end), "ts", "low", "high", on=["user_id"])
+    return out.select("event_id", "user_id")
 
 
 @register(
@@ -378,6 +405,44 @@ _aggregate(
 )
 
 
+@register(
+    "join_asof_nulls",
+    """
+    WITH a AS (SELECT event_id, NULLIF(user_id, 3) AS user_id, CASE WHEN event_id % 5 <> 0 THEN ts END AS ts
+               FROM events WHERE event_type <> 'view'),
+    b AS (SELECT event_id, NULLIF(user_id, 3) AS user_id, CASE WHEN event_id % 4 <> 0 THEN ts END AS ts
+          FROM events WHERE event_type = 'view')
+    SELECT a.event_id, MAX(b.ts) AS viewed_at FROM a LEFT JOIN b ON a.user_id = b.user_id AND a.ts >= b.ts GROUP BY a.event_id
+    """,
+)
+def join_asof_nulls(spark, sf_dir):
+    """Null keys and null times match nothing."""
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.nullif("user_id", F.lit(3)))
+    views = events.where("event_type = 'view'").select("user_id", F.when(c("event_id") % 4 != 0, c("ts")).alias("viewed_at"))
+    others = events.where("event_type <> 'view'").select("user_id", "event_id", F.when(c("event_id") % 5 != 0, c("ts")).alias("ts"))
+    return joins.asof_join(others, views, "user_id", "ts", "viewed_at", "event_id").select("event_id", "viewed_at")
+
+
+@register(
+    "agg_quantile_nulls",
+    "SELECT l_suppkey, ROUND(QUANTILE_CONT(CASE WHEN l_suppkey % 3 <> 0 THEN l_quantity END, 0.4), 6) AS q40 FROM lineitem GROUP BY l_suppkey",
+)
+def agg_quantile_nulls(spark, sf_dir):
+    """A group of only nulls has a null quantile."""
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.when(c("l_suppkey") % 3 != 0, c("l_quantity")).alias("x"))
+    return windows.quantiles(rows, "l_suppkey", "x", {"q40": 0.4}).select("l_suppkey", F.round("q40", 6).alias("q40"))
+
+
+@register(
+    "agg_flatten_nulls",
+    "SELECT l_orderkey, STRING_AGG(NULLIF(l_linestatus, 'O'), '-' ORDER BY l_linestatus) AS statuses FROM lineitem GROUP BY l_orderkey",
+)
+def agg_flatten_nulls(spark, sf_dir):
+    """A group without texts has a null."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.nullif("l_linestatus", F.lit("O")).alias("s"))
+    return windows.flattened(rows, "l_orderkey", "s", "statuses", "-")
+
+
 @register(
     "agg_quantile",
     "SELECT l_returnflag, l_linestatus, ROUND(QUANTILE_CONT(l_extendedprice, 0.25), 6) AS q25, "
@@ -481,9 +546,9 @@ def win_recycled(spark, sf_dir):
 @register(
     "win_rank",
     """
-    SELECT o_orderkey, CAST(ROW_NUMBER() OVER w AS INTEGER) AS row_number, CAST(RANK() OVER w AS INTEGER) AS rank,
-           CAST(DENSE_RANK() OVER w AS INTEGER) AS dense_rank, PERCENT_RANK() OVER w AS percent_rank,
-           CUME_DIST() OVER w AS cume_dist, CAST(NTILE(4) OVER w AS INTEGER) AS ntile
+    SELECT o_orderkey, ROW_NUMBER() OVER w AS row_number, RANK() OVER w AS rank,
+           DENSE_RANK() OVER w AS dense_rank, PERCENT_RANK() OVER w AS percent_rank,
+           CUME_DIST() OVER w AS cume_dist, NTILE(4) OVER w AS ntile
     FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey)
     """,
 )
@@ -492,10 +557,52 @@ def win_rank(spark, sf_dir):
     return windows.ranked(df, "o_orderpriority", ["o_totalprice", "o_orderkey"]).drop("o_orderpriority", "o_totalprice")
 
 
+@register(
+    "win_rank_desc",
+    """
+    SELECT event_id, ROW_NUMBER() OVER w AS row_number, NTILE(5) OVER w AS ntile FROM events
+    WINDOW w AS (PARTITION BY event_type ORDER BY CASE WHEN event_id % 9 <> 0 THEN value END DESC NULLS FIRST, event_id)
+    """,
+)
+def win_rank_desc(spark, sf_dir):
+    """Largest first, nulls before them."""
+    df = table(spark, sf_dir, "events").select("event_type", "event_id", F.when(c("event_id") % 9 != 0, c("value")).alias("v"))
+    out = windows.ranked(df, "event_type", [windows.By("v", desc=True, nulls_last=False), "event_id"], buckets=5)
+    return out.select("event_id", "row_number", "ntile")
+
+
+@register(
+    "win_n_all",
+    """
+    SELECT o_orderkey, COUNT(*) OVER () AS n, LAG(o_orderkey, 2) OVER (ORDER BY o_orderdate DESC, o_orderkey) AS before
+    FROM orders
+    """,
+)
+def win_n_all(spark, sf_dir):
+    """All rows as one group."""
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    order = [windows.By("o_orderdate", desc=True), "o_orderkey"]
+    out = windows.shifted(windows.win_n(df, []), [], order, {"before": ("o_orderkey", 2)})
+    return out.drop("o_orderdate")
+
+
+@register(
+    "win_range_frame_date",
+    """
+    SELECT o_orderkey, COUNT(*) OVER w AS n FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders)
+    WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 20 DAYS PRECEDING AND INTERVAL 3 DAYS FOLLOWING)
+    """,
+)
+def win_range_frame_date(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", c("o_orderdate").cast("date").alias("day"))
+    out = windows.range_framed(orders, "o_orderpriority", "day", dt.timedelta(days=20), 3, {"n": ("count", F.lit(1))})
+    return out.select("o_orderkey", "n")
+
+
 @register(
     "win_rank_ties",
     """
-    SELECT o_orderkey, CAST(RANK() OVER w AS INTEGER) AS rank, CAST(DENSE_RANK() OVER w AS INTEGER) AS dense_rank,
+    SELECT o_orderkey, RANK() OVER w AS rank, DENSE_RANK() OVER w AS dense_rank,
            PERCENT_RANK() OVER w AS percent_rank, CUME_DIST() OVER w AS cume_dist
     FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate)
     """,

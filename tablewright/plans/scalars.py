@@ -60,7 +60,7 @@ _scalar(
     "lineitem",
     result=(lambda: s.as_integer(c("l_quantity") / 2 - 12), "CAST(ROUND(l_quantity / 2 - 12) AS BIGINT)"),
     parsed=(
-        lambda: s.as_integer(F.concat(F.lit("-"), c("l_partkey").cast("string")), text=True),
+        lambda: s.as_integer(F.concat(F.lit("-"), c("l_partkey").cast("string"))),
         "CAST('-' || CAST(l_partkey AS VARCHAR) AS BIGINT)",
     ),
 )
@@ -84,7 +84,7 @@ _scalar(
     "labels",
     number=(lambda: s.as_logical("quality"), "CAST(quality AS BOOLEAN)"),
     parsed=(
-        lambda: s.as_logical(F.when(c("toxic") == 1, "TRUE").otherwise("false"), text=True),
+        lambda: s.as_logical(F.when(c("toxic") == 1, "TRUE").otherwise("false")),
         "CAST(CASE WHEN toxic = 1 THEN 'TRUE' ELSE 'false' END AS BOOLEAN)",
     ),
 )
@@ -259,6 +259,13 @@ _scalar(
 _scalar("floor", "customer", result=(lambda: s.floor("c_acctbal"), "FLOOR(c_acctbal)"))
 _scalar("ceiling", "customer", result=(lambda: s.ceiling("c_acctbal"), "CEIL(c_acctbal)"))
 
+_scalar(
+    "floor_large",
+    "customer",
+    large=(lambda: s.floor(c("c_acctbal") * 1e16), "FLOOR(c_acctbal * 1e16)"),
+    ceiling=(lambda: s.ceiling(c("c_acctbal") * 1e300), "CEIL(c_acctbal * 1e300)"),
+)
+
 # --- inherited
 
 _scalar(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
@@ -14,9 +15,22 @@ from tablewright.sources.versions import Dataset
 Tables = Mapping[str, DataFrame]
 
 
+# Views belong to the session, so one thread at a time binds names.
+_BINDING = threading.RLock()
+
+
 @contextmanager
 def scope(spark: SparkSession, tables: Tables) -> Iterator[None]:
-    """Bare names resolve to ``tables`` inside; views they hide come back afterwards."""
+    """Bare names resolve to ``tables`` inside; views they hide come back afterwards.
+
+    Names are bound when SQL is analysed, not when it runs, so other threads wait for the
+    analysis only.
+    """
+    with _BINDING:
+        yield from _bound(spark, tables)
+
+
+def _bound(spark: SparkSession, tables: Tables) -> Iterator[None]:
     hidden = {}
     for name, df in tables.items():
         if any(t.name == name.lower() and t.isTemporary for t in spark.catalog.listTables(pattern=name)):

@@ -17,7 +17,7 @@ from tablewright.sources.uploads import UploadTable, read_merged
 
 _REFERENCE = re.compile(r"^(?P<name>[^:]+)(?P<rest>(?::[^:]+)*)$")
 _TAG = re.compile(r"^(v\d+[._]\d+|current|next)$", re.IGNORECASE)
-_LOG = "tag string, event string, folder string, content string, notes string, seq bigint"
+_LOG = "tag string, event string, folder string, content string, notes string, replace boolean, seq bigint"
 
 
 def normalize_tag(tag: str) -> str:
@@ -61,28 +61,36 @@ class Dataset:
 
     # --- log
 
-    def _append(self, tag: str, event: str, folder: str = "", content: dict | None = None, notes: str = "") -> None:
-        record = {"tag": tag, "event": event, "folder": folder, "content": json.dumps(content or {}), "notes": notes}
+    def _append(
+        self, tag: str, event: str, folder: str = "", content: dict | None = None, notes: str = "", replace: bool = False
+    ) -> None:
+        record = {"tag": tag, "event": event, "folder": folder, "content": json.dumps(content or {}), "notes": notes, "replace": replace}
         append_record(self.spark, f"{self.path}/log", {**record, "seq": time.time_ns()})
 
     def _state(self) -> tuple[dict[str, dict], str | None]:
         """Released versions (tag to the uploads of each table) in order, and the folder of
         the open next one."""
+        return self._history()[:2]
+
+    def _history(self) -> tuple[dict[str, dict], str | None, bool]:
+        """As :meth:`_state`, and whether the open version was released with ``replace``
+        before it was taken back."""
         released: dict[str, dict] = {}
-        staged: dict[str, str] = {}
+        staged: dict[str, tuple[str, bool]] = {}
+        replace = False
         open_folder = None
         log = f"{self.path}/log"
         records = self.spark.read.schema(_LOG).json(log).collect() if path_exists(self.spark, log) else []
         for r in sorted(records, key=lambda r: r["seq"]):
             if r["event"] == "open":
-                open_folder = r["folder"]
+                open_folder, replace = r["folder"], False
             elif r["event"] == "release":
-                released[r["tag"]], staged[r["tag"]] = json.loads(r["content"]), r["folder"]
+                released[r["tag"]], staged[r["tag"]] = json.loads(r["content"]), (r["folder"], bool(r["replace"]))
                 open_folder = None
             elif r["event"] == "unrelease":
                 released.pop(r["tag"])
-                open_folder = staged.pop(r["tag"])
-        return released, open_folder
+                open_folder, replace = staged.pop(r["tag"])
+        return released, open_folder, replace
 
     def versions(self) -> list[str]:
         """Released tags, oldest first."""
@@ -114,13 +122,15 @@ class Dataset:
         staged = self._staged(open_folder, table).uploads()
         return current + [{"folder": u["folder"], "schema": u["schema"]} for u in staged]
 
-    def release(self, tag: str, tables: list[str], notes: str = "", replace: bool = False) -> str:
+    def release(self, tag: str, tables: list[str], notes: str = "", replace: bool | None = None) -> str:
         """Make the next version the current one.
 
         ``tables`` get their staged uploads, after the current rows or (``replace``) in
-        place of them; other tables stay as they are.
+        place of them; other tables stay as they are. A version that was taken back is
+        released as it was before unless ``replace`` says otherwise.
         """
-        released, open_folder = self._state()
+        released, open_folder, before = self._history()
+        replace = before if replace is None else replace
         if open_folder is None:
             raise LookupError("no next version is open")
         tag = _canonical(tag)
@@ -128,7 +138,7 @@ class Dataset:
             raise ValueError(f"version {tag} is already released")
         content = dict(list(released.values())[-1]) if released else {}
         content |= {t: self._next(t, released, open_folder, replace) for t in tables}
-        self._append(tag, "release", open_folder, content, notes)
+        self._append(tag, "release", open_folder, content, notes, replace)
         return tag
 
     def unrelease(self) -> str:
@@ -153,12 +163,12 @@ class Dataset:
         sample_percent: float = 1.0,
     ) -> DataFrame:
         """A table at a version; with ``sample_keys`` its repeatable sample."""
-        released, open_folder = self._state()
+        released, open_folder, replace = self._history()
         tag = _canonical(version)
         if tag == "next":
             if open_folder is None:
                 raise LookupError("no next version is open")
-            uploads = self._next(table, released, open_folder, replace=False)
+            uploads = self._next(table, released, open_folder, replace)
         else:
             if tag == "current" and released:
                 tag = list(released)[-1]

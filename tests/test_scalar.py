@@ -34,12 +34,15 @@ def null():
         (lambda: s.if_null(null(), "x"), "x"),
         (lambda: s.as_integer(L(2.5)), 3),
         (lambda: s.as_integer(L(-2.5)), -3),
-        (lambda: s.as_integer(L("9007199254740993"), text=True), 9007199254740993),
+        (lambda: s.floor(L(1e300)), 1e300),
+        (lambda: s.ceiling(L(float("inf"))), float("inf")),
+        (lambda: s.floor(L(-2.5)), -3.0),
+        (lambda: s.as_integer(L("9007199254740993")), 9007199254740993),
         (lambda: s.as_double(L("1.5")), 1.5),
         (lambda: s.as_numeric(L(3)), 3.0),
         (lambda: s.as_character(L(True)), "true"),
-        (lambda: s.as_logical(L("TRUE"), text=True), True),
-        (lambda: s.as_logical(null(), text=True), None),
+        (lambda: s.as_logical(L("TRUE")), True),
+        (lambda: s.as_logical(null()), None),
         (lambda: s.as_logical(L(0)), False),
         (lambda: s.as_date(L("2020-02-29")), dt.date(2020, 2, 29)),
         (lambda: s.as_posixct(L("2020-02-29 01:02:03.5")), dt.datetime(2020, 2, 29, 1, 2, 3, 500000)),
@@ -111,9 +114,9 @@ def test_errors(value):
     with pytest.raises(ValueError):
         s.str_extract(L("a"), "(a)(b)")
     with pytest.raises(Exception):
-        value(s.as_logical(L("yes"), text=True))
+        value(s.as_logical(L("yes")))
     with pytest.raises(Exception):
-        value(s.as_integer(L("1.5"), text=True))
+        value(s.as_integer(L("1.5")))
 
 
 def test_aggregates_on_nulls_and_single_rows(spark):

@@ -143,12 +143,12 @@ def test_exports(spark):
     sinks.export(times, shared_dir(spark, "e"))
 
 
-def test_rows_per_group():
-    assert sinks.rows_per_group(None, None) == 100_000
-    assert sinks.rows_per_group(0, 5) == 100_000
-    assert sinks.rows_per_group(10, 10) == 1_000_000
-    assert sinks.rows_per_group(2**40, 2) == 1
-    assert sinks.rows_per_group(1024 * 100, 100) == 131072
+def test_append_to_a_path_under_another_name(spark):
+    path = shared_dir(spark, "o")
+    one, two = ("t_" + path[-12:] + x for x in "ab")
+    sinks.output_table(frame(spark, (1, "x"), (2, "y")), one, path)
+    sinks.output_table(frame(spark, (3, "z")), two, path, append=True)
+    assert spark.table(two).count() == 3
 
 
 def test_layout_keeps_statistics(spark):
