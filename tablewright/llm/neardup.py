@@ -4,20 +4,21 @@ star-shaped candidate edges, and links confirmed on the full shingle sets.
 A document's set is hashed once; its hashes are dealt to bins by their leading bits and
 each bin keeps its least. An empty bin borrows from another one, picked by a hash of its
 own number and the attempt, so that equal sets borrow alike. Rows of bins are banded, and
-documents that agree in a band share a bucket. Each bucket has one centre, the least by a
-hash, and gives an edge from it to every other member: as many edges as members, however
-large the bucket. The hash is the same for all bands, so that the buckets of one group of
-copies mostly share their centre, and its edges count once.
+documents that agree in a band share a bucket. Each bucket has one centre and gives an edge
+from it to every other member: as many edges as members, however large the bucket. The
+centre is the member whose buckets are largest altogether, that is, the one most like the
+others; so the buckets of one group of copies mostly share their centre, and its edges
+count once.
 
 Documents of one and the same set are one node from the start. Buckets whose members are
 not all in one component after confirmation get further stars between members of different
-components, picked anew for each bucket and round, until a round finds no new link.
+components, round by round with other members, until a round finds no new link.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
@@ -131,20 +132,33 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_rows(rows, make, "a binary, b binary, good boolean").filter("good").select("a", "b")
 
 
+def _weighed(members: DataFrame) -> DataFrame:
+    """The members (band, node, ...) of buckets with several sets, as (band, member), each
+    with a ``weight``: how many members its buckets have. In a group of copies, what they
+    were copied from shares most buckets and has the largest weight."""
+    sizes = members.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1")
+    shared = materialize(members.join(sizes, "band"), "shared")
+    weights = shared.groupBy("node").agg(F.sum("_n").alias("weight"))
+    return shared.join(weights, "node").select("band", F.struct("node", "doc_id", "text_hash", "n_shingles", "weight").alias("member"))
+
+
 def _stars(members: DataFrame) -> DataFrame:
-    """The ``members`` (band, member) of buckets with several sets, each with its bucket's
-    ``centre``."""
-    key = F.struct(F.xxhash64("member.node").alias("_h"), "member")
-    centres = members.groupBy("band").agg(F.min(key)["member"].alias("centre"), F.count("*").alias("_n")).filter("_n > 1")
-    return members.join(centres.drop("_n"), "band")
+    """The ``members`` (band, member), each with its bucket's ``centre``, the heaviest."""
+    key = F.struct("member.weight", "member.node", "member")
+    return members.join(members.groupBy("band").agg(F.max(key)["member"].alias("centre")), "band")
 
 
 def _more_stars(rooted: DataFrame, salt: int) -> DataFrame:
-    """As :func:`_stars`, in buckets with several components: one member of each, picked
-    anew for each bucket and round, and one of them the centre."""
-    least = lambda n, *more: F.min(F.struct(F.xxhash64("member.node", "band", F.lit(2 * salt + n)).alias("_h"), "member", *more))
-    picked = rooted.groupBy("band", "root").agg(least(0)["member"].alias("member"))
-    centres = picked.groupBy("band").agg(least(1, "root").alias("_c"), F.count("*").alias("_n")).filter("_n > 1")
+    """As :func:`_stars`, in buckets with several components: one member of each, and one of
+    them the centre. These are the heaviest at first, then picked anew by a hash for each
+    bucket and round."""
+
+    def most(n: int, *more: str) -> Column:
+        by = F.col("member.weight") if salt == 1 else F.xxhash64("member.node", "band", F.lit(2 * salt + n))
+        return F.max(F.struct(by.alias("_by"), "member.node", "member", *more))
+
+    picked = rooted.groupBy("band", "root").agg(most(0)["member"].alias("member"))
+    centres = picked.groupBy("band").agg(most(1, "root").alias("_c"), F.count("*").alias("_n")).filter("_n > 1")
     stars = picked.join(centres.drop("_n"), "band").filter(F.col("root") != F.col("_c.root"))
     return stars.select("band", "member", F.col("_c.member").alias("centre"))
 
@@ -173,10 +187,10 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     docs = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     keyed = docs.withColumn("_key", F.xxhash64("_text"))
     made = materialize(sketches(docs, width, bins, rows, "_id", "_text"), "sketches")
-    own = F.struct("node", F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles")
-    nodes = made.filter("node is not null").groupBy("node").agg(F.min(own).alias("member"), F.min(F.struct("node", "bands"))["bands"].alias("bands"))
-    nodes = materialize(nodes.select("member", "bands"), "nodes")
-    members = nodes.select(F.explode("bands").alias("band"), "member")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles")).alias("own")
+    nodes = made.filter("node is not null").groupBy("node").agg(first, F.min(F.struct("node", "bands"))["bands"].alias("bands"))
+    nodes = materialize(nodes.select("node", "own.doc_id", "own.text_hash", "own.n_shingles", "bands"), "nodes")
+    members = _weighed(nodes.select(F.explode("bands").alias("band"), "node", "doc_id", "text_hash", "n_shingles"))
     stars = materialize(_stars(members), "stars")
     members = stars.select("band", "member")
 
@@ -194,7 +208,7 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
         sets = more if sets is None else sets.union(more)
         links = materialize(_confirmed(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
-        if salt and links.isEmpty():
+        if salt >= 2 and links.isEmpty():
             break
         edges = components(links if edges is None else edges.union(links))
         # buckets that still have members of several components
@@ -203,8 +217,8 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
         salt += 1
         stars = _more_stars(rooted, salt)
 
-    root = F.coalesce("b", "member.node")
-    full = nodes.join(edges, F.col("member.node") == F.col("a"), "left").select("member.node", "member.doc_id", root.alias("root"))
+    root = F.coalesce("b", "node")
+    full = nodes.join(edges, F.col("node") == F.col("a"), "left").select("node", "doc_id", root.alias("root"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = full.join(least, "root").select("node", "component_id")
     out = made.select("doc_id", "text_hash", "n_shingles", "node").distinct().join(by_node, "node", "left")
