@@ -11,23 +11,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.files import file_hashes, sync_plan
+from tablewright.operators.files import latest_files, sync_plan
 from tablewright.session import materialize, path_exists
-from tablewright.sources.files import open_filesystem, scan_files
-
-TASK_BYTES = 1 << 30
+from tablewright.sources.files import TASK_BYTES, list_files, open_filesystem, stream_hashes
 
 
 def manifest_of(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
     """The manifest of a directory as it is; file ids are the names."""
-    files = file_hashes(scan_files(spark, directory, glob))
-    return files.select(
-        F.col("name").alias("file_id"),
-        F.col("name").alias("file_name"),
-        "size",
-        F.col("modified_at").alias("added_at"),
-        "md5_hash",
-    )
+    return _as_manifest(stream_hashes(list_files(spark, directory, glob), directory))
+
+
+def _as_manifest(files: DataFrame) -> DataFrame:
+    name = F.col("name")
+    return files.select(name.alias("file_id"), name.alias("file_name"), "size", F.col("modified_at").alias("added_at"), "md5_hash")
+
+
+def _there(manifest: DataFrame, target: str) -> DataFrame:
+    """What the target has under the manifest's paths; only files of equal size, which
+    could be the same, are read for their hash."""
+    wanted = latest_files(manifest).select(F.col("path").alias("name"), F.col("size").alias("_size"))
+    found = materialize(list_files(manifest.sparkSession, target).join(wanted, "name"), "present")
+    same = F.col("size") == F.coalesce("_size", F.lit(-1))
+    equal = stream_hashes(found.where(same).drop("_size"), target)
+    other = found.where(~same).drop("_size").withColumn("md5_hash", F.lit(None).cast("string"))
+    return _as_manifest(equal.unionByName(other))
 
 
 def copy_files(manifest: DataFrame, source: str, target: str, overwrite: bool = False) -> DataFrame:
@@ -40,7 +47,7 @@ def copy_files(manifest: DataFrame, source: str, target: str, overwrite: bool =
     """
     spark = manifest.sparkSession
     if path_exists(spark, target):
-        have = manifest_of(spark, target)
+        have = _there(manifest, target)
     else:
         have = manifest.limit(0)
     plan = materialize(sync_plan(manifest, have, overwrite), "copies")

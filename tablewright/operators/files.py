@@ -6,10 +6,12 @@ directory with a third of all files stays rows and never becomes one value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.session import materialize
+from tablewright.sources.files import list_files as list_files_at
+from tablewright.sources.files import stream_hashes
 
 MODES = ("all", "files", "directories")
 # Fixed value: shape of the older file ids, two words of 4 and 9 characters and a suffix.
@@ -355,3 +357,26 @@ def build_manifest(files: DataFrame, added_at: Column, file_id: Column | None =
         added_at.alias("added_at"),
         content_hash("content").alias("md5_hash"),
     )
+
+
+def add_files(
+    spark: SparkSession,
+    table_path: str,
+    added_at: Column,
+    directory: str | None = None,
+    files: DataFrame | None = None,
+    glob: str | None = None,
+) -> DataFrame:
+    """Register files in the manifest at ``table_path`` and return their rows: those below a
+    ``directory``, hashed in tasks, or given ones ``(name, content)``, exactly one of both."""
+    if (directory is None) == (files is None):
+        raise ValueError("give a directory or files, not both")
+    if directory is not None:
+        found = stream_hashes(list_files_at(spark, directory, glob), directory)
+        columns = [F.md5("name").alias("file_id"), F.col("name").alias("file_name"), "size", added_at.alias("added_at"), "md5_hash"]
+        rows = found.select(*columns)
+    else:
+        rows = build_manifest(files, added_at)
+    rows = materialize(rows, "registered")
+    rows.write.mode("append").parquet(table_path)
+    return rows

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators import files as fo
-from tablewright.operators.sinks import write_verified
 from tablewright.plans.registry import register, table
 from tablewright.session import shared_dir
 from tablewright.sources import files as raw
@@ -56,42 +55,60 @@ def file_index(spark, sf_dir):
     return fo.rename_index(other, "key", "label").drop("added_at")
 
 
-@register("file_hashes", "SELECT doc_id, STRLEN(text) AS size, TO_BASE64(UNHEX(MD5(text))) AS md5_hash FROM documents")
+def _written(spark, sf_dir) -> str:
+    """A directory with one file for each source and language: its texts by id, a line
+    break after each."""
+    path = shared_dir(spark, "files")
+    docs = table(spark, sf_dir, "documents").repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id")
+    docs.select("text", "source", "lang").write.partitionBy("source", "lang").text(path)
+    return path
+
+
+def _place(name: str) -> list:
+    """The source and language in a file's name."""
+    parts = F.split(name, "/")
+    return [F.regexp_replace(parts[0], "^source=", "").alias("source"), F.regexp_replace(parts[1], "^lang=", "").alias("lang")]
+
+
+_WRITTEN = """
+    WITH w AS (SELECT source, lang, STRING_AGG(text || CHR(10), '' ORDER BY doc_id) AS content FROM documents GROUP BY source, lang)
+"""
+
+
+@register("file_hashes", _WRITTEN + "SELECT source, lang, STRLEN(content) AS size, TO_BASE64(UNHEX(MD5(content))) AS md5_hash FROM w")
 def file_hashes(spark, sf_dir):
-    return fo.file_hashes(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content")))
+    path = _written(spark, sf_dir)
+    return raw.stream_hashes(raw.list_files(spark, path, "*.txt"), path).select(*_place("name"), "size", "md5_hash")
 
 
 @register(
     "add_files",
-    f"SELECT MD5({_NAME}) AS file_id, {_NAME} AS file_name, STRLEN(text) AS size, "
-    "TO_BASE64(UNHEX(MD5(text))) AS md5_hash FROM documents",
+    _WRITTEN + "SELECT source, lang, STRLEN(content) AS size, TO_BASE64(UNHEX(MD5(content))) AS md5_hash, TRUE AS named FROM w",
 )
 def add_files(spark, sf_dir):
-    """Raw files into a stored manifest."""
-    name = F.concat_ws("/", "source", "lang", F.concat("doc_id", F.lit(".txt")))
-    specs = raw.specs_from_rows(table(spark, sf_dir, "documents").withColumn("name", name), "name", "text")
-    path = shared_dir(spark, "manifest")
-    write_verified(fo.build_manifest(specs, _added(1)), path, mode="append")
-    return spark.read.parquet(path).drop("added_at")
+    """The files of a directory into a stored manifest."""
+    path, stored = _written(spark, sf_dir), shared_dir(spark, "manifest")
+    fo.add_files(spark, stored, _added(1), directory=path, glob="*.{txt,csv}")
+    named = (F.col("file_id") == F.md5("file_name")).alias("named")
+    return spark.read.parquet(stored).select(*_place("file_name"), "size", "md5_hash", named)
 
 
 @register(
     "file_read_range",
-    """
-    SELECT doc_id, UNHEX(SUBSTR(HEX(ENCODE(text)), 1, 200)) AS head,
-           MD5(UNHEX(SUBSTR(HEX(ENCODE(text)), 41))) AS rest, MD5(text) AS whole
-    FROM documents
+    _WRITTEN
+    + """
+    SELECT source, lang, UNHEX(SUBSTR(HEX(ENCODE(content)), 1, 200)) AS head,
+           MD5(UNHEX(SUBSTR(HEX(ENCODE(content)), 41))) AS rest, UNHEX(SUBSTR(HEX(ENCODE(content)), 20001, 40)) AS inner_part
+    FROM w
     """,
 )
 def file_read_range(spark, sf_dir):
-    """Bytes 0 to 99, bytes from 20 on, and the whole as text."""
-    content = F.encode("text", "UTF-8")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        fo.read_range(content, 0, 99).alias("head"),
-        F.md5(fo.read_range(content, 20)).alias("rest"),
-        F.md5(fo.read_range(content, as_text=True)).alias("whole"),
-    )
+    """Bytes 0 to 99, bytes from 20 on, and bytes 10000 to 10019, of which short files have none."""
+    path = _written(spark, sf_dir)
+    out = raw.list_files(spark, path, "*.txt")
+    for name, first, last in (("head", 0, 99), ("rest", 20, None), ("inner_part", 10_000, 10_019)):
+        out = raw.stream_range(out, path, first, last, name)
+    return out.select(*_place("name"), "head", F.md5("rest").alias("rest"), "inner_part")
 
 
 # --- tree and listings

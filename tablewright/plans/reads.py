@@ -344,17 +344,18 @@ def batch_preprocess_empty(spark, sf_dir):
 @register(
     "file_chunks",
     """
-    SELECT name, chunk_no, chunk_no * 4096 AS start_byte,
-           LEAST(chunk_no * 4096 + 4096, size) - 1 AS end_byte,
-           MD5(UNHEX(SUBSTR(HEX(ENCODE(text)), chunk_no * 8192 + 1, 8192))) AS digest
-    FROM (SELECT doc_id || '.txt' AS name, text, STRLEN(text) AS size,
-                 UNNEST(RANGE(0, (STRLEN(text) + 4095) // 4096)) AS chunk_no FROM documents)
+    WITH w AS (SELECT source, lang, STRING_AGG(text || CHR(10), '' ORDER BY doc_id) AS content FROM documents GROUP BY source, lang)
+    SELECT source, lang, chunk_no, chunk_no * 4096 AS start_byte, LEAST(chunk_no * 4096 + 4096, STRLEN(content)) - 1 AS end_byte,
+           MD5(UNHEX(SUBSTR(HEX(ENCODE(content)), chunk_no * 8192 + 1, 8192))) AS digest
+    FROM (SELECT *, UNNEST(RANGE(0, (STRLEN(content) + 4095) // 4096)) AS chunk_no FROM w)
     """,
 )
 def file_chunks(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit(".txt")).alias("name"), "text")
-    chunks = batch.file_chunks(files.specs_from_rows(docs, "name", "text").drop("size"), 4096)
-    return chunks.select("name", "chunk_no", "start_byte", "end_byte", F.md5("chunk").alias("digest"))
+    from tablewright.plans.indexes import _place, _written
+
+    path = _written(spark, sf_dir)
+    chunks = files.stream_chunks(files.list_files(spark, path, "*.txt"), path, 4096)
+    return chunks.select(*_place("name"), "chunk_no", "start_byte", "end_byte", F.md5("chunk").alias("digest"))
 
 
 # --- delimited text and other sources
@@ -516,7 +517,7 @@ def release_replace_undone(spark, sf_dir):
 def scan_files(spark, sf_dir):
     path = shared_dir(spark, "files")
     table(spark, sf_dir, "documents").select("text", "source", "lang").write.partitionBy("source", "lang").text(path)
-    found = files.scan_files(spark, path, "*.txt")
+    found = files.list_files(spark, path, "*.{txt,csv}")
     return (
         found.select(F.split("name", "/").alias("p"), "size")
         .groupBy(
@@ -539,7 +540,7 @@ def copy_files(spark, sf_dir):
     manifest = copies.manifest_of(spark, origin, "*.txt")
     first = copies.copy_files(manifest, origin, target).select("path", F.col("action").alias("first_time"))
     second = copies.copy_files(manifest, origin, target).select("path", F.col("action").alias("second_time"))
-    there = files.scan_files(spark, target).select(F.col("name").alias("path"), "size")
+    there = files.list_files(spark, target).select(F.col("name").alias("path"), "size")
     parts = F.split("path", "/")
     return (
         there.join(first, "path")

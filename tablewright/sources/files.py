@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import base64
 import fnmatch
+import hashlib
 import re
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from tablewright.session import materialize
+
+TASK_BYTES = 1 << 30
+PIECE_BYTES = 1 << 22
 
 
 def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -19,58 +28,119 @@ def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def scan_files(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
-    """All files below a directory: ``name`` (relative), ``size``, ``modified_at``, ``content``.
+def glob_patterns(glob: str) -> list[str]:
+    """A glob with ``{a,b}`` as several without, as the standard library reads them."""
+    m = re.match(r"(.*?)\{([^{}]*)\}(.*)$", glob, re.DOTALL)
+    if m:
+        return [p for part in m[2].split(",") for p in glob_patterns(m[1] + part + m[3])]
+    return [glob.replace("[^", "[!")]
 
-    The content is read only if it is used. Spark's file sources pass over empty files, so
-    those come from a listing of their own. Names beginning with a dot are not listed.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    # the listing gives full paths; cut everything up to the directory's own
-    base = directory.split("://", 1)[-1].rstrip("/") + "/"
-    tail = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
-    found = reader.load(directory).select(
-        tail.alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),
-        "content",
-    )
-    return found.unionByName(_empty_files(spark, directory, glob))
 
+def list_files(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
+    """All files below a directory, empty ones too: ``name`` (relative), ``size``,
+    ``modified_at``. ``glob`` is matched against base names, with ``* ? [] {}``. Names
+    beginning with a dot are not listed.
 
-def _empty_files(spark: SparkSession, directory: str, glob: str | None) -> DataFrame:
-    """The empty files; tasks list the subdirectories."""
+    Tasks list one level of directories after the other, so neither the driver nor a task
+    holds more than a directory's own entries.
+    """
     system, root = open_filesystem(directory)
-    # the directory alone, and all that is below its subdirectories
-    top = system.get_file_info(fs.FileSelector(root))
-    work = [(root, False)] + [(i.path, True) for i in top if i.type == fs.FileType.Directory]
-    work = spark.createDataFrame(work, "dir string, deep boolean")
+    root = root.rstrip("/")
+    patterns = glob_patterns(glob) if glob else None
+    schema = "name string, is_dir boolean, size bigint, ms bigint"
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (below,) in zip(batch.column(0).to_pylist()):
+                entries = system.get_file_info(fs.FileSelector(f"{root}/{below}" if below else root or "/"))
+                rows = [
+                    (f"{below}/{i.base_name}" if below else i.base_name, not i.is_file, i.size or 0, (i.mtime_ns or 0) // 1_000_000)
+                    for i in entries
+                    if not i.base_name.startswith(".")
+                    and not (i.is_file and patterns and not any(fnmatch.fnmatchcase(i.base_name, p) for p in patterns))
+                ]
+                columns = list(zip(*rows)) or [[], [], [], []]
+                kinds = (pa.string(), pa.bool_(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["name", "is_dir", "size", "ms"])
+
+    level, parts = spark.createDataFrame([("",)], "name string"), []
+    while True:
+        found = materialize(level.mapInArrow(listed, schema), "listing")
+        parts.append(found.where("not is_dir"))
+        level = found.where("is_dir").select("name").repartition(max(spark.sparkContext.defaultParallelism, 1))
+        if level.isEmpty():
+            break
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.select("name", "size", F.timestamp_millis("ms").cast("timestamp_ntz").alias("modified_at"))
+
+
+def _open_each(files: DataFrame, directory: str, read: Callable, columns: str) -> DataFrame:
+    """Rows of ``files`` (with ``name``) with what ``read`` gives for the opened file and the
+    row, in tasks of about TASK_BYTES. A row may give several rows; they are made one by
+    one, so that no more than one is in memory."""
+    spark = files.sparkSession
+    system, root = open_filesystem(directory)
+    root, kept = root.rstrip("/"), files.columns
+    volume = files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] if "size" in kept else 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES))
+    schema = T.StructType([*files.schema.fields, *T._parse_datatype_string(columns).fields])
+    target = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                names, times = [], []
-                for info in system.get_file_info(fs.FileSelector(row["dir"], recursive=row["deep"])):
-                    name = info.path[len(root.rstrip("/")) + 1 :]
-                    if not info.is_file or re.search(r"(^|/)[.]", name):
-                        continue
-                    if glob and not fnmatch.fnmatchcase(info.base_name, glob):
-                        continue
-                    if info.size == 0:
-                        names.append(name)
-                        times.append((info.mtime_ns or 0) // 1_000_000)
-                    elif re.search(r"(^|/)_[^/=]*(/|$)", name):
-                        raise ValueError(f"{name}: Spark does not read files below names that begin with _")
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(times, pa.int64())], ["name", "ms"])
-
-    return work.mapInArrow(listed, "name string, ms bigint").select(
-        "name",
-        F.lit(0).cast("bigint").alias("size"),
-        F.timestamp_millis("ms").cast("timestamp_ntz").alias("modified_at"),
-        F.lit(b"").alias("content"),
-    )
+                with system.open_input_file(f"{root}/{row['name']}") as f:
+                    for more in read(f, row):
+                        values = [*(row[c] for c in kept), *more]
+                        yield pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(values, target, strict=True)], schema=target)
+
+    return files.repartition(tasks).mapInArrow(run, schema)
+
+
+def stream_hashes(files: DataFrame, directory: str) -> DataFrame:
+    """Adds ``md5_hash`` to listed files; tasks read each file in pieces, of any size."""
+
+    def read(f, row):
+        md5 = hashlib.md5()
+        while piece := f.read(PIECE_BYTES):
+            md5.update(piece)
+        yield (base64.b64encode(md5.digest()).decode(),)
+
+    return _open_each(files, directory, read, "md5_hash string")
+
+
+def stream_range(files: DataFrame, directory: str, start_byte: int = 0, end_byte: int | None = None, name: str = "content") -> DataFrame:
+    """Adds bytes ``start_byte`` to ``end_byte`` (inclusive; the whole rest without it) of
+    listed files; only these are read."""
+
+    def read(f, row):
+        f.seek(min(start_byte, f.size()))
+        yield (f.read() if end_byte is None else f.read(max(end_byte - start_byte + 1, 0)),)
+
+    return _open_each(files, directory, read, f"{name} binary")
+
+
+def stream_chunks(files: DataFrame, directory: str, chunk_bytes: int, start_byte: int = 0, end_byte: int | None = None) -> DataFrame:
+    """One row per byte chunk of each listed file: ``chunk_no, start_byte, end_byte, chunk``.
+    ``end_byte`` is inclusive. Tasks hold one chunk at a time."""
+    if chunk_bytes < 1:
+        raise ValueError("chunk_bytes must be positive")
+
+    def read(f, row):
+        size = f.size()
+        last = size - 1 if end_byte is None else min(size - 1, end_byte)
+        for k, at in enumerate(range(start_byte, last + 1, chunk_bytes)):
+            f.seek(at)
+            piece = f.read(min(chunk_bytes, last + 1 - at))
+            yield (k, at, at + len(piece) - 1, piece)
+
+    return _open_each(files, directory, read, "chunk_no bigint, start_byte bigint, end_byte bigint, chunk binary")
+
+
+def scan_files(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
+    """Listed files with their whole ``content``. It has to fit a cell: use the streaming
+    functions for files of any size, and :func:`list_files` if the content is not needed."""
+    return stream_range(list_files(spark, directory, glob), directory)
 
 
 def file_specs(spark: SparkSession, specs: Iterable[Mapping]) -> DataFrame:
@@ -78,7 +148,7 @@ def file_specs(spark: SparkSession, specs: Iterable[Mapping]) -> DataFrame:
     rows = []
     for spec in specs:
         if "name" not in spec:
-            raise ValueError('all file specifications with a "data" key must specify a name')
+            raise ValueError("a file given by its data needs a name")
         data = spec["data"]
         rows.append((spec["name"], data.encode() if isinstance(data, str) else bytes(data)))
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())])

@@ -151,8 +151,43 @@ def test_scan_names_spark_ignores(spark, tmp_path):
     assert rows(raw.scan_files(spark, f"file:{tmp_path}").select("name")) == [("_a=1/x",), ("_done",), ("z",)]
     (tmp_path / "_b").mkdir()
     (tmp_path / "_b" / "w").write_bytes(b"1")
-    with pytest.raises(Exception, match="begin with _"):
-        raw.scan_files(spark, str(tmp_path)).collect()
+    assert ("_b/w",) in rows(raw.list_files(spark, str(tmp_path)).select("name"))
+
+
+def test_globs(spark, tmp_path):
+    for name in ("a.txt", "b.csv", "c.txt.gz", "d/e.csv", "d/f1.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "b.csv" else b"12")
+    names = lambda glob: [r[0] for r in rows(raw.list_files(spark, str(tmp_path), glob).select("name"))]
+    assert names("*.{txt,csv}") == ["a.txt", "b.csv", "d/e.csv", "d/f1.txt"]
+    assert names("[^a]?.txt") == ["d/f1.txt"]
+    assert names("nothing") == []
+
+
+def test_streams_have_no_size_limit(spark, tmp_path):
+    data = bytes(range(256)) * 5000
+    (tmp_path / "big").write_bytes(data)
+    (tmp_path / "empty").write_bytes(b"")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        there = raw.list_files(spark, str(tmp_path))
+        hashed = {r["name"]: r["md5_hash"] for r in raw.stream_hashes(there, str(tmp_path)).collect()}
+        assert hashed == {n: base64.b64encode(hashlib.md5(d).digest()).decode() for n, d in (("big", data), ("empty", b""))}
+        part = {r["name"]: bytes(r["content"]) for r in raw.stream_range(there, str(tmp_path), 1_000_000, 1_000_009).collect()}
+        assert part == {"big": data[1_000_000:1_000_010], "empty": b""}
+        chunks = raw.stream_chunks(there, str(tmp_path), 300_000, 10, 999_999).collect()
+        assert b"".join(bytes(c["chunk"]) for c in sorted(chunks, key=lambda c: c["chunk_no"])) == data[10:1_000_000]
+        added = fo.add_files(spark, str(tmp_path / "m"), F.lit("2024-01-01").cast("timestamp_ntz"), directory=str(tmp_path), glob="b*")
+        assert rows(added.select("file_name", "size")) == [("big", len(data))]
+        m = copies.manifest_of(spark, str(tmp_path), "big")
+        target = tmp_path / "to"
+        assert [r["action"] for r in copies.copy_files(m, str(tmp_path), str(target)).collect()] == ["copy"]
+        (target / "unrelated").write_bytes(b"x" * 2000)
+        assert [r["action"] for r in copies.copy_files(m, str(tmp_path), str(target)).collect()] == ["skip"]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    with pytest.raises(ValueError):
+        fo.add_files(spark, "x", F.lit(None))
 
 
 def test_copy_files(spark, tmp_path):
