@@ -10,9 +10,11 @@ centre is the member whose buckets are largest altogether, that is, the one most
 others; so the buckets of one group of copies mostly share their centre, and its edges
 count once.
 
+Members of a star with a shingle in common that its centre lacks share a further bucket.
+
 Documents of one and the same set are one node from the start. Buckets whose members are
 not all in one component after confirmation get further stars between members of different
-components, round by round with other members, until a round finds no new link.
+components, round by round with other members, until two rounds find no new link.
 """
 
 from __future__ import annotations
@@ -112,24 +114,37 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return map_rows(source, make, "node binary, hashes binary").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose sets have ``percent`` of their union in common."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, good, rest): whether the sets of a pair (a, b) have ``percent`` of their union
+    in common, and the hashes of the first that the second lacks."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
 
     def make():
         def step(a, b, first, second):
-            good = []
+            good, rest = [], []
             for x, y in zip(first, second, strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
+                lacks = np.setdiff1d(x, y, assume_unique=True)
+                both = len(x) - len(lacks)
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
-            return [a, b, good]
+                rest.append(lacks.view(np.int64))
+            return [a, b, good, rest]
 
         return step
 
-    return map_rows(rows, make, "a binary, b binary, good boolean").filter("good").select("a", "b")
+    return map_rows(rows, make, "a binary, b binary, good boolean, rest array<long>")
+
+
+def _apart(compared: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Further buckets (band, member): members of one star with a shingle in common that
+    the centre lacks. Two linked sets of which one is not linked to a centre of about their
+    size have such a shingle: it takes more in common than they share with the centre."""
+    found = compared.select("a", "b", F.explode("rest").alias("shingle")).select(F.xxhash64("b", "shingle").alias("band"), F.col("a").alias("node"))
+    several = found.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").select("band")
+    who = pairs.select(F.col("x.node").alias("node"), F.col("x").alias("member")).distinct()
+    return found.join(several, "band").join(who, "node").select("band", "member")
 
 
 def _weighed(members: DataFrame) -> DataFrame:
@@ -164,11 +179,11 @@ def _more_stars(rooted: DataFrame, salt: int) -> DataFrame:
 
 
 def _pairs(stars: DataFrame, percent: int) -> DataFrame:
-    """(x, y), as members, whose sizes let them be linked; each pair once."""
+    """(x, y), as members, of which the second is a centre; only those whose sizes let them
+    be linked. Each pair once."""
     sizes = F.col("member.n_shingles"), F.col("centre.n_shingles")
     fits = F.least(*sizes) * 100 >= F.greatest(*sizes) * percent
-    other = stars.filter((F.col("member.node") != F.col("centre.node")) & fits)
-    return other.select(F.greatest("member", "centre").alias("x"), F.least("member", "centre").alias("y")).distinct()
+    return stars.filter((F.col("member.node") != F.col("centre.node")) & fits).select(F.col("member").alias("x"), F.col("centre").alias("y")).distinct()
 
 
 def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,9 +210,9 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     members = stars.select("band", "member")
 
     tried = sets = edges = None
-    salt = 0
+    salt = idle = 0
     while True:
-        pairs = _pairs(stars, percent)
+        pairs = _pairs(stars, percent if salt else 0)
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = materialize(pairs, "pairs")
@@ -206,11 +221,17 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
             wanted = wanted.join(sets.select("node"), "node", "left_anti")
         more = materialize(_sets(keyed, wanted, width), "sets")
         sets = more if sets is None else sets.union(more)
-        links = materialize(_confirmed(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, percent), "links")
+        compared = materialize(_compared(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, percent), "compared")
+        links = compared.filter("good").select("a", "b")
         tried = pairs if tried is None else tried.union(pairs)
-        if salt >= 2 and links.isEmpty():
+        if not salt:
+            members = members.union(materialize(_apart(compared, pairs), "apart"))
+        found = not links.isEmpty()
+        idle = 0 if found or not salt else idle + 1
+        if idle == 2:
             break
-        edges = components(links if edges is None else edges.union(links))
+        if found or not salt:
+            edges = components(links if edges is None else edges.union(links))
         # buckets that still have members of several components
         root = F.coalesce("b", F.col("member.node")).alias("root")
         rooted = members.join(edges, F.col("member.node") == F.col("a"), "left").select("band", "member", root)

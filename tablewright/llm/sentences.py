@@ -25,7 +25,7 @@ from tablewright.session import materialize
 
 RUN = 3  # sentences of a run
 WORDS = 24  # longer sentences are cut after so many words
-BITS = 26
+BITS = 24
 LAST = (1 << 63) - 1
 
 _END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -64,7 +64,8 @@ def _first_in(found: np.ndarray) -> np.ndarray:
 
 
 def _runs(rows: DataFrame, wanted: Bits | None) -> DataFrame:
-    """(high, low, order_id, doc_key, at): the first occurrence of each run in each document."""
+    """(high, low, order_id[, doc_key, at]): the first occurrence of each run in each
+    document; without a filter only the first three columns are made."""
     shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def make():
@@ -79,30 +80,30 @@ def _runs(rows: DataFrame, wanted: Bits | None) -> DataFrame:
                     at = at[filter_.has(found[at, 0])]
                 for column, v in zip(out, (found[at, 0].view(np.int64), found[at, 1].view(np.int64), np.full(len(at), order_id), np.full(len(at), key), at), strict=True):
                     column.append(v)
-            return [np.concatenate([*column, np.zeros(0, np.int64)]).astype(np.int64) for column in out]
+            return [np.concatenate([*column, np.zeros(0, np.int64)]).astype(np.int64) for column in (out if wanted_all else out[:3])]
 
         return step
 
-    return map_rows(rows, make, "high long, low long, order_id long, doc_key long, at long")
+    wanted_all = wanted is not None
+    return map_rows(rows, make, "high long, low long, order_id long" + (", doc_key long, at long" if wanted_all else ""))
 
 
 def without_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_sentences, n_removed, n_spans, n_bytes_removed, kept_sha256[, kept]) for
     each document: what remains of its text.
 
-    Null text counts as empty. A null id comes behind all others. Rows with one id and
-    different texts come one after the other by a hash of the text; rows that repeat id and
-    text are one document and give one row. Documents of fewer than RUN sentences keep
-    everything. An empty table gives no rows. Further columns are not read.
+    Null text counts as empty. A null id comes behind all others. Documents with one id (or
+    none) do not lose sentences to each other; rows that repeat id and text are one
+    document and give one row. Documents of fewer than RUN sentences keep everything. An
+    empty table gives no rows. Further columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     keyed = source.select(F.coalesce("doc_id", F.lit(LAST)).alias("order_id"), F.xxhash64("text").alias("doc_key"), "text", F.col("doc_id").isNull().alias("no_id"))
     rows = keyed.select("order_id", "doc_key", "text")
-    owner = F.struct("order_id", "doc_key")
-    shared = _runs(rows, None).groupBy("high", "low").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).filter("first != last")
+    shared = _runs(rows, None).groupBy("high", "low").agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).filter("first != last")
     shared = materialize(shared.select("high", "low", "first"), "shared_runs")
-    again = _runs(rows, Bits.of(shared, "high", BITS)).join(shared, ["high", "low"]).filter(owner != F.col("first"))
+    again = _runs(rows, Bits.of(shared, "high", BITS)).join(shared, ["high", "low"]).filter("order_id > first")
     # the runs of one document
     lists = materialize(again.groupBy("order_id", "doc_key").agg(F.collect_set("at").alias("again")), "repeated_runs")
     met = keyed.join(lists, ["order_id", "doc_key"], "left").select("order_id", "doc_key", "no_id", "text", "again")
