@@ -76,6 +76,11 @@ def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), base)]), dtype=np.uint64)[:n]
 
 
+def _codes(text: str) -> np.ndarray:
+    """Code points plus one: none is zero, so that none leaves a hash as it is."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+
+
 def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     mixed = (hashes ^ (hashes >> np.uint64(29))) * _MIX
     return (mixed >> np.uint64(44)).astype(np.int64), ((mixed >> np.uint64(20)) & np.uint64((1 << 20) - 1)).astype(np.int64)
@@ -211,8 +216,8 @@ class PrefixCounter:
         n = len(self.names)
         self.hashes = np.zeros(n + 1, dtype=np.uint64)
         for i, name in enumerate(self.names):
-            codes = np.frombuffer(name.encode("utf-32-le"), dtype="<u4")
-            self.hashes[i] = (codes.astype(np.uint64) * _powers(len(codes))).sum(dtype=np.uint64)
+            codes = _codes(name)
+            self.hashes[i] = (codes * _powers(len(codes))).sum(dtype=np.uint64)
         if len(np.unique(self.hashes[:n])) != n:
             raise ValueError("two tokens have one hash")
         # two places for each token; the entry n stands for none
@@ -259,7 +264,7 @@ class PrefixCounter:
         words = sorted(words, key=len, reverse=True)
         sizes = np.array([len(w) + 1 for w in words])
         text = " " + " ".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+        codes = _codes(text)
         n, none = len(codes), len(self.names)
         starts = np.cumsum(sizes) - sizes
         powers = _powers(n)
@@ -278,7 +283,7 @@ class PrefixCounter:
         widths = np.ones(n, dtype=np.int32)
         strange = candidates[1] == none
         if strange.any():
-            c = codes[strange]
+            c = codes[strange] - np.uint64(1)
             widths[strange] = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
         for end in range(int(sizes[0])):
             open_ = starts[: np.searchsorted(-sizes, -end)] + end

@@ -1,5 +1,6 @@
 import os
 import random
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -14,9 +15,14 @@ from tests.llm.conftest import edge_rows
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+@cache
+def loaded():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @pytest.fixture(scope="module")
 def library():
-    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    return loaded()
 
 
 @pytest.fixture(scope="module")
@@ -30,8 +36,7 @@ TEXT = st.text(st.sampled_from("abcdefhinorst .,!?  \n\té日▁<>/s01A\x00'"),
 @settings(max_examples=150, deadline=None)
 @given(text=TEXT | st.text(max_size=20))
 def test_every_prefix_has_the_librarys_count(text):
-    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")) if not hasattr(test_every_prefix_has_the_librarys_count, "l") else test_every_prefix_has_the_librarys_count.l
-    test_every_prefix_has_the_librarys_count.l = library
+    library = loaded()
     counter = tokens.prefix_counter()
     words = counter.words_of(text)
     counter.learn([words])
