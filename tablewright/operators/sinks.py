@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tablewright.operators.schema import conform
-from tablewright.session import materialize, path_exists
+from tablewright.session import materialize, path_exists, remove_path
+from tablewright.sources.files import open_filesystem
 from tablewright.types import GEOGRAPHY_CRS
 
 FORMATS = ("csv", "parquet", "json", "orc")
@@ -86,26 +90,51 @@ def export(
 
 
 def export_manifest(spark: SparkSession, path: str, name: str, format: str) -> DataFrame:
-    """The files of an export: ``part, target, path, size``.
+    """The files that :func:`export` wrote: ``part, target, path, size``.
 
-    One file is ``<name>.<format>``; several are ``<name>/<six-digit part>.<format>``. The
-    part is the number of the task that wrote it (an empty task leaves a gap).
+    One file is ``<name>.<format>``; several are ``<name>/<six-digit part>.<format>``,
+    numbered from 0 in the order of the tasks that wrote them, without gaps.
     """
     base = escaped_name(name)
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    # one row per file; the numbers need one order of them all
+    order = Window.partitionBy(F.lit(0)).orderBy(F.regexp_extract("path", r"part-(\d+)-", 1).cast("int"), "path")
     parts = listing.select(
-        F.regexp_extract("path", r"part-(\d+)-", 1).cast("int").alias("part"),
+        (F.row_number().over(order) - 1).alias("part"),
         F.col("path"),
         F.col("length").alias("size"),
+        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("_files"),
     )
-    files = parts.agg(F.count(F.lit(1))).scalar()
     numbered = F.concat(F.lit(f"{base}/"), F.lpad(F.col("part").cast("string"), 6, "0"), F.lit(f".{format}"))
-    return parts.select(
-        "part",
-        F.when(files == 1, F.lit(f"{base}.{format}")).otherwise(numbered).alias("target"),
-        "path",
-        "size",
-    )
+    target = F.when(F.col("_files") == 1, F.lit(f"{base}.{format}")).otherwise(numbered)
+    return parts.select("part", target.alias("target"), "path", "size")
+
+
+def export_files(df: DataFrame, path: str, name: str, format: str = "csv", delimiter: str = ",") -> DataFrame:
+    """Export under the names of :func:`export_manifest` below ``path`` and return the
+    manifest. Files are written aside and moved in tasks once all are whole; a repeated
+    move finds its file in place."""
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    export(df, aside, format, delimiter=delimiter)
+    manifest = materialize(export_manifest(spark, aside, name, format), "export")
+    if path_exists(spark, f"{path}/{escaped_name(name)}.{format}") or path_exists(spark, f"{path}/{escaped_name(name)}"):
+        remove_path(spark, aside)
+        raise FileExistsError(f"{name} is already exported below {path}")
+    system, root = open_filesystem(path)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                source, target = open_filesystem(row["path"])[1], f"{root.rstrip('/')}/{row['target']}"
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                if system.get_file_info(source).is_file:
+                    system.move(source, target)
+            yield batch
+
+    moved = materialize(manifest.mapInArrow(move, manifest.schema), "export")
+    remove_path(spark, aside)
+    return moved.withColumn("path", F.concat(F.lit(path.rstrip("/") + "/"), "target"))
 
 
 # --- output tables -----------------------------------------------------------

@@ -70,8 +70,7 @@ def export_overwrite(spark, sf_dir):
 def export_manifest(spark, sf_dir):
     """Files of an export in at least two parts, without their header lines."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag").repartition(4)
-    path = sinks.export(lines, shared_dir(spark, "export"))
-    manifest = sinks.export_manifest(spark, path, "Order lines (2024)", "csv")
+    manifest = sinks.export_files(lines, shared_dir(spark, "export"), "Order lines (2024)", "csv")
     header = len("l_orderkey,l_returnflag\n")
     return manifest.groupBy(F.split("target", "/")[0].alias("directory")).agg(
         F.bool_and(F.col("target").rlike(r"/\d{6}[.]csv$")).alias("named"),

@@ -79,6 +79,19 @@ def append_record(spark: SparkSession, path: str, record: dict) -> None:
     spark.sql(f"SELECT {columns}", args=record).write.mode("append").json(path)
 
 
+# Folders that ``materialize`` made, by application.
+_INTERMEDIATES: dict[str, list[str]] = {}
+
+
+def remove_intermediates(spark: SparkSession) -> int:
+    """Remove what ``materialize`` wrote in this application. DataFrames that read it can
+    no longer be used, so keep results elsewhere first."""
+    paths = _INTERMEDIATES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -89,5 +102,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    _INTERMEDIATES.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

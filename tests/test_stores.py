@@ -143,6 +143,18 @@ def test_exports(spark):
     sinks.export(times, shared_dir(spark, "e"))
 
 
+def test_export_under_names(spark):
+    path = shared_dir(spark, "e")
+    many = spark.range(30).repartition(4).filter("id <> 3")
+    got = sinks.export_files(many, path, "Of All!", "parquet").collect()
+    assert [r["target"] for r in sorted(got, key=lambda r: r["part"])] == [f"of_all_/{k:06d}.parquet" for k in range(len(got))]
+    assert spark.read.parquet(f"{path}/of_all_").count() == 29
+    one = sinks.export_files(spark.range(3).coalesce(1), path, "one", "csv").collect()
+    assert [r["path"] for r in one] == [f"{path}/one.csv"] and spark.read.csv(one[0]["path"], header=True).count() == 3
+    with pytest.raises(FileExistsError):
+        sinks.export_files(spark.range(3), path, "one", "csv")
+
+
 def test_append_to_a_path_under_another_name(spark):
     path = shared_dir(spark, "o")
     one, two = ("t_" + path[-12:] + x for x in "ab")
