@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.sources.files import open_filesystem
+
 CORRUPT = "_corrupt_record"
 
 
@@ -25,6 +29,7 @@ def read_delimited(
     has_quoted_newlines: bool = False,
     allow_jagged_rows: bool = False,
     skip_bad_records: bool = False,
+    _headers: bool = True,
 ) -> DataFrame:
     """Read delimited files with the upload's dialect.
 
@@ -33,8 +38,26 @@ def read_delimited(
     value that does not cast, is always bad. Bad records raise, or are dropped with
     ``skip_bad_records``. Without ``schema`` the columns stay text, named from the header.
 
+    With a header row and a ``schema``, files are read by their own headers if these are the
+    schema's names in another order; by position if the names are others.
+
     Files with quoted newlines cannot be split, so ship them as many files.
     """
+    if schema is not None and has_header_row and _headers:
+        others = _reordered(spark, path, schema, delimiter, quote_character)
+        if others is not None:
+            dialect = dict(
+                delimiter=delimiter,
+                quote_character=quote_character,
+                escape_character=escape_character,
+                null_markers=null_markers,
+                has_quoted_newlines=has_quoted_newlines,
+                allow_jagged_rows=allow_jagged_rows,
+                skip_bad_records=skip_bad_records,
+                _headers=False,
+            )
+            parts = [read_delimited(spark, files, order, **dialect).select(*[f"`{n}`" for n in schema.names]) for order, files in others]
+            return reduce(DataFrame.unionAll, parts)
     options = {
         "sep": delimiter,
         "header": str(has_header_row).lower(),
@@ -85,6 +108,40 @@ def read_delimited(
     )
 
 
+HEADER_BYTES = 1 << 16
+
+
+def _reordered(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, delimiter: str, quote: str
+) -> list[tuple[T.StructType, list[str]]] | None:
+    """The files by the order of their headers, each with the schema in that order; None if
+    every header has the schema's order, or other names. Tasks read the first line of each
+    file; the driver gets the different headers, and the file names that Spark lists."""
+    files = spark.read.format("text").load(path).inputFiles()
+    if not files:
+        return None
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for uri in batch.column(0).to_pylist():
+                system, name = open_filesystem(uri)
+                with system.open_input_stream(name) as f:
+                    lines.append(f.read(HEADER_BYTES).split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], ["file", "head"])
+
+    tasks = min(len(files), spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(tasks)
+    found = listed.mapInArrow(heads, "file string, head string").groupBy("head").agg(F.collect_list("file").alias("files")).collect()
+    fields, out, moved = {f.name.lower(): f for f in schema}, [], False
+    for r in found:
+        names = [n.strip().lower() for n in next(csv.reader([r["head"]], delimiter=delimiter, quotechar=quote or None), [])]
+        same = sorted(names) == sorted(fields)
+        moved = moved or (same and names != list(fields))
+        out.append((T.StructType([fields[n] for n in names]) if same else schema, r["files"]))
+    return out if moved else None
+
+
 def _field_count(record: Column, delimiter: str, quote: str, escape: str) -> Column:
     """Fields of a raw record: delimiters outside quotes, plus one."""
     if quote:

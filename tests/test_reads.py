@@ -183,3 +183,14 @@ def test_frames(spark):
     assert rows(from_frame(spark, pa.table({"x": [1, 2]}))) == [(1,), (2,)]
     df = spark.range(2)
     assert from_frame(spark, df) is df
+
+
+def test_headers_in_another_order(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,one\n2,two\n")
+    (tmp_path / "y.csv").write_text('"b","A"\r\nthree,3\r\n')
+    (tmp_path / "z.csv").write_text("b,a\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    got = read_delimited(spark, str(tmp_path), schema)
+    assert got.columns == ["a", "b"] and rows(got) == [(1, "one"), (2, "two"), (3, "three")]
+    (tmp_path / "y.csv").write_text("p,q\n3,three\n")
+    assert rows(read_delimited(spark, str(tmp_path), schema)) == [(1, "one"), (2, "two"), (3, "three")]
