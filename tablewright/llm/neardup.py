@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
 from tablewright.llm.components import components
-from tablewright.llm.hashing import MIX, WordHashes, mixed, word_hashes
+from tablewright.llm.hashing import MIX, Bits, WordHashes, mixed, word_hashes
 from tablewright.session import materialize
 
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 5, 80
+BITS = 24  # of the filter for documents whose sets are compared, 2 MB
 
 
 def _borrowing(bins: int) -> np.ndarray:
@@ -98,20 +99,26 @@ def sketches(docs: DataFrame, width: int = WIDTH, bins: int = BINS, rows: int =
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, hashes) for the ``wanted`` (node, doc_id, text_hash) documents."""
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_hash"))
-    source = docs.join(wanted, same).select("node", "_text")
+    """(node, hashes) for the ``wanted`` (node, doc_id, text_hash) documents. Their sets are
+    made where the texts are read, behind a filter of fixed size, so no text is shuffled."""
+    look = Bits.of(wanted.select(F.xxhash64("doc_id", "text_hash").alias("look")), "look", BITS)
+    shared = docs.sparkSession.sparkContext.broadcast(look)
+    source = docs.select("_id", "_key", F.xxhash64("_id", "_key").alias("_look"), "_text")
 
     def make():
-        hashes = word_hashes()
+        hashes, filter_ = word_hashes(), shared.value
 
-        def step(nodes, values):
-            return [nodes, [shingles(hashes, v or "", width).tobytes() for v in values]]
+        def step(ids, keys, looks, values):
+            take = np.flatnonzero(filter_.has(np.array(looks, dtype=np.int64).view(np.uint64)))
+            made = [shingles(hashes, values[i] or "", width).tobytes() for i in take]
+            return [[ids[i] for i in take], [keys[i] for i in take], made]
 
         return step
 
+    made = map_rows(source, make, "_id long, _key long, hashes binary")
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_hash"))
     # a document may be repeated
-    return map_rows(source, make, "node binary, hashes binary").dropDuplicates(["node"])
+    return made.join(wanted, same).select("node", "hashes").dropDuplicates(["node"])
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
