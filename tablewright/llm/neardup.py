@@ -30,7 +30,7 @@ from tablewright.session import materialize
 
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 5, 80
-BITS = 24  # of the filter for documents whose sets are compared, 2 MB
+BITS = 24  # of the filters for buckets and for documents whose sets are compared, 2 MB
 
 
 def _borrowing(bins: int) -> np.ndarray:
@@ -154,11 +154,32 @@ def _apart(compared: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.join(several, "band").join(who, "node").select("band", "member")
 
 
-def _weighed(members: DataFrame) -> DataFrame:
-    """The members (band, node, ...) of buckets with several sets, as (band, member), each
-    with a ``weight``: how many members its buckets have. In a group of copies, what they
-    were copied from shares most buckets and has the largest weight."""
-    sizes = members.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1")
+def _weighed(nodes: DataFrame) -> DataFrame:
+    """The members of buckets with several sets, as (band, member), each with a ``weight``:
+    how many members its buckets have. In a group of copies, what they were copied from
+    shares most buckets and has the largest weight. Most buckets have one member; a filter
+    of fixed size holds these back before the rows are shuffled."""
+    sizes = nodes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1")
+    sizes = materialize(sizes, "sizes")
+    look = nodes.sparkSession.sparkContext.broadcast(Bits.of(sizes, "band", BITS))
+
+    def make():
+        filter_ = look.value
+
+        def step(bands, *columns):
+            out: list[list] = [[] for _ in range(1 + len(columns))]
+            for own, row in zip(bands, zip(*columns, strict=True), strict=True):
+                own = np.array(own, dtype=np.int64)
+                kept = own[filter_.has(own.view(np.uint64))].tolist()
+                out[0] += kept
+                for column, v in zip(out[1:], row, strict=True):
+                    column += [v] * len(kept)
+            return out
+
+        return step
+
+    kind = "node binary, doc_id long, text_hash long, n_shingles long"
+    members = map_rows(nodes.select("bands", "node", "doc_id", "text_hash", "n_shingles"), make, f"band long, {kind}")
     shared = materialize(members.join(sizes, "band"), "shared")
     weights = shared.groupBy("node").agg(F.sum("_n").alias("weight"))
     return shared.join(weights, "node").select("band", F.struct("node", "doc_id", "text_hash", "n_shingles", "weight").alias("member"))
@@ -212,7 +233,7 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles")).alias("own")
     nodes = made.filter("node is not null").groupBy("node").agg(first, F.min(F.struct("node", "bands"))["bands"].alias("bands"))
     nodes = materialize(nodes.select("node", "own.doc_id", "own.text_hash", "own.n_shingles", "bands"), "nodes")
-    members = _weighed(nodes.select(F.explode("bands").alias("band"), "node", "doc_id", "text_hash", "n_shingles"))
+    members = _weighed(nodes)
     stars = materialize(_stars(members), "stars")
     members = stars.select("band", "member")
 
