@@ -1,17 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-Test items and documents are read as sequences of normalized words. Each n-gram of an item
-is counted over all documents; those not much more frequent than is usual for the item are
-its seeds. Where a document has a seed, the passage around it is cut out, meets the seed's
-items in a join, and is aligned with each by Smith and Waterman's recurrence. What scores
-at least a share of a perfect match is a copy, edited or not.
+Test items and documents are read as sequences of normalized words. Every n-gram of an item
+is a seed, however frequent: in a heavily edited copy only frequent ones may be left. Where
+a document has a seed, the passage around it is cut out, meets the seed's items in a join,
+and is aligned with each by Smith and Waterman's recurrence, unless it has too few of the
+item's words for the score. What scores at least a share of a perfect match is a copy,
+edited or not.
 
-Two narrow passes read the texts, and no text is shuffled: tasks get a bit table of fixed
+One narrow pass reads the texts, and no text is shuffled: tasks get a bit table of fixed
 size that stands for the n-grams asked for, and only what it lets pass is joined exactly.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import string
 from functools import cache
@@ -26,7 +28,6 @@ from tablewright.llm.hashing import Bits, WordHashes, runs
 from tablewright.session import materialize
 
 SEED = 3  # words of an n-gram
-RARE = 4  # a seed is at most so many times as frequent as the item's median n-gram
 SCORE = 0.4  # of a perfect match
 BITS = 24  # the bit table has 2 ** BITS bits, 2 MB
 CELLS = 4_000_000  # of one block of alignments
@@ -78,24 +79,6 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(rows, make, "item_id long, n long, words binary, seeds array<long>")
 
 
-def _frequencies(docs: DataFrame, bits: Bits) -> DataFrame:
-    """(seed, df): in how many documents each n-gram that the table lets pass occurs."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
-    def make():
-        words, wanted = _words(), shared.value
-
-        def step(values):
-            grams = [runs(words.of(v), SEED) for v in values]
-            found = [np.unique(g[wanted.has(g)]) for g in grams]
-            seeds, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
-            return [seeds.view(np.int64), counts]
-
-        return step
-
-    return map_rows(docs.select("text"), make, "seed long, df long").groupBy("seed").agg(F.sum("df").alias("df"))
-
-
 def _passages(docs: DataFrame, bits: Bits, margin: int) -> DataFrame:
     """(doc_id, text_hash, start, words, seeds): the passages with seeds, each reaching
     ``margin`` words beyond them on both sides; passages that touch are one."""
@@ -156,7 +139,10 @@ def _aligned(pairs: DataFrame, score: float) -> DataFrame:
             a = [np.frombuffer(t, np.uint64) for t in targets]
             b = [np.frombuffer(p, np.uint64) for p in passages]
             best, begin, end = (np.zeros(len(a), np.int64) for _ in range(3))
-            order, block = sorted(range(len(a)), key=lambda k: len(b[k])), []
+            size = np.array([len(x) for x in a])
+            # no alignment agrees in more words than the item has in the passage
+            most = np.array([np.isin(x, y).sum() for x, y in zip(a, b, strict=True)])
+            order, block = sorted(np.flatnonzero(most / size >= score).tolist(), key=lambda k: len(b[k])), []
             for k in [*order, None]:
                 if block and (k is None or (len(block) + 1) * (len(b[k]) + 1) > CELLS):
                     x, y = [a[i] for i in block], [b[i] for i in block]
@@ -168,7 +154,7 @@ def _aligned(pairs: DataFrame, score: float) -> DataFrame:
                 if k is not None:
                     block.append(k)
             at = np.array(starts, dtype=np.int64)
-            share = best / np.array([len(x) for x in a])
+            share = best / size
             good = np.flatnonzero(share >= score)
             pick = lambda column: [column[i] for i in good]
             return [pick(ids), pick(keys), pick(items), share[good].round(4), (at + begin)[good], (at + end)[good]]
@@ -188,18 +174,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, id
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     items = materialize(_items(benchmark, item_col, item_text_col), "items")
-    grams = items.select("item_id", F.explode("seeds").alias("seed"))
+    grams = materialize(items.select("item_id", F.explode("seeds").alias("seed")), "seeds")
     longest = items.agg(F.max("n")).first()[0] or 0
-
-    counted = _frequencies(source, Bits.of(grams, "seed", BITS))
-    known = grams.join(counted, "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    known = materialize(known, "seeds")
-    usual = known.groupBy(F.col("item_id").alias("_item")).agg(F.percentile("df", F.lit(0.5)).alias("_usual"))
-    rare = known.join(usual, F.col("item_id").eqNullSafe(F.col("_item"))).filter((F.col("df") > 0) & (F.col("df") <= F.greatest("_usual", F.lit(1)) * RARE))
-    rare = materialize(rare.select("item_id", "seed"), "rare")
-
-    found = materialize(_passages(source, Bits.of(rare, "seed", BITS), longest + longest // 4), "passages")
-    met = found.select("doc_id", "text_hash", "start", F.explode("seeds").alias("seed")).join(rare, "seed").select("doc_id", "text_hash", "start", "item_id").distinct()
+    # a passage has as many words as agree, and at most 1 - score of the item's besides
+    margin = longest + math.ceil(longest * (1 - score))
+    found = materialize(_passages(source, Bits.of(grams, "seed", BITS), margin), "passages")
+    met = found.select("doc_id", "text_hash", "start", F.explode("seeds").alias("seed")).join(grams, "seed").select("doc_id", "text_hash", "start", "item_id").distinct()
     same = F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("p.text_hash") == F.col("m.text_hash")) & (F.col("p.start") == F.col("m.start"))
     passages = found.dropDuplicates(["doc_id", "text_hash", "start"]).drop("seeds")
     pairs = passages.alias("p").join(met.alias("m"), same).select("p.*", "m.item_id")

@@ -55,3 +55,17 @@ def test_against_all_pairs(spark, nothing):
     assert got == want and len(want) >= 15
     assert decontaminate.contaminated(nothing, right).isEmpty()
     assert decontaminate.contaminated(left, right.limit(0)).isEmpty()
+
+
+def test_edited_copies_in_many_documents(spark):
+    """Edited so that few n-grams are left, each in as many documents as there are copies."""
+    item = [f"i{k}" for k in range(30)]
+    edited = [f"x{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    docs = [(k, " ".join([f"a{k}n{j}" for j in range(40)] + edited + [f"b{k}n{j}" for j in range(40)])) for k in range(12)]
+    docs += [(50, " ".join(item)), (51, " ".join(item[:13])), (52, " ".join(item[:11]))]
+    # spread over more words than the item has
+    spread = item[:3] + [w for k in range(3, 30) for w in ([f"y{k}"] if k % 2 else []) + [item[k]]]
+    docs += [(53, " ".join(spread))]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {r["doc_id"]: r["score"] for r in found} == {**{k: 0.5333 for k in range(12)}, 50: 1.0, 51: 0.4333, 53: 0.5333}
