@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
-from tablewright.llm.hashing import Bits, runs
+from tablewright.llm.hashing import Bits, runs, word_hashes
 from tablewright.session import materialize
 
 RUN = 3  # sentences of a run
-WORDS = 24  # longer sentences are cut after so many words
+WORDS = 24  # longer sentences are cut in pieces
+NEAR = 3  # a piece begins at the least hash among so many words on both sides
+PIECE = 12  # words of a piece, about: where no word is such a least one, the next is cut off
 BITS = 24
 LAST = (1 << 63) - 1
 
@@ -32,21 +34,47 @@ _END = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"\S+")
 
 
+def pieces(words: list[str]) -> list[int]:
+    """Where the pieces of a long sentence begin. Equal words are cut alike, wherever in
+    the sentence they stand: a piece begins at a word whose hash, taken with the next word,
+    is less than those of the NEAR words before it and not more than those behind it. A
+    piece has more than NEAR words. Where there is no such word for PIECE words, as in
+    repeated ones, it begins at the least of these."""
+    data = " ".join(words).lower().encode("utf-8", "surrogatepass").split(b" ")
+    keys = word_hashes().runs(data, 2)
+    n = len(keys)
+    padded = np.full(n + 2 * NEAR, np.iinfo(np.uint64).max, dtype=np.uint64)
+    padded[NEAR : NEAR + n] = keys
+    least = np.ones(n, dtype=bool)
+    for k in range(NEAR):
+        least &= (keys < padded[k : k + n]) & (keys <= padded[NEAR + 1 + k : NEAR + 1 + k + n])
+    out = [0]
+    for at in [*np.flatnonzero(least).tolist(), len(words)]:
+        while at - out[-1] > PIECE:
+            a = out[-1] + NEAR + 1
+            out.append(a + int(keys[a : min(out[-1] + PIECE, at - NEAR - 1) + 1].argmin()))
+        if NEAR < at - out[-1] and at < len(words):
+            out.append(at)
+    return out
+
+
 def sentences(text: str) -> tuple[list[int], np.ndarray]:
     """(where each sentence begins, a 128-bit hash of each as two numbers). A sentence ends
-    with ``.``, ``!`` or ``?`` before white space, with a line, or after WORDS words;
-    white space and case do not matter to its hash. The first begins at 0."""
+    with ``.``, ``!`` or ``?`` before white space, or with a line; of more than WORDS
+    words, its :func:`pieces` count as sentences. White space and case do not matter to
+    its hash. The first begins at 0."""
     starts, hashes, begin = [], [], 0
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         words = text[begin:end].split()
         if len(words) > WORDS:
-            at = [m.start() + begin for m in _WORD.finditer(text[begin:end])][::WORDS]
-            at[0] = begin
+            cuts = pieces(words)
+            places = [m.start() + begin for m in _WORD.finditer(text[begin:end])]
+            at = [begin, *(places[k] for k in cuts[1:])]
         else:
-            at = [begin] if words else []
-        for k, start in enumerate(at):
+            cuts, at = [0], [begin] if words else []
+        for start, a, b in zip(at, cuts, [*cuts[1:], len(words)]):
             starts.append(start)
-            hashes.append(xxhash.xxh3_128_digest(" ".join(words[k * WORDS : (k + 1) * WORDS]).lower().encode("utf-8", "surrogatepass")))
+            hashes.append(xxhash.xxh3_128_digest(" ".join(words[a:b]).lower().encode("utf-8", "surrogatepass")))
         begin = end
     if starts:
         starts[0] = 0

@@ -94,3 +94,25 @@ def test_sentences_against_brute_force(spark, nothing):
     assert len(got) == len(want)
     assert sorted((tuple(r[c] for c in columns) for r in got), key=str) == sorted(want, key=str)
     assert sentences.without_repeats(nothing).isEmpty()
+
+
+def test_passages_at_any_offset_of_a_long_line(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    prose = lambda n: [word() for _ in range(n)]
+    for passage in [*(prose(50) for _ in range(300)), ["on", "off"] * 25, ["a", "b", "c"] * 17, ["x"] * 50]:
+        found = []
+        for before, after in ((5, 40), (17, 3), (0, 9), (30, 0)):
+            words = prose(before) + passage + prose(after)
+            cuts = sentences.pieces(words)
+            edges = [cuts[k : k + 4] for k in range(len(cuts) - 3) if cuts[k] >= before and cuts[k + 3] <= before + len(passage)]
+            found.append({tuple(tuple(words[a:b]) for a, b in zip(e, e[1:])) for e in edges})
+        assert set.intersection(*found)
+    passage = prose(200)
+    rows = [(k, " ".join(prose(5 + 12 * k) + passage + prose(7 * k))) for k in range(4)]
+    rows += [(10, " ".join(passage[:51])), (11, " ".join(passage[:51] + prose(30)))]
+    got = {r["doc_id"]: r for r in sentences.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0]["n_removed"] == 0
+    middle = passage[20:180]
+    assert all(not set(middle) & set(got[k]["kept"].split()) for k in (1, 2, 3))
+    assert all(not set(passage[20:30]) & set(got[k]["kept"].split()) for k in (10, 11))
