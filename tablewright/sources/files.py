@@ -97,16 +97,18 @@ def _open_each(files: DataFrame, directory: str, read: Callable, columns: str) -
     return files.repartition(tasks).mapInArrow(run, schema)
 
 
-def stream_hashes(files: DataFrame, directory: str) -> DataFrame:
-    """Adds ``md5_hash`` to listed files; tasks read each file in pieces, of any size."""
+def stream_hashes(files: DataFrame, directory: str, start_byte: int = 0, name: str = "md5_hash") -> DataFrame:
+    """Adds the ``md5_hash`` of all bytes from ``start_byte`` on to listed files; tasks read
+    each file in pieces, of any size."""
 
     def read(f, row):
         md5 = hashlib.md5()
+        f.seek(min(start_byte, f.size()))
         while piece := f.read(PIECE_BYTES):
             md5.update(piece)
         yield (base64.b64encode(md5.digest()).decode(),)
 
-    return _open_each(files, directory, read, "md5_hash string")
+    return _open_each(files, directory, read, f"{name} string")
 
 
 def stream_range(files: DataFrame, directory: str, start_byte: int = 0, end_byte: int | None = None, name: str = "content") -> DataFrame:

@@ -221,3 +221,24 @@ def test_file_specs(spark, tmp_path):
         raw.file_specs(spark, [{"data": b""}])
     (tmp_path / "x.txt").write_text("hi")
     assert rows(raw.file_paths(spark, [str(tmp_path / "x.txt")]).select("name", "size")) == [("x.txt", 2)]
+
+
+def test_digest_of_an_open_range_larger_than_a_cell(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from tablewright.plans import indexes
+
+    folder = tmp_path / "source=a" / "lang=b"
+    folder.mkdir(parents=True)
+    size = (1 << 31) + 100  # sparse
+    with open(folder / "large.txt", "wb") as f:
+        f.write(b"0123456789" * 3)
+        f.truncate(size)
+    monkeypatch.setattr(indexes, "_written", lambda spark, sf_dir: str(tmp_path))
+    (row,) = indexes.file_read_range(spark, "").collect()
+    want, left, zeros = hashlib.md5(b"0123456789"), size - 30, bytes(1 << 22)
+    while left:
+        want.update(zeros[:left])
+        left -= min(left, len(zeros))
+    assert row["rest"] == want.hexdigest() and bytes(row["head"][:10]) == b"0123456789"
+    assert (row["source"], row["lang"], bytes(row["inner_part"])) == ("a", "b", bytes(20))
