@@ -47,6 +47,14 @@ MORE = (
     Rule("login_url", r"[a-z]{2,12}://[A-Za-z0-9._-]+:[^\x20\x09-\x0D/@]{3,}@[A-Za-z0-9.-]+"),
 )
 
+# What is replaced: for a key, the lines behind its header too. Up to the END line no dash
+# may come but those of header fields; without an END line, the lines of base64 that follow.
+_FIELDS = r"(?:\s*(?:Proc-Type|DEK-Info|Version|Comment): [^\r\n]*)*"
+# These are one repeated class, as the engine's stack grows with a repeated group.
+_LINES = r"[A-Za-z0-9+/=\s\\]*(?<=[A-Za-z0-9+/=]{20})(?:[\r\n]+[\t ]*[A-Za-z0-9+/]+={0,2}[\t ]*(?![^\r\n]))?"
+_KEY = rf"{_FIELDS}(?:[^-]*-----END [A-Z ]{{0,24}}PRIVATE KEY-----|{_LINES})"
+WHOLE = tuple(Rule(r.kind, rf"{r.pattern}(?:{_KEY})?") if r.kind == "key_block" else r for r in BASE + MORE)
+
 Alternatives = frozenset[frozenset[str]]
 
 
@@ -226,10 +234,10 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each span replaced by ``mark``, overlapping spans by one, and the
-    column ``length_col`` set to the new length. Rows without a span, those with a null
+    column ``length_col`` set to the new length. Private keys go with their body. Rows without a span, those with a null
     text among them, stay as they are."""
     (column,) = fresh(docs, "secrets")
-    rows = scanned(docs, id_col=id_col, text_col=text_col, column=column)
+    rows = scanned(docs, WHOLE, id_col=id_col, text_col=text_col, column=column)
     text = F.col(text_col)
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
