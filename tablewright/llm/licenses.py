@@ -247,7 +247,7 @@ docs AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}'), lambda x: x <> '') AS words
   FROM documents),
 places AS (
-  SELECT * FROM (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS at FROM docs)
+  SELECT * FROM (SELECT n, unnest(words) AS word, unnest(range(len(words))) AS pos FROM docs)
   WHERE word IN (SELECT word FROM postings)),
 -- of rows that repeat id and text, all count for frequencies as one
 frequency AS (
@@ -257,7 +257,7 @@ weighted AS (
   FROM postings p LEFT JOIN frequency USING (word)),
 totals AS (SELECT unit, sum(weight) AS total FROM weighted GROUP BY unit),
 met AS (
-  SELECT n, unit, label, role, size, at - place AS start, count(*) AS k, sum(weight) AS weight, max((weight, word)) AS best
+  SELECT n, unit, label, role, size, pos - place AS start, count(*) AS k, sum(weight) AS weight, max((weight, word)) AS best
   FROM places JOIN weighted USING (word) GROUP BY ALL),
 found AS (
   SELECT met.*, weight / total AS share FROM met JOIN totals USING (unit)

@@ -182,7 +182,44 @@ def resampled(
     return drawn.unionByName(rest).select("doc_id", "n_words", "n_features", "weight", "score", "rank")
 
 
-@register("op12_bit_sliced")
+# The checksum is taken byte by byte with a table that is made from its polynomial.
+REPORT_SQL = rf"""
+WITH crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tbl
+  FROM (SELECT unnest(range(256)) AS i)),
+texts AS (
+  SELECT row_number() OVER () AS n, doc_id, text FROM documents
+  UNION ALL SELECT -row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+  SELECT n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts),
+features AS (
+  SELECT n, unnest(words || list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS feature FROM split),
+hashed AS (
+  SELECT feature, xor(list_reduce([4294967295] || list_transform(range(len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1 : 2 * i + 2] AS BIGINT)),
+    lambda c, b: xor(c >> 8, tbl[(xor(c, b) & 255) + 1])), 4294967295) % {BUCKETS} AS bucket
+  FROM (SELECT DISTINCT feature, hex(feature) AS h FROM features), crc),
+counted AS (SELECT n, bucket, count(*) AS k FROM features JOIN hashed USING (feature) GROUP BY ALL),
+totals AS (SELECT bucket, sum(k) FILTER (n > 0) AS s, sum(k) FILTER (n < 0) AS t FROM counted GROUP BY bucket),
+every AS (SELECT sum(s)::DOUBLE AS s_all, coalesce(sum(t), 0)::DOUBLE AS t_all FROM totals),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + {BUCKETS}) / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + {BUCKETS})))) AS BIGINT) AS g
+  FROM totals, every),
+sums AS (SELECT n, sum(k) AS n_features, sum(k * g) AS total FROM counted JOIN gain USING (bucket) GROUP BY n),
+weighed AS (
+  SELECT n, doc_id, len(words) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    CAST('0x' || sha256('{SEED}:' || coalesce(doc_id::VARCHAR, 'null'))[1:8] AS BIGINT) AS h
+  FROM split LEFT JOIN sums USING (n) WHERE n > 0),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weighed),
+ranked AS (
+  SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features, n_words) AS rank, count(*) OVER () AS fit
+  FROM scored WHERE n_words >= {LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {DRAWN} * fit // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (n)
+"""
+
+
+@register("op12_bit_sliced", REPORT_SQL)
 def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
