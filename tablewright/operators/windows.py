@@ -2,8 +2,8 @@
 
 ``recycled`` aggregates (partial before the shuffle) and joins the group values back.
 The ordered functions range-partition the rows by group *and* order, so that a large group
-spans many blocks, work inside the blocks, and add what came before each block. There is
-one path and one result schema for tables of any size. A caller who knows that each group
+spans many blocks, work inside the blocks, and add what came before each block: the rows
+move once. There is one path and one result schema for tables of any size. A caller who knows that each group
 fits a task may say so with ``groups_fit=True`` and gets plain windows with the same result.
 
 ``order`` takes column names, ascending with nulls first, or :class:`By` for another
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from tablewright.functions import aggregate as agg
-from tablewright.session import materialize
+from tablewright.session import materialize, materialize_blocks
 
-BLOCK_ROWS = 1_000_000  # rows of a block where rows are numbered first
+BLOCK_ROWS = 1_000_000  # rows of a cell where rows are numbered first
 Keys = Sequence[str]
 
 
@@ -100,6 +100,68 @@ def win_absent(function: str):
     raise NotImplementedError(f"{function}() is not available as a window function")
 
 
+# --- blocks ------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """Rows range-partitioned by group and order and written once, a file for each block.
+
+    The files are read back as buckets, so windows and aggregates over (keys, block) run
+    where a block is read: the rows move once. What the blocks hold of the groups that span
+    several of them is carried by one row for each such group and block, at most two a block.
+    """
+
+    rows: DataFrame
+    keys: list[str]
+    order: list[By]
+
+    PLACE = ("_block", "_bucket")
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: str | Keys, order: Order) -> Blocks:
+        keys, order = _names(keys), _orders(order)
+        # the tie breaker lets a long run of equal rows span blocks too
+        rows = df.withColumn("_tie", F.monotonically_increasing_id())
+        sorts = [*[F.col(k) for k in keys], *_sorts(order), F.col("_tie")]
+        return cls(materialize_blocks(rows, "blocks", sorts, *cls.PLACE), keys, order)
+
+    def group(self) -> WindowSpec:
+        """A group's rows in a block."""
+        return Window.partitionBy(*self.keys, *self.PLACE)
+
+    def ordered(self, ties: bool = False) -> WindowSpec:
+        """The same in order; with ``ties``, rows equal in it are peers."""
+        return self.group().orderBy(*_sorts(self.order), *([] if ties else ["_tie"]))
+
+    def totals(self, rows: DataFrame, **values: Column) -> DataFrame:
+        """Aggregates by group and block, for the first and the last group of each block:
+        no other can span blocks."""
+        found = rows.groupBy(*self.keys, *self.PLACE).agg(*[v.alias(k) for k, v in values.items()])
+        block = Window.partitionBy(*self.PLACE)
+        place = F.row_number().over(block.orderBy(*(self.keys or [F.lit(0)])))
+        found = found.withColumns({"_place": place, "_groups": F.count(F.lit(1)).over(block)})
+        return found.where((F.col("_place") == 1) | (F.col("_place") == F.col("_groups"))).drop("_place", "_groups", "_bucket")
+
+    def along(self) -> WindowSpec:
+        """The blocks of a group, in order."""
+        return Window.partitionBy(*self.keys).orderBy("_block")
+
+    def carried(self, totals: DataFrame, **values: Column) -> DataFrame:
+        """(keys, block, values) of the groups that span blocks."""
+        blocks = F.count(F.lit(1)).over(Window.partitionBy(*self.keys))
+        found = totals.withColumns({**values, "_blocks": blocks}).where("_blocks > 1")
+        return materialize(found.select(*self.keys, "_block", *values), "carried")
+
+    def with_carried(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
+        # two rows a block at most, so it is small next to what one task reads
+        return join_back(rows, F.broadcast(carried), [*self.keys, "_block"])
+
+
+BEFORE = (Window.unboundedPreceding, -1)
+ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 # --- running measures --------------------------------------------------------
 
 # kind -> (running expression, block total, combination with what came before)
@@ -147,39 +209,25 @@ def running(
         w = Window.partitionBy(*keys).orderBy(*_sorts(order)).rowsBetween(*frame)
         return df.withColumns({k: _over(kind, x, w) for k, (kind, x) in exprs.items()})
 
-    # The tie breaker lets a long run of equal rows span blocks too. What a block holds
-    # is written once with its running values, so that it is the same for all later uses.
-    sorts = [*_sorts(order), F.col("_tie")]
-    blocks = df.withColumns({f"_x_{k}": x for k, (_, x) in exprs.items()}).withColumn("_tie", F.monotonically_increasing_id())
-    ranged = blocks.repartitionByRange(*[F.col(k) for k in keys], *sorts).withColumn("_block", F.spark_partition_id())
-    w = Window.partitionBy(*keys, "_block").orderBy(*sorts)
-    local = ranged.withColumns({k: _over(kind, F.col(f"_x_{k}"), w.rowsBetween(*frame)) for k, (kind, _) in exprs.items()})
-    local = materialize(local.withColumn("_nth", F.row_number().over(w)).drop("_tie"), "blocks")
-
-    totals = local.groupBy(*keys, "_block").agg(
-        *[
-            (F.max_by(k, "_nth") if kind == "last" else _total(kind, F.col(f"_x_{k}"))).alias(f"_t_{k}")
+    blocks = Blocks.of(df.withColumns({f"_x_{k}": x for k, (_, x) in exprs.items()}), keys, order)
+    w = blocks.ordered()
+    local = blocks.rows.withColumns({k: _over(kind, F.col(f"_x_{k}"), w.rowsBetween(*frame)) for k, (kind, _) in exprs.items()})
+    lasts = any(kind == "last" for kind, _ in exprs.values())
+    totals = blocks.totals(
+        local.withColumn("_nth", F.row_number().over(w)) if lasts else blocks.rows,
+        **{
+            f"_t_{k}": F.max_by(k, "_nth") if kind == "last" else _total(kind, F.col(f"_x_{k}"))
             for k, (kind, _) in exprs.items()
-        ]
+        },
     )
-    # Per group at most one row per block, so this window is small for any group.
-    by = Window.partitionBy(*keys).orderBy("_block")
-    earlier = by.rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        *keys,
-        "_block",
-        F.row_number().over(by).alias("_from"),
-        *[
-            _over("sum" if kind == "count" else kind, F.col(f"_t_{k}"), earlier).alias(f"_b_{k}")
-            for k, (kind, _) in exprs.items()
-        ],
-    ).where("_from > 1")
-    # A block can continue one group only (its first), so at most one row per block is
-    # left; it is written, so that the planner knows how small it is.
-    joined = join_back(local, materialize(before.drop("_from"), "carried"), [*keys, "_block"])
-    return joined.withColumns(
-        {k: _COMBINE[kind](F.col(f"_b_{k}"), F.col(k)) for k, (kind, _) in exprs.items()}
-    ).drop("_block", "_nth", *[f"_x_{k}" for k in exprs], *[f"_b_{k}" for k in exprs])
+    earlier = blocks.along().rowsBetween(*BEFORE)
+    carried = blocks.carried(
+        totals,
+        **{f"_b_{k}": _over("sum" if kind == "count" else kind, F.col(f"_t_{k}"), earlier) for k, (kind, _) in exprs.items()},
+    )
+    joined = blocks.with_carried(local, carried)
+    combined = joined.withColumns({k: _COMBINE[kind](F.col(f"_b_{k}"), F.col(k)) for k, (kind, _) in exprs.items()})
+    return combined.select(*df.columns, *[k for k in exprs if k not in df.columns])
 
 
 def cumulative(df, keys, order, x: str, groups_fit: bool = False) -> DataFrame:
@@ -198,35 +246,68 @@ def ranked(df: DataFrame, keys: str | Keys, order: Order, buckets: int = 4, grou
     arbitrarily, as everywhere.
     """
     keys, by = _names(keys), _orders(order)
-    names = list(dict.fromkeys([*keys, *(o.column for o in by)]))
     if groups_fit:
         w = Window.partitionBy(*keys).orderBy(*_sorts(by))
         values = (F.row_number(), F.rank(), F.dense_rank(), F.percent_rank(), F.cume_dist(), F.ntile(buckets))
         kinds = ("bigint", "bigint", "bigint", "double", "double", "bigint")
         return df.withColumns({n: v.over(w).cast(t) for n, v, t in zip(RANKS, values, kinds, strict=True)})
-    # Peers collapse first: a run of equal rows is one row here, however long.
-    peers = materialize(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_peers")), "peers")
-    sizes = materialize(peers.groupBy(*keys).agg(F.sum("_peers").alias("_rows")), "groups")
-    peers = running(peers, keys, by, {"_upto": ("sum", "_peers"), "_dense": ("count", F.lit(1))})
-    peers = materialize(join_back(peers, sizes, keys), "peers")
-    out = join_back(running(df, keys, by, {"_rn": ("count", F.lit(1))}), peers, names)
-    low, high, rows = F.col("_upto") - F.col("_peers"), F.col("_upto"), F.col("_rows")
+    blocks = Blocks.of(df, keys, by)
+    w, group = blocks.ordered(ties=True), blocks.group()
+    upto = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    local = {"_rn": F.row_number().over(w), "_rank": F.rank().over(w), "_dense": F.dense_rank().over(w)}
+    local = blocks.rows.withColumns({**local, "_upto": upto, "_rows": F.count(F.lit(1)).over(group)})
+    value = F.struct(*[o.column for o in by]) if by else F.struct(F.lit(0))
+    found = blocks.totals(
+        local,
+        n=F.max("_rn").cast("bigint"),
+        values=F.max("_dense"),
+        first=F.min_by(value, "_rn"),
+        last=F.max_by(value, "_rn"),
+        n_first=F.count_if(F.col("_dense") == 1),
+        n_last=F.max("_rn") - F.max("_rank") + 1,
+    )
+    # A run of equal rows may span blocks: ``joined`` says that it came from the block
+    # before, ``goes_on`` that it goes on in the next one.
+    along = blocks.along()
+    before, upto_here = along.rowsBetween(*BEFORE), along.rowsBetween(Window.unboundedPreceding, 0)
+    after = along.rowsBetween(1, Window.unboundedFollowing)
+    zero = F.lit(0).cast("bigint")
+    found = found.withColumns({"before": F.coalesce(F.sum("n").over(before), zero), "joined": F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(along)), F.lit(False))})
+    found = found.withColumn("goes_on", F.coalesce(F.lead("joined").over(along), F.lit(False)))
+    begins = F.when((F.col("values") > 1) | ~F.col("joined"), F.col("before") + F.col("n") - F.col("n_last") + 1)
+    ends = F.when((F.col("values") > 1) | ~F.col("goes_on"), F.col("before") + F.col("n_first"))
+    found = found.withColumns({"begins": begins, "ends": ends})
+    carried = blocks.carried(
+        found,
+        _b_rows=F.col("before"),
+        _b_dense=F.coalesce(F.sum("values").over(before), zero) - F.sum(F.col("joined").cast("int")).over(upto_here),
+        _b_first=F.when(F.col("joined"), F.last("begins", ignorenulls=True).over(before)),
+        _b_last=F.when(F.col("goes_on"), F.first("ends", ignorenulls=True).over(after)),
+        _b_values=F.col("values"),
+        _b_all=F.sum("n").over(Window.partitionBy(*keys)),
+    )
+    out = blocks.with_carried(local, carried)
+    out = out.withColumn("_b_rows", F.coalesce("_b_rows", zero))
+    rows = F.coalesce("_b_all", "_rows")
+    first_run, last_run = F.col("_dense") == 1, F.col("_dense") == F.col("_b_values")
+    low = F.coalesce(F.when(first_run, F.col("_b_first")), F.col("_b_rows") + F.col("_rank")) - 1
+    high = F.coalesce(F.when(last_run, F.col("_b_last")), F.col("_b_rows") + F.col("_upto"))
+    at = F.col("_b_rows") + F.col("_rn") - 1
     size = F.floor(rows / buckets).cast("bigint")
     larger = rows % buckets
-    at = F.col("_rn") - 1
     bucket = F.when(at < larger * (size + 1), F.floor(at / (size + 1)) + 1).otherwise(
         F.floor((at - larger * (size + 1)) / F.nullif(size, F.lit(0))) + larger + 1
     )
-    return out.withColumns(
-        {
-            "row_number": F.col("_rn"),
-            "rank": low + 1,
-            "dense_rank": F.col("_dense"),
-            "percent_rank": F.when(rows > 1, low / F.nullif(rows - 1, F.lit(0))).otherwise(F.lit(0.0)),
-            "cume_dist": high / rows,
-            "ntile": bucket.cast("bigint"),
-        }
-    ).drop("_upto", "_peers", "_rows", "_dense", "_rn")
+    values = {
+        "row_number": at + 1,
+        "rank": low + 1,
+        "dense_rank": (F.coalesce("_b_dense", zero) + F.col("_dense")).cast("bigint"),
+        "percent_rank": F.when(rows > 1, low / F.nullif(rows - 1, F.lit(0))).otherwise(F.lit(0.0)),
+        "cume_dist": high / rows,
+        "ntile": bucket.cast("bigint"),
+    }
+    kept = [c for c in df.columns if c not in RANKS]
+    return out.select(*kept, *[v.alias(k) for k, v in values.items()])
 
 
 def framed(
@@ -241,12 +322,12 @@ def framed(
 ) -> DataFrame:
     """Aggregates over ``before`` rows before to ``after`` rows after the current one.
 
-    Rows are numbered and cut into blocks of ``block_rows``; each block also gets the few
-    rows its frames reach into.
+    Rows whose frame lies in their block are done there. The few others, near the edges of
+    blocks, are cut into cells of ``block_rows`` with what their frames reach into.
     """
 
-    def over(w: WindowSpec) -> dict[str, Column]:
-        frame = w.rowsBetween(-before, after)
+    def over(w: WindowSpec, numbered: bool) -> dict[str, Column]:
+        frame = (w.rangeBetween if numbered else w.rowsBetween)(-before, after)
         return {k: v.over(frame) for k, v in values.items()}
 
     return _blocked(df, _names(keys), order, before, after, over, block_rows, groups_fit)
@@ -263,28 +344,54 @@ def shifted(
 ) -> DataFrame:
     """``lag`` and ``lead`` columns: new column -> (column, rows away)."""
     lags, leads = lags or {}, leads or {}
+    away = {k: (x, -n) for k, (x, n) in lags.items()} | {k: (x, n) for k, (x, n) in leads.items()}
 
-    def over(w: WindowSpec) -> dict[str, Column]:
-        return {
-            **{k: F.lag(x, n).over(w) for k, (x, n) in lags.items()},
-            **{k: F.lead(x, n).over(w) for k, (x, n) in leads.items()},
-        }
+    def over(w: WindowSpec, numbered: bool) -> dict[str, Column]:
+        if numbered:
+            return {k: F.first(x).over(w.rangeBetween(n, n)) for k, (x, n) in away.items()}
+        return {k: F.lead(x, n).over(w) for k, (x, n) in away.items()}
 
-    back = max([n for _, n in lags.values()], default=0)
-    ahead = max([n for _, n in leads.values()], default=0)
-    return _blocked(df, _names(keys), order, back, ahead, over, block_rows, groups_fit)
+    back, ahead = max([-n for _, n in away.values()], default=0), max([n for _, n in away.values()], default=0)
+    return _blocked(df, _names(keys), order, max(back, 0), max(ahead, 0), over, block_rows, groups_fit)
 
 
 def _blocked(df, keys, order, before, after, over, block_rows, groups_fit) -> DataFrame:
+    """``over(window, numbered)`` gives the values; ``numbered`` windows are ordered by the
+    rows' numbers in their group, some of which may be missing."""
     if groups_fit:
-        return df.withColumns(over(Window.partitionBy(*keys).orderBy(*_sorts(order))))
+        return df.withColumns(over(Window.partitionBy(*keys).orderBy(*_sorts(order)), False))
+    blocks = Blocks.of(df, keys, order)
+    along, one = blocks.along(), F.lit(1)
+    count = F.count(one).over(along.rowsBetween(*BEFORE))
+    carried = blocks.carried(
+        blocks.totals(blocks.rows, n=F.count(one)),
+        _b_n=F.coalesce(F.sum("n").over(along.rowsBetween(*BEFORE)), F.lit(0)),
+        _earlier=count > 0,
+        _later=F.lead("n").over(along).isNotNull(),
+    )
+    numbers = {"_rn": F.row_number().over(blocks.ordered()).cast("bigint"), "_rows": F.count(one).over(blocks.group())}
+
+    def near(rows: int, ahead: int) -> Column:
+        """Within so many rows after the block before, or before the next one."""
+        reaches = (F.col("_earlier") & (F.col("_rn") <= rows)) | (F.col("_later") & (F.col("_rn") > F.col("_rows") - ahead))
+        return F.coalesce(reaches, F.lit(False))
+
+    made = list(over(blocks.ordered(), False))
+    columns = [*[c for c in df.columns if c not in made], *made]
+    inner = blocks.with_carried(blocks.rows.withColumns({**numbers, **{f"_v_{k}": v for k, v in over(blocks.ordered(), False).items()}}), carried)
+    inner = inner.where(~near(before, after))
+    inner = inner.select(*[F.col(f"_v_{c}").alias(c) if c in made else c for c in columns])
+    reach = before + after
+    edge = blocks.with_carried(blocks.rows.withColumns(numbers), carried).where(near(reach, reach))
+    edge = edge.withColumns({"_wanted": near(before, after), "_rn": F.col("_b_n") + F.col("_rn")})
     size = max(block_rows, before, after, 1)
-    numbered = running(df, keys, order, {"_rn": ("count", F.lit(1))})
     home = F.floor((F.col("_rn") - 1) / size)
     first, last = F.floor((F.col("_rn") - 1 - after) / size), F.floor((F.col("_rn") - 1 + before) / size)
-    copies = numbered.withColumn("_home", home).withColumn("_at", F.explode(F.sequence(first, last)))
-    out = copies.withColumns(over(Window.partitionBy(*keys, "_at").orderBy("_rn")))
-    return out.where(F.col("_home") == F.col("_at")).drop("_rn", "_home", "_at")
+    copies = edge.withColumn("_home", home).withColumn("_at", F.explode(F.sequence(first, last)))
+    cell = Window.partitionBy(*keys, "_at").orderBy("_rn")
+    copies = copies.withColumns({f"_v_{k}": v for k, v in over(cell, True).items()})
+    copies = copies.where(F.col("_wanted") & (F.col("_home") == F.col("_at")))
+    return inner.unionByName(copies.select(*[F.col(f"_v_{c}").alias(c) if c in made else c for c in columns]))
 
 
 def measured(df: DataFrame, column: str, *lengths) -> tuple[Column, list]:
@@ -357,24 +464,30 @@ def nth_values(df: DataFrame, keys: str | Keys, order: Order, x: str, n: int = 2
 def quantiles(df: DataFrame, keys: str | Keys, x: str, probabilities: Mapping[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group; a group of only nulls has null quantiles.
 
-    It works on the counts of distinct values and their running sum, so that no task
-    holds a group's values.
+    The values are numbered in blocks, and each task passes on those at the wanted places.
     """
     keys = _names(keys)
-    counts = materialize(df.groupBy(*keys, x).agg(F.count(x).alias("_n")), "counts")
-    sizes = materialize(counts.groupBy(*keys).agg(F.sum("_n").alias("_rows")), "groups")
-    upto = join_back(running(counts, keys, x, {"_upto": ("sum", "_n")}), sizes, keys)
-
-    value = F.col(x).cast("double")
+    blocks = Blocks.of(df.select(*keys, x), keys, x)
+    nonnull, every = F.count(x), Window.partitionBy(*keys)
+    carried = blocks.carried(
+        blocks.totals(blocks.rows, n=nonnull),
+        _b_n=F.coalesce(F.sum("n").over(blocks.along().rowsBetween(*BEFORE)), F.lit(0)),
+        _b_all=F.sum("n").over(every),
+    )
+    here = blocks.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = blocks.rows.withColumns({"_nth": nonnull.over(here), "_n": nonnull.over(blocks.group())})
+    rows = blocks.with_carried(local, carried)
+    nth = F.col("_nth") + F.coalesce("_b_n", F.lit(0))
+    value = F.when(F.col(x).isNotNull(), F.col(x).cast("double"))
     picks = []
     for name, p in probabilities.items():
-        at = F.lit(float(p)) * (F.col("_rows") - 1)
+        at = F.lit(float(p)) * (F.coalesce("_b_all", "_n") - 1)
         picks += [
-            F.min(F.when(F.col("_upto") > F.floor(at), value)).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("_upto") > F.ceil(at), value)).alias(f"_hi_{name}"),
+            F.max(F.when(nth == F.floor(at) + 1, value)).alias(f"_lo_{name}"),
+            F.max(F.when(nth == F.ceil(at) + 1, value)).alias(f"_hi_{name}"),
             F.max(at - F.floor(at)).alias(f"_w_{name}"),
         ]
-    out = upto.groupBy(*keys).agg(*picks)
+    out = rows.groupBy(*keys).agg(*picks)
     return out.select(
         *keys,
         *[

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Semantics every operator relies on; all are runtime SQL settings.
 SEMANTICS = {
@@ -105,3 +106,56 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     _INTERMEDIATES.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BLOCK_BYTES = 1 << 20  # of input, below which more blocks are of no use
+
+
+def block_count(df: DataFrame) -> int:
+    """How many range partitions to make of ``df``: as the session's shuffles begin with,
+    or fewer where the planner's estimate of the size says so."""
+    conf = df.sparkSession.conf
+    most = int(conf.get("spark.sql.shuffle.partitions"))
+    if conf.get("spark.sql.adaptive.coalescePartitions.enabled") != "true":
+        return most
+    most = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or most)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    few = min(df.sparkSession.sparkContext.defaultParallelism, -(-size // BLOCK_BYTES))
+    # files are smaller than the rows in them
+    return max(1, min(most, max(few, -(-4 * size // target))))
+
+
+_MARKS: dict[int, list[int]] = {}
+
+
+def _marks(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` buckets, a number that Spark's hash puts into it."""
+    if n not in _MARKS:
+        numbers = spark.range(max(64, 32 * n)).select(F.col("id").cast("int").alias("mark"))
+        found = numbers.groupBy(F.pmod(F.hash("mark"), F.lit(n)).alias("bucket")).agg(F.min("mark").alias("mark"))
+        _MARKS[n] = [r["mark"] for r in found.orderBy("bucket").collect()]
+    return _MARKS[n]
+
+
+def materialize_blocks(df: DataFrame, label: str, sorts: list[Column], block: str, bucket: str, blocks: int | None = None) -> DataFrame:
+    """Range-partition ``df`` by ``sorts`` and write a file for each partition, numbered by
+    ``block`` in order. It is read back as bucketed by ``bucket``, one bucket a block: what
+    is grouped or windowed by both columns needs no further shuffle.
+
+    Like ``materialize``, it cuts the lineage. The table's name goes at once; the files stay
+    as long as those of ``materialize``.
+    """
+    spark = df.sparkSession
+    n = blocks or block_count(df)
+    marks = F.array(*[F.lit(m) for m in _marks(spark, n)])
+    rows = df.repartitionByRange(n, *sorts).withColumn(block, F.spark_partition_id())
+    rows = rows.withColumn(bucket, F.element_at(marks, F.pmod(F.col(block), F.lit(n)) + 1))
+    path = shared_dir(spark, label)
+    _INTERMEDIATES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    name = f"spark_catalog.default.{label}_{uuid.uuid4().hex}"
+    rows.write.format("parquet").bucketBy(n, bucket).option("path", path).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
