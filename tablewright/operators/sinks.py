@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,25 +29,64 @@ def to_dataset(df: DataFrame) -> DataFrame:
 
 
 def write_verified(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> int:
-    """Write parquet and check that what lies there is what went in.
+    """Write parquet and check that what was written is what went in.
 
-    Counts on the way (no second pass) and compares with the row counts in the file footers.
+    Rows are counted on the way (no second pass) and compared with the footers of the files
+    of this write, which tasks read. An append writes aside and then moves its files in, so
+    it reads no older file, other writers may append at the same time, and a failed write
+    leaves nothing at ``path``.
     """
+    spark = df.sparkSession
     seen = Observation()
     rows = F.count(F.lit(1)).alias("rows")
-    writer = df.observe(seen, rows).write.mode(mode).options(**options)
-    appending = mode == "append" and path_exists(df.sparkSession, path)
-    before = _rows_at(df, path) if appending else 0
-    writer.parquet(path)
-    expected = before + seen.get["rows"]
-    found = _rows_at(df, path)
+    appending = mode == "append"
+    aside = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}" if appending else path
+    df.observe(seen, rows).write.mode("errorifexists" if appending else mode).options(**options).parquet(aside)
+    files = written_files(spark, aside)
+    found = files.agg(F.sum("rows")).first()[0] or 0
+    expected = seen.get["rows"]
     if found != expected:
-        raise IOError(f"{path} holds {found} rows instead of {expected}")
-    return seen.get["rows"]
+        if appending:
+            remove_path(spark, aside)
+        raise IOError(f"{path} got {found} rows instead of {expected}")
+    if appending:
+        # the writer's names have an id of the job in them, so none is there twice
+        materialize(moved_files(files.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("target")), path), "moved")
+        remove_path(spark, aside)
+    return expected
+
+
+def written_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, rows) of the parquet files in a folder, from their footers."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).select("path")
 
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            counts = []
+            for p in paths:
+                system, place = open_filesystem(p)
+                counts.append(pq.read_metadata(place, filesystem=system).num_rows)
+            yield pa.RecordBatch.from_pydict({"path": paths, "rows": counts})
+
+    return names.mapInArrow(footers, "path string, rows bigint")
 
-def _rows_at(df: DataFrame, path: str) -> int:
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+def moved_files(files: DataFrame, path: str) -> DataFrame:
+    """Move files (path, target) to ``target`` below ``path``, in tasks; a repeated move
+    finds its file in place. Call an action once."""
+    system, root = open_filesystem(path)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                source, target = open_filesystem(row["path"])[1], f"{root.rstrip('/')}/{row['target']}"
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                if system.get_file_info(source).is_file:
+                    system.move(source, target)
+            yield batch
+
+    return files.mapInArrow(move, files.schema)
 
 
 # --- exports -----------------------------------------------------------------
@@ -121,18 +161,7 @@ def export_files(df: DataFrame, path: str, name: str, format: str = "csv", delim
     if path_exists(spark, f"{path}/{escaped_name(name)}.{format}") or path_exists(spark, f"{path}/{escaped_name(name)}"):
         remove_path(spark, aside)
         raise FileExistsError(f"{name} is already exported below {path}")
-    system, root = open_filesystem(path)
-
-    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                source, target = open_filesystem(row["path"])[1], f"{root.rstrip('/')}/{row['target']}"
-                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                if system.get_file_info(source).is_file:
-                    system.move(source, target)
-            yield batch
-
-    moved = materialize(manifest.mapInArrow(move, manifest.schema), "export")
+    moved = materialize(moved_files(manifest, path), "export")
     remove_path(spark, aside)
     return moved.withColumn("path", F.concat(F.lit(path.rstrip("/") + "/"), "target"))
 

@@ -74,10 +74,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def append_record(spark: SparkSession, path: str, record: dict) -> None:
-    """Append one small record to a JSON log folder."""
-    columns = ", ".join(f":{k} AS {k}" for k in record)
-    spark.sql(f"SELECT {columns}", args=record).write.mode("append").json(path)
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file or folder; the folder above the target is made."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, target))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise FileExistsError(f"{path} could not be moved to {target}")
 
 
 # Folders that ``materialize`` made, by application.

@@ -8,6 +8,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,8 +24,12 @@ PIECE_BYTES = 1 << 22
 
 
 def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
+    """The file system of a path or URI, and the path in it. Names in it are as they are,
+    not percent-encoded, as in Spark's paths."""
     uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", uri))
+    if m := re.match(r"([A-Za-z][A-Za-z0-9+.-]*)(://[^/]*)(/.*)?$", uri, re.DOTALL):
+        # other systems take options behind a question mark
+        uri = m[1] + m[2] + quote(m[3] or "", safe="/" if m[1] == "file" else "/?&=:")
     return fs.FileSystem.from_uri(uri)
 
 

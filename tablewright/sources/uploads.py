@@ -1,28 +1,56 @@
 """A table made of uploads, each with its own schema.
 
 Every upload is written to a new folder. It becomes part of the table when one record is
-appended to the table's upload log, so readers see whole uploads only, a failed or
-repeated task leaves nothing visible, and no released file is ever overwritten.
+committed to the table's log, so readers see whole uploads only, a failed or repeated task
+leaves nothing visible, and no released file is ever overwritten. Several writers may
+upload at a time: a commit decides again on what the others have done.
+
+Many small uploads, as a stream makes them, can be merged into one folder; that too becomes
+visible by one record, and names, rows and their order stay.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.schema import merge_uploads, union_schema
 from tablewright.operators.sinks import write_verified
-from tablewright.session import append_record, path_exists, remove_path
+from tablewright.session import remove_path, rename_path
+from tablewright.sources.log import RecordLog
 
 UPLOAD_COLUMN = "_upload"
 STRATEGIES = ("append", "replace")
-_LOG = "name string, folder string, schema string, rows bigint, seq bigint, live boolean"
+SMALL_ROWS = 1_000_000  # uploads of fewer rows may be merged, into some of about so many
+
+
+def _fold(state: dict, record: dict) -> None:
+    """State: ``schemas``, a list of texts, and ``parts`` in order. A part is a folder with
+    the rows of one upload or, if ``merged``, of so many; ``names`` are those that count."""
+    parts = state.setdefault("parts", [])
+    schemas = state.setdefault("schemas", [])
+    event = record["event"]
+    if event in ("add", "remove"):
+        for part in parts:
+            if record["name"] in part["names"]:
+                part["names"].remove(record["name"])
+        state["parts"] = parts = [p for p in parts if p["names"]]
+    if event == "add":
+        if record["schema"] not in schemas:
+            schemas.append(record["schema"])
+        part = {"names": [record["name"]], "folder": record["folder"], "rows": record["rows"], "merged": 0}
+        parts.append({**part, "schema": schemas.index(record["schema"])})
+    if event == "merge":
+        at = next(i for i, p in enumerate(parts) if p["folder"] == record["of"][0])
+        kept = [p for p in parts if p["folder"] not in record["of"]]
+        state["parts"] = [*kept[:at], record["part"], *kept[at:]]
 
 
 @dataclass(frozen=True)
@@ -36,20 +64,19 @@ class UploadTable:
         if self.merge_strategy not in STRATEGIES:
             raise ValueError(f"upload_merge_strategy must be one of {', '.join(STRATEGIES)}")
 
-    # --- log: metadata, one small record per upload
+    # --- log
+
+    def log(self) -> RecordLog:
+        return RecordLog(self.spark, f"{self.path}/log", _fold)
 
-    def uploads(self) -> list:
-        """Live uploads, oldest first; of one name the newest record counts."""
-        if not path_exists(self.spark, f"{self.path}/log"):
-            return []
-        newest: dict[str, object] = {}
-        for record in sorted(self.spark.read.schema(_LOG).json(f"{self.path}/log").collect(), key=lambda r: r["seq"]):
-            newest.pop(record["name"], None)
-            newest[record["name"]] = record
-        return [r for r in newest.values() if r["live"]]
+    def parts(self) -> list[dict]:
+        """The folders of live uploads, oldest first, each with its schema as text."""
+        state = self.log().read()[1]
+        return [{**p, "schema": state["schemas"][p["schema"]]} for p in state.get("parts", [])]
 
-    def _append(self, **record) -> None:
-        append_record(self.spark, f"{self.path}/log", {**record, "seq": time.time_ns()})
+    def uploads(self) -> list[dict]:
+        """Live uploads, oldest first; of one name the newest counts."""
+        return [{"name": n, "folder": p["folder"], "schema": p["schema"]} for p in self.parts() for n in p["names"]]
 
     # --- ingest
 
@@ -66,40 +93,95 @@ class UploadTable:
         """Ingest a frame as one upload and give the name it got (None if it failed).
 
         A failed write never shows in the table; ``raise_on_fail=False`` swallows the error
-        and ``remove_on_fail`` also removes the files it left.
+        and ``remove_on_fail`` also removes the files it left. What to do about a name that
+        is taken is asked before rows are written, and again by the commit: another writer
+        may have taken it meanwhile.
         """
-        taken = {u["name"] for u in self.uploads()}
-        if name in taken and if_not_exists:
-            return name
         if replace_on_conflict and rename_on_conflict:
-            raise ValueError("replace_on_conflict and rename_on_conflict cannot both be set")
-        if name in taken and not replace_on_conflict:
+            raise ValueError("rename_on_conflict excludes replace_on_conflict")
+
+        def named(state: dict) -> str | None:
+            """The name to take; None if the upload that has it shall stay."""
+            taken = {n for p in state.get("parts", []) for n in p["names"]}
+            if name not in taken or replace_on_conflict and not if_not_exists:
+                return name
+            if if_not_exists:
+                return None
             if not rename_on_conflict:
-                raise ValueError(f"an upload with the name {name} already exists")
-            name = next(n for i in range(1, len(taken) + 2) if (n := f"{name}_{i}") not in taken)
-        folder = f"{self.path}/data/{UPLOAD_COLUMN}={_escaped(name)}/{uuid.uuid4().hex}"
+                raise ValueError(f"{name} is taken by an upload; rename, replace or skip it")
+            return next(n for i in range(1, len(taken) + 2) if (n := f"{name}_{i}") not in taken)
+
+        log = self.log()
+        mine = named(log.read()[1])
+        if mine is None:
+            return name
+        at = self._folder(mine)
         try:
-            rows = write_verified(df, folder)
+            rows = write_verified(df, at)
         except Exception:
             if remove_on_fail:
-                remove_path(self.spark, folder)
+                remove_path(self.spark, at)
             if raise_on_fail:
                 raise
             return None
-        self._append(name=name, folder=folder, schema=df.schema.json(), rows=rows, live=True)
-        return name
+
+        def decide(state: dict) -> dict | None:
+            nonlocal mine, at
+            now = named(state)
+            if now not in (None, mine):
+                moved = self._folder(now)
+                rename_path(self.spark, at, moved)
+                mine, at = now, moved
+            return now and {"event": "add", "name": mine, "folder": at, "schema": df.schema.json(), "rows": rows}
+
+        try:
+            committed = log.commit(decide)
+        except ValueError:
+            remove_path(self.spark, at)
+            raise
+        if committed is None:
+            remove_path(self.spark, at)
+            return name
+        return mine
+
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/data/{UPLOAD_COLUMN}={_escaped(name)}/{uuid.uuid4().hex}"
 
     def remove(self, name: str) -> None:
-        self._append(name=name, folder="", schema="", rows=0, live=False)
+        self.log().commit(lambda state: {"event": "remove", "name": name})
+
+    def compact(self, small_rows: int = SMALL_ROWS, at_least: int = 2) -> int:
+        """Merge small uploads that follow each other and have one schema; the number of
+        folders that are live afterwards. Files of merged folders stay for readers and
+        versions that know them."""
+        for group in _small_groups(self.parts(), small_rows):
+            if len(group) < at_least:
+                continue
+            folder = f"{self.path}/data/merged/{uuid.uuid4().hex}"
+            # fewer rows than two small uploads may have, so one file
+            rows = write_verified(_in_order(self.spark, group, f"{self.path}/data"), folder)
+            names = [n for p in group for n in p["names"]]
+            part = {"names": names, "folder": folder, "rows": rows, "merged": len(names)}
+
+            def decide(state: dict, group=group, part=part) -> dict | None:
+                live = {p["folder"]: p["names"] for p in state["parts"]}
+                if any(live.get(p["folder"]) != p["names"] for p in group):
+                    return None  # somebody replaced or removed one of them
+                schema = state["schemas"].index(group[0]["schema"])
+                return {"event": "merge", "of": [p["folder"] for p in group], "part": {**part, "schema": schema}}
+
+            if self.log().commit(decide) is None:
+                remove_path(self.spark, folder)
+        return len(self.parts())
 
     # --- reads
 
     def read_upload(self, name: str) -> DataFrame:
         """One upload alone, with its own schema."""
-        for u in self.uploads():
-            if u["name"] == name:
-                schema = T.StructType.fromJson(json.loads(u["schema"]))
-                return self.spark.read.schema(schema).parquet(u["folder"])
+        for p in self.parts():
+            if name in p["names"]:
+                schema = T.StructType.fromJson(json.loads(p["schema"]))
+                return _scan(self.spark, [{**p, "names": [name]}], schema, None)
         raise LookupError(f"no upload named {name}")
 
     def read(self, lenient: bool = False, tagged: bool = False) -> DataFrame:
@@ -107,15 +189,65 @@ class UploadTable:
 
         ``tagged`` adds the name of the upload each row came from.
         """
-        uploads = self.uploads()
+        parts = self.parts()
         if self.merge_strategy == "replace":
-            uploads = uploads[-1:]
-        return read_merged(self.spark, uploads, self.declared, lenient, f"{self.path}/data" if tagged else None)
+            parts = [{**p, "names": p["names"][-1:]} for p in parts[-1:]]
+        return read_merged(self.spark, parts, self.declared, lenient, f"{self.path}/data" if tagged else None)
+
+
+def _small_groups(parts: list[dict], small_rows: int) -> list[list[dict]]:
+    """Small parts of one schema that follow each other, together not much over the limit."""
+    groups: list[list[dict]] = []
+    rows = 0
+    for p in parts:
+        last = groups[-1][-1] if groups else None
+        fits = last and max(last["rows"], p["rows"]) < small_rows and last["schema"] == p["schema"] and rows < small_rows
+        if fits:
+            groups[-1].append(p)
+        else:
+            groups.append([p])
+            rows = 0
+        rows += p["rows"]
+    return groups
+
+
+_TAG = T.StructField(UPLOAD_COLUMN, T.StringType())
+
+
+def _scan(spark: SparkSession, parts: list[dict], schema: T.StructType, tag_below: str | None, *places: Column) -> DataFrame:
+    """Parts of one schema. Merged ones hold the names of their uploads, others have them
+    as partition values in the folders below ``tag_below``. ``places``: metadata columns."""
+    tagged = T.StructType([*schema.fields, _TAG])
+    columns = [F.col(f"`{n}`") for n in (tagged if tag_below else schema).names]
+    plain = [p["folder"] for p in parts if not p["merged"]]
+    whole = [p["folder"] for p in parts if p["merged"] and p["merged"] == len(p["names"])]
+    out = []
+    if plain:
+        reader = spark.read.schema(tagged if tag_below else schema)
+        out.append((reader.option("basePath", tag_below) if tag_below else reader).parquet(*plain))
+    if whole:
+        out.append(spark.read.schema(tagged).parquet(*whole))
+    for p in parts:
+        if p["merged"] > len(p["names"]):
+            # some of its uploads were replaced or removed since
+            rows = spark.read.schema(tagged).parquet(p["folder"])
+            out.append(rows.where(F.col(UPLOAD_COLUMN).isin(p["names"])))
+    return reduce(DataFrame.unionByName, [rows.select(*columns, *places) for rows in out])
+
+
+def _in_order(spark: SparkSession, parts: list[dict], tag_below: str) -> DataFrame:
+    """The rows of parts with their tag, in the order of uploads, files and rows."""
+    schema = T.StructType.fromJson(json.loads(parts[0]["schema"]))
+    places = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    order = [(n, i) for i, n in enumerate(n for p in parts for n in p["names"])]
+    names = spark.createDataFrame(order, f"{UPLOAD_COLUMN} string, _nth int")
+    rows = _scan(spark, parts, schema, tag_below, *places).join(F.broadcast(names), UPLOAD_COLUMN)
+    return rows.repartition(1).sortWithinPartitions("_nth", "_file", "_row").select(*[F.col(f"`{n}`") for n in schema.names], UPLOAD_COLUMN)
 
 
 def read_merged(
     spark: SparkSession,
-    uploads: list,
+    parts: list,
     declared: T.StructType | None = None,
     lenient: bool = False,
     tag_below: str | None = None,
@@ -127,21 +259,16 @@ def read_merged(
     folders below that path, the upload's name, becomes a column.
     """
     by_schema: dict[str, list] = {}
-    for u in uploads:
-        by_schema.setdefault(u["schema"], []).append(u["folder"])
+    for p in parts:
+        by_schema.setdefault(p["schema"], []).append(p)
     schemas = {s: T.StructType.fromJson(json.loads(s)) for s in by_schema}
     declared = declared or union_schema(schemas.values())
     tag = [T.StructField(UPLOAD_COLUMN, T.StringType())] if tag_below else []
     declared = T.StructType([*declared.fields, *tag])
-    if not uploads:
+    if not parts:
         return spark.createDataFrame([], declared)
-    parts = []
-    for text, folders in by_schema.items():
-        reader = spark.read.schema(T.StructType([*schemas[text].fields, *tag]))
-        if tag_below:
-            reader = reader.option("basePath", tag_below)
-        parts.append(reader.parquet(*folders))
-    return merge_uploads(parts, declared, lenient)
+    scans = [_scan(spark, some, schemas[text], tag_below) for text, some in by_schema.items()]
+    return merge_uploads(scans, declared, lenient)
 
 
 def _escaped(name: str) -> str:

@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import json
 import re
-import time
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.session import append_record, path_exists
+from tablewright.sources.log import RecordLog
 from tablewright.sources.reader import sample_rows
 from tablewright.sources.uploads import UploadTable, read_merged
 
 _REFERENCE = re.compile(r"^(?P<name>[^:]+)(?P<rest>(?::[^:]+)*)$")
 _TAG = re.compile(r"^(v\d+[._]\d+|current|next)$", re.IGNORECASE)
-_LOG = "tag string, event string, folder string, content string, notes string, replace boolean, seq bigint"
 
 
 def normalize_tag(tag: str) -> str:
@@ -43,6 +40,20 @@ def parse_reference(reference: str) -> dict:
     return out
 
 
+def _fold(state: dict, record: dict) -> None:
+    """State: ``released`` versions in order, the folder of the ``open`` next one, and
+    whether that was released with ``replace`` before it was taken back."""
+    released = state.setdefault("released", [])
+    if record["event"] == "open":
+        state["open"], state["replace"] = record["folder"], False
+    elif record["event"] == "release":
+        released.append({k: record[k] for k in ("tag", "content", "folder", "replace")})
+        state["open"] = None
+    elif record["event"] == "unrelease":
+        last = released.pop()
+        state["open"], state["replace"] = last["folder"], last["replace"]
+
+
 def _canonical(tag: str) -> str:
     return normalize_tag(tag).lower().replace("_", ".")
 
@@ -61,54 +72,37 @@ class Dataset:
 
     # --- log
 
-    def _append(
-        self, tag: str, event: str, folder: str = "", content: dict | None = None, notes: str = "", replace: bool = False
-    ) -> None:
-        record = {"tag": tag, "event": event, "folder": folder, "content": json.dumps(content or {}), "notes": notes, "replace": replace}
-        append_record(self.spark, f"{self.path}/log", {**record, "seq": time.time_ns()})
-
-    def _state(self) -> tuple[dict[str, dict], str | None]:
-        """Released versions (tag to the uploads of each table) in order, and the folder of
-        the open next one."""
-        return self._history()[:2]
-
-    def _history(self) -> tuple[dict[str, dict], str | None, bool]:
-        """As :meth:`_state`, and whether the open version was released with ``replace``
-        before it was taken back."""
-        released: dict[str, dict] = {}
-        staged: dict[str, tuple[str, bool]] = {}
-        replace = False
-        open_folder = None
-        log = f"{self.path}/log"
-        records = self.spark.read.schema(_LOG).json(log).collect() if path_exists(self.spark, log) else []
-        for r in sorted(records, key=lambda r: r["seq"]):
-            if r["event"] == "open":
-                open_folder, replace = r["folder"], False
-            elif r["event"] == "release":
-                released[r["tag"]], staged[r["tag"]] = json.loads(r["content"]), (r["folder"], bool(r["replace"]))
-                open_folder = None
-            elif r["event"] == "unrelease":
-                released.pop(r["tag"])
-                open_folder, replace = staged.pop(r["tag"])
-        return released, open_folder, replace
+    def log(self) -> RecordLog:
+        return RecordLog(self.spark, f"{self.path}/log", _fold)
+
+    def _state(self) -> dict:
+        return {"released": [], "open": None, "replace": False, **self.log().read()[1]}
+
+    def _content(self, version: dict) -> dict[str, list[dict]]:
+        """The uploads of each table of a released version."""
+        return self.log().get(version["content"])
 
     def versions(self) -> list[str]:
         """Released tags, oldest first."""
-        return list(self._state()[0])
+        return [v["tag"] for v in self._state()["released"]]
 
     # --- next version
 
     def create_next_version(self, if_not_exists: bool = False) -> None:
         """Open the next version; only one may be open."""
-        if self._state()[1] is not None:
+
+        def decide(state: dict) -> dict | None:
+            if state.get("open") is None:
+                return {"event": "open", "folder": f"next/{uuid.uuid4().hex}"}
             if not if_not_exists:
                 raise ValueError("next version already exists; set if_not_exists to use it")
-            return
-        self._append("next", "open", f"next/{uuid.uuid4().hex}")
+            return None
+
+        self.log().commit(decide)
 
     def stage(self, table: str, declared: T.StructType | None = None) -> UploadTable:
         """The uploads waiting in the next version of a table."""
-        open_folder = self._state()[1]
+        open_folder = self._state()["open"]
         if open_folder is None:
             raise LookupError("no next version is open")
         return self._staged(open_folder, table, declared)
@@ -116,11 +110,12 @@ class Dataset:
     def _staged(self, open_folder: str, table: str, declared: T.StructType | None = None) -> UploadTable:
         return UploadTable(self.spark, f"{self.path}/{open_folder}/{table}", declared)
 
-    def _next(self, table: str, released: dict, open_folder: str, replace: bool) -> list[dict]:
+    def _next(self, table: str, state: dict, replace: bool) -> list[dict]:
         """The uploads of a table in the next version: the current ones and the staged ones."""
-        current = [] if replace or not released else list(released.values())[-1].get(table, [])
-        staged = self._staged(open_folder, table).uploads()
-        return current + [{"folder": u["folder"], "schema": u["schema"]} for u in staged]
+        released = state["released"]
+        current = [] if replace or not released else self._content(released[-1]).get(table, [])
+        kept = ("folder", "schema", "names", "merged")
+        return current + [{k: p[k] for k in kept} for p in self._staged(state["open"], table).parts()]
 
     def release(self, tag: str, tables: list[str], notes: str = "", replace: bool | None = None) -> str:
         """Make the next version the current one.
@@ -129,28 +124,36 @@ class Dataset:
         place of them; other tables stay as they are. A version that was taken back is
         released as it was before unless ``replace`` says otherwise.
         """
-        released, open_folder, before = self._history()
-        replace = before if replace is None else replace
-        if open_folder is None:
-            raise LookupError("no next version is open")
         tag = _canonical(tag)
-        if tag in released or tag in ("current", "next"):
-            raise ValueError(f"version {tag} is already released")
-        content = dict(list(released.values())[-1]) if released else {}
-        content |= {t: self._next(t, released, open_folder, replace) for t in tables}
-        self._append(tag, "release", open_folder, content, notes, replace)
+
+        def decide(state: dict) -> dict:
+            state = {"released": [], "open": None, "replace": False, **state}
+            as_before = state["replace"] if replace is None else replace
+            if state["open"] is None:
+                raise LookupError("no next version is open")
+            if tag in ("current", "next") or tag in (v["tag"] for v in state["released"]):
+                raise ValueError(f"version {tag} is already released")
+            content = self._content(state["released"][-1]) if state["released"] else {}
+            content = content | {t: self._next(t, state, as_before) for t in tables}
+            # what a version holds is a file of its own, so that records stay small
+            name = f"content-{uuid.uuid4().hex}.json"
+            self.log().put(name, content)
+            return {"event": "release", "tag": tag, "content": name, "folder": state["open"], "replace": as_before, "notes": notes}
+
+        self.log().commit(decide)
         return tag
 
     def unrelease(self) -> str:
         """Take the current version back; its uploads are again the open next version."""
-        released, open_folder = self._state()
-        if not released:
-            raise LookupError("no version is released")
-        if open_folder is not None:
-            raise ValueError("close the next version first")
-        tag = list(released)[-1]
-        self._append(tag, "unrelease")
-        return tag
+
+        def decide(state: dict) -> dict:
+            if not state.get("released"):
+                raise LookupError("no version is released")
+            if state.get("open") is not None:
+                raise ValueError("close the next version first")
+            return {"event": "unrelease", "tag": state["released"][-1]["tag"]}
+
+        return self.log().commit(decide)["tag"]
 
     # --- reads
 
@@ -163,16 +166,14 @@ class Dataset:
         sample_percent: float = 1.0,
     ) -> DataFrame:
         """A table at a version; with ``sample_keys`` its repeatable sample."""
-        released, open_folder, replace = self._history()
-        tag = _canonical(version)
+        state, tag = self._state(), _canonical(version)
         if tag == "next":
-            if open_folder is None:
+            if state["open"] is None:
                 raise LookupError("no next version is open")
-            uploads = self._next(table, released, open_folder, replace)
+            uploads = self._next(table, state, state["replace"])
         else:
-            if tag == "current" and released:
-                tag = list(released)[-1]
-            uploads = released.get(tag, {}).get(table)
+            found = [v for v in state["released"] if tag in ("current", v["tag"])][-1:]
+            uploads = self._content(found[0]).get(table) if found else None
         if not uploads:
             raise LookupError(f"no table {table} at version {version}")
         df = read_merged(self.spark, uploads, declared)

@@ -36,15 +36,19 @@ def insert_uploads_stream(
     schema: T.StructType,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
+    compact_every: int = 20,
 ) -> StreamingQuery:
     """The same into a table of uploads: each batch is one upload, ``<name>_<batch>``.
 
     A batch that a restart repeats finds its upload there and is left alone, so every row
-    counts once.
+    counts once. Every ``compact_every`` batches small uploads are merged, so that the
+    table has a bounded number of folders for each ``SMALL_ROWS`` rows, however many batches.
     """
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         table.upload(batch, f"{name}_{batch_id}", if_not_exists=True)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            table.compact()
 
     writer = _rows(table.spark, source, schema, max_files_per_trigger).foreachBatch(insert)
     return _start(writer, checkpoint, available_now)

@@ -1,5 +1,9 @@
 """Sinks, uploads, versions, SQL scopes, streams and profiles."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,7 +12,9 @@ from tablewright.operators import profile as prof
 from tablewright.operators import sinks
 from tablewright.plans import sql
 from tablewright.session import path_exists, shared_dir
+from tablewright.sources import uploads
 from tablewright.sources.delimited import read_delimited
+from tablewright.sources.log import SNAPSHOT_EVERY, RecordLog
 from tablewright.sources.uploads import UploadTable
 from tablewright.sources.versions import Dataset, normalize_tag, parse_reference
 from tablewright.streaming.inserts import insert_rows_stream, insert_uploads_stream
@@ -29,9 +35,9 @@ def test_upload_conflicts(spark):
     t = UploadTable(spark, shared_dir(spark, "t"), AB)
     assert t.read().isEmpty() and t.read().columns == ["a", "b"]
     t.upload(frame(spark, (1, "x")), "one")
-    with pytest.raises(ValueError, match="already exists"):
+    with pytest.raises(ValueError, match="is taken"):
         t.upload(frame(spark, (2, "y")), "one")
-    with pytest.raises(ValueError, match="cannot both"):
+    with pytest.raises(ValueError, match="excludes"):
         t.upload(frame(spark, (2, "y")), "one", rename_on_conflict=True, replace_on_conflict=True)
     assert t.upload(frame(spark, (2, "y")), "one", if_not_exists=True) == "one"
     assert rows(t.read()) == [(1, "x")]
@@ -67,6 +73,98 @@ def test_uploads_of_one_schema_are_one_scan(spark):
         UploadTable(spark, "x", merge_strategy="mix")
 
 
+def test_a_read_takes_one_snapshot_and_few_records(spark):
+    log = RecordLog(spark, shared_dir(spark, "log"), lambda state, r: state.update(n=state.get("n", 0) + r["by"]))
+    assert log.read() == (0, {})
+    for _ in range(100):
+        log.commit(lambda state: {"by": 2})
+    log.read()
+    assert log.read() == (100, {"n": 200}) and log.files_read <= 2
+    for k in range(SNAPSHOT_EVERY - 1):
+        log.commit(lambda state: {"by": 1})
+    assert log.read() == (100 + k + 1, {"n": 200 + k + 1}) and log.files_read == 2 + k + 1
+    assert log.commit(lambda state: None) is None and log.read()[0] == 100 + k + 1
+
+
+def test_a_number_is_taken_once(spark):
+    path = shared_dir(spark, "log")
+
+    def add(_):
+        for _ in range(15):
+            RecordLog(spark, path, lambda state, r: state.update(n=r["n"])).commit(lambda state: {"n": state.get("n", 0) + 1})
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, range(4)))
+    assert RecordLog(spark, path, lambda state, r: state.update(n=r["n"])).read() == (60, {"n": 60})
+
+
+def test_two_writers_of_one_name(spark):
+    def go(options, names):
+        t = UploadTable(spark, shared_dir(spark, "t"), AB)
+
+        def one(k):
+            # the other one comes between this one's question and its commit
+            slow = frame(spark, (k, "x")).withColumn("b", F.udf(lambda x: time.sleep(1) or x)("b"))
+            try:
+                return t.upload(slow, "same", **options)
+            except ValueError:
+                return "conflict"
+
+        with ThreadPoolExecutor(2) as pool:
+            assert sorted(pool.map(one, range(2))) == names
+        return t
+
+    t = go({}, ["conflict", "same"])
+    assert t.read().count() == 1 and len(t.parts()) == 1
+    t = go({"rename_on_conflict": True}, ["same", "same_1"])
+    assert sorted(r[2] for r in t.read(tagged=True).collect()) == ["same", "same_1"]
+    assert go({"if_not_exists": True}, ["same", "same"]).read().count() == 1
+    assert go({"replace_on_conflict": True}, ["same", "same"]).read().count() == 1
+
+
+def test_small_uploads_are_merged(spark):
+    t = UploadTable(spark, shared_dir(spark, "t"), AB)
+    for k in range(6):
+        t.upload(frame(spark, *[(10 * k + j, f"{j}") for j in range(4)]).coalesce(1), f"u{k}")
+    t.upload(spark.createDataFrame([(99, 1.5)], "a bigint, c double"), "other")
+    tagged, plain = rows(t.read(tagged=True)), rows(t.read())
+    assert t.compact() == 2
+    assert rows(t.read(tagged=True)) == tagged and rows(t.read()) == plain
+    merged = spark.read.parquet(t.parts()[0]["folder"])
+    assert [r["a"] for r in merged.collect()] == [10 * k + j for k in range(6) for j in range(4)]
+    assert rows(t.read_upload("u3")) == [(30 + j, f"{j}") for j in range(4)]
+    t.upload(frame(spark, (7, "new")), "u2", replace_on_conflict=True)
+    t.remove("u5")
+    want = sorted([*[r for r in tagged if r[2] not in ("u2", "u5")], (7, "new", "u2")], key=repr)
+    assert rows(t.read(tagged=True)) == want
+    t.upload(frame(spark, (8, "w")), "last")
+    assert t.compact() == 3 and rows(t.read(tagged=True)) == sorted([*want, (8, "w", "last")], key=repr)
+
+
+def test_a_merge_gives_way_to_a_replaced_upload(spark, monkeypatch):
+    t = UploadTable(spark, shared_dir(spark, "t"), AB)
+    for k in range(3):
+        t.upload(frame(spark, (k, "x")), f"u{k}")
+    plain = uploads._in_order
+
+    def replaced(*args):
+        t.upload(frame(spark, (9, "y")), "u1", replace_on_conflict=True)
+        return plain(*args)
+
+    monkeypatch.setattr(uploads, "_in_order", replaced)
+    assert t.compact() == 3 and rows(t.read()) == [(0, "x"), (2, "x"), (9, "y")]
+
+
+def test_many_batches_leave_few_folders(spark):
+    source, state = shared_dir(spark, "s"), shared_dir(spark, "c")
+    texts = spark.range(24).select(F.to_json(F.struct(F.col("id").alias("a"), F.lit("x").alias("b"))).alias("value"))
+    texts.repartition(24, "value").write.option("maxRecordsPerFile", 1).text(source)
+    table = UploadTable(spark, shared_dir(spark, "t"), AB)
+    insert_uploads_stream(source, table, "in", state, AB, max_files_per_trigger=1, compact_every=5).awaitTermination()
+    assert rows(table.read()) == sorted([(k, "x") for k in range(24)], key=repr)
+    assert len(table.uploads()) == 24 and len(table.parts()) <= 5
+
+
 # --- versions
 
 
@@ -126,6 +224,22 @@ def test_verified_writes(spark):
         sinks.write_verified(frame(spark, (1, "x")), path)
 
 
+def test_an_append_reads_no_older_file(spark):
+    path = shared_dir(spark, "v")
+    sinks.write_verified(frame(spark, (1, "x")), path)
+    for file in Path(path.removeprefix("file:")).glob("*.parquet"):
+        file.write_bytes(b"no parquet at all")
+    assert sinks.write_verified(frame(spark, (2, "y"), (3, "z")), path, mode="append") == 2
+    assert not list(Path(path.removeprefix("file:")).glob("_writing*"))
+
+
+def test_writers_append_side_by_side(spark):
+    path = shared_dir(spark, "v")
+    with ThreadPoolExecutor(3) as pool:
+        written = list(pool.map(lambda k: sinks.write_verified(spark.range(k * 100 + 1), path, mode="append"), range(6)))
+    assert written == [k * 100 + 1 for k in range(6)] and spark.read.parquet(path).count() == sum(written)
+
+
 def test_exports(spark):
     df = frame(spark, (1, ' a "q",\nb '), (2, None), (3, "")).coalesce(1)
     path = shared_dir(spark, "e")
