@@ -138,20 +138,26 @@ class Blocks:
         """Aggregates by group and block, for the first and the last group of each block:
         no other can span blocks."""
         found = rows.groupBy(*self.keys, *self.PLACE).agg(*[v.alias(k) for k, v in values.items()])
+        if not self.keys:
+            return found
         block = Window.partitionBy(*self.PLACE)
-        place = F.row_number().over(block.orderBy(*(self.keys or [F.lit(0)])))
+        place = F.row_number().over(block.orderBy(*self.keys))
         found = found.withColumns({"_place": place, "_groups": F.count(F.lit(1)).over(block)})
-        return found.where((F.col("_place") == 1) | (F.col("_place") == F.col("_groups"))).drop("_place", "_groups", "_bucket")
+        return found.where("_place = 1 or _place = _groups")
 
     def along(self) -> WindowSpec:
         """The blocks of a group, in order."""
-        return Window.partitionBy(*self.keys).orderBy("_block")
+        return self.every().orderBy("_block")
+
+    def every(self) -> WindowSpec:
+        """The blocks of a group; without keys all are one group."""
+        return Window.partitionBy(*(self.keys or [F.col("_block").isNull()]))
 
     def carried(self, totals: DataFrame, **values: Column) -> DataFrame:
         """(keys, block, values) of the groups that span blocks."""
-        blocks = F.count(F.lit(1)).over(Window.partitionBy(*self.keys))
-        found = totals.withColumns({**values, "_blocks": blocks}).where("_blocks > 1")
-        return materialize(found.select(*self.keys, "_block", *values), "carried")
+        blocks = F.count(F.lit(1)).over(self.every()).alias("_blocks")
+        named = [v.alias(k) for k, v in values.items()]
+        return totals.select(*self.keys, "_block", *named, blocks).where("_blocks > 1").drop("_blocks")
 
     def with_carried(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
         # two rows a block at most, so it is small next to what one task reads
@@ -272,8 +278,14 @@ def ranked(df: DataFrame, keys: str | Keys, order: Order, buckets: int = 4, grou
     before, upto_here = along.rowsBetween(*BEFORE), along.rowsBetween(Window.unboundedPreceding, 0)
     after = along.rowsBetween(1, Window.unboundedFollowing)
     zero = F.lit(0).cast("bigint")
-    found = found.withColumns({"before": F.coalesce(F.sum("n").over(before), zero), "joined": F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(along)), F.lit(False))})
-    found = found.withColumn("goes_on", F.coalesce(F.lead("joined").over(along), F.lit(False)))
+    same = lambda a, b: F.coalesce(a.eqNullSafe(b), F.lit(False))
+    found = found.withColumns(
+        {
+            "before": F.coalesce(F.sum("n").over(before), zero),
+            "joined": same(F.col("first"), F.lag("last").over(along)),
+            "goes_on": same(F.col("last"), F.lead("first").over(along)),
+        }
+    )
     begins = F.when((F.col("values") > 1) | ~F.col("joined"), F.col("before") + F.col("n") - F.col("n_last") + 1)
     ends = F.when((F.col("values") > 1) | ~F.col("goes_on"), F.col("before") + F.col("n_first"))
     found = found.withColumns({"begins": begins, "ends": ends})
@@ -284,7 +296,7 @@ def ranked(df: DataFrame, keys: str | Keys, order: Order, buckets: int = 4, grou
         _b_first=F.when(F.col("joined"), F.last("begins", ignorenulls=True).over(before)),
         _b_last=F.when(F.col("goes_on"), F.first("ends", ignorenulls=True).over(after)),
         _b_values=F.col("values"),
-        _b_all=F.sum("n").over(Window.partitionBy(*keys)),
+        _b_all=F.sum("n").over(blocks.every()),
     )
     out = blocks.with_carried(local, carried)
     out = out.withColumn("_b_rows", F.coalesce("_b_rows", zero))
@@ -468,11 +480,11 @@ def quantiles(df: DataFrame, keys: str | Keys, x: str, probabilities: Mapping[st
     """
     keys = _names(keys)
     blocks = Blocks.of(df.select(*keys, x), keys, x)
-    nonnull, every = F.count(x), Window.partitionBy(*keys)
+    nonnull = F.count(x)
     carried = blocks.carried(
         blocks.totals(blocks.rows, n=nonnull),
         _b_n=F.coalesce(F.sum("n").over(blocks.along().rowsBetween(*BEFORE)), F.lit(0)),
-        _b_all=F.sum("n").over(every),
+        _b_all=F.sum("n").over(blocks.every()),
     )
     here = blocks.ordered().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = blocks.rows.withColumns({"_nth": nonnull.over(here), "_n": nonnull.over(blocks.group())})
