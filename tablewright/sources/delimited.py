@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.sources import quoted
 from tablewright.sources.files import open_filesystem
 
 CORRUPT = "_corrupt_record"
+# Names of files that only a whole stream decompresses.
+_COMPRESSED = re.compile(r"\.(gz|gzip|bz2|zst|zstd|lz4|snappy|deflate|xz)$", re.IGNORECASE)
 
 
 def read_delimited(
@@ -39,12 +44,15 @@ def read_delimited(
     ``skip_bad_records``. Without ``schema`` the columns stay text, named from the header.
 
     With a header row and a ``schema``, files are read by their own headers if these are the
-    schema's names in another order; by position if the names are others.
+    schema's names in another order; by position if the names are others. A header that
+    has some of the names at other places raises.
 
-    Files with quoted newlines cannot be split, so ship them as many files.
+    Files with quoted newlines are read by ranges, as others; only compressed ones are one
+    task each. Their lines end with a line feed, after a carriage return or not.
     """
+    quotes = quoted.Quotes(delimiter, quote_character, escape_character)
     if schema is not None and has_header_row and _headers:
-        others = _reordered(spark, path, schema, delimiter, quote_character)
+        others = _reordered(spark, path, schema, quotes)
         if others is not None:
             dialect = dict(
                 delimiter=delimiter,
@@ -77,7 +85,13 @@ def read_delimited(
     text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(CORRUPT, T.StringType())]
     )
-    raw = spark.read.schema(text).options(**options).csv(path)
+    if has_quoted_newlines and quote_character and not _compressed(spark, path):
+        found = quoted.ranges(spark, path, quotes, RANGE_BYTES)
+        lines = quoted.records(found, quotes, has_header_row)
+        options = {k: v for k, v in options.items() if k not in ("header", "multiLine", "enforceSchema")}
+        raw = lines.select(F.from_csv("value", text.toDDL(), options).alias("_r")).select("_r.*")
+    else:
+        raw = spark.read.schema(text).options(**options).csv(path)
 
     def clean(name: str) -> Column:
         value = F.col(f"`{name}`")
@@ -108,14 +122,18 @@ def read_delimited(
     )
 
 
-HEADER_BYTES = 1 << 16
+RANGE_BYTES = quoted.RANGE_BYTES
+
+
+def _compressed(spark: SparkSession, path: str | list[str]) -> bool:
+    return any(_COMPRESSED.search(f) for f in spark.read.format("binaryFile").load(path).inputFiles())
 
 
 def _reordered(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, delimiter: str, quote: str
+    spark: SparkSession, path: str | list[str], schema: T.StructType, quotes: quoted.Quotes
 ) -> list[tuple[T.StructType, list[str]]] | None:
     """The files by the order of their headers, each with the schema in that order; None if
-    every header has the schema's order, or other names. Tasks read the first line of each
+    every header has the schema's order, or other names. Tasks read the first record of each
     file; the driver gets the different headers, and the file names that Spark lists."""
     files = spark.read.format("text").load(path).inputFiles()
     if not files:
@@ -125,18 +143,24 @@ def _reordered(
         for batch in batches:
             lines = []
             for uri in batch.column(0).to_pylist():
-                system, name = open_filesystem(uri)
-                with system.open_input_stream(name) as f:
-                    lines.append(f.read(HEADER_BYTES).split(b"\n", 1)[0].decode("utf-8-sig", "replace").rstrip("\r"))
+                system, name = open_filesystem(unquote(uri) if "://" in uri or uri.startswith("file:") else uri)
+                compression = "detect" if _COMPRESSED.search(name) else None
+                with system.open_input_stream(name, compression=compression) as f:
+                    lines.append(quoted.first_record(f, quotes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.string())], ["file", "head"])
 
     tasks = min(len(files), spark.sparkContext.defaultParallelism)
     listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(tasks)
     found = listed.mapInArrow(heads, "file string, head string").groupBy("head").agg(F.collect_list("file").alias("files")).collect()
     fields, out, moved = {f.name.lower(): f for f in schema}, [], False
+    places = {n: i for i, n in enumerate(fields)}
     for r in found:
-        names = [n.strip().lower() for n in next(csv.reader([r["head"]], delimiter=delimiter, quotechar=quote or None), [])]
+        rows = csv.reader(io.StringIO(r["head"], newline=""), delimiter=quotes.delimiter, quotechar=quotes.quote or None)
+        names = [n.strip().lower() for n in next(rows, [])]
         same = sorted(names) == sorted(fields)
+        elsewhere = [n for i, n in enumerate(names) if places.get(n, i) != i]
+        if elsewhere and not same:
+            raise ValueError(f"the header of {r['files'][0]} has {', '.join(elsewhere[:5])} at other places than the schema, and other names besides")
         moved = moved or (same and names != list(fields))
         out.append((T.StructType([fields[n] for n in names]) if same else schema, r["files"]))
     return out if moved else None

@@ -1,4 +1,8 @@
+import csv
 import datetime as dt
+import gzip
+import io
+import random
 
 import pyarrow as pa
 import pytest
@@ -6,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import batch, schema
-from tablewright.sources import reader
+from tablewright.sources import delimited, quoted, reader
 from tablewright.sources.delimited import from_frame, read_delimited
 from tablewright.types import field, logical_type
 from tablewright.types import schema as declare
@@ -194,3 +198,91 @@ def test_headers_in_another_order(spark, tmp_path):
     assert got.columns == ["a", "b"] and rows(got) == [(1, "one"), (2, "two"), (3, "three")]
     (tmp_path / "y.csv").write_text("p,q\n3,three\n")
     assert rows(read_delimited(spark, str(tmp_path), schema)) == [(1, "one"), (2, "two"), (3, "three")]
+
+
+# --- quoted line breaks by ranges
+
+
+def reference(text, **dialect):
+    return [tuple(r) for r in csv.reader(io.StringIO(text, newline=""), **dialect) if r]
+
+
+@pytest.mark.parametrize("size", [4, 5, 6, 7, 64, 1 << 20])
+def test_records_are_the_same_for_ranges_of_any_size(tmp_path, size):
+    rng = random.Random(size)
+    for trial in range(60):
+        pieces = ["a", "", "x y", 'q"uote', "line\nbreak", "\r\n", '""', ",", "é日", '"', "\n\n", 'end"']
+        rows = [[rng.choice(pieces) for _ in range(3)] for _ in range(rng.randint(0, 25))]
+        out = io.StringIO()
+        ending = rng.choice(["\n", "\r\n"])
+        csv.writer(out, lineterminator=ending, quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL])).writerows(rows)
+        text = out.getvalue()
+        if rng.random() < 0.3:
+            text += f'5" pipe,b"c,d{ending}'  # quotes inside of fields are text
+        if rng.random() < 0.3:
+            text = text.removesuffix(ending)
+        data = (b"\xef\xbb\xbf" if rng.random() < 0.2 else b"") + text.encode()
+        quotes = quoted.Quotes(",", '"', '"')
+        f, found, inside = io.BytesIO(data), [], False
+        for k in range(len(data) // size + 1):
+            begin, end = (quoted._begin(f, (k + j) * size, len(data), quotes) for j in (0, 1))
+            piece, start = quoted._piece(f, begin, end, quotes)
+            found += quoted._records(f, {"begin": begin, "end": end, "inside": inside}, quotes, False)
+            inside = quotes.spans(piece, start, inside)[1]
+        got = [tuple(next(csv.reader(io.StringIO(r.decode(), newline="")))) for r in found]
+        assert got == reference(text)
+        head = quoted.first_record(io.BytesIO(data), quotes)
+        assert not text.strip("\r\n") or text.startswith(("\r", "\n")) or next(csv.reader(io.StringIO(head, newline=""))) == list(reference(text)[0])
+
+
+@pytest.mark.parametrize("size", [16, 1000])
+def test_one_file_with_line_breaks_is_many_tasks(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(delimited, "RANGE_BYTES", size)
+    want = [(k, f'text {k}, "said"\nand\r\n\nwent' if k % 3 else None if k % 2 else "", k / 2) for k in range(200)]
+    with open(tmp_path / "x.csv", "w", newline="") as f:
+        f.write("a,b,c\n")
+        for a, b, c in want:
+            cell = "" if b is None else '"' + b.replace('"', '""') + '"'
+            f.write(f"{a},{cell},{c}\r\n")
+    got = read_delimited(spark, str(tmp_path / "x.csv"), COLUMNS, has_quoted_newlines=True)
+    assert rows(got) == sorted(want, key=repr)
+    slashed = tmp_path / "y"
+    slashed.mkdir()
+    for n in range(3):
+        (slashed / f"{n}.csv").write_text("".join(f"{k};'it\\'s\n{k}';1\n" for k in range(n * 40)))
+    got = read_delimited(spark, str(slashed), COLUMNS, delimiter=";", has_header_row=False, quote_character="'", escape_character="\\", has_quoted_newlines=True)
+    assert rows(got) == sorted([(k, f"it's\n{k}", 1.0) for n in range(3) for k in range(n * 40)], key=repr)
+
+
+def test_ranges_know_their_state(spark, tmp_path):
+    path = write(tmp_path, 'a,"' + "long\n" * 500 + '",1\n' * 1 + "b,x,2\n" * 50)
+    found = quoted.ranges(spark, path, quoted.Quotes(",", '"', '"'), 100).orderBy("range").collect()
+    assert len(found) > 20 and found[0]["inside"] is False and found[10]["inside"] is True and found[-1]["inside"] is False
+    assert quoted.records(spark.createDataFrame(found), quoted.Quotes(",", '"', '"'), False).count() == 51
+
+
+def test_bad_records_with_line_breaks(spark, tmp_path):
+    path = write(tmp_path, 'a,b,c\n1,"x\ny",2.5\n2,y\n3,"z,z",3.5,extra\n4,w,oops\n5,,\n')
+    good = [(1, "x\ny", 2.5), (5, None, None)]
+    assert rows(read_delimited(spark, path, COLUMNS, skip_bad_records=True, has_quoted_newlines=True)) == good
+    with pytest.raises(Exception, match="bad record"):
+        read_delimited(spark, path, COLUMNS, has_quoted_newlines=True).select("b").count()
+
+
+def test_compressed_files_stay_whole(spark, tmp_path):
+    (tmp_path / "x.csv.gz").write_bytes(gzip.compress(b'b,a,c\n"x\ny",1,2.5\n'))
+    assert rows(read_delimited(spark, str(tmp_path), COLUMNS, has_quoted_newlines=True)) == [(1, "x\ny", 2.5)]
+
+
+def test_headers_of_any_length(spark, tmp_path):
+    names = [f"column_number_{k:06d}" for k in range(4000)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    path = write(tmp_path, ",".join(reversed(names)) + "\n" + ",".join(str(k) for k in reversed(range(4000))) + "\n")
+    row = read_delimited(spark, path, schema).first()
+    assert row["column_number_000000"] == "0" and row["column_number_003999"] == "3999"
+    path = write(tmp_path, '"two\nlines",a\nx,1\n', "y.csv")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("two\nlines", T.StringType())])
+    assert rows(read_delimited(spark, path, schema, has_quoted_newlines=True)) == [(1, "x")]
+    path = write(tmp_path, "b,a,d\nx,1,2\n", "z.csv")
+    with pytest.raises(ValueError, match="other places"):
+        read_delimited(spark, path, COLUMNS)
