@@ -49,8 +49,9 @@ MORE = (
 
 # What is replaced: for a key, the lines behind its header too. Up to the END line no dash
 # may come but those of header fields; without an END line, the lines of base64 that follow.
-_FIELDS = r"(?:\s*(?:Proc-Type|DEK-Info|Version|Comment): [^\r\n]*)*"
-# These are one repeated class, as the engine's stack grows with a repeated group.
+# Groups repeat possessively and the rest are single classes: with other repeated groups the
+# engine's stack grows with the text. Line ends may be written as escapes.
+_FIELDS = r"(?:(?:\s|\\[nr])*+(?:Proc-Type|DEK-Info|Version|Comment): (?:[^\r\n\\]|\\(?![nr]))*+)*+"
 _LINES = r"[A-Za-z0-9+/=\s\\]*(?<=[A-Za-z0-9+/=]{20})(?:[\r\n]+[\t ]*[A-Za-z0-9+/]+={0,2}[\t ]*(?![^\r\n]))?"
 _KEY = rf"{_FIELDS}(?:[^-]*-----END [A-Z ]{{0,24}}PRIVATE KEY-----|{_LINES})"
 WHOLE = tuple(Rule(r.kind, rf"{r.pattern}(?:{_KEY})?") if r.kind == "key_block" else r for r in BASE + MORE)

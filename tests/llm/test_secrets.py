@@ -86,6 +86,9 @@ def test_private_keys_go_with_their_body(spark):
         7: (f"a {head}\n" + "\n".join(lines[:400] * 50), "a [SECRET]"),
         4: (f'key = "{head}\\n' + "\\n".join(lines) + f'\\n{end}\\n" b', 'key = "[SECRET]\\n" b'),
         5: (f"The line {head} opens a key.\nSome prose - without one.", "The line [SECRET] opens a key.\nSome prose - without one."),
+        8: (f"a {head}\n" + "Comment: x y\n" * 100_000 + f"\n{body}\n{end} b", "a [SECRET] b"),
+        9: (f"a {head}\n" + "Version: 1 \\ 2\n" * 100_000, "a [SECRET]\n" + "Version: 1 \\ 2\n" * 100_000),  # no key follows
+        10: (f'k = "{head}\\n' + fields.replace("\n", "\\n") + "\\n".join(lines) + f'\\n{end}\\n" b', 'k = "[SECRET]\\n" b'),
         6: (f"{head}\n{body}\n\nthen text - and {head}\n{body}\n{end}.", "[SECRET]\n\nthen text - and [SECRET]."),
     }
     df = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id long, text string")
