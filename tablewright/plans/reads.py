@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -14,7 +16,7 @@ from tablewright.operators.aggregates import summarise
 from tablewright.plans import sql
 from tablewright.plans.registry import register, table
 from tablewright.session import shared_dir
-from tablewright.sources import delimited, files, reader
+from tablewright.sources import delimited, files, ingest, reader, splits
 from tablewright.sources.uploads import UploadTable
 from tablewright.sources.versions import Dataset
 from tablewright.types import field
@@ -118,6 +120,27 @@ def read_stream_counts(spark, sf_dir):
     )
 
 
+@register("read_splits", "SELECT o_orderkey, o_totalprice FROM orders")
+def read_splits(spark, sf_dir):
+    """Several files of several row groups, read split by split."""
+    path = shared_dir(spark, "orders")
+    orders = table(spark, sf_dir, "orders").repartition(6)
+    orders.write.option("parquet.block.size", 1 << 16).option("parquet.page.row.count.limit", 500).parquet(path)
+    found = splits.plan_splits(spark, path, 5)
+    return reduce(DataFrame.unionAll, [found.read(k, ["O_ORDERKEY", "o_totalprice"]) for k in range(found.count)])
+
+
+@register("read_split_plan", "SELECT COUNT(*) AS n, COUNT(*) AS planned, 0 AS twice FROM lineitem")
+def read_split_plan(spark, sf_dir):
+    """No row group is in two splits, and the splits have all rows."""
+    found = splits.plan_splits(spark, f"{sf_dir}/lineitem.parquet", 3)
+    read = reduce(DataFrame.unionAll, [found.read(k, ["l_orderkey"]) for k in range(found.count)])
+    planned = found.plan().groupBy("file", "row_group").agg(agg.n().alias("times"), F.sum("rows").alias("rows"))
+    planned = planned.agg(F.sum("rows").alias("planned"), F.count_if(F.col("times") > 1).cast("int").alias("twice"))
+    one = planned.first()
+    return read.agg(agg.n().alias("n"), *[F.lit(one[c]).alias(c) for c in ("planned", "twice")])
+
+
 @register(
     "read_sample",
     f"SELECT o_orderkey, o_custkey FROM orders WHERE {_BUCKET_SQL.format(n=10000)} < 1000",
@@ -409,6 +432,31 @@ def ingest_csv_quoted(spark, sf_dir):
     return delimited.read_delimited(spark, path, declare(columns), has_quoted_newlines=True)
 
 
+@register("ingest_csv_headers", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def ingest_csv_headers(spark, sf_dir):
+    """Three folders' files with columns in different orders, bound by their headers."""
+    path = shared_dir(spark, "csv")
+    names = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    for k in range(3):
+        part = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 3 == k).select(*names[k:], *names[:k])
+        part.write.mode("append").csv(path, header=True)
+    columns = {"o_orderkey": "integer", "o_orderstatus": "string", "o_totalprice": "float"}
+    return delimited.read_delimited(spark, path, declare(columns))
+
+
+@register(
+    "upload_file",
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+)
+def upload_file(spark, sf_dir):
+    """Name, type, delimiter and the columns' types follow from the files."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    path = sinks.export(orders, f"{shared_dir(spark, 'csv')}/orders.csv")
+    uploads = UploadTable(spark, shared_dir(spark, "uploads"))
+    name = ingest.upload_file(uploads, path)
+    return uploads.read_upload(name)
+
+
 @register("ingest_parquet", "SELECT * FROM customer")
 def ingest_parquet(spark, sf_dir):
     uploads = UploadTable(spark, shared_dir(spark, "uploads"))

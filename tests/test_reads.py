@@ -5,13 +5,15 @@ import io
 import random
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import batch, schema
-from tablewright.sources import delimited, quoted, reader
+from tablewright.sources import delimited, ingest, quoted, reader, splits
 from tablewright.sources.delimited import from_frame, read_delimited
+from tablewright.sources.uploads import UploadTable
 from tablewright.types import field, logical_type
 from tablewright.types import schema as declare
 from tests.conftest import rows
@@ -286,3 +288,61 @@ def test_headers_of_any_length(spark, tmp_path):
     path = write(tmp_path, "b,a,d\nx,1,2\n", "z.csv")
     with pytest.raises(ValueError, match="other places"):
         read_delimited(spark, path, COLUMNS)
+
+
+# --- splits and files
+
+
+def test_splits_read_each_row_group_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        df = spark.range(k * 1000, k * 1000 + 1000).withColumn("t", F.lit(dt.datetime(2020, 1, 1))).withColumn("x", F.when(F.col("id") % 3 > 0, F.lit("é")))
+        if k < 2:
+            df = df.withColumn("later", F.lit(k))
+        df.coalesce(1).write.mode("append").option("parquet.block.size", 2000).option("parquet.page.row.count.limit", 100).parquet(path)
+    spark.range(0).withColumn("x", F.lit("")).coalesce(1).write.mode("append").parquet(path)
+    pq.write_table(pa.table({"id": [5000]}), f"{path}/single.parquet")
+    whole = spark.read.option("mergeSchema", "true").parquet(path)
+    found = splits.plan_splits(spark, path, 4)
+    plan = found.plan().collect()
+    assert len(plan) > 6 and len({(r["file"], r["row_group"]) for r in plan}) == len(plan) and sum(r["rows"] for r in plan) == 3001
+    found = splits.Splits(spark, found.path, whole.schema, 4)
+    parts = [found.read(k) for k in range(4)]
+    assert all(p.count() for p in parts)
+    got = [r for p in parts for r in rows(p)]
+    assert sorted(got, key=repr) == rows(whole)
+    assert parts[1].rdd.getNumPartitions() == sum(r["split"] == 1 for r in plan)
+    assert found.read(0, ["X", "nope"]).columns == ["x"] and found.read(0, max_results=2).count() == 2
+    many = splits.plan_splits(spark, path, 60)
+    assert sum(many.read(k, ["id"]).count() for k in range(60)) == 3001
+    with pytest.raises(ValueError):
+        splits.plan_splits(spark, many, 2)
+    with pytest.raises(LookupError):
+        many.read(60)
+
+
+def test_uploads_from_files(spark, tmp_path):
+    t = UploadTable(spark, str(tmp_path / "t"))
+    text = 'n;f;code;day;at;yes;mixed;none\n1;1.5;007;2020-01-02;2020-01-02T03:04:05;true;1;\n-2;3;010;2021-12-31;2020-01-02 03:04;FALSE;"a\nb";\n'
+    assert ingest.upload_file(t, write(tmp_path, text, "semi.txt")) == "semi.txt"
+    df = t.read_upload("semi.txt")
+    assert [d for _, d in df.dtypes] == ["bigint", "double", "string", "date", "timestamp_ntz", "boolean", "string", "string"]
+    assert rows(df.select("n", "code", "mixed")) == [(-2, "010", "a\nb"), (1, "007", "1")]
+    assert ingest.upload_file(t, write(tmp_path, "a\tb\n1\tx,y\n", "x.tsv"), "tabs") == "tabs"
+    assert rows(t.read_upload("tabs")) == [(1, "x,y")]
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"a,b\n1,2\n"))
+    assert ingest.upload_file(t, str(tmp_path / "z.csv.gz"), schema=declare({"b": "string", "a": "integer"})) == "z.csv.gz"
+    assert rows(t.read_upload("z.csv.gz")) == [("2", 1)]
+    ingest.upload_file(t, write(tmp_path, '{"a": 1}\n{"a": 2}\n', "j.ndjson"))
+    spark.range(3).write.parquet(str(tmp_path / "p.parquet"))
+    assert ingest.upload_file(t, str(tmp_path / "p.parquet"), conflicts={"rename_on_conflict": True}) == "p.parquet"
+    assert t.read_upload("j.ndjson").count() == 2 and t.read_upload("p.parquet").count() == 3
+    assert ingest.upload_file(t, str(tmp_path / "p.parquet"), conflicts={"rename_on_conflict": True}) == "p.parquet_1"
+    assert ingest.sniffed_delimiter(spark, write(tmp_path, '"a,b,c"|d|e\n', "s.txt")) == "|"
+    for name, kind in (("x.unknown", None), ("x.unknown", "xlsx")):
+        with pytest.raises(ValueError):
+            ingest.upload_file(t, write(tmp_path, "a\n", name), type=kind)
+    with pytest.raises(FileNotFoundError):
+        ingest.upload_file(t, str(tmp_path / "absent.csv"))
+    with pytest.raises(ValueError):
+        ingest.upload_file(t, str(tmp_path / "p.parquet"), delimiter=";")
