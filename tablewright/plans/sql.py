@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable, Iterator, Mapping
-from contextlib import contextmanager
+import uuid
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,35 +15,50 @@ from tablewright.sources.versions import Dataset
 Tables = Mapping[str, DataFrame]
 
 
-# Views belong to the session, so one thread at a time binds names.
-_BINDING = threading.RLock()
+_OWN = threading.local()
+
+
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session of this thread that shares the catalog with ``spark`` and has its settings,
+    but no temporary views."""
+    if getattr(_OWN, "parent", None) is not spark:
+        _OWN.parent, _OWN.session = spark, spark.newSession()
+    own = _OWN.session
+    theirs, ours = dict(spark.conf.getAll), dict(own.conf.getAll)
+    for key, value in theirs.items():
+        if ours.get(key) != value and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key in ours.keys() - theirs.keys():
+        if own.conf.isModifiable(key):
+            own.conf.unset(key)
+    return own
+
+
+def _scoped(spark: SparkSession, sql: str, tables: Tables, args: Mapping | None) -> DataFrame:
+    """``sql`` with bare names bound to ``tables``, then to the caller's views, then to the
+    catalog's tables. The names are those of a session of their own, which gets the tables
+    and hands the result back by global views under names that nobody else has. No view of
+    the caller's is touched, so queries with equal names may be analysed side by side."""
+    own, place = _own_session(spark), spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    taken = {n.lower() for n in tables}
+    seen = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name.lower() not in taken and t.name.lower() in sql.lower()}
+    made, names = [], []
+
+    def passed(df: DataFrame, to: SparkSession) -> DataFrame:
+        made.append(f"_{uuid.uuid4().hex}")
+        df.createGlobalTempView(made[-1])
+        return to.table(f"{place}.{made[-1]}")
 
-
-@contextmanager
-def scope(spark: SparkSession, tables: Tables) -> Iterator[None]:
-    """Bare names resolve to ``tables`` inside; views they hide come back afterwards.
-
-    Names are bound when SQL is analysed, not when it runs, so other threads wait for the
-    analysis only.
-    """
-    with _BINDING:
-        yield from _bound(spark, tables)
-
-
-def _bound(spark: SparkSession, tables: Tables) -> Iterator[None]:
-    hidden = {}
-    for name, df in tables.items():
-        if any(t.name == name.lower() and t.isTemporary for t in spark.catalog.listTables(pattern=name)):
-            hidden[name] = spark.table(name)
-        df.createOrReplaceTempView(name)
     try:
-        yield
+        for name, df in {**seen, **tables}.items():
+            passed(df, own).createOrReplaceTempView(name)
+            names.append(name)
+        return passed(own.sql(sql, args=args) if args else own.sql(sql), spark)
     finally:
-        for name in tables:
-            if name in hidden:
-                hidden[name].createOrReplaceTempView(name)
-            else:
-                spark.catalog.dropTempView(name)
+        for name in names:
+            own.catalog.dropTempView(name)
+        for name in made:
+            spark.catalog.dropGlobalTempView(name)
 
 
 def query(
@@ -56,7 +71,8 @@ def query(
     """Run SQL with a default scope of a dataset's or a workflow's tables, not both.
 
     Names are bound and errors found here; rows are computed when used. A list parameter
-    is used as ``array_contains(:name, x)``.
+    is used as ``array_contains(:name, x)``. With a scope, functions that are registered in
+    the caller's session only are not known to the query.
     """
     if tables is not None and workflow is not None:
         raise ValueError("give a dataset or a workflow as the default scope, not both")
@@ -64,8 +80,10 @@ def query(
         k: F.array(*[F.lit(v) for v in value]) if isinstance(value, (list, tuple)) else value
         for k, value in (parameters or {}).items()
     }
-    with scope(spark, tables or workflow or {}):
-        return spark.sql(sql, args=args) if args else spark.sql(sql)
+    bound = tables or workflow
+    if bound:
+        return _scoped(spark, sql, bound, args)
+    return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
 def fetch(df: DataFrame, n: int = -1) -> DataFrame:
@@ -98,9 +116,9 @@ def datasource(
         }
     else:
         if sample_keys:
-            raise ValueError("sampling is not applicable to a source that is a workflow")
+            raise ValueError("a workflow's tables have no samples: leave out sample_keys")
         if version is not None:
-            raise ValueError("versions are not applicable to a source that is a workflow")
+            raise ValueError("a workflow's tables have no versions: leave out version")
         tables = dict(source)
     renamed = dict(mapped)
     unknown = [n for n in renamed if n not in tables]

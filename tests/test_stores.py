@@ -1,5 +1,6 @@
 """Sinks, uploads, versions, SQL scopes, streams and profiles."""
 
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
@@ -358,6 +359,37 @@ def test_scope_hides_and_restores(spark):
         sql.query(spark, "SELECT nope FROM t", {"t": frame(spark, (1, "x"))})
 
 
+def test_scopes_side_by_side(spark):
+    """Two threads bind one name, and a third reads the caller's view of that name."""
+    frame(spark, (0, "outer")).createOrReplaceTempView("shared_name")
+    frame(spark, (7, "other")).createOrReplaceTempView("other_name")
+    stop, seen = threading.Event(), []
+
+    def watch():
+        while not stop.is_set():
+            seen.append(tuple(spark.sql("SELECT b FROM shared_name").first()))
+
+    def ask(k):
+        t = {"shared_name": frame(spark, (k, f"v{k}"))}
+        return [rows(sql.query(spark, "SELECT s.b, o.b FROM shared_name s JOIN other_name o ON o.a = 7", t)) for _ in range(5)]
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        with ThreadPoolExecutor(2) as pool:
+            found = list(pool.map(ask, range(2)))
+    finally:
+        stop.set()
+        watcher.join()
+    assert found == [[[(f"v{k}", "other")]] * 5 for k in range(2)]
+    assert seen and set(seen) == {("outer",)}
+    got = sql.query(spark, "SELECT b FROM shared_name", {"shared_name": frame(spark, (1, "x"))})
+    got.createOrReplaceTempView("shared_name")  # a result is the caller's
+    assert rows(spark.sql("SELECT b FROM shared_name")) == [("x",)]
+    for name in ("shared_name", "other_name"):
+        spark.catalog.dropTempView(name)
+
+
 def test_parameters_and_fetch(spark):
     t = {"t": frame(spark, (1, "x"), (2, "y"), (3, "z"))}
     got = sql.query(spark, "SELECT a FROM t WHERE array_contains(:bs, b) AND a > :n", t, parameters={"bs": ["x", "y"], "n": 1})
