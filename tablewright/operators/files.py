@@ -187,67 +187,74 @@ def resolve_paths(requests: DataFrame, manifest: DataFrame, path: str = "path")
     climbs above the root), ``resolved`` and ``file_id``. Handles absolute paths, ``.``,
     ``..``, a trailing slash (directory only), and file ids of the older form.
     """
-    asked = (
-        requests.select(F.col(path).alias("_asked"))
-        .distinct()
-        .select("_asked", F.col("_asked").rlike(LEGACY_ID).alias("_by_id"), path_parts("_asked").alias("_parts"))
-        # few paths have dots to follow
-        .withColumn("_w", F.when(F.exists("_parts", lambda p: p.isin(".", "..")), _walk(F.col("_parts"))))
-        .select(
-            "_asked",
-            "_by_id",
-            F.array_join(F.coalesce("_w.at", "_parts"), "/").alias("_target"),
-            F.col("_w.must").alias("_must"),
-            F.coalesce("_w.above", F.lit(False)).alias("_above"),
-            (
-                F.col("_asked").endswith("/") | F.coalesce(F.try_element_at("_parts", F.lit(-1)).isin(".", ".."), F.lit(False))
-            ).alias("_dir_only"),
-        )
-    )
     # used twice, and with its true size known small trees are broadcast
     tree = materialize(
         dir_tree(manifest)
         .groupBy("path")
-        .agg(F.bool_or("is_dir").alias("_has_dir"), F.max("file_id").alias("_file_id")),
+        .agg(F.bool_or("is_dir").alias("_has_dir"), F.max("file_id").alias("_file_id"))
+        .withColumnRenamed("path", "_node"),
         "tree",
     )
-    found = asked.join(tree, asked["_target"] == tree["path"], "left").drop("path")
-
-    # walks with dots: every directory they pass has to exist
-    passed = (
-        asked.where(F.size("_must") > 0)
-        .select("_asked", F.explode(F.array_distinct("_must")).alias("path"))
-        .join(tree.where("_has_dir").select("path", F.lit(1).alias("_is_dir")), "path", "left")
-        .groupBy("_asked")
-        .agg((F.count("_is_dir") < F.count(F.lit(1))).alias("_lost"))
-    )
+    asked, parts = F.col(path), path_parts(path)
+    by_id = F.coalesce(asked.rlike(LEGACY_ID), F.lit(False))
+    dots = F.coalesce(F.exists(parts, lambda p: p.isin(".", "..")), F.lit(False))
+    # each kind has a join of its own, on a key that all of its rows have
+    plain = requests.where(~by_id & ~dots).withColumns({"_target": F.array_join(parts, "/"), "_dir_only": asked.endswith("/")})
+    plain = _answered(plain.join(tree, F.col("_target") == F.col("_node"), "left"), requests.columns, asked.isNull())
+    walked = _walked(requests.where(~by_id & dots), tree, path)
     ids = manifest.select(F.col("file_id").alias("_id"), F.array_join(path_parts("file_name"), "/").alias("_id_path"))
     ids = ids.groupBy("_id").agg(F.min("_id_path").alias("_id_path"))
-    found = found.join(passed, "_asked", "left").join(
-        ids, F.when(F.col("_by_id"), F.col("_asked")) == F.col("_id"), "left"
+    named = requests.where(by_id).join(ids, asked == F.col("_id"), "left").select(
+        *requests.columns,
+        F.when(F.col("_id").isNotNull(), "file").otherwise("missing").alias("status"),
+        F.col("_id_path").alias("resolved"),
+        F.col("_id").alias("file_id"),
     )
+    return plain.unionByName(walked).unionByName(named)
+
 
-    is_root = F.col("_target") == ""
+def _answered(found: DataFrame, columns: list[str], unknown: Column, *before: tuple[Column, str]) -> DataFrame:
+    """Status by the node that a target met; ``before`` are conditions that come first."""
+    status = F.when(unknown, F.lit(None).cast("string"))
+    for condition, value in before:
+        status = status.when(condition, value)
     status = (
-        F.when(F.col("_by_id"), F.when(F.col("_id").isNotNull(), "file").otherwise("missing"))
-        .when(F.coalesce("_lost", F.lit(False)), "missing")
-        .when(F.col("_above"), "error")
-        .when(is_root, "directory")
+        status.when(F.col("_target") == "", "directory")
         .when(F.col("_file_id").isNotNull() & ~F.col("_dir_only"), "file")
         .when(F.coalesce("_has_dir", F.lit(False)), "directory")
         .otherwise("missing")
     )
-    answers = found.select("_asked", status.alias("status"), "_by_id", "_target", "_id_path", "_file_id", "_id")
-    hit = F.col("status").isin("file", "directory")
-    answers = answers.select(
+    found = found.withColumn("_status", status)
+    hit = F.col("_status").isin("file", "directory")
+    return found.select(
+        *columns,
+        F.col("_status").alias("status"),
+        F.when(hit, F.col("_target")).alias("resolved"),
+        F.when(F.col("_status") == "file", F.col("_file_id")).alias("file_id"),
+    )
+
+
+def _walked(requests: DataFrame, tree: DataFrame, path: str) -> DataFrame:
+    """Paths with dots: every directory that they pass has to exist."""
+    asked = requests.select(F.col(path).alias("_asked")).distinct().withColumn("_w", _walk(path_parts("_asked")))
+    ends = F.element_at(path_parts("_asked"), -1).isin(".", "..")
+    asked = asked.select(
         "_asked",
-        "status",
-        F.when(hit, F.when(F.col("_by_id"), F.col("_id_path")).otherwise(F.col("_target"))).alias("resolved"),
-        F.when(F.col("status") == "file", F.when(F.col("_by_id"), F.col("_id")).otherwise(F.col("_file_id"))).alias(
-            "file_id"
-        ),
+        F.array_join("_w.at", "/").alias("_target"),
+        F.col("_w.must").alias("_must"),
+        F.col("_w.above").alias("_above"),
+        (F.col("_asked").endswith("/") | ends).alias("_dir_only"),
+    )
+    passed = (
+        asked.select("_asked", F.explode(F.array_distinct("_must")).alias("_node"))
+        .join(tree.where("_has_dir").select("_node", F.lit(1).alias("_is_dir")), "_node", "left")
+        .groupBy("_asked")
+        .agg((F.count("_is_dir") < F.count(F.lit(1))).alias("_lost"))
     )
-    return requests.join(answers, requests[path] == answers["_asked"], "left").drop("_asked")
+    found = asked.join(tree, F.col("_target") == F.col("_node"), "left").join(passed, "_asked", "left")
+    lost, above = F.coalesce("_lost", F.lit(False)), F.col("_above")
+    answers = _answered(found, ["_asked"], F.lit(False), (lost, "missing"), (above, "error"))
+    return requests.join(answers, F.col(path) == F.col("_asked"), "left").drop("_asked")
 
 
 def lookup_files(requests: DataFrame, manifest: DataFrame, path: str = "path") -> DataFrame:
