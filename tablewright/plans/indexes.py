@@ -113,6 +113,66 @@ def file_read_range(spark, sf_dir):
     return out.select(*_place("name"), "head", F.lower(F.hex(F.unbase64("rest"))).alias("rest"), "inner_part")
 
 
+BLOCK = 2000  # consecutive ids of a file at most
+
+
+def _bounded(spark, sf_dir) -> str:
+    """A directory with many files for each source and language, none of more than BLOCK
+    texts: their number grows with the documents, not their size."""
+    path = shared_dir(spark, "files")
+    docs = table(spark, sf_dir, "documents").select("text", "source", "lang", "doc_id", F.floor(F.col("doc_id") / BLOCK).alias("block"))
+    docs = docs.repartition("source", "lang", "block").sortWithinPartitions("source", "lang", "block", "doc_id")
+    docs.drop("doc_id").write.partitionBy("source", "lang", "block").text(path)
+    return path
+
+
+def _block(name: str):
+    return F.regexp_extract(name, "block=([0-9]+)", 1).cast("bigint").alias("block")
+
+
+_BOUNDED = f"""
+    WITH w AS (SELECT source, lang, CAST(doc_id // {BLOCK} AS BIGINT) AS block, STRING_AGG(text || CHR(10), '' ORDER BY doc_id) AS content
+               FROM documents GROUP BY ALL),
+    p AS (SELECT source, lang, block, STRLEN(content) AS size, part, MD5(UNHEX(SUBSTR(HEX(ENCODE(content)), 2 * part * 4096 + 1, 8192))) AS part_md5
+          FROM (SELECT *, UNNEST(RANGE(GREATEST((STRLEN(content) + 4095) // 4096, 1))) AS part FROM w))
+"""
+
+
+@register("file_part_hashes", _BOUNDED + "SELECT source, lang, block, part, part_md5 FROM p")
+def file_part_hashes(spark, sf_dir):
+    """Many files, each hashed by parts."""
+    path = _bounded(spark, sf_dir)
+    parts = raw.part_hashes(raw.list_files(spark, path, "*.txt"), path, 4096)
+    return parts.select(*_place("name"), _block("name"), "part", "part_md5")
+
+
+@register(
+    "file_tree_hashes",
+    _BOUNDED + "SELECT source, lang, block, size, MD5(STRING_AGG(part_md5, '' ORDER BY part)) AS tree_md5 FROM p GROUP BY ALL",
+)
+def file_tree_hashes(spark, sf_dir):
+    path = _bounded(spark, sf_dir)
+    found = raw.tree_hashes(raw.list_files(spark, path, "*.txt"), path, 4096)
+    return found.select(*_place("name"), _block("name"), "size", "tree_md5")
+
+
+@register(
+    "file_ranges",
+    _BOUNDED.split("p AS")[0].rstrip().rstrip(",")
+    + """
+    SELECT source, lang, block, UNHEX(SUBSTR(HEX(ENCODE(content)), 1, 200)) AS head, UNHEX(SUBSTR(HEX(ENCODE(content)), 20001, 40)) AS inner_part
+    FROM w
+    """,
+)
+def file_ranges(spark, sf_dir):
+    """Byte ranges of many files."""
+    path = _bounded(spark, sf_dir)
+    out = raw.list_files(spark, path, "*.txt")
+    for name, first, last in (("head", 0, 99), ("inner_part", 10_000, 10_019)):
+        out = raw.stream_range(out, path, first, last, name)
+    return out.select(*_place("name"), _block("name"), "head", "inner_part")
+
+
 # --- tree and listings
 
 

@@ -21,6 +21,7 @@ from tablewright.session import materialize
 
 TASK_BYTES = 1 << 30
 PIECE_BYTES = 1 << 22
+PART_BYTES = 1 << 26
 
 
 def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -79,14 +80,14 @@ def list_files(spark: SparkSession, directory: str, glob: str | None = None) ->
     return rows.select("name", "size", F.timestamp_millis("ms").cast("timestamp_ntz").alias("modified_at"))
 
 
-def _open_each(files: DataFrame, directory: str, read: Callable, columns: str) -> DataFrame:
+def _open_each(files: DataFrame, directory: str, read: Callable, columns: str, size: str = "size") -> DataFrame:
     """Rows of ``files`` (with ``name``) with what ``read`` gives for the opened file and the
-    row, in tasks of about TASK_BYTES. A row may give several rows; they are made one by
-    one, so that no more than one is in memory."""
+    row, in tasks of about TASK_BYTES by the column ``size``. A row may give several rows;
+    they are made one by one, so that no more than one is in memory."""
     spark = files.sparkSession
     system, root = open_filesystem(directory)
     root, kept = root.rstrip("/"), files.columns
-    volume = files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] if "size" in kept else 0
+    volume = files.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] if size in kept else 0
     tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES))
     schema = T.StructType([*files.schema.fields, *T._parse_datatype_string(columns).fields])
     target = to_arrow_schema(schema)
@@ -116,6 +117,38 @@ def stream_hashes(files: DataFrame, directory: str, start_byte: int = 0, name: s
     return _open_each(files, directory, read, f"{name} string")
 
 
+def part_hashes(files: DataFrame, directory: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """One row for each part of ``part_bytes`` of each listed file, with ``part``, its
+    ``part_bytes`` and ``part_md5`` (hex). An empty file has one empty part. Parts are read
+    apart, so a file of any size is as many tasks as it needs."""
+    if part_bytes < 1:
+        raise ValueError("part_bytes must be positive")
+    last = F.greatest(F.ceil(F.col("size") / part_bytes).cast("bigint") - 1, F.lit(0).cast("bigint"))
+    parts = files.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    parts = parts.withColumn("part_bytes", F.least(F.lit(part_bytes), F.col("size") - F.col("part") * part_bytes).cast("bigint"))
+
+    def read(f, row):
+        md5, left = hashlib.md5(), row["part_bytes"]
+        f.seek(row["part"] * part_bytes)
+        while left and (piece := f.read(min(left, PIECE_BYTES))):
+            md5.update(piece)
+            left -= len(piece)
+        if left:
+            raise IOError(f"{row['name']} is shorter than when it was listed")
+        yield (md5.hexdigest(),)
+
+    return _open_each(parts, directory, read, "part_md5 string", "part_bytes")
+
+
+def tree_hashes(files: DataFrame, directory: str, part_bytes: int = PART_BYTES, name: str = "tree_md5") -> DataFrame:
+    """Adds ``tree_md5`` to listed files: the md5 (hex) of the digests of their parts, one
+    behind the other. It tells equal contents as ``md5_hash`` does, if the parts are as
+    large, and a large file is hashed by many tasks; its list of parts is what one row holds."""
+    parts = part_hashes(files, directory, part_bytes).groupBy(*files.columns)
+    listed = F.sort_array(F.collect_list(F.struct("part", "part_md5")))
+    return parts.agg(F.md5(F.array_join(F.transform(listed, lambda p: p["part_md5"]), "")).alias(name))
+
+
 def stream_range(files: DataFrame, directory: str, start_byte: int = 0, end_byte: int | None = None, name: str = "content") -> DataFrame:
     """Adds bytes ``start_byte`` to ``end_byte`` (inclusive; the whole rest without it) of
     listed files; only these are read."""

@@ -242,3 +242,24 @@ def test_digest_of_an_open_range_larger_than_a_cell(spark, tmp_path, monkeypatch
         left -= min(left, len(zeros))
     assert row["rest"] == want.hexdigest() and bytes(row["head"][:10]) == b"0123456789"
     assert (row["source"], row["lang"], bytes(row["inner_part"])) == ("a", "b", bytes(20))
+
+
+def test_parts_of_a_file_are_hashed_apart(spark, tmp_path):
+    rng = random.Random(2)
+    contents = {"a/b.bin": rng.randbytes(10_000), "a/empty": b"", "c": rng.randbytes(4096), "d é%20": b"x"}
+    for name, data in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    files = raw.list_files(spark, str(tmp_path))
+    parts = raw.part_hashes(files, str(tmp_path), 1000)
+    got = {(r["name"], r["part"]): (r["part_bytes"], r["part_md5"]) for r in parts.collect()}
+    want = {}
+    for name, data in contents.items():
+        for k in range(max(1, -(-len(data) // 1000))):
+            piece = data[k * 1000 : k * 1000 + 1000]
+            want[name, k] = (len(piece), hashlib.md5(piece).hexdigest())
+    assert got == want
+    trees = {r["name"]: r["tree_md5"] for r in raw.tree_hashes(files, str(tmp_path), 1000).collect()}
+    assert trees == {n: hashlib.md5("".join(want[n, k][1] for m, k in sorted(want) if m == n).encode()).hexdigest() for n in contents}
+    with pytest.raises(ValueError):
+        raw.part_hashes(files, str(tmp_path), 0)
