@@ -41,7 +41,9 @@ def _scoped(spark: SparkSession, sql: str, tables: Tables, args: Mapping | None)
     the caller's is touched, so queries with equal names may be analysed side by side."""
     own, place = _own_session(spark), spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
     taken = {n.lower() for n in tables}
-    seen = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name.lower() not in taken and t.name.lower() in sql.lower()}
+    # the caller's views: in the database of global views no tables are listed besides
+    views = [r["viewName"] for r in spark.sql(f"SHOW VIEWS IN {place}").collect() if not r["namespace"]]
+    seen = {v: spark.table(v) for v in views if v.lower() not in taken and v.lower() in sql.lower()}
     made, names = [], []
 
     def passed(df: DataFrame, to: SparkSession) -> DataFrame:
