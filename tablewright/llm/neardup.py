@@ -10,17 +10,19 @@ centre is the member whose buckets are largest altogether, that is, the one most
 others; so the buckets of one group of copies mostly share their centre, and its edges
 count once.
 
-Members of a star with a shingle in common that its centre lacks share a further bucket.
+Two members of a star that are linked share one of the first shingles of both, as many as
+the threshold leaves out and one more, in any order that both keep: here those that the
+centre lacks come first. Members that share such a shingle and are in different components
+after the stars are compared as well, unless their sizes or the parities of their sets
+exclude a link, so no link between documents of one bucket is lost.
 
-Documents of one and the same set are one node from the start. Buckets whose members are
-not all in one component after confirmation get further stars between members of different
-components, round by round with other members, until two rounds find no new link.
+Documents of one and the same set are one node from the start.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
@@ -31,6 +33,7 @@ from tablewright.session import materialize
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 5, 80
 BITS = 24  # of the filters for buckets and for documents whose sets are compared, 2 MB
+CELL = 2000  # members of a bucket that one task compares with the others
 
 
 def _borrowing(bins: int) -> np.ndarray:
@@ -99,8 +102,9 @@ def sketches(docs: DataFrame, width: int = WIDTH, bins: int = BINS, rows: int =
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, hashes) for the ``wanted`` (node, doc_id, text_hash) documents. Their sets are
-    made where the texts are read, behind a filter of fixed size, so no text is shuffled."""
+    """(node, centre, hashes) for the ``wanted`` (node, doc_id, text_hash, centre) documents.
+    Their sets are made where the texts are read, behind a filter of fixed size, so no text
+    is shuffled."""
     look = Bits.of(wanted.select(F.xxhash64("doc_id", "text_hash").alias("look")), "look", BITS)
     shared = docs.sparkSession.sparkContext.broadcast(look)
     source = docs.select("_id", "_key", F.xxhash64("_id", "_key").alias("_look"), "_text")
@@ -111,47 +115,108 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         def step(ids, keys, looks, values):
             take = np.flatnonzero(filter_.has(np.array(looks, dtype=np.int64).view(np.uint64)))
             made = [shingles(hashes, values[i] or "", width).tobytes() for i in take]
-            return [[ids[i] for i in take], [keys[i] for i in take], made]
+            return [[ids[i] is None for i in take], [ids[i] or 0 for i in take], [keys[i] for i in take], made]
 
         return step
 
-    made = map_rows(source, make, "_id long, _key long, hashes binary")
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_hash"))
-    # a document may be repeated
-    return made.join(wanted, same).select("node", "hashes").dropDuplicates(["node"])
+    made = map_rows(source, make, "no_id boolean, _id long, _key long, hashes binary")
+    # a document may be repeated; grouped by the keys of the join, sets move once
+    made = made.groupBy("no_id", "_id", "_key").agg(F.first("hashes").alias("hashes"))
+    keys = F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_key")
+    return made.join(wanted.select("node", "centre", *keys), ["no_id", "_id", "_key"]).select("node", "centre", "hashes")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, good, rest): whether the sets of a pair (a, b) have ``percent`` of their union
-    in common, and the hashes of the first that the second lacks."""
+def prefix(values: np.ndarray, lacks: np.ndarray, percent: int) -> np.ndarray:
+    """The first hashes of a set, those in ``lacks`` before the others, of which a set that
+    is linked has one among its own first."""
+    length = len(values) - -(-percent * len(values) // 100) + 1
+    if length > len(lacks):
+        lacks = np.concatenate([lacks, np.setdiff1d(values, lacks, assume_unique=True)])
+    return lacks[:length]
+
+
+def parities(values: np.ndarray) -> np.ndarray:
+    """Whether a set has an odd number of hashes in each of 256 bins, as four numbers. In
+    how many bins two sets differ is at most the number of hashes that one of them lacks."""
+    odd = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _side_by_side(pairs: DataFrame, sets: DataFrame, others: DataFrame) -> DataFrame:
+    """(a, b, _a, _b) for pairs (a, b), the second of which has its set in ``others``."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
-    rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
+    right = others.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, good, size, odd, first): whether the sets of a pair (a, b), the second a
+    centre, have ``percent`` of their union in common; size, parities and prefix of the first."""
+    rows = _side_by_side(pairs, sets, sets.filter("centre"))
 
     def make():
         def step(a, b, first, second):
-            good, rest = [], []
+            out: list[list] = [a, b, [], [], [], []]
             for x, y in zip(first, second, strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 lacks = np.setdiff1d(x, y, assume_unique=True)
                 both = len(x) - len(lacks)
+                found = 100 * both >= percent * (len(x) + len(y) - both), len(x), parities(x), prefix(x, lacks, percent).view(np.int64)
+                for column, v in zip(out[2:], found, strict=True):
+                    column.append(v)
+            return out
+
+        return step
+
+    return map_rows(rows, make, "a binary, b binary, good boolean, size long, odd array<long>, first array<long>")
+
+
+def _good(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that are links. Only sets of their nodes are moved."""
+    needed = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed")
+    sets = sets.join(needed, "node", "left_semi")
+    rows = _side_by_side(pairs, sets, sets)
+
+    def make():
+        def step(a, b, first, second):
+            good = []
+            for x, y in zip(first, second, strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
-                rest.append(lacks.view(np.int64))
-            return [a, b, good, rest]
+            return [[v for v, g in zip(c, good, strict=True) if g] for c in (a, b)]
 
         return step
 
-    return map_rows(rows, make, "a binary, b binary, good boolean, rest array<long>")
+    return map_rows(rows, make, "a binary, b binary")
+
 
+def _across(compared: DataFrame, edges: DataFrame, percent: int, cell: int) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share a star and a shingle of
+    their prefixes, and that neither sizes nor parities exclude.
 
-def _apart(compared: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Further buckets (band, member): members of one star with a shingle in common that
-    the centre lacks. Two linked sets of which one is not linked to a centre of about their
-    size have such a shingle: it takes more in common than they share with the centre."""
-    found = compared.select("a", "b", F.explode("rest").alias("shingle")).select(F.xxhash64("b", "shingle").alias("band"), F.col("a").alias("node"))
-    several = found.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").select("band")
-    who = pairs.select(F.col("x.node").alias("node"), F.col("x").alias("member")).distinct()
-    return found.join(several, "band").join(who, "node").select("band", "member")
+    Such buckets are few and small, since shingles that the centre lacks come first. In one
+    with more than ``cell`` members these are dealt to several tasks on one side; what is
+    excluded never leaves the join.
+    """
+    found = compared.select("b", F.col("a").alias("node"), F.explode("first").alias("shingle"))
+    found = found.select(F.xxhash64("b", "shingle").alias("band"), "node")
+    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("_root"))
+    sides = compared.groupBy("a").agg(F.first("size").alias("size"), F.first("odd").alias("odd")).withColumnRenamed("a", "node")
+    sides = materialize(sides.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root"), "sides")
+    rooted = materialize(found.join(sides.select("node", "root"), "node"), "rooted")
+    several = rooted.groupBy("band").agg(F.count("*").alias("_n"), (F.min("root") != F.max("root")).alias("_open")).filter("_open")
+    parts = F.ceil(F.col("_n") / cell).cast("int").alias("_parts")
+    rows = materialize(rooted.select("band", "node").join(several.select("band", parts), "band").join(sides, "node"), "open")
+    left = rows.withColumn("_part", F.pmod(F.hash("node"), F.col("_parts"))).select("band", "_part", F.struct("node", "root", "size", "odd").alias("x"))
+    right = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select("band", "_part", F.struct("node", "root", "size", "odd").alias("y"))
+    both = F.col("x.size") + F.col("y.size")
+    differ = sum((F.bit_count(F.col("x.odd")[k].bitwiseXOR(F.col("y.odd")[k])) for k in range(4)), F.lit(0))
+    # of two linked sets, at most so many hashes of both together are in one alone
+    near = differ * (100 + percent) <= both * (100 - percent)
+    fits = F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent
+    pairs = left.join(right, ["band", "_part"]).filter((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits & near)
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def _weighed(nodes: DataFrame) -> DataFrame:
@@ -191,30 +256,7 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(members.groupBy("band").agg(F.max(key)["member"].alias("centre")), "band")
 
 
-def _more_stars(rooted: DataFrame, salt: int) -> DataFrame:
-    """As :func:`_stars`, in buckets with several components: one member of each, and one of
-    them the centre. These are the heaviest at first, then picked anew by a hash for each
-    bucket and round."""
-
-    def most(n: int, *more: str) -> Column:
-        by = F.col("member.weight") if salt == 1 else F.xxhash64("member.node", "band", F.lit(2 * salt + n))
-        return F.max(F.struct(by.alias("_by"), "member.node", "member", *more))
-
-    picked = rooted.groupBy("band", "root").agg(most(0)["member"].alias("member"))
-    centres = picked.groupBy("band").agg(most(1, "root").alias("_c"), F.count("*").alias("_n")).filter("_n > 1")
-    stars = picked.join(centres.drop("_n"), "band").filter(F.col("root") != F.col("_c.root"))
-    return stars.select("band", "member", F.col("_c.member").alias("centre"))
-
-
-def _pairs(stars: DataFrame, percent: int) -> DataFrame:
-    """(x, y), as members, of which the second is a centre; only those whose sizes let them
-    be linked. Each pair once."""
-    sizes = F.col("member.n_shingles"), F.col("centre.n_shingles")
-    fits = F.least(*sizes) * 100 >= F.greatest(*sizes) * percent
-    return stars.filter((F.col("member.node") != F.col("centre.node")) & fits).select(F.col("member").alias("x"), F.col("centre").alias("y")).distinct()
-
-
-def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: int = BINS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) for each document.
 
     Documents are linked if their sets of ``width``-word shingles have at least
@@ -233,38 +275,18 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles")).alias("own")
     nodes = made.filter("node is not null").groupBy("node").agg(first, F.min(F.struct("node", "bands"))["bands"].alias("bands"))
     nodes = materialize(nodes.select("node", "own.doc_id", "own.text_hash", "own.n_shingles", "bands"), "nodes")
-    members = _weighed(nodes)
-    stars = materialize(_stars(members), "stars")
-    members = stars.select("band", "member")
-
-    tried = sets = edges = None
-    salt = idle = 0
-    while True:
-        pairs = _pairs(stars, percent if salt else 0)
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        wanted = pairs.select("x.*").union(pairs.select("y.*")).select("node", "doc_id", "text_hash").distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("node"), "node", "left_anti")
-        more = materialize(_sets(keyed, wanted, width), "sets")
-        sets = more if sets is None else sets.union(more)
-        compared = materialize(_compared(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), sets, percent), "compared")
-        links = compared.filter("good").select("a", "b")
-        tried = pairs if tried is None else tried.union(pairs)
-        if not salt:
-            members = members.union(materialize(_apart(compared, pairs), "apart"))
-        found = not links.isEmpty()
-        idle = 0 if found or not salt else idle + 1
-        if idle == 2:
-            break
-        if found or not salt:
-            edges = components(links if edges is None else edges.union(links))
-        # buckets that still have members of several components
-        root = F.coalesce("b", F.col("member.node")).alias("root")
-        rooted = members.join(edges, F.col("member.node") == F.col("a"), "left").select("band", "member", root)
-        salt += 1
-        stars = _more_stars(rooted, salt)
+    stars = _stars(_weighed(nodes)).filter("member.node != centre.node").select("member", "centre").distinct()
+    stars = materialize(stars, "stars")
+    sides = stars.select("member.*", F.lit(False).alias("centre")).union(stars.select("centre.*", F.lit(True)))
+    wanted = sides.groupBy("node").agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.max("centre").alias("centre"))
+    sets = materialize(_sets(keyed, materialize(wanted, "wanted"), width), "sets")
+    pairs = stars.select(F.col("member.node").alias("a"), F.col("centre.node").alias("b"))
+    compared = materialize(_compared(pairs, sets, percent), "compared")
+    edges = components(compared.filter("good").select("a", "b"))
+    across = materialize(_across(compared, edges, percent, cell), "across")
+    more = materialize(_good(across, sets, percent), "more")
+    if not more.isEmpty():
+        edges = components(edges.union(more))
 
     root = F.coalesce("b", "node")
     full = nodes.join(edges, F.col("node") == F.col("a"), "left").select("node", "doc_id", root.alias("root"))

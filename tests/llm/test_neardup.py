@@ -71,3 +71,45 @@ def test_components(spark):
     chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (200, 200)]
     got = {r["a"]: r["b"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(1, 41)}, 101: 100, 102: 100}
+
+
+def test_links_that_no_centre_has(spark):
+    """One group around the threshold, in families: members of a family are linked to each
+    other, and hardly to the centre of their buckets. Cells of three members give the same."""
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(500)]
+    base = [rng.choice(vocabulary) for _ in range(150)]
+    rows = []
+    for k in range(300):
+        words = list(base)
+        for _ in range(rng.randint(4, 8)):
+            words[rng.randrange(150)] = rng.choice(vocabulary)
+        for _ in range(3):
+            own = list(words)
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(150)] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: v[1] for (i, _), v in brute(rows, 4).items()}
+    assert 1 < len(set(want.values())) < len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in neardup.linked(df, width=4).collect()} == want
+    assert {r["doc_id"]: r["component_id"] for r in neardup.linked(df, width=4, cell=3).collect()} == want
+
+
+def test_prefixes_and_parities_lose_no_link():
+    rng = np.random.default_rng(2)
+    linked = 0
+    for _ in range(2000):
+        n = int(rng.integers(1, 60))
+        whole = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        a, b = (np.sort(rng.choice(whole, max(1, len(whole) - int(rng.integers(0, 1 + len(whole) // 8))), replace=False)) for _ in range(2))
+        centre = np.sort(rng.choice(whole, int(rng.integers(0, len(whole) + 1)), replace=False))
+        both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        odd = int(np.bitwise_count((neardup.parities(a) ^ neardup.parities(b)).view(np.uint64)).sum())
+        assert odd <= union - both
+        if 100 * both >= 80 * union:
+            linked += 1
+            first, second = (neardup.prefix(x, np.setdiff1d(x, centre), 80) for x in (a, b))
+            assert len(np.intersect1d(first, second))
+            assert odd * 180 <= (len(a) + len(b)) * 20
+    assert linked > 500
