@@ -66,5 +66,5 @@ def test_sql(spark, name):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2:3].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
