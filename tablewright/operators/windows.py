@@ -425,34 +425,121 @@ def range_framed(
     before: float | dt.timedelta,
     after: float | dt.timedelta,
     values: Mapping[str, tuple[str, Column | str]],
+    cell_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Aggregates over rows whose ``order`` value is within ``before`` below and ``after`` above.
 
     ``order`` is a number, a date (distances in days) or a moment (in seconds); distances
     may be timedelta. ``values``: new column -> (``count|sum|min|max|mean``, expression).
     Rows of one value collapse first, the values are cut into cells as wide as the frame,
-    and each value also goes to the neighbouring cells whose frames reach it.
+    and each value also goes to the neighbouring cells whose frames reach it. Groups that
+    have a cell of more than ``cell_rows`` values are done over blocks instead.
     """
     keys = _names(keys)
     exprs = {k: (kind, F.col(x) if isinstance(x, str) else x) for k, (kind, x) in values.items()}
-    parts = {}
+    parts, kinds = {}, {}
     for k, (kind, x) in exprs.items():
-        parts |= {f"_s_{k}": F.sum(x), f"_n_{k}": F.count(x)} if kind == "mean" else {f"_{k}": _total(kind, x)}
+        if kind == "mean":
+            parts |= {f"_s_{k}": F.sum(x), f"_n_{k}": F.count(x)}
+            kinds |= {f"_s_{k}": "sum", f"_n_{k}": "sum"}
+        else:
+            parts[f"_{k}"] = _total(kind, x)
+            kinds[f"_{k}"] = "sum" if kind == "count" else kind
     number, (before, after) = measured(df, order, before, after)
     peers = df.groupBy(*keys, order).agg(*[v.alias(k) for k, v in parts.items()]).withColumn("_v", number)
+    peers = materialize(peers, "peers")
     v, width = F.col("_v"), max(before + after, 1e-9)
     home, first, last = F.floor(v / width), F.floor((v - after) / width), F.floor((v + before) / width)
     cells = peers.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
     w = Window.partitionBy(*keys, "_at").orderBy("_v").rangeBetween(-before, after)
-
-    def combined(k: str, kind: str) -> Column:
-        if kind == "mean":
-            return F.sum(f"_s_{k}").over(w) / F.nullif(F.sum(f"_n_{k}").over(w), F.lit(0))
-        return _over("sum" if kind == "count" else kind, F.col(f"_{k}"), w)
-
-    framed_peers = cells.withColumns({k: combined(k, kind) for k, (kind, _) in exprs.items()})
-    framed_peers = framed_peers.where(F.col("_home").eqNullSafe(F.col("_at")))
-    return join_back(df, framed_peers.select(*keys, order, *exprs), [*keys, order])
+    # no more of these than there are rows / cell_rows
+    full = cells.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_rows)
+    large = materialize(full.select(*keys, F.lit(True).alias("_large")).distinct(), "large")
+    several = not large.isEmpty()
+    if several:
+        cells = join_back(cells, large, keys).where("_large is null or _v is null").drop("_large")
+    framed_peers = cells.withColumns({k: _over(kind, F.col(k), w) for k, kind in kinds.items()})
+    framed_peers = framed_peers.where(F.col("_home").eqNullSafe(F.col("_at"))).select(*keys, order, *kinds)
+    if several:
+        dense = join_back(peers, large, keys).where("_large and _v is not null").drop("_large")
+        framed_peers = framed_peers.unionByName(_framed_by_blocks(dense, keys, order, before, after, kinds))
+
+    def value(k: str, kind: str) -> Column:
+        return F.col(f"_s_{k}") / F.nullif(f"_n_{k}", F.lit(0)) if kind == "mean" else F.col(f"_{k}")
+
+    found = framed_peers.select(*keys, order, *[value(k, kind).alias(k) for k, (kind, _) in exprs.items()])
+    return join_back(df, found, [*keys, order])
+
+
+STEP_ROWS = 256  # a moving frame costs Spark its length for each row, so frames are short
+STEP_BITS = 24  # of the number of a step in its block
+LEVELS = STEP_BITS + 20
+
+
+def _framed_by_blocks(peers: DataFrame, keys: list[str], order: str, before, after, kinds: Mapping[str, str]) -> DataFrame:
+    """(keys, order, aggregates) of frames in groups that one task need not hold.
+
+    The ends of the frames are sorted into blocks together with the values, and blocks are
+    cut into steps. A frame inside one step is done there. Any other is the rest of its first
+    step, the beginning of its last one, and what lies between: whole steps, aggregated for
+    1, 2, 4, ... of them, of which a frame takes two of each size at most. Ends move on
+    together, so frames have at most twice as many pairs of first and last step as there
+    are steps.
+    """
+    low, here, high = 0, 1, 2
+    ends = [
+        peers.select(*keys, order, "_v", (F.col("_v") - F.lit(before)).alias("_p"), F.lit(low).alias("_kind")),
+        peers.select(*keys, order, "_v", F.col("_v").alias("_p"), F.lit(here).alias("_kind"), *kinds),
+        peers.select(*keys, order, "_v", (F.col("_v") + F.lit(after)).alias("_p"), F.lit(high).alias("_kind")),
+    ]
+    events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ends)
+    blocks = Blocks.of(events, keys, ["_p", "_kind"])
+    in_block = F.floor((F.row_number().over(blocks.ordered()) - 1) / STEP_ROWS)
+    rows = blocks.rows.withColumn("_step", F.col("_block").cast("bigint") * 2**STEP_BITS + in_block)
+    is_here = F.col("_kind") == here
+    step = Window.partitionBy(*keys, *blocks.PLACE, "_step")
+    inside = step.orderBy("_v").rangeBetween(-before, after)
+    upto = (Window.unboundedPreceding, 0)
+    so_far = step.orderBy("_p", "_kind", "_tie").rowsBetween(*upto)
+    to_end = step.orderBy(F.desc("_p"), F.desc("_kind"), F.desc("_tie")).rowsBetween(*upto)
+
+    at_ends = rows.withColumns(
+        {f"_f{k}": F.when(F.col("_kind") == low, _over(kind, F.col(k), to_end)).otherwise(_over(kind, F.col(k), so_far)) for k, kind in kinds.items()}
+    ).where(~is_here)
+    in_step = rows.where(is_here).withColumns({f"_f{k}": _over(kind, F.col(k), inside) for k, kind in kinds.items()})
+    columns = [*keys, order, "_kind", "_step", *[f"_f{k}" for k in kinds]]
+    found = at_ends.select(columns).unionByName(in_step.select(columns))
+
+    def of(kind: int, column: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(column)))
+
+    frames = found.groupBy(*keys, order).agg(
+        of(low, "_step").alias("_first"),
+        of(high, "_step").alias("_last"),
+        *[of(kind, f"_f{k}").alias(f"{name}{k}") for k in kinds for kind, name in ((low, "_l"), (here, "_i"), (high, "_h"))],
+    )
+    frames = materialize(frames, "frames")
+
+    # aligned runs of 2 ** level whole steps, and those that lie between two steps
+    totals = rows.where(is_here).groupBy(*keys, "_step").agg(*[_total(kind, F.col(k)).alias(k) for k, kind in kinds.items()])
+    levels = F.sequence(F.lit(0), F.lit(LEVELS))
+    runs = totals.withColumn("_level", F.explode(levels)).withColumn("_run", F.expr("shiftright(_step, _level)"))
+    runs = runs.groupBy(*keys, "_level", "_run").agg(*[_total(kind, F.col(k)).alias(k) for k, kind in kinds.items()])
+    spans = frames.where("_last > _first + 1").select(*keys, "_first", "_last").distinct()
+    begin = "shiftright(_first + shiftleft(1L, _level), _level)"  # of [_first + 1, _last), rounded inwards
+    end = "shiftright(_last, _level)"
+    pieces = spans.withColumn("_level", F.explode(levels)).withColumns({"_b": F.expr(begin), "_e": F.expr(end)}).where("_b < _e")
+    odd = F.array_compact(F.array(F.when(F.col("_b") % 2 == 1, F.col("_b")), F.when(F.col("_e") % 2 == 1, F.col("_e") - 1)))
+    pieces = pieces.withColumn("_run", F.explode(odd)).drop("_b", "_e")
+    between = join_back(pieces, runs, [*keys, "_level", "_run"]).groupBy(*keys, "_first", "_last")
+    between = between.agg(*[_total(kind, F.col(k)).alias(f"_m{k}") for k, kind in kinds.items()])
+    out = join_back(frames, materialize(between, "between"), [*keys, "_first", "_last"])
+
+    def whole(k: str, kind: str) -> Column:
+        joined = reduce(_COMBINE[kind], [F.col(f"_l{k}"), F.col(f"_m{k}"), F.col(f"_h{k}")])
+        return F.when(F.col("_first") == F.col("_last"), F.col(f"_i{k}")).otherwise(joined)
+
+    return out.select(*keys, order, *[whole(k, kind).alias(k) for k, kind in kinds.items()])
 
 
 def nth_values(df: DataFrame, keys: str | Keys, order: Order, x: str, n: int = 2, groups_fit: bool = False) -> DataFrame:

@@ -697,6 +697,22 @@ def win_range_frame(spark, sf_dir):
     return out.select("o_orderkey", "n", F.round("total", 2).alias("total"))
 
 
+@register(
+    "win_range_frame_dense",
+    """
+    SELECT o_orderkey, COUNT(*) OVER w AS n, MIN(o_orderkey) OVER w AS lowest, MAX(o_custkey) OVER w AS highest, SUM(o_custkey) OVER w AS total
+    FROM orders
+    WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_totalprice RANGE BETWEEN 50000 PRECEDING AND 10000 FOLLOWING)
+    """,
+)
+def win_range_frame_dense(spark, sf_dir):
+    """Three groups, nearly all values distinct: the frames go over blocks."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    values = {"n": ("count", F.lit(1)), "lowest": ("min", "o_orderkey"), "highest": ("max", "o_custkey"), "total": ("sum", "o_custkey")}
+    out = windows.range_framed(orders, "o_orderstatus", "o_totalprice", 50_000, 10_000, values, cell_rows=1000)
+    return out.select("o_orderkey", *values)
+
+
 # --- set operations
 
 

@@ -87,6 +87,22 @@ def test_range_framed(many_partitions, skewed):
     assert rows(got.select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("before, after", [(3, 2), (0, 0), (15, 0), (0, 30), (1000, 1000)])
+def test_range_framed_over_blocks(many_partitions, monkeypatch, skewed, before, after):
+    """Groups with a full cell go over blocks: frames inside a step, over two and over many."""
+    monkeypatch.setattr(windows, "STEP_ROWS", 7)
+    values = {"s": ("sum", "x"), "n": ("count", F.lit(1)), "m": ("mean", "x"), "lo": ("min", "x"), "hi": ("max", "x")}
+    some = skewed.withColumn("t", F.when(F.col("id") % 11 != 0, F.col("t") + F.col("id") % 7 * 0.125))
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(-before, after)
+    plain = some.select("*", F.sum("x").over(w).alias("s"), F.count(F.lit(1)).over(w).alias("n"), F.avg("x").over(w).alias("m"), F.min("x").over(w).alias("lo"), F.max("x").over(w).alias("hi"))
+    for cell_rows in (1, 60):
+        got = windows.range_framed(some, "k", "t", before, after, values, cell_rows)
+        assert rows(got.select(*plain.columns)) == rows(plain)
+    alone = windows.range_framed(some, [], "t", before, after, {"n": ("count", F.lit(1))}, 5)
+    w = Window.partitionBy(F.lit(0)).orderBy("t").rangeBetween(-before, after)
+    assert rows(alone) == rows(some.select("*", F.count(F.lit(1)).over(w).alias("n")))
+
+
 def test_range_framed_by_dates_and_moments(many_partitions, skewed):
     dated = skewed.withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t"))).withColumn("m", F.timestamp_seconds(F.col("t") * 3600))
     want = rows(windows.range_framed(dated, "k", "t", 3, 2, {"n": ("count", F.lit(1))}))
