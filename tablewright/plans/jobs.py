@@ -199,6 +199,63 @@ def profile_all(spark, sf_dir):
     return prof.profile(table(spark, sf_dir, "lineitem"))
 
 
+_UPLOADS_SQL = " UNION ALL ".join(
+    f"""SELECT '{f.name}' AS variable, '{logical_type(f)}' AS type, COUNT(*) AS rows,
+        COUNT(*) - COUNT({f.name}) AS nulls, CAST(MIN({f.name}) AS VARCHAR) AS min, CAST(MAX({f.name}) AS VARCHAR) AS max,
+        {f"ROUND(AVG({f.name}), 6)" if f.name in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS mean,
+        {f"ROUND(STDDEV_SAMP({f.name}), 6)" if f.name in _NUMBERS else "CAST(NULL AS DOUBLE)"} AS sd
+        FROM orders WHERE o_orderkey % 3 > 0 OR o_orderpriority <> '5-LOW'"""
+    for f in ORDERS
+)
+
+
+@register("profile_uploads", _UPLOADS_SQL)
+def profile_uploads(spark, sf_dir):
+    """Statistics of three uploads, asked for after each, with one of them replaced."""
+    orders, stored = table(spark, sf_dir, "orders"), UploadTable(spark, shared_dir(spark, "uploads"), ORDERS)
+    for k in range(3):
+        stored.upload(orders.where(F.col("o_orderkey") % 3 == k), f"part_{k}")
+        stored.profile()
+    kept = orders.where("o_orderkey % 3 = 0 AND o_orderpriority <> '5-LOW'")
+    stored.upload(kept, "part_0", replace_on_conflict=True)
+    out = stored.profile()
+    return out.select("variable", "type", "rows", "nulls", "min", "max", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"))
+
+
+_SKETCHED = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+
+@register(
+    "profile_bounds",
+    " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{c}' AS variable, COUNT({c}) AS numbers, COUNT(DISTINCT {c}) AS n_distinct,"
+        " TRUE AS distinct_near, TRUE AS median_near FROM lineitem"
+        for kind in ("table", "uploads")
+        for c in _SKETCHED
+    ),
+)
+def profile_bounds(spark, sf_dir):
+    """The sketches of a table and of its uploads against exact values: distinct counts
+    within 6 %, and medians with 48 to 52 % of the rows on either side at least."""
+    lines = table(spark, sf_dir, "lineitem").select(*_SKETCHED)
+    stored = UploadTable(spark, shared_dir(spark, "uploads"))
+    for k in range(4):
+        stored.upload(lines.where(F.pmod(F.xxhash64("l_orderkey", "l_partkey"), F.lit(4)) == k), f"part_{k}")
+    found = prof.profile(lines).withColumn("kind", F.lit("table"))
+    found = found.unionByName(stored.profile().withColumn("kind", F.lit("uploads")))
+    long = lines.select(*[F.col(c).cast("double").alias(c) for c in _SKETCHED]).unpivot([], list(_SKETCHED), "variable", "value")
+    exact = long.where("value IS NOT NULL").groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    below = F.sum(F.when(F.col("value") < F.col("median"), F.col("n")).otherwise(0))
+    up_to = F.sum(F.when(F.col("value") <= F.col("median"), F.col("n")).otherwise(0))
+    numbers, n_distinct = F.sum("n"), F.count(F.lit(1))
+    return exact.join(found.select("kind", "variable", "approx_distinct", "median"), "variable").groupBy("kind", "variable").agg(
+        numbers.alias("numbers"),
+        n_distinct.alias("n_distinct"),
+        (F.abs(F.first("approx_distinct") - n_distinct) <= 0.06 * n_distinct).alias("distinct_near"),
+        ((below <= 0.52 * numbers) & (up_to >= 0.48 * numbers)).alias("median_near"),
+    )
+
+
 @register(
     "profile_top_values",
     "SELECT variable, value, n FROM ("

@@ -7,10 +7,14 @@ upload at a time: a commit decides again on what the others have done.
 
 Many small uploads, as a stream makes them, can be merged into one folder; that too becomes
 visible by one record, and names, rows and their order stay.
+
+Statistics are kept by upload: those of a table merge what its uploads have, and only
+uploads without them are read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -21,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.operators.profile import SUMMARY, merge_summaries, summarize
 from tablewright.operators.schema import merge_uploads, union_schema
 from tablewright.operators.sinks import write_verified
 from tablewright.session import remove_path, rename_path
@@ -33,7 +38,9 @@ SMALL_ROWS = 1_000_000  # uploads of fewer rows may be merged, into some of abou
 
 def _fold(state: dict, record: dict) -> None:
     """State: ``schemas``, a list of texts, and ``parts`` in order. A part is a folder with
-    the rows of one upload or, if ``merged``, of so many; ``names`` are those that count."""
+    the rows of one upload or, if ``merged``, of so many; ``names`` are those that count, and
+    ``origins`` has the folders that merged ones came in. ``stats`` are folders of
+    summaries, each with the uploads (name, folder) that it has."""
     parts = state.setdefault("parts", [])
     schemas = state.setdefault("schemas", [])
     event = record["event"]
@@ -51,6 +58,15 @@ def _fold(state: dict, record: dict) -> None:
         at = next(i for i, p in enumerate(parts) if p["folder"] == record["of"][0])
         kept = [p for p in parts if p["folder"] not in record["of"]]
         state["parts"] = [*kept[:at], record["part"], *kept[at:]]
+    if event == "profiled":
+        live = {pair for p in parts for pair in _identities(p)}
+        stats = [s for s in state.get("stats", []) if live & {tuple(pair) for pair in s["of"]}]
+        state["stats"] = [*stats, {k: record[k] for k in ("folder", "of", "columns")}]
+
+
+def _identities(part: dict) -> list[tuple[str, str]]:
+    """What tells an upload from others of its name: the folder it came in."""
+    return [(n, part.get("origins", {}).get(n, part["folder"])) for n in part["names"]]
 
 
 @dataclass(frozen=True)
@@ -161,7 +177,8 @@ class UploadTable:
             # fewer rows than two small uploads may have, so one file
             rows = write_verified(_in_order(self.spark, group, f"{self.path}/data"), folder)
             names = [n for p in group for n in p["names"]]
-            part = {"names": names, "folder": folder, "rows": rows, "merged": len(names)}
+            origins = dict(pair for p in group for pair in _identities(p))
+            part = {"names": names, "folder": folder, "rows": rows, "merged": len(names), "origins": origins}
 
             def decide(state: dict, group=group, part=part) -> dict | None:
                 live = {p["folder"]: p["names"] for p in state["parts"]}
@@ -189,10 +206,63 @@ class UploadTable:
 
         ``tagged`` adds the name of the upload each row came from.
         """
+        return read_merged(self.spark, self._counted(), self.declared, lenient, f"{self.path}/data" if tagged else None)
+
+    def _counted(self) -> list[dict]:
+        """The parts that a read takes."""
         parts = self.parts()
         if self.merge_strategy == "replace":
             parts = [{**p, "names": p["names"][-1:]} for p in parts[-1:]]
-        return read_merged(self.spark, parts, self.declared, lenient, f"{self.path}/data" if tagged else None)
+        return parts
+
+    # --- statistics
+
+    def profile(self, lenient: bool = False) -> DataFrame:
+        """The statistics of :func:`tablewright.operators.profile.profile` for the rows that
+        ``read`` gives. Uploads that have no summary yet are read, all in one pass, and
+        theirs are kept; those of all uploads are merged. A merge of small uploads keeps
+        them. They are made anew where columns or types of the table have changed.
+        """
+        parts = self._counted()
+        declared = self._columns(parts)
+        columns = hashlib.md5(f"{declared.json()}{lenient}".encode()).hexdigest()
+        missing = self._without(parts, self._profiled(columns))
+        if missing:
+            folder = f"{self.path}/stats/{uuid.uuid4().hex}"
+            rows = read_merged(self.spark, missing, declared, lenient, f"{self.path}/data")
+            summarize(rows, UPLOAD_COLUMN).write.parquet(folder)
+            of = [pair for p in missing for pair in _identities(p)]
+            self.log().commit(lambda state: {"event": "profiled", "folder": folder, "of": of, "columns": columns})
+        profiled = self._profiled(columns)
+        wanted = [(profiled[pair], pair[0]) for p in parts for pair in _identities(p)]
+        return merge_summaries(self._summaries(wanted), declared)
+
+    def _columns(self, parts: list[dict]) -> T.StructType:
+        schemas = {p["schema"]: T.StructType.fromJson(json.loads(p["schema"])) for p in parts}
+        return self.declared or union_schema(schemas.values())
+
+    def _profiled(self, columns: str) -> dict[tuple[str, str], str]:
+        """The folder with the summary of each upload (name, folder) that has one."""
+        stats = self.log().read()[1].get("stats", [])
+        return {tuple(pair): s["folder"] for s in stats if s["columns"] == columns for pair in s["of"]}
+
+    @staticmethod
+    def _without(parts: list[dict], profiled: dict) -> list[dict]:
+        """Parts with the uploads alone that have no summary."""
+        lacking = [{**p, "names": [n for n, came in _identities(p) if (n, came) not in profiled]} for p in parts]
+        return [p for p in lacking if p["names"]]
+
+    def _summaries(self, wanted: list[tuple[str, str]]) -> DataFrame:
+        """The summaries of uploads, given by folder and name; an upload without rows has none."""
+        schema = T.StructType([_TAG, *T._parse_datatype_string(SUMMARY).fields])
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        folders = sorted({folder for folder, _ in wanted})
+        kept = self.spark.read.schema(schema).parquet(*folders)
+        # a row for each live upload, as the log has it
+        names = self.spark.createDataFrame([(f.rsplit("/", 1)[-1], n) for f, n in wanted], f"_of string, {UPLOAD_COLUMN} string")
+        at = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        return kept.withColumn("_of", at).join(names, ["_of", UPLOAD_COLUMN]).drop("_of")
 
 
 def _small_groups(parts: list[dict], small_rows: int) -> list[list[dict]]:

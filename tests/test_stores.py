@@ -422,6 +422,61 @@ def test_profile(spark):
     assert rows(prof.top_values(df, 1)) == [("n", "1", 1), ("s", "x", 2)]
 
 
+def _close(got, want):
+    for g, w in zip(got, want, strict=True):
+        assert g == w or isinstance(w, float) and g == pytest.approx(w, rel=1e-9), (got, want)
+
+
+def test_statistics_are_kept_by_upload(spark, monkeypatch):
+    stored = UploadTable(spark, shared_dir(spark, "profiled"))
+    seen = []
+    plain = uploads.read_merged
+    monkeypatch.setattr(uploads, "read_merged", lambda s, parts, *more: (seen.append([n for p in parts for n in p["names"]]), plain(s, parts, *more))[1])
+    exact = lambda: {r["variable"]: r for r in prof.profile(plain(spark, stored.parts())).collect()}
+    names = ["variable", "type", "rows", "nulls", "min", "max", "mean", "sd"]
+
+    def check(*read):
+        seen.clear()
+        got = {r["variable"]: r for r in stored.profile().collect()}
+        assert seen == ([list(read)] if read else [])
+        want = exact()
+        assert got.keys() == want.keys()
+        for v in want:
+            _close([got[v][n] for n in names], [want[v][n] for n in names])
+            a, b = got[v]["approx_distinct"], want[v]["approx_distinct"]
+            assert a == b or a == pytest.approx(b, rel=0.1, abs=1)
+        return got
+
+    # far from zero, where sums of squares would cancel; as text, 10 is before 9
+    stored.upload(frame(spark, *[(10**9 + k, str(k)) for k in range(50)]), "x")
+    check("x")
+    stored.upload(frame(spark, (9, "9"), (10, None), (None, "10")), "y")
+    got = check("y")
+    assert (got["a"]["min"], got["a"]["max"]) == ("9", str(10**9 + 49)) and got["a"]["median"] >= 10**9
+    stored.upload(frame(spark), "empty")
+    check("empty")
+    check()
+    stored.upload(frame(spark, (1, "z")), "y", replace_on_conflict=True)
+    check("y")
+    stored.compact()
+    assert len(stored.parts()) == 1
+    check()  # a merge of uploads keeps theirs
+    stored.remove("x")
+    check()
+    # another column changes the table's schema, so all are made anew
+    stored.upload(spark.createDataFrame([(2, "b", [1.0], True)], "a bigint, b string, c array<double>, d boolean"), "wide")
+    check("empty", "y", "wide")
+
+
+def test_statistics_of_no_upload_and_of_the_last_one(spark):
+    empty = UploadTable(spark, shared_dir(spark, "profiled"), AB).profile()
+    assert rows(empty.select("variable", "rows", "approx_distinct", "median")) == [("a", 0, 0, None), ("b", 0, 0, None)]
+    last = UploadTable(spark, shared_dir(spark, "profiled"), AB, "replace")
+    for k in (1, 2):
+        last.upload(frame(spark, *[(k, "v")] * k), f"u{k}")
+    assert rows(last.profile().select("variable", "rows", "max")) == [("a", 2, "2"), ("b", 2, "v")]
+
+
 def test_labels(spark):
     df = prof.describe_columns(
         frame(spark, (1, "m"), (2, "q")), labels={"b": "Kind"}, descriptions={"a": "Key"}, value_labels={"b": {"m": "male"}}
