@@ -1,14 +1,16 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
-
-Test items and documents are read as sequences of normalized words. Every n-gram of an item
-is a seed, however frequent: in a heavily edited copy only frequent ones may be left. Where
-a document has a seed, the passage around it is cut out, meets the seed's items in a join,
-and is aligned with each by Smith and Waterman's recurrence, unless it has too few of the
-item's words for the score. What scores at least a share of a perfect match is a copy,
-edited or not.
-
-One narrow pass reads the texts, and no text is shuffled: tasks get a bit table of fixed
-size that stands for the n-grams asked for, and only what it lets pass is joined exactly.
+"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+
+Test items and documents are read as sequences of normalized words. Where a document has an
+n-gram of an item, the passage around it is cut out, as far as an alignment with that item
+may reach. The n-grams of all passages are counted, and each item is looked up by its
+rarest ones: as many as it takes for a copy to have one of them, whichever of its n-grams
+the edits have left (:func:`spared`). An n-gram may have one more word put in. Passage and item meet in a join and are aligned by
+Smith and Waterman's recurrence, unless the passage has too few of the item's words for the
+score. What scores at least a share of a perfect match is a copy, edited or not.
+
+One narrow pass reads the texts, and no text is shuffled: tasks get tables of fixed size
+that stand for the n-grams asked for and how far they reach, and only what these let pass
+is joined exactly.
 """
 
 from __future__ import annotations
@@ -20,16 +22,19 @@ from functools import cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import map_rows, register, table
-from tablewright.llm.hashing import Bits, WordHashes, runs
+from tablewright.llm.hashing import MIX, Bits, WordHashes, mixed, runs
 from tablewright.session import materialize
 
 SEED = 3  # words of an n-gram
+SHAPES = ((0, 1, 2), (0, 1, 3), (0, 2, 3))  # where they may stand in a document: one may be put in between
 SCORE = 0.4  # of a perfect match
+ERRORS = 1 / 3  # words edited for each that agrees, up to which no copy is missed
 BITS = 24  # the bit table has 2 ** BITS bits, 2 MB
+REACHES = 20  # the table of reaches has 2 ** REACHES numbers, 4 MB
 CELLS = 4_000_000  # of one block of alignments
 
 _PUNCTUATION = string.punctuation.encode()
@@ -62,44 +67,88 @@ def _words() -> Words:
     return Words()
 
 
-def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, n, words, seeds): each item's words and n-grams."""
+def _shaped(words: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    """The n-gram that each word begins if its words stand at ``places`` from there on; with
+    places in a row, :func:`runs`."""
+    n = max(len(words) - places[-1], 0)
+    out = np.full(n, len(places), dtype=np.uint64)
+    for k, at in enumerate(places):
+        out = mixed(out * MIX[k] + words[at : at + n])
+    return out
+
+
+def spared(n: int, score: float = SCORE, errors: float = ERRORS) -> int:
+    """How many of the n-grams of an item of ``n`` words need not be looked up.
+
+    An alignment of m words that agree and e errors has at most e + 1 stretches, so at
+    least m - (SEED - 1) * (e + 1) n-grams of the item. With m - e >= score * n and
+    e <= errors * m, that is least where e = errors * m. Of so many n-grams one is among
+    those looked up, if one fewer than that is left out. (Words put in one by one leave
+    n-grams besides, as documents are also read with a word left out: ``SHAPES``.)
+    """
+    left = score * n * (1 - (SEED - 1) * errors) / (1 - errors) - (SEED - 1)
+    return max(math.ceil(round(left, 9)) - 1, 0)
+
+
+def _items(benchmark: DataFrame, id_col: str, text_col: str, score: float) -> DataFrame:
+    """(item_id, item, n, words, spare, grams): each item's words and its n-grams with the
+    number of their places. ``item`` tells items of one id, or without id, apart."""
 
     def make():
         words = _words()
 
         def step(ids, values):
             found = [words.of(v) for v in values]
-            grams = [np.unique(runs(f, SEED)).view(np.int64) for f in found]
-            return [ids, [len(f) for f in found], [f.tobytes() for f in found], grams]
+            grams, times = zip(*[np.unique(runs(f, SEED), return_counts=True) for f in found]) if found else ((), ())
+            sizes = [len(f) for f in found]
+            return [ids, sizes, [f.tobytes() for f in found], [spared(n, score) for n in sizes], [g.view(np.int64) for g in grams], times]
 
         return step
 
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
-    return map_rows(rows, make, "item_id long, n long, words binary, seeds array<long>")
+    made = map_rows(rows, make, "item_id long, n long, words binary, spare long, seeds array<long>, times array<long>")
+    return made.withColumn("item", F.xxhash64("item_id", "words")).dropDuplicates(["item"])
+
 
+def _reaches(grams: DataFrame) -> np.ndarray:
+    """The most words of an item that has an n-gram, by the n-gram's low bits: others that
+    share these can only make it more. The driver gets 2 ** REACHES rows at most."""
+    place = F.col("seed").bitwiseAND(F.lit((1 << REACHES) - 1))
+    rows = grams.groupBy(place.alias("place")).agg(F.max("n").alias("n")).toArrow()
+    out = np.zeros(1 << REACHES, np.int32)
+    out[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return out
 
-def _passages(docs: DataFrame, bits: Bits, margin: int) -> DataFrame:
-    """(doc_id, text_hash, start, words, seeds): the passages with seeds, each reaching
-    ``margin`` words beyond them on both sides; passages that touch are one."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+def _passages(docs: DataFrame, bits: Bits, reaches: np.ndarray, score: float) -> DataFrame:
+    """(doc_id, text_hash, start, words, seeds): the passages with n-grams of items, each
+    reaching beyond them on both sides as far as an alignment with such an item can;
+    passages that touch are one."""
+    shared = docs.sparkSession.sparkContext.broadcast((bits, reaches))
 
     def make():
-        words, wanted = _words(), shared.value
+        words, (wanted, reach) = _words(), shared.value
+        low = np.uint64(len(reach) - 1)
 
         def step(ids, keys, values):
             out: list[list] = [[], [], [], [], []]
             for doc_id, key, value in zip(ids, keys, values, strict=True):
                 found = words.of(value)
-                grams = runs(found, SEED)
-                hits = np.flatnonzero(wanted.has(grams))
+                shaped = [_shaped(found, places) for places in SHAPES]
+                passed = [np.flatnonzero(wanted.has(grams)) for grams in shaped]
+                hits, grams = np.concatenate(passed), np.concatenate([g[h] for g, h in zip(shaped, passed, strict=True)])
                 if not len(hits):
                     continue
-                cuts = np.flatnonzero(np.diff(hits) > 2 * margin) + 1
-                for part in np.split(hits, cuts):
-                    start = max(0, int(part[0]) - margin)
-                    passage = found[start : int(part[-1]) + SEED + margin]
-                    row = (doc_id, key, start, passage.tobytes(), np.unique(grams[part]).view(np.int64))
+                longest = reach[(grams & low).astype(np.int64)].astype(np.int64)
+                # a passage has as many words as agree, and at most 1 - score of the item's besides
+                margin = longest + np.ceil(longest * (1 - score)).astype(np.int64)
+                order = np.argsort(hits - margin, kind="stable")
+                begin, end = (hits - margin)[order], np.maximum.accumulate((hits + SEED + 1 + margin)[order])
+                cuts = np.flatnonzero(begin[1:] > end[:-1]) + 1
+                for part in np.split(np.arange(len(hits)), cuts):
+                    start = max(0, int(begin[part[0]]))
+                    passage = found[start : int(end[part[-1]])]
+                    row = (doc_id, key, start, passage.tobytes(), np.unique(grams[order[part]]).view(np.int64))
                     for column, v in zip(out, row, strict=True):
                         column.append(v)
             return out
@@ -164,27 +213,45 @@ def _aligned(pairs: DataFrame, score: float) -> DataFrame:
     return map_rows(pairs, make, "doc_id long, text_hash long, item_id long, score double, start_word long, end_word long")
 
 
+def _rarest(grams: DataFrame, passages: DataFrame) -> DataFrame:
+    """(item, seed): each item's n-grams without the most frequent ones that it can spare,
+    counted by places in the item. Frequencies are those in all passages."""
+    counts = passages.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
+    frequent = Window.partitionBy("item").orderBy(F.desc("df"), "seed")  # one item's n-grams
+    ranked = grams.join(counts, "seed").withColumn("_places", F.sum("times").over(frequent))
+    return ranked.where("_places > spare").select("item", "seed")
+
+
+def candidates(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, start, words, item_id, target): the passages that have one of an
+    item's rarest n-grams, with the item; words as hashes. Each pair is one row."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    items = materialize(_items(benchmark, item_col, item_text_col, score), "items")
+    zipped = F.explode(F.arrays_zip("seeds", "times")).alias("g")
+    grams = items.select("item", "n", "spare", zipped).select("item", "n", "spare", F.col("g.seeds").alias("seed"), F.col("g.times").alias("times"))
+    grams = materialize(grams, "seeds")
+    found = materialize(_passages(source, Bits.of(grams, "seed", BITS), _reaches(grams), score), "passages")
+    rare = materialize(_rarest(grams, found), "rare")
+    met = found.select("doc_id", "text_hash", "start", F.explode("seeds").alias("seed")).join(rare, "seed").select("doc_id", "text_hash", "start", "item").distinct()
+    same = F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("p.text_hash") == F.col("m.text_hash")) & (F.col("p.start") == F.col("m.start"))
+    passages = found.dropDuplicates(["doc_id", "text_hash", "start"]).drop("seeds")
+    pairs = passages.alias("p").join(met.alias("m"), same).select("p.*", "m.item")
+    return pairs.join(items.select("item", "item_id", F.col("words").alias("target")), "item").select("doc_id", "text_hash", "start", "words", "item_id", "target")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, score: float = SCORE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, item_id, score, start_word, end_word): every document that has a
     copy of a test item, exact or edited, with the best such passage in normalized words.
 
+    No copy is missed that has at most one edit for three words that agree; of those with
+    more edits, such that have none of the item's rarest n-grams are.
+
     Null and wordless texts match nothing, nor do items of fewer than SEED words. Null ids
     are kept. Rows that repeat id and text give one row for an item; of equally good
-    passages, the first. Either table may be empty. Further columns are not read.
+    passages, the first. Items that share an id are each looked for, and the best counts.
+    Either table may be empty. Further columns are not read.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    items = materialize(_items(benchmark, item_col, item_text_col), "items")
-    grams = materialize(items.select("item_id", F.explode("seeds").alias("seed")), "seeds")
-    longest = items.agg(F.max("n")).first()[0] or 0
-    # a passage has as many words as agree, and at most 1 - score of the item's besides
-    margin = longest + math.ceil(longest * (1 - score))
-    found = materialize(_passages(source, Bits.of(grams, "seed", BITS), margin), "passages")
-    met = found.select("doc_id", "text_hash", "start", F.explode("seeds").alias("seed")).join(grams, "seed").select("doc_id", "text_hash", "start", "item_id").distinct()
-    same = F.col("p.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("p.text_hash") == F.col("m.text_hash")) & (F.col("p.start") == F.col("m.start"))
-    passages = found.dropDuplicates(["doc_id", "text_hash", "start"]).drop("seeds")
-    pairs = passages.alias("p").join(met.alias("m"), same).select("p.*", "m.item_id")
-    words = items.select(F.col("item_id").alias("_item"), F.col("words").alias("_target")).dropDuplicates(["_item"])
-    pairs = pairs.join(words, F.col("item_id").eqNullSafe(F.col("_item"))).select("doc_id", "text_hash", "start", "words", "item_id", "_target")
+    pairs = candidates(docs, benchmark, score, id_col, text_col, item_col, item_text_col)
     best = F.max_by(F.struct("score", "start_word", "end_word"), F.struct("score", -F.col("start_word"))).alias("b")
     return _aligned(pairs, score).groupBy("doc_id", "text_hash", "item_id").agg(best).select("doc_id", "text_hash", "item_id", "b.*")
 

@@ -69,3 +69,90 @@ def test_edited_copies_in_many_documents(spark):
     items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
     assert {r["doc_id"]: r["score"] for r in found} == {**{k: 0.5333 for k in range(12)}, 50: 1.0, 51: 0.4333, 53: 0.5333}
+
+
+def test_frequent_words_make_no_pairs(spark):
+    """One trigram stands in every document and every item."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    items = [(k, " ".join([word() for _ in range(12)] + ["one", "of", "the"] + [word() for _ in range(12)])) for k in range(100)]
+    docs = [(k, " ".join([word() for _ in range(20)] + ["one", "of", "the"] + [word() for _ in range(20)])) for k in range(400)]
+    docs += [(1000 + k, items[k][1]) for k in range(5)]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert decontaminate.candidates(left, right).count() == 5
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in decontaminate.contaminated(left, right).collect()} == {(1000 + k, k, 1.0) for k in range(5)}
+
+
+def test_what_can_be_spared_by_trying():
+    """Of an item's n-grams, no allowed edit leaves fewer than one more than are spared."""
+    for n in range(3, 41):
+        least = n
+        for agree in range(1, n + 1):
+            for errors in range(agree // 3 + 1):
+                if agree - errors >= decontaminate.SCORE * n:
+                    # stretches as even as they can be
+                    lengths = [(agree + k) // (errors + 1) for k in range(errors + 1)]
+                    least = min(least, sum(max(x - decontaminate.SEED + 1, 0) for x in lengths))
+        assert decontaminate.spared(n) <= max(least - 1, 0)
+
+
+def edited(rng, words, rate):
+    out = []
+    for w in words:
+        kind = rng.random()
+        if kind < rate / 3:
+            continue
+        out.append(f"z{rng.randrange(500)}" if kind < 2 * rate / 3 else w)
+        if 2 * rate / 3 <= kind < rate:
+            out.append(f"z{rng.randrange(500)}")
+    return out
+
+
+def test_recall_of_edited_copies(spark):
+    """Against all pairs: all of those with few edits, and nine in ten of the rest."""
+    rng = random.Random(5)
+    items = [(k, [rng.choice(["of", "the", "and", "to", "in"]) if rng.random() < 0.4 else f"w{rng.randrange(300)}" for _ in range(rng.randint(12, 45))]) for k in range(20)]
+    docs = []
+    for k in range(240):
+        filler = [f"f{rng.randrange(2000)}" if rng.random() < 0.6 else rng.choice(["of", "the", "and", "to", "in"]) for _ in range(80)]
+        at = rng.randrange(80)
+        copy = items[k % 20][1]
+        docs.append((k, filler[:at] + edited(rng, copy, (0.1, 0.3, 0.5)[k % 3]) + filler[at:]))
+    # a word put in after every second one leaves no trigram as it is
+    spread = [x for j, w in enumerate(items[0][1]) for x in ([w, f"y{j}"] if j % 2 else [w])]
+    docs.append((900, spread))
+    words = decontaminate._words()
+    want = {}
+    for i, t in docs:
+        for k, x in items:
+            value = score(words.of(" ".join(x)).tolist(), words.of(" ".join(t)).tolist()) / len(x)
+            if value >= decontaminate.SCORE:
+                want[i, k] = round(value, 4)
+    left = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    right = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(left, right).collect()}
+    assert got.items() <= want.items()
+    assert len(got) >= 0.95 * len(want) and len(want) > 150 and (900, 0) in got
+    assert all(pair in got for pair in want if pair[0] % 3 == 0 and pair[0] % 20 == pair[1] and pair[0] < 900)
+
+
+def test_long_texts_further_columns_and_items_of_one_id(spark):
+    rng = random.Random(8)
+    prose = lambda n: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    first, second = prose(25), prose(30)
+    long = prose(120_000)
+    long[70_000:70_000] = second
+    docs = spark.createDataFrame([(1, " ".join(long), 5, "s"), (2, " ".join(first), 6, "w"), (3, "v" * 200_000, 7, "p")], "doc_id long, text string, n long, seeds string")
+    items = spark.createDataFrame([(4, " ".join(first), 1, "w"), (4, " ".join(second), 2, "x"), (None, " ".join(second), 3, "y"), (None, " ".join(first), 3, "y"), (5, " ".join(prose(9000)), 1, "z")], "item_id long, text string, item long, words string")
+    got = {(r["doc_id"], r["item_id"], r["score"], r["start_word"], r["end_word"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(d, i, 1.0, *at) for d, at in ((1, (70_000, 70_030)), (2, (0, 25))) for i in (4, None)}
+
+
+def test_shapes_of_n_grams():
+    words = np.arange(3, 12, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert (decontaminate._shaped(words, (0, 1, 2)) == decontaminate.runs(words, 3)).all()
+    for short in (words[:0], words[:1], words[:2]):
+        assert all(not len(decontaminate._shaped(short, places)) for places in decontaminate.SHAPES)
+    for places in decontaminate.SHAPES[1:]:
+        left = np.delete(words[:4], 3 - sum(places) + 3)
+        assert decontaminate._shaped(words, places)[0] == decontaminate.runs(left, 3)[0]
