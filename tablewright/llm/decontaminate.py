@@ -67,14 +67,16 @@ def _words() -> Words:
     return Words()
 
 
-def _shaped(words: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
-    """The n-gram that each word begins if its words stand at ``places`` from there on; with
-    places in a row, :func:`runs`."""
-    n = max(len(words) - places[-1], 0)
-    out = np.full(n, len(places), dtype=np.uint64)
-    for k, at in enumerate(places):
-        out = mixed(out * MIX[k] + words[at : at + n])
-    return out
+def _shaped(words: np.ndarray) -> list[np.ndarray]:
+    """For each of SHAPES, the n-gram that each word begins if its words stand at these
+    places from there on; with places in a row, :func:`runs`. Equal beginnings are made once."""
+    made = {(): np.full(len(words), SEED, dtype=np.uint64)}
+    for places in SHAPES:
+        for k, at in enumerate(places):
+            if places[: k + 1] not in made:
+                n = max(len(words) - at, 0)
+                made[places[: k + 1]] = mixed(made[places[:k]][:n] * MIX[k] + words[at : at + n])
+    return [made[places] for places in SHAPES]
 
 
 def spared(n: int, score: float = SCORE, errors: float = ERRORS) -> int:
@@ -134,7 +136,7 @@ def _passages(docs: DataFrame, bits: Bits, reaches: np.ndarray, score: float) ->
             out: list[list] = [[], [], [], [], []]
             for doc_id, key, value in zip(ids, keys, values, strict=True):
                 found = words.of(value)
-                shaped = [_shaped(found, places) for places in SHAPES]
+                shaped = _shaped(found)
                 passed = [np.flatnonzero(wanted.has(grams)) for grams in shaped]
                 hits, grams = np.concatenate(passed), np.concatenate([g[h] for g, h in zip(shaped, passed, strict=True)])
                 if not len(hits):

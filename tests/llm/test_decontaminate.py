@@ -150,9 +150,11 @@ def test_long_texts_further_columns_and_items_of_one_id(spark):
 
 def test_shapes_of_n_grams():
     words = np.arange(3, 12, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    assert (decontaminate._shaped(words, (0, 1, 2)) == decontaminate.runs(words, 3)).all()
-    for short in (words[:0], words[:1], words[:2]):
-        assert all(not len(decontaminate._shaped(short, places)) for places in decontaminate.SHAPES)
-    for places in decontaminate.SHAPES[1:]:
-        left = np.delete(words[:4], 3 - sum(places) + 3)
-        assert decontaminate._shaped(words, places)[0] == decontaminate.runs(left, 3)[0]
+    row, last_apart, first_apart = decontaminate._shaped(words)
+    assert (row == decontaminate.runs(words, 3)).all()
+    for k in range(len(words) - 3):
+        assert last_apart[k] == decontaminate.runs(words[[k, k + 1, k + 3]], 3)[0]
+        assert first_apart[k] == decontaminate.runs(words[[k, k + 2, k + 3]], 3)[0]
+    assert len(last_apart) == len(first_apart) == len(words) - 3
+    for n in range(3):
+        assert not any(map(len, decontaminate._shaped(words[:n])))
