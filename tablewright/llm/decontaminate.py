@@ -125,7 +125,8 @@ def _reaches(grams: DataFrame) -> np.ndarray:
 def _passages(docs: DataFrame, bits: Bits, reaches: np.ndarray, score: float) -> DataFrame:
     """(doc_id, text_hash, start, words, seeds): the passages with n-grams of items, each
     reaching beyond them on both sides as far as an alignment with such an item can;
-    passages that touch are one."""
+    passages that touch are one. An n-gram with a word put in needs another one near by: a
+    copy that has no other has many such words, and so many such n-grams."""
     shared = docs.sparkSession.sparkContext.broadcast((bits, reaches))
 
     def make():
@@ -148,6 +149,8 @@ def _passages(docs: DataFrame, bits: Bits, reaches: np.ndarray, score: float) ->
                 begin, end = (hits - margin)[order], np.maximum.accumulate((hits + SEED + 1 + margin)[order])
                 cuts = np.flatnonzero(begin[1:] > end[:-1]) + 1
                 for part in np.split(np.arange(len(hits)), cuts):
+                    if len(part) == 1 and order[part[0]] >= len(passed[0]):
+                        continue  # a single n-gram, and that with a word put in
                     start = max(0, int(begin[part[0]]))
                     passage = found[start : int(end[part[-1]])]
                     row = (doc_id, key, start, passage.tobytes(), np.unique(grams[order[part]]).view(np.int64))
