@@ -10,11 +10,14 @@ centre is the member whose buckets are largest altogether, that is, the one most
 others; so the buckets of one group of copies mostly share their centre, and its edges
 count once.
 
-Two members of a star that are linked share one of the first shingles of both, as many as
-the threshold leaves out and one more, in any order that both keep: here those that the
-centre lacks come first. Members that share such a shingle and are in different components
-after the stars are compared as well, unless their sizes or the parities of their sets
-exclude a link, so no link between documents of one bucket is lost.
+A member of a star is known by how it differs from the centre: the shingles that one of
+both has alone. Two members in different components are not both linked to the centre, and
+if one is not, a link between them needs a number of such differences in common that follows
+from the sizes, one at least. They are taken rarest first, and two members are compared as
+well where one of them is the first they can share, enough are left behind it in both, and
+neither sizes nor the parities of their sets exclude a link. So no link between documents of
+one bucket is lost, and in a group of copies with changes of their own hardly any pair is
+compared.
 
 Documents of one and the same set are one node from the start.
 """
@@ -24,6 +27,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tablewright.llm.common import map_rows, register, table
 from tablewright.llm.components import components
@@ -143,32 +147,42 @@ def parities(values: np.ndarray) -> np.ndarray:
 
 
 def _side_by_side(pairs: DataFrame, sets: DataFrame, others: DataFrame) -> DataFrame:
-    """(a, b, _a, _b) for pairs (a, b), the second of which has its set in ``others``."""
+    """``pairs`` (a, b, ...) with _a and _b; the second of a pair has its set in ``others``."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("_a"))
     right = others.select(F.col("node").alias("b"), F.col("hashes").alias("_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
+    return pairs.join(left, "a").join(right, "b").select(*pairs.columns, "_a", "_b")
+
+
+def excess(size: int, differ: int, percent: int) -> int:
+    """How far a set of ``size`` hashes, of which ``differ`` it or the centre has alone, is
+    from the centre. Two sets are linked if and only if the sum of theirs is at most
+    2 * (100 + percent) for each difference that they share. The centre's own is the least of
+    all, -(100 - percent) for each of its hashes."""
+    return (100 + percent) * differ - (100 - percent) * size
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, good, size, odd, first): whether the sets of a pair (a, b), the second a
-    centre, have ``percent`` of their union in common; size, parities and prefix of the first."""
-    rows = _side_by_side(pairs, sets, sets.filter("centre"))
+    """(a, b, good, size, excess, least, odd, differ): whether the sets of a pair (a, b,
+    several), the second a centre, have ``percent`` of their union in common; size, excess
+    and parities of the first and the centre's excess; the hashes that one of both has alone,
+    if the centre has ``several`` members."""
+    rows = _side_by_side(pairs.select("a", "b", "several"), sets, sets.filter("centre"))
 
     def make():
-        def step(a, b, first, second):
-            out: list[list] = [a, b, [], [], [], []]
-            for x, y in zip(first, second, strict=True):
+        def step(a, b, several, first, second):
+            out: list[list] = [a, b, [], [], [], [], [], []]
+            for many, x, y in zip(several, first, second, strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                lacks = np.setdiff1d(x, y, assume_unique=True)
-                both = len(x) - len(lacks)
-                found = 100 * both >= percent * (len(x) + len(y) - both), len(x), parities(x), prefix(x, lacks, percent).view(np.int64)
+                differ = np.setxor1d(x, y, assume_unique=True)
+                own, least = excess(len(x), len(differ), percent), excess(len(y), 0, percent)
+                found = own + least <= 0, len(x), own, least, parities(x), differ.view(np.int64) if many else None
                 for column, v in zip(out[2:], found, strict=True):
                     column.append(v)
             return out
 
         return step
 
-    return map_rows(rows, make, "a binary, b binary, good boolean, size long, odd array<long>, first array<long>")
+    return map_rows(rows, make, "a binary, b binary, good boolean, size long, excess long, least long, odd array<long>, differ array<long>")
 
 
 def _good(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -192,31 +206,42 @@ def _good(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(compared: DataFrame, edges: DataFrame, percent: int, cell: int) -> DataFrame:
-    """Pairs (a, b) of nodes in different components that share a star and a shingle of
-    their prefixes, and that neither sizes nor parities exclude.
-
-    Such buckets are few and small, since shingles that the centre lacks come first. In one
-    with more than ``cell`` members these are dealt to several tasks on one side; what is
-    excluded never leaves the join.
+    """Pairs (a, b) of nodes in different components that share a star and may be linked.
+
+    One of them, x, is not linked to the centre. Differences that only one component has in a
+    star cannot be shared by such a pair and are dropped; the others are ordered by how many
+    members have them, and each keeps how many are behind it, itself included. The first one
+    that a pair shares has enough behind it on both sides. A difference of more than
+    ``cell`` members is dealt to several tasks on one side; what is excluded never leaves
+    the join.
     """
-    found = compared.select("b", F.col("a").alias("node"), F.explode("first").alias("shingle"))
-    found = found.select(F.xxhash64("b", "shingle").alias("band"), "node")
-    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("_root"))
-    sides = compared.groupBy("a").agg(F.first("size").alias("size"), F.first("odd").alias("odd")).withColumnRenamed("a", "node")
-    sides = materialize(sides.join(roots, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root"), "sides")
-    rooted = materialize(found.join(sides.select("node", "root"), "node"), "rooted")
-    several = rooted.groupBy("band").agg(F.count("*").alias("_n"), (F.min("root") != F.max("root")).alias("_open")).filter("_open")
-    parts = F.ceil(F.col("_n") / cell).cast("int").alias("_parts")
-    rows = materialize(rooted.select("band", "node").join(several.select("band", parts), "band").join(sides, "node"), "open")
-    left = rows.withColumn("_part", F.pmod(F.hash("node"), F.col("_parts"))).select("band", "_part", F.struct("node", "root", "size", "odd").alias("x"))
-    right = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select("band", "_part", F.struct("node", "root", "size", "odd").alias("y"))
-    both = F.col("x.size") + F.col("y.size")
+    roots = edges.select(F.col("a"), F.col("b").alias("_root"))
+    members = compared.filter("differ is not null").join(roots, "a", "left").withColumn("root", F.coalesce("_root", "a"))
+    several = members.groupBy("b").agg((F.min("root") != F.max("root")).alias("_open")).filter("_open").select("b")
+    members = members.join(materialize(several, "several"), "b").withColumn("side", F.xxhash64("b", "a"))
+    members = materialize(members.select("side", F.col("a").alias("node"), "b", "root", "good", "size", "excess", "least", "odd", "differ"), "members")
+    found = members.select("side", "b", "root", F.explode("differ").alias("hash"))
+    found = materialize(found.select(F.xxhash64("b", "hash").alias("band"), "side", "root"), "differences")
+    counts = found.groupBy("band").agg(F.count("*").alias("_n"), (F.min("root") != F.max("root")).alias("_open")).filter("_open")
+    behind = F.row_number().over(Window.partitionBy("side").orderBy(F.desc("_n"), F.desc("band")))
+    shared = found.select("band", "side").join(counts.select("band", "_n"), "band").withColumn("_rest", behind)
+    rest = F.col("_rest") * (2 * (100 + percent))
+    rows = shared.select("band", "side", F.ceil(F.col("_n") / cell).cast("int").alias("_parts"), rest.alias("rest"))
+    rows = rows.join(members.select("side", "node", "root", "good", "size", "excess", "least", "odd"), "side")
+    # whether enough can be shared with any member, and with any that is not linked to the centre
+    rows = rows.filter(F.col("rest") >= F.col("excess") + F.col("least")).withColumn("_any", F.col("rest") > F.col("excess") - F.col("least"))
+    rows = materialize(rows.filter("_any or not good"), "open")
+    both = F.struct("node", "root", "good", "size", "excess", "odd", "rest")
+    left = rows.filter("not good").withColumn("_part", F.pmod(F.hash("node"), F.col("_parts"))).select("band", "_part", both.alias("x"))
+    right = rows.filter("_any").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select("band", "_part", both.alias("y"))
+    once = F.col("y.good") | (F.col("x.node") < F.col("y.node"))
+    enough = F.least("x.rest", "y.rest") >= F.col("x.excess") + F.col("y.excess")
     differ = sum((F.bit_count(F.col("x.odd")[k].bitwiseXOR(F.col("y.odd")[k])) for k in range(4)), F.lit(0))
     # of two linked sets, at most so many hashes of both together are in one alone
-    near = differ * (100 + percent) <= both * (100 - percent)
+    near = differ * (100 + percent) <= (F.col("x.size") + F.col("y.size")) * (100 - percent)
     fits = F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent
-    pairs = left.join(right, ["band", "_part"]).filter((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits & near)
-    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    pairs = left.join(right, ["band", "_part"]).filter((F.col("x.root") != F.col("y.root")) & once & enough & fits & near)
+    return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def _weighed(nodes: DataFrame) -> DataFrame:
@@ -281,6 +306,7 @@ def linked(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bins: in
     wanted = sides.groupBy("node").agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.max("centre").alias("centre"))
     sets = materialize(_sets(keyed, materialize(wanted, "wanted"), width), "sets")
     pairs = stars.select(F.col("member.node").alias("a"), F.col("centre.node").alias("b"))
+    pairs = pairs.join(pairs.groupBy("b").agg((F.count("*") > 1).alias("several")), "b")
     compared = materialize(_compared(pairs, sets, percent), "compared")
     edges = components(compared.filter("good").select("a", "b"))
     across = materialize(_across(compared, edges, percent, cell), "across")

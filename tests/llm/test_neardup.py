@@ -113,3 +113,51 @@ def test_prefixes_and_parities_lose_no_link():
             assert len(np.intersect1d(first, second))
             assert odd * 180 <= (len(a) + len(b)) * 20
     assert linked > 500
+
+
+def test_copies_with_changes_of_their_own_are_hardly_compared(spark, monkeypatch):
+    """Copies on both sides of the threshold, in one group: fewer pairs than members are
+    compared besides those with centres, and a chain of three keeps its links."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(200):
+        words = list(base)
+        for at in rng.sample(range(400), rng.randint(0, 20)):
+            words[at] = f"d{k}-{at}"
+        rows.append((k, " ".join(words)))
+    for k in range(3):
+        rows.append((200 + k, " ".join(base[:190] + [f"x{i}" for i in range(110)] + base[300:] + [f"y{k}"] * k)))
+    counts, across = [], neardup._across
+
+    def counted(*args):
+        out = neardup.materialize(across(*args), "counted")
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_across", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: v[1] for (i, _), v in brute(rows, 4).items()}
+    assert {r["doc_id"]: r["component_id"] for r in neardup.linked(df, width=4).collect()} == want
+    assert len(set(want.values())) > 20 and want[202] == 200
+    assert counts[0] < len(rows)
+
+
+def test_differences_from_a_centre_lose_no_link():
+    rng = np.random.default_rng(5)
+    checked = 0
+    for _ in range(4000):
+        whole = np.unique(rng.integers(0, 1 << 63, int(rng.integers(2, 80))).astype(np.uint64))
+        pick = lambda: rng.choice(whole, int(rng.integers(max(1, len(whole) * 7 // 10), len(whole) + 1)), replace=False)
+        centre, a, b = pick(), pick(), pick()
+        da, db = np.setxor1d(a, centre), np.setxor1d(b, centre)
+        least = neardup.excess(len(centre), 0, 80)
+        of_a, of_b = neardup.excess(len(a), len(da), 80), neardup.excess(len(b), len(db), 80)
+        assert least <= min(of_a, of_b)
+        assert (of_a + least <= 0) == (100 * len(np.intersect1d(a, centre)) >= 80 * len(np.union1d(a, centre)))
+        linked = 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+        assert linked == (2 * 180 * len(np.intersect1d(da, db)) >= of_a + of_b)
+        if of_a + least > 0:
+            checked += linked
+            assert of_a + of_b > 0
+    assert checked > 100
