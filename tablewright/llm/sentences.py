@@ -4,9 +4,10 @@ Every run of RUN consecutive sentences is hashed. Runs are joined over all docum
 sentences covered by an occurrence of a run that is not its first are removed. Occurrences
 are ordered by document id and by place in the document.
 
-Two narrow passes read the texts: one counts runs, the other sends on only those that occur
-in several documents, let through by a filter of fixed size and then joined exactly. Inside
-a document a run counts once, so that no line repeated in it makes a large group.
+Texts are cut and hashed once; the runs of each document and where its sentences begin are
+written. Two narrow passes read the runs: one counts them, the other sends on only those that
+occur in several documents, let through by a filter of fixed size and then joined exactly.
+Inside a document a run counts once, so that no line repeated in it makes a large group.
 """
 
 from __future__ import annotations
@@ -91,29 +92,55 @@ def _first_in(found: np.ndarray) -> np.ndarray:
     return np.sort(np.unique(found[:, 0], return_index=True)[1])
 
 
-def _runs(rows: DataFrame, wanted: Bits | None) -> DataFrame:
+def _cut(rows: DataFrame) -> DataFrame:
+    """(order_id, doc_key, steps, own, runs) for each row of (order_id, doc_key, text): how
+    far each sentence begins behind the one before it, the places of runs that occurred
+    earlier in the text, and the hashes of all others in order."""
+
+    def make():
+        def step(ids, keys, values):
+            out: list[list] = [ids, keys, [], [], []]
+            for value in values:
+                starts, hashes = sentences(value)
+                found = run_hashes(hashes)
+                at = _first_in(found)
+                steps = np.diff(np.array(starts, dtype=np.int32), prepend=np.int32(0))
+                own = np.setdiff1d(np.arange(len(found), dtype=np.int32), at, assume_unique=True)
+                for column, v in zip(out[2:], (steps, own, found[at].tobytes()), strict=True):
+                    column.append(v)
+            return out
+
+        return step
+
+    return map_rows(rows, make, "order_id long, doc_key long, steps array<int>, own array<int>, runs binary")
+
+
+def _runs(cut: DataFrame, wanted: Bits | None) -> DataFrame:
     """(high, low, order_id[, doc_key, at]): the first occurrence of each run in each
     document; without a filter only the first three columns are made."""
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)
+    shared = cut.sparkSession.sparkContext.broadcast(wanted)
 
     def make():
         filter_ = shared.value
 
-        def step(ids, keys, values):
+        def step(ids, keys, owns, values):
             out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for order_id, key, value in zip(ids, keys, values, strict=True):
-                found = run_hashes(sentences(value)[1])
-                at = _first_in(found)
-                if filter_ is not None:
-                    at = at[filter_.has(found[at, 0])]
-                for column, v in zip(out, (found[at, 0].view(np.int64), found[at, 1].view(np.int64), np.full(len(at), order_id), np.full(len(at), key), at), strict=True):
+            for order_id, key, own, value in zip(ids, keys, owns, values, strict=True):
+                found = np.frombuffer(value, np.uint64).reshape(-1, 2)
+                if filter_ is None:
+                    row = found[:, 0].view(np.int64), found[:, 1].view(np.int64), np.full(len(found), order_id)
+                else:
+                    take = np.flatnonzero(filter_.has(found[:, 0]))
+                    at = np.setdiff1d(np.arange(len(found) + len(own)), own, assume_unique=True)[take]
+                    row = found[take, 0].view(np.int64), found[take, 1].view(np.int64), np.full(len(at), order_id), np.full(len(at), key), at
+                for column, v in zip(out, row, strict=False):
                     column.append(v)
             return [np.concatenate([*column, np.zeros(0, np.int64)]).astype(np.int64) for column in (out if wanted_all else out[:3])]
 
         return step
 
     wanted_all = wanted is not None
-    return map_rows(rows, make, "high long, low long, order_id long" + (", doc_key long, at long" if wanted_all else ""))
+    return map_rows(cut.select("order_id", "doc_key", "own", "runs"), make, "high long, low long, order_id long" + (", doc_key long, at long" if wanted_all else ""))
 
 
 def without_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,24 +156,25 @@ def without_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     keyed = source.select(F.coalesce("doc_id", F.lit(LAST)).alias("order_id"), F.xxhash64("text").alias("doc_key"), "text", F.col("doc_id").isNull().alias("no_id"))
     rows = keyed.select("order_id", "doc_key", "text")
-    shared = _runs(rows, None).groupBy("high", "low").agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).filter("first != last")
+    cut = materialize(_cut(rows), "sentences")
+    shared = _runs(cut, None).groupBy("high", "low").agg(F.min("order_id").alias("first"), F.max("order_id").alias("last")).filter("first != last")
     shared = materialize(shared.select("high", "low", "first"), "shared_runs")
-    again = _runs(rows, Bits.of(shared, "high", BITS)).join(shared, ["high", "low"]).filter("order_id > first")
+    again = _runs(cut, Bits.of(shared, "high", BITS)).join(shared, ["high", "low"]).filter("order_id > first")
     # the runs of one document
     lists = materialize(again.groupBy("order_id", "doc_key").agg(F.collect_set("at").alias("again")), "repeated_runs")
-    met = keyed.join(lists, ["order_id", "doc_key"], "left").select("order_id", "doc_key", "no_id", "text", "again")
+    places = cut.groupBy("order_id", "doc_key").agg(F.first("steps").alias("steps"), F.first("own").alias("own"))
+    met = keyed.join(places, ["order_id", "doc_key"]).join(lists, ["order_id", "doc_key"], "left")
+    met = met.select("order_id", "doc_key", "no_id", "text", "steps", "own", "again")
 
     def make():
-        def step(ids, keys, missing, values, lists_):
+        def step(ids, keys, missing, values, steps, owns, lists_):
             out: list[list] = [[], [], [], [], [], [], [], []]
-            for order_id, key, none, value, again_ in zip(ids, keys, missing, values, lists_, strict=True):
-                starts, hashes = sentences(value)
-                gone, kept = removed(hashes, again_ or []), []
-                edges = [*starts, len(value)]
-                if len(starts):
+            for order_id, key, none, value, steps_, own, again_ in zip(ids, keys, missing, values, steps, owns, lists_, strict=True):
+                starts = np.cumsum(steps_, dtype=np.int64).tolist()
+                gone, kept = removed(len(starts), own + (again_ or [])), [value]
+                if gone.any():
+                    edges = [*starts, len(value)]
                     kept = [value[a:b] for a, b, g in zip(edges, edges[1:], gone, strict=False) if not g]
-                else:
-                    kept = [value]
                 data, size = "".join(kept).encode("utf-8", "surrogatepass"), len(value.encode("utf-8", "surrogatepass"))
                 n_spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
                 row = (None if none else order_id, key, len(starts), int(gone.sum()), n_spans, size - len(data), hashlib.sha256(data).hexdigest(), data.decode("utf-8", "replace") if keep_text else None)
@@ -161,18 +189,13 @@ def without_repeats(docs: DataFrame, keep_text: bool = True, id_col: str = "doc_
     return out if keep_text else out.drop("kept")
 
 
-def removed(hashes: np.ndarray, again: list[int]) -> np.ndarray:
-    """Which sentences go: those in a run that occurred earlier in the document, and those
-    in a run whose first occurrence in the document, at a place in ``again``, is not the
-    first of all."""
-    gone = np.zeros(len(hashes), dtype=bool)
-    found = run_hashes(hashes)
-    if len(found):
-        late = np.ones(len(found), dtype=bool)
-        late[_first_in(found)] = False
-        late[np.array(again, dtype=np.int64)] = True
-        for k in range(RUN):
-            gone[k : k + len(found)] |= late
+def removed(n: int, late: list[int]) -> np.ndarray:
+    """Which of ``n`` sentences go: those in a run at a place in ``late``, one that occurred
+    earlier in the document or whose first occurrence in it is not the first of all."""
+    gone = np.zeros(n, dtype=bool)
+    at = np.array(late, dtype=np.int64)
+    for k in range(RUN):
+        gone[at + k] = True
     return gone
 
 

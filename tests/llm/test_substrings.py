@@ -116,3 +116,14 @@ def test_passages_at_any_offset_of_a_long_line(spark):
     middle = passage[20:180]
     assert all(not set(middle) & set(got[k]["kept"].split()) for k in (1, 2, 3))
     assert all(not set(passage[20:30]) & set(got[k]["kept"].split()) for k in (10, 11))
+
+
+def test_sentences_are_cut_once(spark, monkeypatch):
+    """Runs and where sentences begin are kept: no text is cut again for a later pass."""
+    rng = random.Random(8)
+    rows = [(k, "\n".join(f"line {rng.randrange(6)} of it" for _ in range(12))) for k in range(40)] + [(None, "a. b. c. d."), (3, None)]
+    calls, cut = [], sentences._cut
+    monkeypatch.setattr(sentences, "_cut", lambda docs: calls.append(docs) or cut(docs))
+    out = sentences.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows) and len(calls) == 1
+    assert sum(r["n_removed"] for r in out) > 100
