@@ -53,30 +53,39 @@ class Quotes:
         body = rb"(?:[^%b]++|%b%b)*+(%b?)" % (q, q, q, q) if q == e else rb"(?:[^%b%b]++|%b.)*+(%b?)" % (q, e, e, q)
         return re.compile(body, re.DOTALL), re.compile(rb"(?:(?<=%b)|(?<=\n)|(?<=\r))%b%b" % (d, q, body), re.DOTALL)
 
-    def spans(self, data: bytes, start: int, inside: bool) -> tuple[list[tuple[int, int]], bool]:
-        """The quoted parts from ``start`` on, and whether the last is still open."""
+    def spans(self, data: bytes, start: int, inside: bool) -> tuple[np.ndarray, bool]:
+        """The quoted parts from ``start`` on, [part, 2], and whether the last is still open."""
+        ends = [False]
+        found = np.fromiter(self._spans(data, start, inside, ends), dtype=np.dtype((np.int64, 2)))
+        return found, ends[0]
+
+    def _spans(self, data: bytes, start: int, inside: bool, ends: list[bool]) -> Iterator[tuple[int, int]]:
         if not self.quote:
-            return [], False
+            return
         rest, field = self._patterns
-        found = []
         if inside:
             m = rest.match(data, start)
-            found.append((start, m.end()))
+            ends[0] = not m[1]
+            yield start, m.end()
             if not m[1]:
-                return found, True
+                return
             start = m.end()
-        closed = True
         for m in field.finditer(data, start):
-            found.append(m.span())
-            closed = bool(m[1])
-        return found, not closed
+            ends[0] = not m[1]
+            yield m.span()
+
+    def open_after(self, data: bytes, start: int, inside: bool) -> bool:
+        """Whether the end is inside quotes; no parts are kept."""
+        ends = [False]
+        for _ in self._spans(data, start, inside, ends):
+            pass
+        return ends[0]
 
     def breaks(self, data: bytes, start: int, inside: bool) -> tuple[np.ndarray, bool]:
         """Places of the line breaks that end records, and whether the end is inside."""
-        spans, open_end = self.spans(data, start, inside)
+        edges, open_end = self.spans(data, start, inside)
         at = np.flatnonzero(np.frombuffer(data, np.uint8)[start:] == 10) + start
-        if spans and len(at):
-            edges = np.array(spans)
+        if len(edges) and len(at):
             k = np.searchsorted(edges[:, 0], at, "right") - 1
             at = at[(k < 0) | (at >= edges[np.maximum(k, 0), 1])]
         return at, open_end
@@ -127,7 +136,7 @@ def ranges(spark: SparkSession, path: str | list[str], quotes: Quotes, range_byt
                 with system.open_input_file(name) as f:
                     begin, end = (_begin(f, (row["range"] + k) * range_bytes, row["size"], quotes) for k in (0, 1))
                     data, start = _piece(f, begin, end, quotes)
-                states = [quotes.spans(data, start, inside)[1] for inside in (False, True)]
+                states = [quotes.open_after(data, start, inside) for inside in (False, True)]
                 values = (row["file"], row["range"], begin, end, *states)
                 yield pa.RecordBatch.from_pydict({n: [v] for n, v in zip(("file", "range", "begin", "end", "if_outside", "if_inside"), values)}, schema=target)
 

@@ -3,6 +3,7 @@ import datetime as dt
 import gzip
 import io
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -237,6 +238,20 @@ def test_records_are_the_same_for_ranges_of_any_size(tmp_path, size):
         assert not text.strip("\r\n") or text.startswith(("\r", "\n")) or next(csv.reader(io.StringIO(head, newline=""))) == list(reference(text)[0])
 
 
+def test_many_short_quoted_fields_need_little_memory():
+    data = b'"a","b"\n' * 200_000
+    quotes = quoted.Quotes(",", '"', '"')
+    tracemalloc.start()
+    try:
+        assert not quotes.open_after(b"\n" + data, 1, False)
+        scanned = tracemalloc.get_traced_memory()[1]
+        ends, inside = quotes.breaks(b"\n" + data, 1, False)
+        assert len(ends) == 200_000 and not inside
+        assert scanned < 5 * len(data) and tracemalloc.get_traced_memory()[1] < 16 * len(data)
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.mark.parametrize("size", [16, 1000])
 def test_one_file_with_line_breaks_is_many_tasks(spark, tmp_path, monkeypatch, size):
     monkeypatch.setattr(delimited, "RANGE_BYTES", size)
