@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from tablewright.functions import aggregate as agg
-from tablewright.session import materialize, materialize_blocks
+from tablewright.session import block_count, materialize, materialize_blocks
 
 BLOCK_ROWS = 1_000_000  # rows of a cell where rows are numbered first
 Keys = Sequence[str]
@@ -450,96 +450,102 @@ def range_framed(
     peers = materialize(peers, "peers")
     v, width = F.col("_v"), max(before + after, 1e-9)
     home, first, last = F.floor(v / width), F.floor((v - after) / width), F.floor((v + before) / width)
-    cells = peers.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
+
+    def in_cells(some: DataFrame) -> DataFrame:
+        return some.withColumn("_home", home).withColumn("_at", F.explode_outer(F.sequence(first, last)))
+
     w = Window.partitionBy(*keys, "_at").orderBy("_v").rangeBetween(-before, after)
     # no more of these than there are rows / cell_rows
-    full = cells.groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_rows)
-    large = materialize(full.select(*keys, F.lit(True).alias("_large")).distinct(), "large")
+    sizes = in_cells(peers).groupBy(*keys, "_at").agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_low"), F.max(v).alias("_high"))
+    large = sizes.groupBy(*keys).agg(F.max("_n").alias("_most"), F.min("_low").alias("_low"), F.max("_high").alias("_high")).where(F.col("_most") > cell_rows)
+    large = materialize(large.select(*keys, "_low", "_high", F.monotonically_increasing_id().alias("_group")), "large")
     several = not large.isEmpty()
-    if several:
-        cells = join_back(cells, large, keys).where("_large is null or _v is null").drop("_large")
+    grouped = join_back(peers, large, keys) if several else peers
+    cells = in_cells(grouped.where("_group is null or _v is null") if several else peers)
     framed_peers = cells.withColumns({k: _over(kind, F.col(k), w) for k, kind in kinds.items()})
     framed_peers = framed_peers.where(F.col("_home").eqNullSafe(F.col("_at"))).select(*keys, order, *kinds)
     if several:
-        dense = join_back(peers, large, keys).where("_large and _v is not null").drop("_large")
-        framed_peers = framed_peers.unionByName(_framed_by_blocks(dense, keys, order, before, after, kinds))
+        dense = grouped.where("_group is not null and _v is not null")
+        # of three rows a value; the planner would take the join for the product of its sides
+        blocks = block_count(peers.unionByName(peers).unionByName(peers))
+        by_blocks = _framed_by_blocks(dense, order, number, before, after, kinds, blocks)
+        framed_peers = framed_peers.unionByName(join_back(by_blocks, large.select(*keys, "_group"), "_group").select(*keys, order, *kinds))
 
     def value(k: str, kind: str) -> Column:
         return F.col(f"_s_{k}") / F.nullif(f"_n_{k}", F.lit(0)) if kind == "mean" else F.col(f"_{k}")
 
     found = framed_peers.select(*keys, order, *[value(k, kind).alias(k) for k, (kind, _) in exprs.items()])
-    return join_back(df, found, [*keys, order])
+    return join_back(df, found, [order, *keys])
 
 
 STEP_ROWS = 256  # a moving frame costs Spark its length for each row, so frames are short
-STEP_BITS = 24  # of the number of a step in its block
-LEVELS = STEP_BITS + 20
 
 
-def _framed_by_blocks(peers: DataFrame, keys: list[str], order: str, before, after, kinds: Mapping[str, str]) -> DataFrame:
-    """(keys, order, aggregates) of frames in groups that one task need not hold.
+def _framed_by_blocks(peers: DataFrame, order: str, number: Column, before, after, kinds: Mapping[str, str], blocks: int) -> DataFrame:
+    """(_group, order, aggregates) of frames in groups that one task need not hold.
 
-    The ends of the frames are sorted into blocks together with the values, and blocks are
-    cut into steps. A frame inside one step is done there. Any other is the rest of its first
-    step, the beginning of its last one, and what lies between: whole steps, aggregated for
-    1, 2, 4, ... of them, of which a frame takes two of each size at most. Ends move on
-    together, so frames have at most twice as many pairs of first and last step as there
-    are steps.
+    The ends of the frames are sorted into blocks together with the values, once, and blocks
+    are cut into steps. A frame is the rest of its first step, the beginning of its last one,
+    and what lies between: whole steps, aggregated for 1, 2, 4, ... of them, of which a frame
+    takes two of each size at most. Ends move on together, so frames have at most twice as
+    many pairs of first and last step as there are steps. One pass over the blocks finds both
+    ends and the steps' totals; steps that hold a whole frame are read again for it.
     """
     low, here, high = 0, 1, 2
-    ends = [
-        peers.select(*keys, order, "_v", (F.col("_v") - F.lit(before)).alias("_p"), F.lit(low).alias("_kind")),
-        peers.select(*keys, order, "_v", F.col("_v").alias("_p"), F.lit(here).alias("_kind"), *kinds),
-        peers.select(*keys, order, "_v", (F.col("_v") + F.lit(after)).alias("_p"), F.lit(high).alias("_kind")),
+    ends = {low: F.col("_v") - F.lit(before), here: F.col("_v"), high: F.col("_v") + F.lit(after)}
+    # rises with group and place, so that few comparisons of a sort need more
+    bottom, top = F.col("_low").cast("double") - float(before), F.col("_high").cast("double") + float(after)
+    part = lambda p: (p.cast("double") - bottom) / F.greatest(top - bottom, F.lit(1e-300))
+    events = [
+        peers.select("_group", order, F.lit(kind).alias("_kind"), p.alias("_p"), (F.col("_group") + F.least(F.greatest(part(p), F.lit(0.0)), F.lit(1.0))).alias("_rise"), *(kinds if kind == here else ()))
+        for kind, p in ends.items()
     ]
-    events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ends)
-    blocks = Blocks.of(events, keys, ["_p", "_kind"])
-    in_block = F.floor((F.row_number().over(blocks.ordered()) - 1) / STEP_ROWS)
-    rows = blocks.rows.withColumn("_step", F.col("_block").cast("bigint") * 2**STEP_BITS + in_block)
+    events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), events)
+    block, bucket = Blocks.PLACE
+    sorts = [F.col(x) for x in ("_rise", "_group", "_p", "_kind", order)]
+    rows = materialize_blocks(events, "blocks", sorts, block, bucket, blocks, nth="_nth", drop=("_p", "_rise"))
+    most = rows.agg(F.max("_nth"), F.max(block)).first()
+    step_bits = int((most[0] or 0) // STEP_ROWS).bit_length()  # of the number of a step in its block
+    rows = rows.withColumn("_step", F.col(block).cast("bigint") * 2**step_bits + F.floor(F.col("_nth") / STEP_ROWS))
     is_here = F.col("_kind") == here
-    step = Window.partitionBy(*keys, *blocks.PLACE, "_step")
-    inside = step.orderBy("_v").rangeBetween(-before, after)
+    step = Window.partitionBy("_step", "_group", bucket)  # the first is what Spark compares fastest
     upto = (Window.unboundedPreceding, 0)
-    so_far = step.orderBy("_p", "_kind", "_tie").rowsBetween(*upto)
-    to_end = step.orderBy(F.desc("_p"), F.desc("_kind"), F.desc("_tie")).rowsBetween(*upto)
-
-    at_ends = rows.withColumns(
-        {f"_f{k}": F.when(F.col("_kind") == low, _over(kind, F.col(k), to_end)).otherwise(_over(kind, F.col(k), so_far)) for k, kind in kinds.items()}
-    ).where(~is_here)
-    in_step = rows.where(is_here).withColumns({f"_f{k}": _over(kind, F.col(k), inside) for k, kind in kinds.items()})
-    columns = [*keys, order, "_kind", "_step", *[f"_f{k}" for k in kinds]]
-    found = at_ends.select(columns).unionByName(in_step.select(columns))
-
-    def of(kind: int, column: str) -> Column:
-        return F.max(F.when(F.col("_kind") == kind, F.col(column)))
-
-    frames = found.groupBy(*keys, order).agg(
-        of(low, "_step").alias("_first"),
-        of(high, "_step").alias("_last"),
-        *[of(kind, f"_f{k}").alias(f"{name}{k}") for k in kinds for kind, name in ((low, "_l"), (here, "_i"), (high, "_h"))],
-    )
-    frames = materialize(frames, "frames")
+    so_far, to_end = step.orderBy("_nth"), step.orderBy(F.desc("_nth"))
+
+    passed = rows.withColumns({"_begins": F.row_number().over(so_far) == 1, **{f"_h{k}": _over(kind, F.col(k), so_far.rowsBetween(*upto)) for k, kind in kinds.items()}})
+    passed = passed.withColumns({f"_l{k}": _over(kind, F.col(k), to_end.rowsBetween(*upto)) for k, kind in kinds.items()})
+    of_end = [F.when(F.col("_kind") == low, F.col(f"_l{k}")).otherwise(F.col(f"_h{k}")).alias(f"_f{k}") for k in kinds]
+    of_step = [F.when(F.col("_begins"), F.col(f"_l{k}")).alias(k) for k in kinds]
+    passed = passed.where(~is_here | F.col("_begins")).select("_group", order, "_kind", "_step", "_begins", *of_end, *of_step)
+    passed = materialize(passed, "ends")
+
+    def at(kind: int, place: str, name: str) -> DataFrame:
+        return passed.where(F.col("_kind") == kind).select("_group", order, F.col("_step").alias(place), *[F.col(f"_f{k}").alias(f"{name}{k}") for k in kinds])
+
+    frames = materialize(at(low, "_first", "_l").join(at(high, "_last", "_h"), [order, "_group"]), "frames")
 
     # aligned runs of 2 ** level whole steps, and those that lie between two steps
-    totals = rows.where(is_here).groupBy(*keys, "_step").agg(*[_total(kind, F.col(k)).alias(k) for k, kind in kinds.items()])
-    levels = F.sequence(F.lit(0), F.lit(LEVELS))
-    runs = totals.withColumn("_level", F.explode(levels)).withColumn("_run", F.expr("shiftright(_step, _level)"))
-    runs = runs.groupBy(*keys, "_level", "_run").agg(*[_total(kind, F.col(k)).alias(k) for k, kind in kinds.items()])
-    spans = frames.where("_last > _first + 1").select(*keys, "_first", "_last").distinct()
+    levels = F.sequence(F.lit(0), F.lit(step_bits + int(most[1] or 0).bit_length()))
+    runs = passed.where("_begins").withColumn("_level", F.explode(levels)).withColumn("_run", F.expr("shiftright(_step, _level)"))
+    runs = runs.groupBy("_run", "_level", "_group").agg(*[_total(kind, F.col(k)).alias(k) for k, kind in kinds.items()])
+    spans = frames.where("_last > _first + 1").select("_group", "_first", "_last").distinct()
     begin = "shiftright(_first + shiftleft(1L, _level), _level)"  # of [_first + 1, _last), rounded inwards
     end = "shiftright(_last, _level)"
     pieces = spans.withColumn("_level", F.explode(levels)).withColumns({"_b": F.expr(begin), "_e": F.expr(end)}).where("_b < _e")
     odd = F.array_compact(F.array(F.when(F.col("_b") % 2 == 1, F.col("_b")), F.when(F.col("_e") % 2 == 1, F.col("_e") - 1)))
     pieces = pieces.withColumn("_run", F.explode(odd)).drop("_b", "_e")
-    between = join_back(pieces, runs, [*keys, "_level", "_run"]).groupBy(*keys, "_first", "_last")
-    between = between.agg(*[_total(kind, F.col(k)).alias(f"_m{k}") for k, kind in kinds.items()])
-    out = join_back(frames, materialize(between, "between"), [*keys, "_first", "_last"])
-
-    def whole(k: str, kind: str) -> Column:
-        joined = reduce(_COMBINE[kind], [F.col(f"_l{k}"), F.col(f"_m{k}"), F.col(f"_h{k}")])
-        return F.when(F.col("_first") == F.col("_last"), F.col(f"_i{k}")).otherwise(joined)
-
-    return out.select(*keys, order, *[whole(k, kind).alias(k) for k, kind in kinds.items()])
+    between = pieces.join(runs, ["_run", "_level", "_group"]).groupBy("_first", "_last", "_group")
+    between = materialize(between.agg(*[_total(kind, F.col(k)).alias(f"_m{k}") for k, kind in kinds.items()]), "between")
+    wide = frames.where("_first <> _last").join(between, ["_first", "_last", "_group"], "left")
+    joined = [reduce(_COMBINE[kind], [F.col(f"_l{k}"), F.col(f"_m{k}"), F.col(f"_h{k}")]).alias(k) for k, kind in kinds.items()]
+
+    # frames inside one step
+    short = materialize(frames.where("_first = _last").select("_group", order, F.col("_first").alias("_step")), "short")
+    inside = Window.partitionBy("_step", "_group").orderBy("_v").rangeBetween(-before, after)
+    alone = rows.where(is_here).join(short.select("_step", "_group").distinct(), ["_step", "_group"], "left_semi")
+    alone = alone.withColumn("_v", number).withColumns({f"_f{k}": _over(kind, F.col(k), inside) for k, kind in kinds.items()})
+    alone = alone.join(short, [order, "_group"], "left_semi")
+    return wide.select("_group", order, *joined).unionByName(alone.select("_group", order, *[F.col(f"_f{k}").alias(k) for k in kinds]))
 
 
 def nth_values(df: DataFrame, keys: str | Keys, order: Order, x: str, n: int = 2, groups_fit: bool = False) -> DataFrame:

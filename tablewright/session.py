@@ -141,10 +141,21 @@ def _marks(spark: SparkSession, n: int) -> list[int]:
     return _MARKS[n]
 
 
-def materialize_blocks(df: DataFrame, label: str, sorts: list[Column], block: str, bucket: str, blocks: int | None = None) -> DataFrame:
+def materialize_blocks(
+    df: DataFrame,
+    label: str,
+    sorts: list[Column],
+    block: str,
+    bucket: str,
+    blocks: int | None = None,
+    nth: str | None = None,
+    drop: tuple[str, ...] = (),
+) -> DataFrame:
     """Range-partition ``df`` by ``sorts`` and write a file for each partition, numbered by
     ``block`` in order. It is read back as bucketed by ``bucket``, one bucket a block: what
-    is grouped or windowed by both columns needs no further shuffle.
+    is grouped or windowed by both columns needs no further shuffle. ``nth`` names a column
+    for the number of a row in its block, from 0 in the order of ``sorts``; columns to
+    ``drop`` serve the order only.
 
     Like ``materialize``, it cuts the lineage. The table's name goes at once; the files stay
     as long as those of ``materialize``.
@@ -154,6 +165,10 @@ def materialize_blocks(df: DataFrame, label: str, sorts: list[Column], block: st
     marks = F.array(*[F.lit(m) for m in _marks(spark, n)])
     rows = df.repartitionByRange(n, *sorts).withColumn(block, F.spark_partition_id())
     rows = rows.withColumn(bucket, F.element_at(marks, F.pmod(F.col(block), F.lit(n)) + 1))
+    if nth:
+        rows = rows.sortWithinPartitions(*sorts)
+        rows = rows.withColumn(nth, F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)))
+    rows = rows.drop(*drop)
     path = shared_dir(spark, label)
     _INTERMEDIATES.setdefault(spark.sparkContext.applicationId, []).append(path)
     name = f"spark_catalog.default.{label}_{uuid.uuid4().hex}"

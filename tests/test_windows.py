@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablewright.operators import windows
+from tablewright.session import materialize_blocks
 from tests.conftest import rows
 
 HOT = 50
@@ -103,6 +104,33 @@ def test_range_framed_over_blocks(many_partitions, monkeypatch, skewed, before,
     assert rows(alone) == rows(some.select("*", F.count(F.lit(1)).over(w).alias("n")))
 
 
+def test_range_framed_blocks_are_few(monkeypatch, skewed):
+    """As many blocks as the rows need, and each is ordered when it is written."""
+    made = []
+
+    def kept(*args, **more):
+        made.append(materialize_blocks(*args, **more))
+        return made[-1]
+
+    monkeypatch.setattr(windows, "materialize_blocks", kept)
+    monkeypatch.setattr(windows, "STEP_ROWS", 7)
+    got = windows.range_framed(skewed, "k", "t", 3, 2, {"s": ("sum", "x"), "lo": ("min", "x")}, 1)
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(-3, 2)
+    assert rows(got) == rows(skewed.select("*", F.sum("x").over(w).alias("s"), F.min("x").over(w).alias("lo")))
+    (blocks,) = made
+    assert blocks.select("_block").distinct().count() == 1
+    order = Window.partitionBy("_block", "_group").orderBy("_nth")
+    falls = blocks.withColumn("_p", F.col("t") + F.element_at(F.array(F.lit(-3), F.lit(0), F.lit(2)), F.col("_kind") + 1))
+    assert falls.withColumn("_before", F.lag("_p").over(order)).where("_p < _before").isEmpty()
+
+
+def test_blocks_number_their_rows(many_partitions, skewed):
+    blocks = materialize_blocks(skewed, "blocks", [F.col("t"), F.col("id")], "_block", "_bucket", 4, nth="_nth", drop=("x",))
+    assert set(blocks.columns) == {"k", "t", "id", "_nth", "_block", "_bucket"}
+    numbered = blocks.withColumn("_want", F.row_number().over(Window.partitionBy("_block").orderBy("t", "id")) - 1)
+    assert numbered.where("_want <> _nth").isEmpty() and numbered.select("_block").distinct().count() == 4
+
+
 def test_range_framed_by_dates_and_moments(many_partitions, skewed):
     dated = skewed.withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t"))).withColumn("m", F.timestamp_seconds(F.col("t") * 3600))
     want = rows(windows.range_framed(dated, "k", "t", 3, 2, {"n": ("count", F.lit(1))}))
